@@ -14,7 +14,7 @@ def _c(c: Column | str) -> Column:
 
 def parse_yyyymmdd(c: Column | str) -> Column:
     """`20230901` (int or string) -> date; null for text that does not parse."""
-    return F.try_to_date(_c(c).cast("string"), F.lit(V.HIT_DATE_FORMAT))
+    return F.try_to_date(_c(c).cast("string"), V.HIT_DATE_FORMAT)
 
 
 def as_timestamp(c: Column | str) -> Column:
