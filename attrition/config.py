@@ -42,6 +42,7 @@ class Params:
     dedupe_uninstalls: bool = False
     drop_null_keys: bool = True
     outliers: str = "off"            # off | exact | approx
+    materialise: bool = True         # checkpoint intermediates that have several consumers
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":

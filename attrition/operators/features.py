@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import values as V
+from attrition.session import materialise
 
 ACTION_SET_COLUMNS = ["screen_view", "produto_view", "action_event_v1", "action_event_v2"]
 GROUP_KEYS = ["id_ga", "faixa_etaria", "sexo", "uninstall"]
@@ -128,12 +129,16 @@ def explode_sets(uagg: DataFrame) -> DataFrame:
     return out
 
 
+def _tagger(column: str):
+    return lambda v: F.struct(F.lit(column).alias("column"), v.cast("string").alias("value"))
+
+
 def _pairs(df: DataFrame, columns) -> F.Column:
     """array<struct<column,value>> of every (one-hot column, value) in a row."""
     parts = []
     for c in columns:
         if isinstance(df.schema[c].dataType, T.ArrayType):
-            parts.append(F.transform(c, lambda v, c=c: F.struct(F.lit(c).alias("column"), v.cast("string").alias("value"))))
+            parts.append(F.transform(c, _tagger(c)))
         else:
             parts.append(F.array(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))))
     return F.concat(*parts)
@@ -187,7 +192,8 @@ def feature_rows(uagg: DataFrame, vocab: list[tuple[str, str]], drop_null_keys:
 
 def user_aggregates(joined: DataFrame, p: Params) -> DataFrame:
     """Everything up to the one-hot: one row per (visitor, age band, sex, label)."""
-    amostra = recode_sample(joined)
+    # two consumers (sessions and action sets): compute the joined rows once
+    amostra = recode_sample(materialise(joined, p.materialise))
     sessions = user_sessions(amostra)
     if p.outliers != "off":
         sessions = replace_outliers(sessions, OUTLIER_COLUMNS, p.outliers)
@@ -204,11 +210,7 @@ def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] |
     """
     uagg = user_aggregates(joined, p)
     if vocab is None:
-        if checkpoint:
-            from attrition.session import ensure_checkpoint_dir
-
-            ensure_checkpoint_dir(uagg.sparkSession)
-            uagg = uagg.checkpoint(eager=True)
+        uagg = materialise(uagg, checkpoint and p.materialise)
         vocab = vocab_list(fit_vocab(uagg))
     return feature_rows(uagg, vocab, p.drop_null_keys)
 

@@ -45,15 +45,15 @@ def action_columns(p: Params | None = None) -> dict[str, F.Column]:
 def session_times(ga: DataFrame) -> DataFrame:
     """WIN2 + FN9 as a grouped aggregate: first/last hit text, parsed, and minutes between.
 
-    Min/max of the fixed-width text equal min/max of the times it renders.
-    Grouping (partial aggregation before the shuffle) instead of a window keeps
-    a very long session from landing whole in one task.
+    The text is fixed-width, so min/max of the parsed times equal the parsed
+    min/max text; aggregating timestamps keeps a hash aggregate (text min/max
+    would force a sort-based one). Grouping with partial aggregation before the
+    shuffle, instead of a window, keeps a very long session from landing whole
+    in one task.
     """
+    hit_time = F.try_to_timestamp("timestamp_hit")
     return (ga.groupBy(session_id().alias("session_id"))
-            .agg(F.min("timestamp_hit").alias("first_hit"), F.max("timestamp_hit").alias("last_hit"))
-            .select("session_id",
-                    F.try_to_timestamp("first_hit").alias("visitStartTime"),
-                    F.try_to_timestamp("last_hit").alias("visitEndTime"))
+            .agg(F.min(hit_time).alias("visitStartTime"), F.max(hit_time).alias("visitEndTime"))
             .withColumn("SessionVisitTime_minutes", TM.minutes_between("visitStartTime", "visitEndTime")))
 
 

@@ -21,6 +21,7 @@ from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import time as TM
 from attrition.functions import values as V
+from attrition.session import materialise
 from attrition.sources import tables
 
 INSTALL_COLUMNS = ["advertising_appsflyer", "appsflyer_id", "install_date", "install_date_sm",
@@ -135,7 +136,8 @@ def build_installs(attribution: DataFrame, p: Params) -> DataFrame:
     the upstream o × u fan-out; ``p.dedupe_uninstalls`` gives o.
     """
     events = tables.attribution_events(attribution, p, dedupe=False)
-    single = single_installs(events, p)
+    # three consumers below: compute the single installs once
+    single = materialise(single_installs(events, p), p.materialise)
     hist = history_stats(single, earlier_installs(events))
     unc = uninstall_stats(single, uninstalls(events), p.uninstall_window_days)
     n_old = F.coalesce(F.col("n_old"), F.lit(0))

@@ -16,9 +16,12 @@ from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import values as V
 from attrition.operators import hits as H
+from attrition.session import materialise
 
 INSTALL_ATTRS = ["install_manha", "install_tarde", "install_noite", "install_madrugada", "install_grouping",
                  "install_channel", "total_installs_antigos", "recencia_last_install"]
+BRUTO_COLUMNS = ["id_ga", "visitId", "visitNumber", "channelGrouping", "geoNetwork", "trafficSource", "totals",
+                 "hits", "timestamp_hit", "idcliente", *INSTALL_ATTRS, "uninstall"]
 FACT_COLUMNS = ["id_ga", "sexo", "faixa_etaria", "session_id", "hits", "screenviews", "UniqueScreenviews",
                 "sessionQualityDim", "visitNumber", "channelGrouping", "SessionVisitTime_minutes", "regioes",
                 *INSTALL_ATTRS, "isTrueDirect", "screen_view", "produto_view", "action_event_v1",
@@ -78,23 +81,40 @@ def session_facts(ga_bruto: DataFrame, customers: DataFrame, p: Params) -> DataF
             .dropDuplicates())
 
 
-def first_visit_flag(facts: DataFrame) -> DataFrame:
+def first_visits(rows: DataFrame) -> DataFrame:
+    """Per visitor: smallest visit number and whether any visit number is null."""
+    return rows.groupBy("id_ga").agg(F.min("visitNumber").alias("_first_visit"),
+                                     F.max(F.col("visitNumber").isNull()).alias("_has_null_visit"))
+
+
+def first_visits_from_hits(ga_bruto: DataFrame) -> DataFrame:
+    """The same figures taken from the joined hits.
+
+    A hit yields fact rows exactly when its dimension array is non-empty (the
+    explode drops the rest, the later joins keep every row), so this equals
+    `first_visits(facts)` without reading the facts a second time.
+    """
+    return first_visits(ga_bruto.filter(F.size("hits.customDimensions") > 0))
+
+
+def first_visit_flag(facts: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """WIN4 as an aggregate + join: dense_rank(visitNumber) = 1 per visitor.
 
     Rank 1 is the smallest visit number, or the null visit numbers when a
-    visitor has any (ascending order puts nulls first).
+    visitor has any (ascending order puts nulls first). Unlike a window, the
+    grouped minimum is combined map-side and the join can be split when one
+    visitor is hot.
     """
-    first = facts.groupBy("id_ga").agg(F.min("visitNumber").alias("_first_visit"),
-                                       F.max(F.col("visitNumber").isNull()).alias("_has_null_visit"))
+    first = first_visits(facts) if first is None else first
     vn = F.col("visitNumber")
     flag = F.when(F.col("_has_null_visit"), vn.isNull()).otherwise(vn == F.col("_first_visit"))
     return (facts.join(first, "id_ga", "inner").withColumn("is_first_visit", flag)
             .drop("_first_visit", "_has_null_visit"))
 
 
-def with_channel_latency0(facts: DataFrame) -> DataFrame:
+def with_channel_latency0(facts: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """CND10: latency-0 channel, then drop the columns it consumed."""
-    flagged = first_visit_flag(facts)
+    flagged = first_visit_flag(facts, first)
     return (flagged.withColumn("channelGrouping_latencia0",
                                R.channel_latency0(F.col("is_first_visit"), "install_grouping", "isTrueDirect",
                                                   "channelGrouping"))
@@ -112,9 +132,12 @@ def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p:
     ga = tables.normalised_hits(hits, p)
     sample = _sample(installs, p)
     vim = visitor_install_map(tables.visitor_device_map(ga), sample)
-    ga_bruto = H.with_session_dimensions(hits_after_install(ga, vim, p))
+    # the sampled hits feed three aggregates (facts, session times, first
+    # visits): written once instead of re-scanning and re-joining the hit table
+    ga_bruto = materialise(H.with_session_dimensions(hits_after_install(ga, vim, p)).select(*BRUTO_COLUMNS),
+                           p.materialise)
     cust = tables.customers_with_age_band(customers, p)
-    return with_channel_latency0(session_facts(ga_bruto, cust, p))
+    return with_channel_latency0(session_facts(ga_bruto, cust, p), first_visits_from_hits(ga_bruto))
 
 
 def _sample(installs: DataFrame, p: Params) -> DataFrame:

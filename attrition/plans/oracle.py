@@ -372,21 +372,22 @@ SELECT a.id_ga, a.faixa_etaria, a.sexo, a.uninstall, n.name,
                AND d.sexo = a.sexo AND d.uninstall = a.uninstall AND d.name = n.name) AS flag
 FROM user_agg a CROSS JOIN (SELECT DISTINCT name FROM dummy_long) n""")
 
-cte("dummies_wide", ["dummy_grid"], f"""
-SELECT * FROM (PIVOT dummy_grid ON name USING bool_or(flag) GROUP BY {AGG_KEYS})""")
-
-cte("onehot_rows", ["user_agg", "dummies_wide"], f"""
+# DuckDB expands a dynamic PIVOT only in the outermost statement, so these two
+# are final SELECTs rather than CTEs.
+ONEHOT_ROWS = f"""
 SELECT a.id_ga, a.uninstall, {', '.join('a.' + c.strip() for c in NUMERIC.split(','))},
        w.* EXCLUDE (id_ga, faixa_etaria, sexo, uninstall)
-FROM user_agg a JOIN dummies_wide w
-  ON a.id_ga = w.id_ga AND a.faixa_etaria = w.faixa_etaria AND a.sexo = w.sexo AND a.uninstall = w.uninstall""")
-
-# pandas-style groupby over the non-dummy columns: null keys drop out, dummies OR-ed
-cte("base_modelagem", ["onehot_rows"], f"""
-SELECT id_ga, uninstall, {NUMERIC}, max(COLUMNS(* EXCLUDE (id_ga, uninstall, {NUMERIC})))
-FROM onehot_rows
-WHERE {' AND '.join(f'{c.strip()} IS NOT NULL' for c in ('id_ga, uninstall, ' + NUMERIC).split(','))}
-GROUP BY ALL""")
+FROM user_agg a
+JOIN (PIVOT dummy_grid ON name USING bool_or(flag) GROUP BY {AGG_KEYS}) w
+  ON a.id_ga = w.id_ga AND a.faixa_etaria = w.faixa_etaria AND a.sexo = w.sexo AND a.uninstall = w.uninstall"""
+
+# groupby over the non-dummy columns as the dataframe library does it: rows with
+# a null key drop out, dummies are OR-ed
+_KEYS = [c.strip() for c in ("id_ga, uninstall, " + NUMERIC).split(",")]
+BASE_MODELAGEM = f"""
+SELECT {', '.join(_KEYS)}, max(COLUMNS(* EXCLUDE ({', '.join(_KEYS)}))) FROM ({ONEHOT_ROWS})
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _KEYS)}
+GROUP BY ALL"""
 
 
 def with_ctes(final_sql: str, *needed: str) -> str:

@@ -21,8 +21,9 @@ from attrition.operators import features as FT
 from attrition.operators import hits as H
 from attrition.operators import installs as I
 from attrition.operators import joins as J
-from attrition.plans.oracle import (D, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
+from attrition.plans.oracle import (BASE_MODELAGEM, ONEHOT_ROWS, D, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
                                     first_dim, product_sql, region_sql, valid, with_ctes)
+from attrition.session import materialise
 from attrition.sources import tables, testmap
 
 P = Params()
@@ -419,12 +420,12 @@ def q_onehot_vocab(spark, sf_dir):
     return FT.fit_vocab(user_aggregates(spark, sf_dir))
 
 
-@register("onehot_features", with_ctes("SELECT * FROM onehot_rows", "onehot_rows"))
+@register("onehot_features", with_ctes(ONEHOT_ROWS, "user_agg", "dummy_grid"))
 def q_onehot_features(spark, sf_dir):
-    uagg = user_aggregates(spark, sf_dir).checkpoint(eager=True)
+    uagg = materialise(user_aggregates(spark, sf_dir))
     return FT.onehot(uagg, FT.vocab_list(FT.fit_vocab(uagg))).drop("faixa_etaria", "sexo")
 
 
-@register("feature_table", with_ctes("SELECT * FROM base_modelagem", "base_modelagem"))
+@register("feature_table", with_ctes(BASE_MODELAGEM, "user_agg", "dummy_grid"))
 def q_feature_table(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P)

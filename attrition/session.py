@@ -54,6 +54,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialise(df: DataFrame, enabled: bool = True) -> DataFrame:
+    """Compute an intermediate once for several consumers.
+
+    Reliable checkpoint to the shared checkpoint folder: the result survives
+    executor loss and cuts the lineage, so later stages do not re-run the scans
+    and joins below it. ``enabled=False`` returns the lazy plan unchanged.
+    """
+    if not enabled:
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark)

@@ -141,11 +141,52 @@ def customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three contract tables built from the driver tables in `sf_dir`."""
+def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three contract tables as lazy plans over the driver tables in `sf_dir`."""
     events = read_table(spark, sf_dir, "events")
     return {
         "attribution_events": attribution_events(events),
         "hits": hits(events),
         "customers": customers(read_table(spark, sf_dir, "customer")),
     }
+
+
+_MATERIALISED: dict[tuple, dict[str, str]] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, materialise: bool = True) -> dict[str, DataFrame]:
+    """The three contract tables, read as Parquet like the production tables.
+
+    The first call per session and directory writes them once under the
+    shared checkpoint folder (the hit table partitioned by its partition
+    columns); later calls only read. ``materialise=False`` returns the lazy
+    plans instead.
+    """
+    if not materialise:
+        return build(spark, sf_dir)
+    from attrition.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    paths = _MATERIALISED.get(key)
+    if paths is None:
+        base = scratch_path(spark, "contracts")
+        paths = {}
+        for name, df in build(spark, sf_dir).items():
+            path = os.path.join(base, name)
+            w = df.write.mode("overwrite")
+            if name == "hits":
+                w = w.partitionBy(*PARTITIONS)
+            w.parquet(path)
+            paths[name] = path
+        _MATERIALISED[key] = paths
+        _FRAMES.pop(key, None)
+    frames = _FRAMES.get(key)
+    if frames is None:
+        frames = _FRAMES[key] = {name: spark.read.parquet(path) for name, path in paths.items()}
+    return dict(frames)
+
+
+_FRAMES: dict[tuple, dict[str, DataFrame]] = {}
+
+
+PARTITIONS = ("OrigemParticao", "AaParticao", "MmParticao", "BandeiraParticao")
