@@ -390,6 +390,34 @@ WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _KEYS)}
 GROUP BY ALL"""
 
 
+_DUMMY_PREFIXES = [c + "_" for c in V.ONEHOT_COLUMNS]
+
+
+def _column_order(col: str) -> str:
+    """Sort key of a feature column: label, numeric features, then dummies by (column, value)."""
+    base = " ".join(f"WHEN {_q(c)} THEN {i}" for i, c in enumerate(["uninstall"] + _KEYS[2:]))
+    prefix = " ".join(f"WHEN starts_with({col}, {_q(pf)}) THEN {100 + i}" for i, pf in enumerate(_DUMMY_PREFIXES))
+    suffix = " ".join(f"WHEN starts_with({col}, {_q(pf)}) THEN substr({col}, {len(pf) + 1})"
+                      for pf in _DUMMY_PREFIXES)
+    return (f"struct_pack(a := COALESCE(CASE {col} {base} END, CASE {prefix} END), "
+            f"b := COALESCE(CASE {suffix} END, ''))")
+
+
+def _long(features: str) -> str:
+    cols = "lambda c: c <> 'id_ga' AND c NOT LIKE '%install_channel%'"
+    return (f"(SELECT rk, col, val, {_column_order('col')} AS ok FROM (UNPIVOT ("
+            f"SELECT row_number() OVER (ORDER BY {', '.join(_KEYS)}) AS rk, CAST(COLUMNS({cols}) AS DOUBLE) "
+            f"FROM {features} f) ON COLUMNS(* EXCLUDE (rk)) INTO NAME col VALUE val))")
+
+
+def corr_pairs(features: str) -> str:
+    """Pearson r per column pair (earlier, later) over rows where both are present, as a FROM item."""
+    return (f"(SELECT x.col AS col_i, y.col AS col_j, "
+            f"CASE WHEN isnan(corr(x.val, y.val)) THEN NULL ELSE least(greatest(corr(x.val, y.val), -1.0), 1.0) END AS r "
+            f"FROM {_long(features)} x JOIN {_long(features)} y ON x.rk = y.rk AND x.ok < y.ok "
+            f"GROUP BY x.col, y.col) pairs")
+
+
 def with_ctes(final_sql: str, *needed: str) -> str:
     order: list[str] = []
 

@@ -8,22 +8,27 @@ hand the comparison the same representation.
 
 from __future__ import annotations
 
+import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.config import Params
+from attrition.config import ModelConfig, Params
 from attrition.functions import recodes as R
 from attrition.functions import values as V
 from attrition.operators import features as FT
 from attrition.operators import hits as H
 from attrition.operators import installs as I
 from attrition.operators import joins as J
-from attrition.plans.oracle import (BASE_MODELAGEM, ONEHOT_ROWS, D, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
+from attrition.operators import model as M
+from attrition.operators import sink as S
+from attrition.plans import jobs as JB
+from attrition.plans.oracle import (BASE_MODELAGEM, ONEHOT_ROWS, D, corr_pairs, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
                                     first_dim, product_sql, region_sql, valid, with_ctes)
-from attrition.session import materialise
+from attrition.session import materialise, scratch_path
 from attrition.sources import tables, testmap
 
 P = Params()
@@ -429,3 +434,144 @@ def q_onehot_features(spark, sf_dir):
 @register("feature_table", with_ctes(BASE_MODELAGEM, "user_agg", "dummy_grid"))
 def q_feature_table(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P)
+
+
+# ============================================================ step 6: partitioned sinks
+DAY_A, DAY_B = "2024-01-04", "2024-01-05"
+FIXED_NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
+_NOW_SQL = "'2024-01-31 00:00:00.000000'"
+
+
+def feature_rows(spark, sf_dir):
+    """The flagship feature table, checkpointed once for the keys that read it several times."""
+    return materialise(FT.build_features(joined_facts(spark, sf_dir), P))
+
+
+def _stamp_sql(day: str, where: str = "") -> str:
+    y, m, d = day.split("-")
+    return (f"SELECT id_ga, uninstall, sessions, '{day}' AS DtRef, '{y}' AS AaParticao, '{m}' AS MmParticao, "
+            f"'{d}' AS DdParticao, {_NOW_SQL} AS TsAtualizacao FROM ({BASE_MODELAGEM}) b {where}")
+
+
+def _table(spark, stem: str) -> tuple[str, str]:
+    suffix = os.urandom(5).hex()
+    return f"attrition_{stem}_{suffix}", scratch_path(spark, f"table-{stem}")
+
+
+def _narrow(df):
+    return df.select("id_ga", "uninstall", "sessions")
+
+
+@register("partition_stamp", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_grid"))
+def q_partition_stamp(spark, sf_dir):
+    return S.stamp(_narrow(FT.build_features(joined_facts(spark, sf_dir), P)), DAY_A, FIXED_NOW)
+
+
+@register("partition_replace", with_ctes(
+    f"{_stamp_sql(DAY_A, 'WHERE uninstall = 1')} UNION ALL {_stamp_sql(DAY_B)}", "user_agg", "dummy_grid"))
+def q_partition_replace(spark, sf_dir):
+    rows = _narrow(feature_rows(spark, sf_dir))
+    table, path = _table(spark, "replace")
+    S.replace_partitions(S.stamp(rows, DAY_A, FIXED_NOW), table, path=path)
+    S.replace_partitions(S.stamp(rows, DAY_B, FIXED_NOW), table)
+    # replace day A with other rows: day B must stay as it is
+    S.replace_partitions(S.stamp(rows.filter(F.col("uninstall") == 1), DAY_A, FIXED_NOW), table)
+    return spark.table(table)
+
+
+@register("partition_memo", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_grid"))
+def q_partition_memo(spark, sf_dir):
+    rows = _narrow(feature_rows(spark, sf_dir))
+    table, path = _table(spark, "memo")
+    S.memo_partition(spark, table, DAY_A, lambda: rows, path=path, now=FIXED_NOW)
+
+    def must_not_run():
+        raise AssertionError("memoised partition was recomputed")
+
+    return S.memo_partition(spark, table, DAY_A, must_not_run, now=FIXED_NOW)
+
+
+@register("partition_read", with_ctes(_stamp_sql(DAY_B), "user_agg", "dummy_grid"))
+def q_partition_read(spark, sf_dir):
+    rows = _narrow(feature_rows(spark, sf_dir))
+    table, path = _table(spark, "read")
+    S.replace_partitions(S.stamp(rows, DAY_A, FIXED_NOW), table, path=path)
+    S.replace_partitions(S.stamp(rows, DAY_B, FIXED_NOW), table)
+    return S.read_partition(spark, table, DAY_B)
+
+
+# ============================================================ step 7: modelling and scoring
+CFG = ModelConfig()
+_FEATS = f"({BASE_MODELAGEM})"
+
+
+@register("corr_matrix", with_ctes(f"""
+SELECT least(col_i, col_j) AS col_a, greatest(col_i, col_j) AS col_b, round(r, 6) AS r FROM {corr_pairs(_FEATS)}""",
+                                   "user_agg", "dummy_grid"))
+def q_corr_matrix(spark, sf_dir):
+    m = M.corr_matrix(feature_rows(spark, sf_dir))
+    return m.select(F.least("col_i", "col_j").alias("col_a"), F.greatest("col_i", "col_j").alias("col_b"),
+                    F.round("r", 6).alias("r"))
+
+
+@register("corr_filter", with_ctes(f"""
+SELECT DISTINCT col_j AS column FROM {corr_pairs(_FEATS)}
+WHERE round(abs(r), 9) >= {CFG.corr_threshold} AND round(abs(r), 9) < 1.0 AND col_j <> 'uninstall'""",
+                                   "user_agg", "dummy_grid"))
+def q_corr_filter(spark, sf_dir):
+    feats = feature_rows(spark, sf_dir)
+    drops = M.correlated_drops(M.corr_matrix(feats, M.correlation_columns(feats)), CFG.corr_threshold)
+    return drops.filter(F.col("column") != M.LABEL).select("column")
+
+
+_SPLIT_SQL = "(('0x' || substr(md5(id_ga), 1, 8))::BIGINT % 10 < 7)"
+
+
+@register("train_test_split", with_ctes(f"SELECT id_ga, {_SPLIT_SQL} AS is_train FROM {_FEATS} b",
+                                        "user_agg", "dummy_grid"))
+def q_train_test_split(spark, sf_dir):
+    return FT.build_features(joined_facts(spark, sf_dir), P).select("id_ga", M.split_flag().alias("is_train"))
+
+
+@register("class_weight", with_ctes(
+    "SELECT count(*) FILTER (WHERE uninstall = 0) AS n_negative, count(*) FILTER (WHERE uninstall = 1) AS n_positive, "
+    "CASE WHEN count(*) FILTER (WHERE uninstall = 1) = 0 THEN NULL ELSE "
+    "CAST(count(*) FILTER (WHERE uninstall = 0) AS DOUBLE) / count(*) FILTER (WHERE uninstall = 1) END "
+    f"AS scale_pos_weight FROM {_FEATS} b WHERE {_SPLIT_SQL}", "user_agg", "dummy_grid"))
+def q_class_weight(spark, sf_dir):
+    feats = FT.build_features(joined_facts(spark, sf_dir), P)
+    return M.class_weight(feats.filter(M.split_flag()))
+
+
+def _trained(spark, sf_dir):
+    feats = feature_rows(spark, sf_dir)
+    model, metrics, names = M.train(feats, CFG)
+    return feats, model, metrics, names
+
+
+@register("classification_metrics", None)
+def q_classification_metrics(spark, sf_dir):
+    return _trained(spark, sf_dir)[2]
+
+
+@register("train_model", None)
+def q_train_model(spark, sf_dir):
+    _, model, metrics, names = _trained(spark, sf_dir)
+    gbt = model.stages[-1]
+    return metrics.select(F.lit(len(names)).alias("n_features"), F.lit(gbt.getNumTrees).alias("n_trees"),
+                          F.lit(gbt.getOrDefault("maxDepth")).alias("max_depth"), "scale_pos_weight")
+
+
+@register("score_users", None)
+def q_score_users(spark, sf_dir):
+    feats, model, _, _ = _trained(spark, sf_dir)
+    return M.score(feats, model)
+
+
+@register("prediction_roundtrip", None)
+def q_prediction_roundtrip(spark, sf_dir):
+    feats, model, _, _ = _trained(spark, sf_dir)
+    model_path = scratch_path(spark, "model")
+    M.save_model(model, model_path)
+    table, path = _table(spark, "predictions")
+    return JB.score_job(feats, model_path, DAY_A, table=table, path=path, now=FIXED_NOW)
