@@ -543,10 +543,17 @@ def q_class_weight(spark, sf_dir):
     return M.class_weight(feats.filter(M.split_flag()))
 
 
+_TRAINED: dict[tuple, tuple] = {}
+
+
 def _trained(spark, sf_dir):
-    feats = feature_rows(spark, sf_dir)
-    model, metrics, names = M.train(feats, CFG)
-    return feats, model, metrics, names
+    """Feature table + model fitted with the default (300-tree) config, once per session and directory."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _TRAINED:
+        feats = feature_rows(spark, sf_dir)
+        model, metrics, names = M.train(feats, CFG)
+        _TRAINED[key] = (feats, model, materialise(metrics), names)
+    return _TRAINED[key]
 
 
 @register("classification_metrics", None)
