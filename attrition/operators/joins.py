@@ -121,6 +121,13 @@ def with_channel_latency0(facts: DataFrame, first: DataFrame | None = None) -> D
             .drop("isTrueDirect", "channelGrouping", "install_grouping", "visitNumber", "is_first_visit"))
 
 
+def bruto_columns(ga_bruto: DataFrame) -> DataFrame:
+    """Only what the facts need (the hit struct keeps its dimensions and event info)."""
+    hit = F.struct(F.col("hits.customDimensions").alias("customDimensions"),
+                   F.col("hits.eventInfo").alias("eventInfo"))
+    return ga_bruto.select(*[hit.alias("hits") if c == "hits" else F.col(c) for c in BRUTO_COLUMNS])
+
+
 def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
     """PIP3: installs x hits x customers -> distinct session-and-action rows.
 
@@ -134,7 +141,7 @@ def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p:
     vim = visitor_install_map(tables.visitor_device_map(ga), sample)
     # the sampled hits feed three aggregates (facts, session times, first
     # visits): written once instead of re-scanning and re-joining the hit table
-    ga_bruto = materialise(H.with_session_dimensions(hits_after_install(ga, vim, p)).select(*BRUTO_COLUMNS),
+    ga_bruto = materialise(bruto_columns(H.with_session_dimensions(hits_after_install(ga, vim, p))),
                            p.materialise)
     cust = tables.customers_with_age_band(customers, p)
     return with_channel_latency0(session_facts(ga_bruto, cust, p), first_visits_from_hits(ga_bruto))

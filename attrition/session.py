@@ -57,9 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, enabled: bool = True) -> DataFrame:
     """Compute an intermediate once for several consumers.
 
-    Reliable checkpoint to the shared checkpoint folder: the result survives
-    executor loss and cuts the lineage, so later stages do not re-run the scans
-    and joins below it. ``enabled=False`` returns the lazy plan unchanged.
+    Reliable checkpoint to the shared checkpoint folder (one job computes and
+    writes it): the result survives executor loss and cuts the lineage, so
+    later stages do not re-run the scans and joins below it. (Measured: a
+    Parquet round trip instead was slower.) ``enabled=False`` returns the lazy
+    plan unchanged.
     """
     if not enabled:
         return df

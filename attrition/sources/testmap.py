@@ -151,7 +151,7 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-_MATERIALISED: dict[tuple, dict[str, str]] = {}
+_MATERIALISED: dict[tuple, dict[str, tuple]] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, materialise: bool = True) -> dict[str, DataFrame]:
@@ -177,12 +177,14 @@ def load(spark: SparkSession, sf_dir: str, materialise: bool = True) -> dict[str
             if name == "hits":
                 w = w.partitionBy(*PARTITIONS)
             w.parquet(path)
-            paths[name] = path
+            # read back with the declared schema: partition values stay strings ('01', not 1)
+            paths[name] = (path, df.schema)
         _MATERIALISED[key] = paths
         _FRAMES.pop(key, None)
     frames = _FRAMES.get(key)
     if frames is None:
-        frames = _FRAMES[key] = {name: spark.read.parquet(path) for name, path in paths.items()}
+        frames = _FRAMES[key] = {name: spark.read.schema(schema).parquet(path)
+                                 for name, (path, schema) in paths.items()}
     return dict(frames)
 
 
