@@ -85,10 +85,11 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
     cov = n * sxy - sx * sy
     var = (n * sxx - sx * sx) * (n * syy - sy * sy)
-    r = F.when((n >= 2) & (var > 0), cov / F.sqrt(var))
+    # clamp rounding noise; greatest/least skip nulls, so clamp inside the when
+    r = F.when((n >= 2) & (var > 0), F.least(F.greatest(cov / F.sqrt(var), F.lit(-1.0)), F.lit(1.0)))
     names = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(c)) for k, c in enumerate(columns)))
     return sums.select(names[F.col("i")].alias("col_i"), names[F.col("j")].alias("col_j"), "i", "j",
-                       F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("r"))
+                       r.alias("r"))
 
 
 def correlated_drops(matrix: DataFrame, threshold: float = V.CORR_THRESHOLD) -> DataFrame:
