@@ -16,7 +16,7 @@ from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import values as V
 from attrition.operators import hits as H
-from attrition.session import materialise
+from attrition.session import broadcast_if_small, materialise
 
 INSTALL_ATTRS = ["install_manha", "install_tarde", "install_noite", "install_madrugada", "install_grouping",
                  "install_channel", "total_installs_antigos", "recencia_last_install"]
@@ -76,7 +76,10 @@ def session_facts(ga_bruto: DataFrame, customers: DataFrame, p: Params) -> DataF
             .dropDuplicates())
     times = H.session_times(ga_bruto).select(F.col("session_id").alias("sid"), "SessionVisitTime_minutes")
     with_times = rows.join(times, rows["session_id"].eqNullSafe(times["sid"]), "inner").drop("sid")
-    return (with_times.join(customers.select("idcliente", "sexo", "faixa_etaria"), "idcliente", "left")
+    # customers: broadcast only under the size limit, else a shuffle join (AQE may
+    # still convert it, and splits a hot or null customer id on the hit side)
+    cust = broadcast_if_small(customers.select("idcliente", "sexo", "faixa_etaria"))
+    return (with_times.join(cust, "idcliente", "left")
             .select(*FACT_COLUMNS)
             .dropDuplicates())
 

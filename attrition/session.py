@@ -78,7 +78,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (the figure Spark's own broadcast rule uses)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # e.g. Spark Connect: no plan statistics available
         return None
 

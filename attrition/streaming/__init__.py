@@ -1,0 +1,27 @@
+"""Structured Streaming adapters.
+
+The upstream pipeline is batch only. The one thing offered here is the
+idempotent partition sink as a `foreachBatch` function, so the scorer can run
+on arriving feature partitions with `writeStream.trigger(availableNow=True)`.
+A replayed micro-batch replaces the same date partitions again instead of
+duplicating rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
+from attrition.operators import sink as S
+
+
+def partition_sink(table: str, path: str | None = None,
+                   transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function: optionally transform the batch, then replace its date partitions in `table`."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = transform(batch) if transform is not None else batch
+        S.replace_partitions(out, table, path=path)
+
+    return write

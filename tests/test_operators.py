@@ -180,3 +180,28 @@ def test_small_model_scores_every_row(spark):
     probs = [r["prob_uninstall"] for r in scored.collect()]
     assert len(probs) == 60 and all(0.0 <= p <= 1.0 for p in probs)
     assert metrics.first()["n_evaluated"] == df.filter(~M.split_flag()).count()
+
+
+def test_broadcast_only_under_the_size_limit(spark):
+    from attrition.session import broadcast_if_small
+
+    df = spark.range(0, 1000).withColumnRenamed("id", "k")
+    hinted = broadcast_if_small(df, max_bytes=1 << 30)
+    plain = broadcast_if_small(df, max_bytes=10)
+    assert "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(plain._jdf.queryExecution().logical()).lower()
+
+
+def test_streaming_partition_sink_is_replay_safe(spark, tmp_path):
+    from attrition.streaming import partition_sink
+
+    src = tmp_path / "in"
+    spark.createDataFrame([("u1", 0.5)], "id_ga string, prob_uninstall double").write.parquet(str(src))
+    table = "t_stream_" + tmp_path.name.replace("-", "_")
+    sink = partition_sink(table, path=str(tmp_path / "t"), transform=lambda b: S.stamp(b, "2023-09-15"))
+    for _ in range(2):  # the same micro-batch twice: still one row
+        stream = spark.readStream.schema("id_ga string, prob_uninstall double").parquet(str(src))
+        q = (stream.writeStream.foreachBatch(sink).trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / f"ck{_}")).start())
+        q.awaitTermination(120)
+    assert spark.table(table).count() == 1
