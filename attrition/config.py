@@ -56,6 +56,12 @@ class Params:
                       sample_end=sample_end, hit_years=(y,), hit_months=(m,), **kw)
 
 
+def trailing_days(end: str | None = None, days: int = 2) -> tuple[str, str]:
+    """FN13: the sampling window 'end - days .. end' (end defaults to today)."""
+    e = dt.date.fromisoformat(end) if end else dt.date.today()
+    return (e - dt.timedelta(days=days)).isoformat(), e.isoformat()
+
+
 def date_parts(day: str) -> tuple[str, str, str]:
     """'2023-09-05' -> ('2023', '09', '05') – zero-padded strings, as the partitions are."""
     d = dt.date.fromisoformat(day)

@@ -28,7 +28,7 @@ from attrition.operators import sink as S
 from attrition.plans import jobs as JB
 from attrition.plans.oracle import (BASE_MODELAGEM, ONEHOT_ROWS, D, corr_pairs, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
                                     first_dim, product_sql, region_sql, valid, with_ctes)
-from attrition.session import materialise, scratch_path
+from attrition.session import app_key, materialise, scratch_path
 from attrition.sources import tables, testmap
 
 P = Params()
@@ -548,7 +548,7 @@ _TRAINED: dict[tuple, tuple] = {}
 
 def _trained(spark, sf_dir):
     """Feature table + model fitted with the default (300-tree) config, once per session and directory."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_key(spark), os.path.abspath(sf_dir))
     if key not in _TRAINED:
         feats = feature_rows(spark, sf_dir)
         model, metrics, names = M.train(feats, CFG)

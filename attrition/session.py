@@ -42,18 +42,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment and is only read here. Where it
     is unset (local tests) a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="attrition-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session memo tables)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return str(id(spark))
+
+
 def materialise(df: DataFrame, enabled: bool = True) -> DataFrame:
     """Compute an intermediate once for several consumers.
 

@@ -164,9 +164,9 @@ def load(spark: SparkSession, sf_dir: str, materialise: bool = True) -> dict[str
     """
     if not materialise:
         return build(spark, sf_dir)
-    from attrition.session import scratch_path
+    from attrition.session import app_key, scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_key(spark), os.path.abspath(sf_dir))
     paths = _MATERIALISED.get(key)
     if paths is None:
         base = scratch_path(spark, "contracts")

@@ -205,3 +205,14 @@ def test_streaming_partition_sink_is_replay_safe(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / f"ck{_}")).start())
         q.awaitTermination(120)
     assert spark.table(table).count() == 1
+
+
+def test_table_exists_false_for_missing_database(spark):
+    assert S.table_exists(spark, "no_such_db_xyz.no_table") is False
+    assert S.table_exists(spark, "no_such_table_xyz") is False
+
+
+def test_trailing_days_window():
+    from attrition.config import trailing_days
+
+    assert trailing_days("2023-09-03", 2) == ("2023-09-01", "2023-09-03")
