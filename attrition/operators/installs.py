@@ -64,20 +64,41 @@ def single_installs(events: DataFrame, p: Params) -> DataFrame:
     return rows.join(once, "advertising_appsflyer", "left_semi").select(*INSTALL_COLUMNS)
 
 
-def earlier_installs(events: DataFrame) -> DataFrame:
-    """All install/reinstall instants per advertising id (any period), distinct."""
+def _before(p: Params | None):
+    """Earlier installs can only match before the end of the period (pushed to the scan)."""
+    if p is None:
+        return F.lit(True)
+    end = F.date_add(F.lit(p.period_end).cast("date"), 1).cast("timestamp")
+    return TM.as_timestamp("event_time") < end
+
+
+def _uninstall_reach(p: Params | None):
+    """Uninstalls that can fall in some install's window: after the period start, at most
+    `window_days` after the period end (the window ends at midnight)."""
+    if p is None:
+        return F.lit(True)
+    t = TM.as_timestamp("event_time")
+    lo = F.lit(p.period_start).cast("date").cast("timestamp")
+    hi = F.date_add(F.lit(p.period_end).cast("date"), p.uninstall_window_days).cast("timestamp")
+    return (t > lo) & (t <= hi)
+
+
+def earlier_installs(events: DataFrame, p: Params | None = None) -> DataFrame:
+    """All install/reinstall instants per advertising id (any earlier period), distinct."""
     return (events
             .filter(F.col("event_name").isin(*V.INSTALL_EVENTS))
+            .filter(_before(p))
             .filter(R.valid_id("advertising_id"))
             .select(F.col("advertising_id").alias("advertising_antigo"),
                     TM.as_timestamp("event_time").alias("install_date_antigo"))
             .dropDuplicates())
 
 
-def uninstalls(events: DataFrame) -> DataFrame:
-    """All uninstall instants per appsflyer id, distinct."""
+def uninstalls(events: DataFrame, p: Params | None = None) -> DataFrame:
+    """Uninstall instants per appsflyer id, distinct (only those an install of `p` can reach)."""
     return (events
             .filter(F.col("event_name").isin(*V.UNINSTALL_EVENTS))
+            .filter(_uninstall_reach(p))
             .filter(R.valid_id("advertising_id"))
             .select(F.col("appsflyer_id").alias("appsflyer_id_un"),
                     TM.as_timestamp("event_time").alias("uninstall_date"))
@@ -119,7 +140,7 @@ def uninstall_stats(installs: DataFrame, un: DataFrame, window_days: int) -> Dat
 def install_history(events: DataFrame, p: Params) -> DataFrame:
     """AGG1 without the uninstall fan-out: earlier installs and recency per single install."""
     single = single_installs(events, p)
-    hist = history_stats(single, earlier_installs(events))
+    hist = history_stats(single, earlier_installs(events, p))
     return (single.join(hist, "advertising_appsflyer", "left")
             .select("advertising_appsflyer", "install_date_sm",
                     F.coalesce(F.col("n_old"), F.lit(0)).alias("total_installs_antigos"),
@@ -138,8 +159,8 @@ def build_installs(attribution: DataFrame, p: Params) -> DataFrame:
     events = tables.attribution_events(attribution, p, dedupe=False)
     # three consumers below: compute the single installs once
     single = materialise(single_installs(events, p), p.materialise)
-    hist = history_stats(single, earlier_installs(events))
-    unc = uninstall_stats(single, uninstalls(events), p.uninstall_window_days)
+    hist = history_stats(single, earlier_installs(events, p))
+    unc = uninstall_stats(single, uninstalls(events, p), p.uninstall_window_days)
     n_old = F.coalesce(F.col("n_old"), F.lit(0))
     n_un = F.coalesce(F.col("n_uninstall"), F.lit(0))
     total = n_old if p.dedupe_uninstalls else n_old * F.greatest(n_un, F.lit(1))

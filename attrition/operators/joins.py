@@ -9,6 +9,8 @@ exactly the upstream rows.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,6 +126,23 @@ def with_channel_latency0(facts: DataFrame, first: DataFrame | None = None) -> D
             .drop("isTrueDirect", "channelGrouping", "install_grouping", "visitNumber", "is_first_visit"))
 
 
+def sampled_hits(installs: DataFrame, hits: DataFrame, p: Params) -> DataFrame:
+    """JN3 + JN4 + ARR3: hits of the sampled installers in their interval, with login flag and customer id.
+
+    The visitor map needs the whole period's hits; the joined side only needs
+    hit days from the first sampled install day to `hit_days_after_install`
+    after the last (nothing else can pass the interval), so that scan is
+    restricted to those days.
+    """
+    from attrition.sources import tables
+
+    ga = tables.normalised_hits(hits, p)
+    vim = visitor_install_map(tables.visitor_device_map(ga), _sample(installs, p))
+    last = (dt.date.fromisoformat(p.sample_end) + dt.timedelta(days=p.hit_days_after_install)).isoformat()
+    ga_days = tables.normalised_hits(hits, p, days=(p.sample_start, last))
+    return H.with_session_dimensions(hits_after_install(ga_days, vim, p))
+
+
 def bruto_columns(ga_bruto: DataFrame) -> DataFrame:
     """Only what the facts need (the hit struct keeps its dimensions and event info)."""
     hit = F.struct(F.col("hits.customDimensions").alias("customDimensions"),
@@ -139,13 +158,9 @@ def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p:
     """
     from attrition.sources import tables
 
-    ga = tables.normalised_hits(hits, p)
-    sample = _sample(installs, p)
-    vim = visitor_install_map(tables.visitor_device_map(ga), sample)
     # the sampled hits feed three aggregates (facts, session times, first
     # visits): written once instead of re-scanning and re-joining the hit table
-    ga_bruto = materialise(bruto_columns(H.with_session_dimensions(hits_after_install(ga, vim, p))),
-                           p.materialise)
+    ga_bruto = materialise(bruto_columns(sampled_hits(installs, hits, p)), p.materialise)
     cust = tables.customers_with_age_band(customers, p)
     return with_channel_latency0(session_facts(ga_bruto, cust, p), first_visits_from_hits(ga_bruto))
 

@@ -80,10 +80,7 @@ def installs_definitive(spark, sf_dir):
 
 def ga_bruto(spark, sf_dir):
     t = inputs(spark, sf_dir)
-    g = tables.normalised_hits(t["hits"], P)
-    sample = I.sample_range(I.build_installs(t["attribution_events"], P), P)
-    vim = J.visitor_install_map(tables.visitor_device_map(g), sample)
-    return H.with_session_dimensions(J.hits_after_install(g, vim, P))
+    return J.sampled_hits(I.build_installs(t["attribution_events"], P), t["hits"], P)
 
 
 def session_facts(spark, sf_dir):
@@ -162,7 +159,7 @@ def q_installs_single(spark, sf_dir):
     f"FROM inst i LEFT JOIN un u ON {UN_COND}", "inst", "un"))
 def q_uninstall_within_window(spark, sf_dir):
     ev = events_for_installs(spark, sf_dir)
-    m = I.uninstall_matches(I.single_installs(ev, P), I.uninstalls(ev), P.uninstall_window_days)
+    m = I.uninstall_matches(I.single_installs(ev, P), I.uninstalls(ev, P), P.uninstall_window_days)
     return m.select("advertising_appsflyer", "appsflyer_id", "install_date", "uninstall_date", "uninstall")
 
 

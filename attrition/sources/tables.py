@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.config import Params
 from attrition.functions import recodes as R
@@ -32,11 +33,22 @@ def customers_with_age_band(customers: DataFrame, p: Params) -> DataFrame:
             .dropDuplicates())
 
 
-def normalised_hits(hits: DataFrame, p: Params) -> DataFrame:
+def raw_date_between(hits: DataFrame, first: str, last: str):
+    """Predicate on the raw `yyyyMMdd` hit date (int or text), so it reaches the Parquet scan."""
+    lo, hi = first.replace("-", ""), last.replace("-", "")
+    if isinstance(hits.schema["date"].dataType, T.StringType):
+        return F.col("date").between(F.lit(lo), F.lit(hi))
+    return F.col("date").between(F.lit(int(lo)), F.lit(int(hi)))
+
+
+def normalised_hits(hits: DataFrame, p: Params, days: tuple[str, str] | None = None) -> DataFrame:
     """SRC2 (first frame): hits of one origin, period partitions, brand and OS.
 
     Adds `date` as a DATE, the minute-resolution `timestamp_hit` text and `id_ga`.
+    ``days`` (first, last), when given, also keeps only those hit days.
     """
+    if days is not None:
+        hits = hits.filter(raw_date_between(hits, *days))
     return (hits
             .filter(F.col("OrigemParticao") == p.hit_origin)
             .filter(F.col("AaParticao").isin(*p.hit_years))
