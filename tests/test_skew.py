@@ -68,3 +68,35 @@ def test_hot_advertising_id(spark, skew_conf):
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     assert plain == {k: tuple(v) for k, v in rows.items()}
+
+
+def test_hot_visitor_feature_table_matches_oracle(spark, skew_conf, tmp_path):
+    """One visitor with a third of all events inside the sampled hit window; whole feature table vs DuckDB."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+    from tests.oracle_check import compare, duck
+
+    src = "/root/testdata/sf0.001"
+    if not os.path.isdir(src):
+        pytest.skip("driver tables not present")
+    events = spark.read.parquet(f"{src}/events.parquet")
+    base = E.queries()["feature_table"](spark, src)
+    hot_uid = int(sorted(r["id_ga"] for r in base.collect())[0][1:])
+    n = events.count() // 2
+    top = events.agg(F.max("event_id")).first()[0]
+    extra = (spark.range(n)
+             .select((F.col("id") + top + 1).alias("event_id"),
+                     (F.lit("2024-01-04 00:00:00").cast("timestamp_ntz")
+                      + F.make_interval(secs=(F.col("id") % 172800).cast("int"))).alias("ts"),
+                     F.lit(hot_uid).cast("long").alias("user_id"), F.lit("view").alias("event_type"),
+                     F.lit(1.0).alias("value"),
+                     F.concat(F.lit('{"k": '), (F.col("id") % 100).cast("string"), F.lit("}")).alias("props")))
+    data = tmp_path / "hot"
+    events.unionByName(extra.select(*events.columns)).write.parquet(str(data / "events.parquet"))
+    spark.read.parquet(f"{src}/customer.parquet").write.parquet(str(data / "customer.parquet"))
+    line = compare(spark, duck(str(data)), str(data), "feature_table", E.queries()["feature_table"],
+                   E.oracle_sql()["feature_table"])
+    assert line.startswith("OK"), line
