@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from attrition.functions import values as V
 
@@ -43,7 +43,6 @@ class Params:
     drop_null_keys: bool = True
     outliers: str = "off"            # off | exact | approx
     materialise: bool = True         # checkpoint intermediates that have several consumers
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

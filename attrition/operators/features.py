@@ -9,8 +9,6 @@ literal rows).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,6 +212,3 @@ def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] |
         vocab = vocab_list(fit_vocab(uagg))
     return feature_rows(uagg, vocab, p.drop_null_keys)
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -111,9 +111,10 @@ def corr_filter(df: DataFrame, cfg: ModelConfig = ModelConfig()) -> tuple[DataFr
     cols = correlation_columns(df, cfg.include_label_in_corr)
     drops = {r["column"] for r in correlated_drops(corr_matrix(df, cols), cfg.corr_threshold).collect()}
     drops.discard(LABEL)
-    kept = [c for c in df.columns if V.CORR_EXCLUDED_SUBSTRING not in c and c not in drops]
-    out = df.select(*[_q(c) for c in kept]).withColumn(LABEL, F.col(LABEL).cast("int"))
-    features = [c for c in kept if c not in (ID, LABEL)]
+    # features: the numeric/boolean candidates that survive (text columns such as
+    # partition stamps never reach the assembler)
+    features = [c for c in correlation_columns(df, include_label=False) if c not in drops]
+    out = df.select(_q(ID), F.col(LABEL).cast("int").alias(LABEL), *[_q(c) for c in features])
     return out, features
 
 

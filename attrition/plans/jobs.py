@@ -22,9 +22,18 @@ from attrition.session import materialise
 
 
 def load_sources(spark: SparkSession, attribution_table: str, hits_table: str, customers_table: str) -> dict:
-    """Catalog tables by name (SRC1-3 apply their filters downstream)."""
-    return {"attribution_events": spark.table(attribution_table), "hits": spark.table(hits_table),
-            "customers": spark.table(customers_table)}
+    """Catalog tables by two-part name, read lazily (SRC1-3 apply their filters downstream).
+
+    Each is checked against its input contract, so a missing column fails
+    here with its name rather than deep inside a plan.
+    """
+    from attrition.sources import schemas
+    from attrition.sources.tables import check_contract
+
+    return {"attribution_events": check_contract(spark.table(attribution_table), schemas.ATTRIBUTION_EVENTS,
+                                                 attribution_table),
+            "hits": check_contract(spark.table(hits_table), schemas.HITS, hits_table),
+            "customers": check_contract(spark.table(customers_table), schemas.CUSTOMERS, customers_table)}
 
 
 def build_feature_table(sources: dict, p: Params, vocab=None) -> DataFrame:

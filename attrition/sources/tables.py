@@ -18,9 +18,14 @@ from attrition.functions import time as TM
 from attrition.functions import values as V
 
 
-def table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table by two-part name (read lazily)."""
-    return spark.table(name)
+def check_contract(df: DataFrame, schema, name: str) -> DataFrame:
+    """Fail early, with the missing names, when an input lacks contract columns."""
+    from attrition.sources.schemas import missing_columns
+
+    missing = missing_columns(df, schema)
+    if missing:
+        raise ValueError(f"{name}: missing columns {missing}")
+    return df
 
 
 def customers_with_age_band(customers: DataFrame, p: Params) -> DataFrame:
