@@ -159,17 +159,28 @@ def dummy_name(column: str, value: str) -> str:
     return f"{column}_{value}"
 
 
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def onehot(df: DataFrame, vocab: list[tuple[str, str]]) -> DataFrame:
-    """ML1: one boolean per vocabulary entry; a null category sets no dummy."""
-    dummies = []
+    """ML1: one boolean per vocabulary entry; a null category sets no dummy.
+
+    Built as one projection of SQL expressions (the vocabulary can be wide;
+    one parsed expression per dummy keeps plan construction cheap).
+    """
+    exprs = [sql_name(c) for c in df.columns if c not in V.ONEHOT_COLUMNS]
     for c, v in vocab:
         if isinstance(df.schema[c].dataType, T.ArrayType):
-            hit = F.array_contains(F.col(c), F.lit(v))
+            hit = f"array_contains({sql_name(c)}, {sql_string(v)})"
         else:
-            hit = F.col(c).cast("string") == F.lit(v)
-        dummies.append(F.coalesce(hit, F.lit(False)).alias(dummy_name(c, v)))
-    keep = [qcol(c) for c in df.columns if c not in V.ONEHOT_COLUMNS]
-    return df.select(*keep, *dummies)
+            hit = f"CAST({sql_name(c)} AS STRING) = {sql_string(v)}"
+        exprs.append(f"coalesce({hit}, false) AS {sql_name(dummy_name(c, v))}")
+    return df.selectExpr(*exprs)
 
 
 def collapse_dummies(df: DataFrame, dummies: list[str], drop_null_keys: bool = True) -> DataFrame:
@@ -180,7 +191,8 @@ def collapse_dummies(df: DataFrame, dummies: list[str], drop_null_keys: bool = T
     """
     others = [c for c in df.columns if c not in set(dummies)]
     src = df.na.drop(subset=others) if drop_null_keys else df
-    return src.groupBy(*[qcol(c) for c in others]).agg(*[F.max(qcol(d)).alias(d) for d in dummies])
+    return src.groupBy(*[qcol(c) for c in others]).agg(*[F.expr(f"max({sql_name(d)}) AS {sql_name(d)}")
+                                                         for d in dummies])
 
 
 def feature_rows(uagg: DataFrame, vocab: list[tuple[str, str]], drop_null_keys: bool = True) -> DataFrame:

@@ -47,15 +47,19 @@ def register(name: str, sql: str | None):
 
 
 def for_check(df: DataFrame) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        c = FT.qcol(f.name)
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) for f in fields):
+        return df
+    exprs = []
+    for f in fields:
+        n = FT.sql_name(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            exprs.append(f"date_format({n}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {n}")
         elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"CAST({n} AS STRING) AS {n}")
+        else:
+            exprs.append(n)
+    return df.selectExpr(*exprs)
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
