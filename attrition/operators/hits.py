@@ -57,8 +57,30 @@ def session_times(ga: DataFrame) -> DataFrame:
             .withColumn("SessionVisitTime_minutes", TM.minutes_between("visitStartTime", "visitEndTime")))
 
 
-def hit_rank(ga: DataFrame) -> DataFrame:
-    """WIN3: dense rank of the hit number inside its session (computed upstream, never used)."""
-    w = Window.partitionBy("session_id").orderBy("hit_number")
-    return (ga.select(session_id().alias("session_id"), F.col("hits.HitNumber").alias("hit_number"))
-            .withColumn("hit_rank", F.dense_rank().over(w)))
+NULL_BUCKET = -(1 << 40)  # below every real bucket: null hit numbers rank first, as ascending order puts them
+
+
+def hit_rank(ga: DataFrame, bucket_size: int = 1024) -> DataFrame:
+    """WIN3: dense rank of the hit number inside its session (computed upstream, never used).
+
+    A plain window would hold a whole session in one task. Here the distinct
+    (session, hit number) pairs are cut into buckets of `bucket_size`
+    consecutive hit numbers: the rank is the row number inside the bucket
+    (at most `bucket_size` rows per window group) plus the number of distinct
+    hit numbers in the session's earlier buckets (one row per bucket). Null
+    hit numbers get the first bucket, so they rank 1 like a nulls-first sort.
+    """
+    hits = ga.select(session_id().alias("session_id"), F.col("hits.HitNumber").alias("hit_number"))
+    h = F.col("hit_number")
+    bucket = F.when(h.isNull(), F.lit(NULL_BUCKET)).otherwise(F.floor(h / bucket_size)).cast("long")
+    pairs = hits.distinct().withColumn("bucket", bucket)
+    within = pairs.withColumn("r_in", F.row_number().over(Window.partitionBy("session_id", "bucket")
+                                                          .orderBy("hit_number")))
+    earlier = Window.partitionBy("session_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (pairs.groupBy("session_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
+    cond = ((within["session_id"].eqNullSafe(offsets["session_id"])) & (within["bucket"] == offsets["bucket"]))
+    ranks = within.join(offsets, cond).select(within["session_id"].alias("rs"), within["hit_number"].alias("rh"),
+                                              (F.col("r_in") + F.col("offset")).cast("int").alias("hit_rank"))
+    back = hits["session_id"].eqNullSafe(ranks["rs"]) & hits["hit_number"].eqNullSafe(ranks["rh"])
+    return hits.join(ranks, back).select("session_id", "hit_number", "hit_rank")

@@ -216,3 +216,19 @@ def test_trailing_days_window():
     from attrition.config import trailing_days
 
     assert trailing_days("2023-09-03", 2) == ("2023-09-01", "2023-09-03")
+
+
+def test_hit_rank_matches_dense_rank_across_buckets(spark):
+    from pyspark.sql import Window
+
+    from attrition.operators.hits import hit_rank
+
+    rows = [("g1", 1, n) for n in [5, 1, 3, 3, None, 12, 7, 40, 2]] + [("g2", 1, n) for n in [9, 9, 4]]
+    df = spark.createDataFrame(rows, "id_ga string, visitId long, n int").selectExpr(
+        "id_ga", "visitId", "named_struct('HitNumber', n) AS hits")
+    key = lambda t: (t[0], -1 if t[1] is None else t[1], t[2])
+    got = sorted(((r["session_id"], r["hit_number"], r["hit_rank"]) for r in hit_rank(df, bucket_size=3).collect()),
+                 key=key)
+    flat = df.selectExpr("concat(id_ga, CAST(visitId AS STRING)) AS session_id", "hits.HitNumber AS hit_number")
+    ref = flat.withColumn("r", F.dense_rank().over(Window.partitionBy("session_id").orderBy("hit_number")))
+    assert got == sorted(((r["session_id"], r["hit_number"], r["r"]) for r in ref.collect()), key=key)
