@@ -42,9 +42,7 @@ def _in_period(p: Params):
 def install_rows(events: DataFrame, p: Params) -> DataFrame:
     """Distinct recoded install rows of the period (before the single-install test)."""
     return (events
-            .filter(_in_period(p))
-            .filter(F.col("event_name").isin(*V.INSTALL_EVENTS))
-            .filter(R.valid_id("advertising_id"))
+            .filter(_in_period(p) & F.col("event_name").isin(*V.INSTALL_EVENTS) & R.valid_id("advertising_id"))
             .select(F.col("advertising_id").alias("advertising_appsflyer"),
                     "appsflyer_id",
                     TM.as_timestamp("event_time").alias("install_date"),
@@ -86,9 +84,7 @@ def _uninstall_reach(p: Params | None):
 def earlier_installs(events: DataFrame, p: Params | None = None) -> DataFrame:
     """All install/reinstall instants per advertising id (any earlier period), distinct."""
     return (events
-            .filter(F.col("event_name").isin(*V.INSTALL_EVENTS))
-            .filter(_before(p))
-            .filter(R.valid_id("advertising_id"))
+            .filter(F.col("event_name").isin(*V.INSTALL_EVENTS) & _before(p) & R.valid_id("advertising_id"))
             .select(F.col("advertising_id").alias("advertising_antigo"),
                     TM.as_timestamp("event_time").alias("install_date_antigo"))
             .dropDuplicates())
@@ -97,9 +93,7 @@ def earlier_installs(events: DataFrame, p: Params | None = None) -> DataFrame:
 def uninstalls(events: DataFrame, p: Params | None = None) -> DataFrame:
     """Uninstall instants per appsflyer id, distinct (only those an install of `p` can reach)."""
     return (events
-            .filter(F.col("event_name").isin(*V.UNINSTALL_EVENTS))
-            .filter(_uninstall_reach(p))
-            .filter(R.valid_id("advertising_id"))
+            .filter(F.col("event_name").isin(*V.UNINSTALL_EVENTS) & _uninstall_reach(p) & R.valid_id("advertising_id"))
             .select(F.col("appsflyer_id").alias("appsflyer_id_un"),
                     TM.as_timestamp("event_time").alias("uninstall_date"))
             .dropDuplicates())

@@ -52,17 +52,18 @@ def normalised_hits(hits: DataFrame, p: Params, days: tuple[str, str] | None = N
     Adds `date` as a DATE, the minute-resolution `timestamp_hit` text and `id_ga`.
     ``days`` (first, last), when given, also keeps only those hit days.
     """
+    cond = ((F.col("OrigemParticao") == p.hit_origin)
+            & F.col("AaParticao").isin(*p.hit_years)
+            & F.col("MmParticao").isin(*p.hit_months)
+            & (F.col("BandeiraParticao") == p.brand)
+            & (F.col("device.operatingSystem") == p.os))
     if days is not None:
-        hits = hits.filter(raw_date_between(hits, *days))
-    return (hits
-            .filter(F.col("OrigemParticao") == p.hit_origin)
-            .filter(F.col("AaParticao").isin(*p.hit_years))
-            .filter(F.col("MmParticao").isin(*p.hit_months))
-            .filter(F.col("BandeiraParticao") == p.brand)
-            .filter(F.col("device.operatingSystem") == p.os)
-            .withColumn("date", TM.parse_yyyymmdd("date"))
-            .withColumn("timestamp_hit", TM.hit_timestamp("date", "hits.hour", "hits.minute", p.timestamp_mode))
-            .withColumn("id_ga", F.col("FullVisitorId")))
+        cond = cond & raw_date_between(hits, *days)
+    date = TM.parse_yyyymmdd("date")
+    return hits.filter(cond).withColumns({
+        "date": date,
+        "timestamp_hit": TM.hit_timestamp(date, "hits.hour", "hits.minute", p.timestamp_mode),
+        "id_ga": F.col("FullVisitorId")})
 
 
 def visitor_device_map(ga: DataFrame) -> DataFrame:
@@ -84,8 +85,6 @@ def attribution_events(events: DataFrame, p: Params, dedupe: bool = True) -> Dat
     Every consumer in the install build projects and deduplicates again, so the
     build passes ``dedupe=False`` and saves one full shuffle of the event table.
     """
-    out = (events
-           .filter(F.col("bandeira_partition") == p.brand)
-           .filter(F.col("device") == p.device)
-           .filter(F.col("event_name") != V.LOGIN_EVENT))
+    out = events.filter((F.col("bandeira_partition") == p.brand) & (F.col("device") == p.device)
+                        & (F.col("event_name") != V.LOGIN_EVENT))
     return out.dropDuplicates() if dedupe else out
