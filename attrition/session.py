@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="attrition-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # a core setting some sessions refuse at runtime; the context still gets it below
+            pass
     if sc is None:
         return conf
     sc.setCheckpointDir(conf)
