@@ -85,7 +85,18 @@ def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_CO
         F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) if f.name.lower() in have
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in target.fields])
-    (aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    # the writer option alone is not honoured by insertInto on a catalog table: set the
+    # session mode for this one write and put the previous value back
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def memo_partition(spark: SparkSession, table: str, day: str, compute: Callable[[], DataFrame],

@@ -232,3 +232,20 @@ def test_hit_rank_matches_dense_rank_across_buckets(spark):
     flat = df.selectExpr("concat(id_ga, CAST(visitId AS STRING)) AS session_id", "hits.HitNumber AS hit_number")
     ref = flat.withColumn("r", F.dense_rank().over(Window.partitionBy("session_id").orderBy("hit_number")))
     assert got == sorted(((r["session_id"], r["hit_number"], r["r"]) for r in ref.collect()), key=key)
+
+
+def test_replace_partition_dynamic_even_when_session_is_static(spark, tmp_path):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        df = spark.createDataFrame([("u1", 0.1), ("u2", 0.2)], "id_ga string, prob_uninstall double")
+        table = "t_static_" + tmp_path.name.replace("-", "_")
+        S.replace_partitions(S.stamp(df, "2023-09-15"), table, path=str(tmp_path / "t"))
+        S.replace_partitions(S.stamp(df, "2023-09-16"), table)
+        S.replace_partitions(S.stamp(df.limit(1), "2023-09-15"), table)
+        assert S.read_partition(spark, table, "2023-09-16").count() == 2
+        assert S.read_partition(spark, table, "2023-09-15").count() == 1
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, before)
