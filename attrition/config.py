@@ -75,5 +75,6 @@ class ModelConfig:
     subsampling_rate: float = 0.8
     seed: int = 42
     train_tenths: int = V.TRAIN_FRACTION_TENTHS
+    split: str = "hash"              # hash (stable, SQL-reproducible) | random (randomSplit with `seed`)
     corr_threshold: float = V.CORR_THRESHOLD
     include_label_in_corr: bool = True

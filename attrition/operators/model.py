@@ -183,8 +183,12 @@ def train(features_df: DataFrame, cfg: ModelConfig = ModelConfig()) -> tuple[Pip
     """
     data, feats = corr_filter(features_df, cfg)
     data = numeric_features(data, feats)
-    is_train = split_flag(ID, cfg.train_tenths)
-    train_df, test_df = data.filter(is_train), data.filter(~is_train)
+    if cfg.split == "random":
+        frac = cfg.train_tenths / 10
+        train_df, test_df = data.randomSplit([frac, 1 - frac], seed=cfg.seed)
+    else:
+        is_train = split_flag(ID, cfg.train_tenths)
+        train_df, test_df = data.filter(is_train), data.filter(~is_train)
     spw = class_weight(train_df).first()["scale_pos_weight"]
     model = build_pipeline(feats, cfg).fit(with_weight(train_df, spw))
     scored = model.transform(with_weight(test_df, spw))
@@ -204,14 +208,20 @@ def align_features(df: DataFrame, features: list[str]) -> DataFrame:
     return df.select(_q(ID), *cols)
 
 
-def score(features_df: DataFrame, model: PipelineModel) -> DataFrame:
+def score(features_df: DataFrame, model: PipelineModel, refit_columns: bool = False,
+          cfg: ModelConfig = ModelConfig()) -> DataFrame:
     """ML6 + ML9 + SNK5: `id_ga, prob_uninstall` (probability of class 1) for every row.
 
     The feature list stored with the model is used, so training and scoring
-    columns always agree (upstream re-ran the correlation filter on the
-    scoring data).
+    columns always agree. ``refit_columns=True`` repeats the upstream step of
+    re-running the correlation filter on the scoring data, and fails when that
+    selects other columns than the model was trained on (as upstream would).
     """
     feats = model_features(model)
+    if refit_columns:
+        refit = corr_filter(features_df, cfg)[1]
+        if refit != feats:
+            raise ValueError(f"correlation filter on the scoring data keeps {refit}, the model expects {feats}")
     out = model.transform(align_features(features_df, feats))
     return out.select(ID, vector_to_array("probability")[1].alias("prob_uninstall"))
 

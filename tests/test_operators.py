@@ -249,3 +249,20 @@ def test_replace_partition_dynamic_even_when_session_is_static(spark, tmp_path):
         assert spark.conf.get(key) == "static"
     finally:
         spark.conf.set(key, before)
+
+
+def test_outliers_approx_mode_is_close(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 1001)], "v double")
+    row = FT.outlier_bounds(df, ["v"], "approx").first()
+    assert abs(row["v__median"] - 500) <= 50 and abs(row["v__p95"] - 950) <= 2
+
+
+@pytest.mark.slow
+def test_random_split_and_refit_columns(spark):
+    rows = [(f"u{i}", i % 2, float(i % 7), float((i * 3) % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id_ga string, uninstall int, a double, b double")
+    model, metrics, feats = M.train(df, ModelConfig(max_iter=2, split="random"))
+    assert metrics.first()["n_evaluated"] > 0
+    assert M.score(df, model, refit_columns=True).count() == 60
+    with pytest.raises(ValueError):
+        M.score(df.withColumn("a2", F.col("a") * 2 + 1), model, refit_columns=True)
