@@ -23,6 +23,25 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(expected_shuffle_bytes: int, advisory_bytes: int = 128 << 20,
+                 max_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the largest expected shuffle.
+
+    The initial shuffle partition count gives about one advisory-size block
+    per partition at the largest shuffle (the hit join); AQE then coalesces
+    the smaller shuffles and splits skewed ones. Scan splits stay at 128 MB.
+    """
+    partitions = max(200, -(-expected_shuffle_bytes // advisory_bytes))
+    conf = dict(RECOMMENDED_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+    })
+    return conf
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "attrition",
                   driver_memory: str = "8g", event_log_dir: str | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -266,3 +266,12 @@ def test_random_split_and_refit_columns(spark):
     assert M.score(df, model, refit_columns=True).count() == 60
     with pytest.raises(ValueError):
         M.score(df.withColumn("a2", F.col("a") * 2 + 1), model, refit_columns=True)
+
+
+def test_cluster_conf_sizes_shuffle_partitions():
+    from attrition.session import cluster_conf
+
+    conf = cluster_conf(1 << 40)
+    assert conf["spark.sql.shuffle.partitions"] == "8192"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
