@@ -26,8 +26,9 @@ from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
 from attrition.plans import jobs as JB
-from attrition.plans.oracle import (BASE_MODELAGEM, ONEHOT_ROWS, D, corr_pairs, EV1, EV2, GROUPING, INST_KEYS, SOURCE, TS, UN_COND, _dayparts, _in, _q,
-                                    first_dim, product_sql, region_sql, valid, with_ctes)
+from attrition.plans.oracle import (BASE_MODELAGEM, D, EV1, EV2, GROUPING, ONEHOT_ROWS, SOURCE, TS, UN_COND,
+                                    _dayparts, _in, _q, corr_pairs, first_dim, product_sql, region_sql, valid,
+                                    with_ctes)
 from attrition.session import app_key, materialise, scratch_path
 from attrition.sources import tables, testmap
 
