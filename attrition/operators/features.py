@@ -3,8 +3,8 @@
 The upstream design explodes six sets per user (a cross product), one-hot
 encodes the rows and max-collapses them again. Since every dummy is max-ed,
 `array_contains(set, value)` on the single aggregated row gives the same
-table, so the cross product is never built (`explode_sets` still offers the
-literal rows).
+table, so the cross product is never built (`set_elements` gives the
+elements in long form instead).
 """
 
 from __future__ import annotations
@@ -119,12 +119,15 @@ def user_sessions_agg(sessions: DataFrame, action_sets: DataFrame) -> DataFrame:
     return agg.join(action_sets, "id_ga", "inner")
 
 
-def explode_sets(uagg: DataFrame) -> DataFrame:
-    """ARR6 literal: the six chained explode_outer (a per-user cross product). Reference only."""
-    out = uagg
-    for c in SET_COLUMNS:
-        out = out.withColumn(c, F.explode_outer(c))
-    return out
+def set_elements(uagg: DataFrame, columns=SET_COLUMNS) -> DataFrame:
+    """ARR6, re-aimed: the set elements in long form, one row per (user row, set column, element).
+
+    Upstream chains six explode_outer, i.e. every combination of a user's set
+    elements; the one-hot only needs which elements are present, so this
+    emits each element once (linear in the data, no per-user product).
+    """
+    return (uagg.select(*GROUP_KEYS, F.explode(_pairs(uagg, columns)).alias("p"))
+            .select(*GROUP_KEYS, "p.column", "p.value"))
 
 
 def _tagger(column: str):

@@ -342,35 +342,23 @@ SELECT a.*, h.screen_view, h.produto_view, h.action_event_v1, h.action_event_v2
 JOIN user_hitinfo h ON a.id_ga = h.id_ga""")
 
 
-def _outer(col: str) -> str:
-    return f"unnest(CASE WHEN len({col}) = 0 THEN [NULL] ELSE {col} END)"
-
-
 SET_COLS = ["install_channel", "canais", "screen_view", "produto_view", "action_event_v1", "action_event_v2"]
 AGG_KEYS = "id_ga, faixa_etaria, sexo, uninstall"
 NUMERIC = ("sessions, media_hits, media_screenviews, media_uniquescreens, media_qualitysession, media_timesession, "
            "soma_timesession, install_manha, install_tarde, install_noite, install_madrugada, "
            "totals_installs_antigos, recencia_last_install")
 
-# literal explode_outer chain: one lateral unnest per set = a per-row cross product
-cte("vfinal", ["user_agg"], "SELECT u.* EXCLUDE ({sets}), {cols} FROM user_agg u {joins}".format(
-    sets=", ".join(SET_COLS),
-    cols=", ".join(f"x{i}.v AS {c}" for i, c in enumerate(SET_COLS)),
-    joins=" ".join(f"CROSS JOIN LATERAL (SELECT {_outer('u.' + c)} AS v) x{i}" for i, c in enumerate(SET_COLS))))
-
-_DUMMY_SRC = ["faixa_etaria", "sexo", "screen_view", "produto_view", "action_event_v1", "action_event_v2",
-              "regioes", "install_channel", "canais"]
+# the set elements in long form: one row per (user row, set column, element)
+cte("set_elements", ["user_agg"], " UNION ALL ".join(
+    f"SELECT {AGG_KEYS}, '{c}' AS column, unnest({c}) AS value FROM user_agg" for c in SET_COLS))
 
-# one (row key, dummy name) per present category value of the exploded rows
-cte("dummy_long", ["vfinal"], " UNION ALL ".join(
-    f"SELECT {AGG_KEYS}, '{c}_' || CAST({c} AS VARCHAR) AS name FROM vfinal WHERE {c} IS NOT NULL"
-    for c in _DUMMY_SRC))
+_SCALAR_DUMMIES = ["faixa_etaria", "sexo", "regioes"]
 
-cte("dummy_grid", ["user_agg", "dummy_long"], f"""
-SELECT a.id_ga, a.faixa_etaria, a.sexo, a.uninstall, n.name,
-       EXISTS (SELECT 1 FROM dummy_long d WHERE d.id_ga = a.id_ga AND d.faixa_etaria = a.faixa_etaria
-               AND d.sexo = a.sexo AND d.uninstall = a.uninstall AND d.name = n.name) AS flag
-FROM user_agg a CROSS JOIN (SELECT DISTINCT name FROM dummy_long) n""")
+# one (row key, dummy name) per present category value (explode of each set, then max = present)
+cte("dummy_long", ["user_agg", "set_elements"], " UNION ALL ".join(
+    [f"SELECT {AGG_KEYS}, '{c}_' || CAST({c} AS VARCHAR) AS name FROM user_agg WHERE {c} IS NOT NULL"
+     for c in _SCALAR_DUMMIES]
+    + [f'SELECT {AGG_KEYS}, "column" || \'_\' || value AS name FROM set_elements WHERE value IS NOT NULL']))
 
 # DuckDB expands a dynamic PIVOT only in the outermost statement, so these two
 # are final SELECTs rather than CTEs.
@@ -378,7 +366,9 @@ ONEHOT_ROWS = f"""
 SELECT a.id_ga, a.uninstall, {', '.join('a.' + c.strip() for c in NUMERIC.split(','))},
        w.* EXCLUDE (id_ga, faixa_etaria, sexo, uninstall)
 FROM user_agg a
-JOIN (PIVOT dummy_grid ON name USING bool_or(flag) GROUP BY {AGG_KEYS}) w
+JOIN (SELECT {AGG_KEYS}, coalesce(COLUMNS(* EXCLUDE ({AGG_KEYS})), false) FROM (
+        PIVOT (SELECT {AGG_KEYS}, name, true AS flag FROM dummy_long) ON name USING bool_or(flag)
+        GROUP BY {AGG_KEYS})) w
   ON a.id_ga = w.id_ga AND a.faixa_etaria = w.faixa_etaria AND a.sexo = w.sexo AND a.uninstall = w.uninstall"""
 
 # groupby over the non-dummy columns as the dataframe library does it: rows with

@@ -392,14 +392,14 @@ _OUT_COLS = ["hits", "screenviews", "UniqueScreenviews", "sessionQualityDim", "S
 
 
 def _outlier_sql() -> str:
-    bounds = ", ".join(
-        f"quantile_disc(CAST({c} AS DOUBLE), 0.5) AS {c}_med, quantile_disc(CAST({c} AS DOUBLE), 0.95) AS {c}_p95"
-        for c in _OUT_COLS)
+    def q(c, p):
+        return f"(SELECT quantile_disc(CAST({c} AS DOUBLE), {p}) FROM user_sessoes)"
+
     repl = ", ".join(
-        f"CASE WHEN {c} > b.{c}_p95 THEN b.{c}_med ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _OUT_COLS)
+        f"CASE WHEN {c} > {q(c, 0.95)} THEN {q(c, 0.5)} ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _OUT_COLS)
     return with_ctes(
         f"SELECT u.id_ga, u.session_id, u.faixa_etaria, u.sexo, u.uninstall, u.channelGrouping_latencia0, {repl} "
-        f"FROM user_sessoes u, (SELECT {bounds} FROM user_sessoes) b", "user_sessoes")
+        f"FROM user_sessoes u", "user_sessoes")
 
 
 @register("outlier_replace", _outlier_sql())
@@ -415,25 +415,26 @@ def q_user_sessions_agg(spark, sf_dir):
     return user_aggregates(spark, sf_dir)
 
 
-@register("explode_sets", with_ctes("SELECT * FROM vfinal", "vfinal"))
+@register("explode_sets", with_ctes("SELECT * FROM set_elements", "set_elements"))
 def q_explode_sets(spark, sf_dir):
-    return FT.explode_sets(user_aggregates(spark, sf_dir))
+    return FT.set_elements(user_aggregates(spark, sf_dir))
 
 
 @register("onehot_vocab", with_ctes(
-    " UNION ".join(f"SELECT DISTINCT '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM vfinal WHERE {c} IS NOT NULL"
-                   for c in V.ONEHOT_COLUMNS), "vfinal"))
+    " UNION ".join(f"SELECT DISTINCT '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM user_agg "
+                   f"WHERE {c} IS NOT NULL" for c in ("faixa_etaria", "sexo", "regioes"))
+    + " UNION SELECT DISTINCT \"column\", value FROM set_elements WHERE value IS NOT NULL", "user_agg", "set_elements"))
 def q_onehot_vocab(spark, sf_dir):
     return FT.fit_vocab(user_aggregates(spark, sf_dir))
 
 
-@register("onehot_features", with_ctes(ONEHOT_ROWS, "user_agg", "dummy_grid"))
+@register("onehot_features", with_ctes(ONEHOT_ROWS, "user_agg", "dummy_long"))
 def q_onehot_features(spark, sf_dir):
     uagg = materialise(user_aggregates(spark, sf_dir))
     return FT.onehot(uagg, FT.vocab_list(FT.fit_vocab(uagg))).drop("faixa_etaria", "sexo")
 
 
-@register("feature_table", with_ctes(BASE_MODELAGEM, "user_agg", "dummy_grid"))
+@register("feature_table", with_ctes(BASE_MODELAGEM, "user_agg", "dummy_long"))
 def q_feature_table(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P)
 
@@ -464,13 +465,13 @@ def _narrow(df):
     return df.select("id_ga", "uninstall", "sessions")
 
 
-@register("partition_stamp", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_grid"))
+@register("partition_stamp", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_long"))
 def q_partition_stamp(spark, sf_dir):
     return S.stamp(_narrow(FT.build_features(joined_facts(spark, sf_dir), P)), DAY_A, FIXED_NOW)
 
 
 @register("partition_replace", with_ctes(
-    f"{_stamp_sql(DAY_A, 'WHERE uninstall = 1')} UNION ALL {_stamp_sql(DAY_B)}", "user_agg", "dummy_grid"))
+    f"{_stamp_sql(DAY_A, 'WHERE uninstall = 1')} UNION ALL {_stamp_sql(DAY_B)}", "user_agg", "dummy_long"))
 def q_partition_replace(spark, sf_dir):
     rows = _narrow(feature_rows(spark, sf_dir))
     table, path = _table(spark, "replace")
@@ -481,7 +482,7 @@ def q_partition_replace(spark, sf_dir):
     return spark.table(table)
 
 
-@register("partition_memo", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_grid"))
+@register("partition_memo", with_ctes(_stamp_sql(DAY_A), "user_agg", "dummy_long"))
 def q_partition_memo(spark, sf_dir):
     rows = _narrow(feature_rows(spark, sf_dir))
     table, path = _table(spark, "memo")
@@ -493,7 +494,7 @@ def q_partition_memo(spark, sf_dir):
     return S.memo_partition(spark, table, DAY_A, must_not_run, now=FIXED_NOW)
 
 
-@register("partition_read", with_ctes(_stamp_sql(DAY_B), "user_agg", "dummy_grid"))
+@register("partition_read", with_ctes(_stamp_sql(DAY_B), "user_agg", "dummy_long"))
 def q_partition_read(spark, sf_dir):
     rows = _narrow(feature_rows(spark, sf_dir))
     table, path = _table(spark, "read")
@@ -509,7 +510,7 @@ _FEATS = f"({BASE_MODELAGEM})"
 
 @register("corr_matrix", with_ctes(f"""
 SELECT least(col_i, col_j) AS col_a, greatest(col_i, col_j) AS col_b, round(r, 6) AS r FROM {corr_pairs(_FEATS)}""",
-                                   "user_agg", "dummy_grid"))
+                                   "user_agg", "dummy_long"))
 def q_corr_matrix(spark, sf_dir):
     m = M.corr_matrix(feature_rows(spark, sf_dir))
     return m.select(F.least("col_i", "col_j").alias("col_a"), F.greatest("col_i", "col_j").alias("col_b"),
@@ -519,7 +520,7 @@ def q_corr_matrix(spark, sf_dir):
 @register("corr_filter", with_ctes(f"""
 SELECT DISTINCT col_j AS column FROM {corr_pairs(_FEATS)}
 WHERE round(abs(r), 9) >= {CFG.corr_threshold} AND round(abs(r), 9) < 1.0 AND col_j <> 'uninstall'""",
-                                   "user_agg", "dummy_grid"))
+                                   "user_agg", "dummy_long"))
 def q_corr_filter(spark, sf_dir):
     feats = feature_rows(spark, sf_dir)
     drops = M.correlated_drops(M.corr_matrix(feats, M.correlation_columns(feats)), CFG.corr_threshold)
@@ -530,7 +531,7 @@ _SPLIT_SQL = "(('0x' || substr(md5(id_ga), 1, 8))::BIGINT % 10 < 7)"
 
 
 @register("train_test_split", with_ctes(f"SELECT id_ga, {_SPLIT_SQL} AS is_train FROM {_FEATS} b",
-                                        "user_agg", "dummy_grid"))
+                                        "user_agg", "dummy_long"))
 def q_train_test_split(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P).select("id_ga", M.split_flag().alias("is_train"))
 
@@ -539,7 +540,7 @@ def q_train_test_split(spark, sf_dir):
     "SELECT count(*) FILTER (WHERE uninstall = 0) AS n_negative, count(*) FILTER (WHERE uninstall = 1) AS n_positive, "
     "CASE WHEN count(*) FILTER (WHERE uninstall = 1) = 0 THEN NULL ELSE "
     "CAST(count(*) FILTER (WHERE uninstall = 0) AS DOUBLE) / count(*) FILTER (WHERE uninstall = 1) END "
-    f"AS scale_pos_weight FROM {_FEATS} b WHERE {_SPLIT_SQL}", "user_agg", "dummy_grid"))
+    f"AS scale_pos_weight FROM {_FEATS} b WHERE {_SPLIT_SQL}", "user_agg", "dummy_long"))
 def q_class_weight(spark, sf_dir):
     feats = FT.build_features(joined_facts(spark, sf_dir), P)
     return M.class_weight(feats.filter(M.split_flag()))
