@@ -98,11 +98,9 @@ def test_onehot_equals_explode_then_max(spark):
     cols = ["faixa_etaria", "sexo", "regioes", "screen_view", "canais"]
     vocab = FT.vocab_list(FT.fit_vocab(df, cols), cols)
     ours = FT.onehot(df, vocab)
-    exploded = df.withColumn("screen_view", F.explode_outer("screen_view")).withColumn("canais",
-                                                                                        F.explode_outer("canais"))
-    literal = exploded.select("id_ga", *[
-        F.coalesce(F.col(c) == v, F.lit(False)).alias(FT.dummy_name(c, v)) for c, v in vocab]).groupBy(
-        "id_ga").agg(*[F.max(FT.qcol(FT.dummy_name(c, v))).alias(FT.dummy_name(c, v)) for c, v in vocab])
+    from tests.conftest import literal_onehot
+
+    literal = literal_onehot(df, vocab)
     names = [FT.dummy_name(c, v) for c, v in vocab]
     a = sorted(tuple(r) for r in ours.select("id_ga", *[FT.qcol(n) for n in names]).collect())
     b = sorted(tuple(r) for r in literal.select("id_ga", *[FT.qcol(n) for n in names]).collect())

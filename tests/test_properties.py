@@ -32,10 +32,9 @@ def test_onehot_by_array_contains_equals_explode_then_max(spark, rows):
     vocab = FT.vocab_list(FT.fit_vocab(df, cols), cols)
     names = [FT.dummy_name(c, v) for c, v in vocab]
     ours = sorted(tuple(r) for r in FT.onehot(df, vocab).select("id_ga", *[FT.qcol(n) for n in names]).collect())
-    exploded = df.withColumn("screen_view", F.explode_outer("screen_view")).withColumn("canais",
-                                                                                        F.explode_outer("canais"))
-    literal = exploded.groupBy("id_ga").agg(*[
-        F.max(F.coalesce(F.col(c) == v, F.lit(False))).alias(FT.dummy_name(c, v)) for c, v in vocab])
+    from tests.conftest import literal_onehot
+
+    literal = literal_onehot(df, vocab)
     assert ours == sorted(tuple(r) for r in literal.select("id_ga", *[FT.qcol(n) for n in names]).collect())
 
 
