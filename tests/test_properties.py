@@ -51,3 +51,26 @@ def test_install_build_invariant_under_repartition(spark):
     base = sorted(tuple(r) for r in I.build_installs(ev, P).collect())
     for k in (1, 3, 7):
         assert sorted(tuple(r) for r in I.build_installs(ev.repartition(k), P).collect()) == base
+
+
+def test_feature_table_invariant_under_input_partitioning(spark):
+    import os
+
+    from attrition.plans import jobs
+    from attrition.sources import testmap
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    src = testmap.load(spark, sf)
+    p = Params()
+
+    def rows(frames):
+        out = jobs.build_feature_table(frames, p)
+        cols = sorted(out.columns)
+        return sorted(tuple(r) for r in out.select(*[FT.qcol(c) for c in cols]).collect())
+
+    base = rows(src)
+    assert base
+    for k in (1, 13):
+        assert rows({name: df.repartition(k) for name, df in src.items()}) == base
