@@ -273,3 +273,17 @@ def test_cluster_conf_sizes_shuffle_partitions():
     assert conf["spark.sql.shuffle.partitions"] == "8192"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_month_period_range_equals_month_format_test(spark):
+    from attrition.config import month_period
+    from attrition.operators.installs import _in_period
+
+    assert month_period("2024-02") == ("2024-02-01", "2024-02-29")
+    days = [dt.date(2024, 1, 31) + dt.timedelta(days=i) for i in range(0, 62)]
+    df = spark.createDataFrame([(d,) for d in days], "event_time_sm date")
+    for month in ("2024-02", "2024-03"):
+        p = Params.for_month(month, sample_start=month + "-01", sample_end=month + "-01")
+        ours = {r[0] for r in df.filter(_in_period(p)).collect()}
+        upstream = {r[0] for r in df.filter(F.date_format("event_time_sm", "yyyy-MM") == month).collect()}
+        assert ours == upstream and p.hit_months == (month[5:],)
