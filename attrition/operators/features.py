@@ -194,6 +194,8 @@ def collapse_dummies(df: DataFrame, dummies: list[str], drop_null_keys: bool = T
     """
     others = [c for c in df.columns if c not in set(dummies)]
     src = df.na.drop(subset=others) if drop_null_keys else df
+    if not dummies:  # empty vocabulary (no rows to learn it from): the grouping alone
+        return src.select(*[qcol(c) for c in others]).distinct()
     return src.groupBy(*[qcol(c) for c in others]).agg(*[F.expr(f"max({sql_name(d)}) AS {sql_name(d)}")
                                                          for d in dummies])
 

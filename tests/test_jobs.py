@@ -45,3 +45,29 @@ def test_missing_contract_column_is_reported(spark):
     df = spark.createDataFrame([("x",)], "advertising_id string")
     with pytest.raises(ValueError, match="appsflyer_id"):
         check_contract(df, schemas.ATTRIBUTION_EVENTS, "t")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_command_line(spark, tmp_path, capsys):
+    from attrition.__main__ import main
+
+    tag = "cli_" + tmp_path.name.replace("-", "_")
+    for name, df in testmap.load(spark, SF).items():
+        df.write.option("path", str(tmp_path / name)).saveAsTable(f"{name}_{tag}")
+    main(["prepare", "--attribution", f"attribution_events_{tag}", "--hits", f"hits_{tag}",
+          "--customers", f"customers_{tag}", "--month", "2024-01", "--period-start", "2024-01-04",
+          "--period-end", "2024-01-04", "--start", "2024-01-04", "--end", "2024-01-04",
+          "--brand", "BRAND_A", "--table", f"features_{tag}", "--path", str(tmp_path / "features")], spark)
+    main(["train", "--features", f"features_{tag}", "--model", str(tmp_path / "model"), "--trees", "2"], spark)
+    main(["score", "--features", f"features_{tag}", "--model", str(tmp_path / "model"), "--day", "2024-01-04",
+          "--table", f"predictions_{tag}", "--path", str(tmp_path / "predictions")], spark)
+    out = capsys.readouterr().out
+    assert "feature rows for 2024-01-04" in out and "scores for 2024-01-04" in out
+    assert spark.table(f"predictions_{tag}").count() == spark.table(f"features_{tag}").count()
+
+
+def test_empty_vocabulary_gives_empty_feature_rows(spark):
+    from attrition.operators import features as FT
+
+    df = spark.createDataFrame([], "id_ga string, uninstall int, sessions long")
+    assert FT.feature_rows(df, []).count() == 0
