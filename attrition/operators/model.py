@@ -189,6 +189,8 @@ def train(features_df: DataFrame, cfg: ModelConfig = ModelConfig()) -> tuple[Pip
     else:
         is_train = split_flag(ID, cfg.train_tenths)
         train_df, test_df = data.filter(is_train), data.filter(~is_train)
+    if train_df.isEmpty():
+        raise ValueError("no training rows: the feature table (or its training side) is empty")
     spw = class_weight(train_df).first()["scale_pos_weight"]
     model = build_pipeline(feats, cfg).fit(with_weight(train_df, spw))
     scored = model.transform(with_weight(test_df, spw))

@@ -287,3 +287,9 @@ def test_month_period_range_equals_month_format_test(spark):
         ours = {r[0] for r in df.filter(_in_period(p)).collect()}
         upstream = {r[0] for r in df.filter(F.date_format("event_time_sm", "yyyy-MM") == month).collect()}
         assert ours == upstream and p.hit_months == (month[5:],)
+
+
+def test_training_on_no_rows_says_so(spark):
+    df = spark.createDataFrame([], "id_ga string, uninstall int, a double")
+    with pytest.raises(ValueError, match="no training rows"):
+        M.train(df, ModelConfig(max_iter=2))
