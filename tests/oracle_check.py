@@ -57,7 +57,7 @@ def compare(spark, con, sf_dir, key, fn, sql):
     scols = sdf.columns
     stypes = {f.name: spark_type(f.dataType) for f in sdf.schema.fields}
     if sql is None:
-        return f"{key:28s} rows={len(srows):6d} spark={t1 - t0:5.1f}s  (no oracle)"
+        return f"RUN {key:28s} rows={len(srows):6d} spark={t1 - t0:5.1f}s (rows-only: no SQL twin)"
     rel = con.sql(sql)
     dcols = rel.columns
     dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
@@ -99,9 +99,9 @@ def main(argv):
             line = compare(spark, con, sf_dir, k, qs[k], sqls.get(k))
         except Exception as e:  # report and continue
             line = f"ERR {k:28s} {type(e).__name__}: {str(e)[:400]}"
-        bad += not line.startswith("OK")
+        bad += line.startswith(("BAD", "ERR"))
         print(line, flush=True)
-    print(f"done: {len(keys or qs)} keys, {bad} not OK")
+    print(f"done: {len(keys or qs)} keys, {bad} mismatched or failed")
 
 
 if __name__ == "__main__":
