@@ -293,3 +293,14 @@ def test_training_on_no_rows_says_so(spark):
     df = spark.createDataFrame([], "id_ga string, uninstall int, a double")
     with pytest.raises(ValueError, match="no training rows"):
         M.train(df, ModelConfig(max_iter=2))
+
+
+def test_read_partition_prunes_on_string_equality(spark, tmp_path):
+    df = spark.createDataFrame([("u1", 0.1)], "id_ga string, prob_uninstall double")
+    table = "t_prune_" + tmp_path.name.replace("-", "_")
+    S.replace_partitions(S.stamp(df, "2023-09-05"), table, path=str(tmp_path / "t"))
+    S.replace_partitions(S.stamp(df, "2023-10-05"), table)
+    df_read = S.read_partition(spark, table, "2023-09-05")
+    plan = spark._jvm.PythonSQLUtils.explainString(df_read._jdf.queryExecution(), "formatted")
+    scan = [line for line in plan.splitlines() if line.startswith("PartitionFilters")][0]
+    assert "(MmParticao" in scan and "= 09)" in scan and "cast(" not in scan.lower()
