@@ -71,3 +71,12 @@ def test_empty_vocabulary_gives_empty_feature_rows(spark):
 
     df = spark.createDataFrame([], "id_ga string, uninstall int, sessions long")
     assert FT.feature_rows(df, []).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+@pytest.mark.parametrize("mode", ["exact", "approx"])
+def test_pipeline_with_outlier_replacement(spark, mode):
+    src = testmap.load(spark, SF)
+    base = jobs.build_feature_table(src, Params())
+    out = jobs.build_feature_table(src, Params(outliers=mode))
+    assert sorted(r["id_ga"] for r in out.collect()) == sorted(r["id_ga"] for r in base.collect())
