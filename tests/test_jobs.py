@@ -36,6 +36,9 @@ def test_jobs_through_catalog_tables(spark, tmp_path):
     rows = preds.collect()
     assert len(rows) == n and all(0.0 <= r["prob_uninstall"] <= 1.0 for r in rows)
     assert {r["MmParticao"] for r in rows} == {"01"}
+    from attrition.sources import schemas
+
+    assert {f.name: f.dataType for f in preds.schema.fields} == {f.name: f.dataType for f in schemas.PREDICTION.fields}
 
 
 def test_missing_contract_column_is_reported(spark):
