@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -58,6 +61,23 @@ def drop_written(spark: SparkSession, still_read: DataFrame | None = None) -> No
     paths[:] = used
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver has imported it from (once per application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="attrition-py-"), "attrition.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from attrition.llm import exact_dedup, quality  # noqa: E402
+from attrition.llm import exact_dedup, mixing, ngram_join, packing, quality  # noqa: E402
 from attrition.llm.common import drop_written, table, written  # noqa: E402
 
 
@@ -29,7 +29,26 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.deduplicate(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_duplicates", exact_duplicates)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of texts that share 0.8 of their five-word shingles stays."""
+    drop_written(spark, docs)
+    return ngram_join.keep_one(docs, ngram_join.JoinOptions(n=5, percent=80))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources at their target weights, as documents; a document taken twice is there twice."""
+    drop_written(spark, docs)
+    return mixing.mixed_documents(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document goes in the packed sequences."""
+    drop_written(spark, docs)
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("exact_duplicates", exact_duplicates), ("near_duplicates", near_duplicates),
+          ("source_mixing", source_mixing), ("sequence_packing", sequence_packing)]
 
 #: The tokenizer and the seeded draws have no SQL form; tests compare every stage with a brute-force version.
 ORACLE_SQL = None
