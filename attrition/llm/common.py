@@ -116,3 +116,24 @@ def ranked(df: DataFrame, group: list[str], order: list[str], value: str | None
     if value:
         out = out.withColumn("before", F.col("_v0") + F.col("_s"))
     return out.drop("_at", "_part", "_p", "_n0", "_v0", "_k", "_s", *[f"_g{i}" for i in range(len(group))])
+
+
+def keyed_subset(rows: DataFrame, keys: DataFrame, key: str, max_words: int = 1 << 20) -> DataFrame:
+    """The rows whose key is among ``keys`` (distinct), without shuffling most of the others.
+
+    A Bloom filter of the keys, at most ``max_words`` rows of two longs, is broadcast; what it lets through meets the
+    keys in a join. A full filter lets more rows through, never fewer.
+    """
+    def place(column):
+        h = F.xxhash64(column)
+        one = F.lit(1).cast("long")
+        bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(h, at).bitwiseAND(63).cast("int")) for at in (40, 46, 52)]
+        return h.bitwiseAND(F.lit(max_words - 1)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+    word, mask = place(keys[key])
+    bloom = written(keys.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits")), "key-bloom")
+    word, mask = place(F.col(key))
+    met = (rows.withColumns({"_at": word, "_own": mask}).join(F.broadcast(bloom), F.col("_at") == F.col("_word"))
+           .where(F.col("_bits").bitwiseAND(F.col("_own")) == F.col("_own")).drop("_at", "_own", "_word", "_bits"))
+    # the keys are distinct, so this is a semi-join; a semi-join proper would be pushed below the filter
+    return met.join(keys, key)

@@ -3,21 +3,30 @@
 A document is the set of its distinct n-grams (64-bit hashes); documents with the same set are one class. All n-grams
 have one global order: rare ones by hash, then the frequent ones (in at least ``frequent`` of the documents, found by
 counting locally frequent ones over all documents) from the least to the most frequent. Any order gives the same
-links; this one keeps shared passages out of the search for candidates.
-
-The order is cut into ``fragments`` vertical fragments. The first part of each set in that order, its prefix, must
-hold an n-gram of every set it can link with, so candidate pairs come from prefixes only. The overlap of a candidate
-pair is counted fragment by fragment and summed per pair. After the first fragment, pairs whose summed overlap cannot
-reach the threshold any more, even if all the rest were shared, are dropped; that bound is exact.
+links; this one keeps shared passages out of the search for candidates. The order is cut into ``fragments`` vertical
+fragments at fixed hashes, with the frequent n-grams as one more.
+
+1. Classes that can link at all. N-grams are counted, range of hashes by range: one that a single class has is shared
+   with nobody. The number of these lone n-grams bounds the overlap of a class with any other; a class whose bound is
+   below the threshold links with nothing and is not looked at again. This is done over the lowest quarter of hashes
+   for all classes, then over all hashes for those that are left.
+2. Candidates. Lone n-grams come first in the global order, which keeps them out of the search. The first part of
+   each set, its prefix, must hold an n-gram of every set it can link with, so candidate pairs come from prefixes only.
+   A pair shares at most the n-grams that are lone in neither, and no more in any of 64 strips of the hash space than
+   the smaller of the two has there: these counts must be able to reach the threshold.
+3. Overlaps. The overlap of a candidate pair is counted fragment by fragment and summed per pair. After the first
+   fragment, pairs that cannot reach the threshold any more, even if all the rest were shared, are dropped.
+
+All three bounds are exact: no link is lost.
 
 Links serve to find components, so pairs inside one component need not all be compared. The classes sharing a prefix
-n-gram are first compared with one leader, then linked classes are merged, and only n-grams whose classes are still in
+n-gram are first compared with one leader, the one with the fewest lone n-grams, then linked classes are merged, and only n-grams whose classes are still in
 different components go on: small ones with all their remaining pairs, larger ones with more leaders in every round.
 A pair is left uncompared only if it is in one component already. Components are found by passing on the smallest
 label, round by round, in tables.
 
-Skew: equal sets are one class, whatever their number; leaders are found by pre-aggregation; the tables joined on hot
-keys are written first, so Spark can split them.
+Skew: equal sets are one class, whatever their number; an n-gram that several classes of a task share leaves that task
+once; leaders are found by pre-aggregation; the tables joined on hot keys are written first, so Spark can split them.
 
 Defined results: a text with fewer than n words is one n-gram (all its words); without words it links with nothing
 and is a component of its own; rows that share a doc_id are documents of their own, labelled by the smallest id they
@@ -36,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import ship_package, written
+from attrition.llm.common import keyed_subset, ship_package, written
 
 
 @dataclass(frozen=True)
@@ -100,30 +109,115 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[list
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
-def _sets(docs: DataFrame, o: JoinOptions) -> DataFrame:
-    """Per document (doc_id, class, size), and per slice its locally frequent n-grams (gram, count)."""
+#: The n-grams counted to find the classes that can link: hashes below this, a quarter of all.
+COUNTED = 1 << 62
+SCAN = ("doc_id long, cls long, size long, gram long, docs long, range int, hashes array<long>, owners array<short>, "
+        "classes array<long>")
+
+
+def _scan(docs: DataFrame, ranges: int, o: JoinOptions) -> DataFrame:
+    """One pass over all texts. Three kinds of rows: per document (doc_id, cls, size); per slice its locally frequent
+    n-grams (gram, docs); per slice and range of hashes the counted n-grams (hashes, owners, classes)."""
+    kinds = [pa.int64()] * 5 + [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.list_(pa.int64())]
+    names = ["doc_id", "cls", "size", "gram", "docs", "range", "hashes", "owners", "classes"]
+    edges = np.array([COUNTED * i // ranges for i in range(1, ranges)], dtype=np.uint64)
+
+    def rows(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k)
+                                           for c, k in zip(names, kinds)], names=names)
+
     def scan(batches):
         hashes = _WordHashes()
         for ids, texts in _slices(batches, 5000):
-            classes, sizes, grams = [], [], []
-            for text in texts:
-                g = ngram_set(text, o.n, hashes)
-                classes.append(set_class(g))
-                sizes.append(len(g))
-                grams.append(g)
-            found, counts = np.unique(np.concatenate(grams), return_counts=True)
+            sets = [ngram_set(text, o.n, hashes) for text in texts]
+            classes = [set_class(g) for g in sets]
+            yield rows(doc_id=ids, cls=classes, size=[len(g) for g in sets])
+            found, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts >= max(2, o.frequent * len(ids))
-            found, counts = found[often].view(np.int64), counts[often]
-            none = lambda k, t: pa.nulls(k, t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
-                 none(len(ids), pa.int64()), none(len(ids), pa.int64())], names=["doc_id", "cls", "size", "gram", "docs"])
-            yield pa.RecordBatch.from_arrays(
-                [none(len(found), pa.int64()), none(len(found), pa.int64()), none(len(found), pa.int64()),
-                 pa.array(found, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "cls", "size", "gram", "docs"])
+            yield rows(gram=found[often].view(np.int64), docs=counts[often])
+            first = {c: i for i, c in enumerate(classes) if c is not None}
+            if first:
+                yield _counted(rows, list(first), [sets[i] for i in first.values()], edges)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, SCAN)
+
+
+def _counted(rows, classes: list[int], sets: list[np.ndarray], edges: np.ndarray, below: int = COUNTED) -> pa.RecordBatch:
+    """The counted n-grams of a slice, by range: each with the class that has it, or -1 where several have it."""
+    parts = [g if below >> 64 else g[:np.searchsorted(g, np.uint64(below))] for g in sets]
+    grams = np.concatenate(parts)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], owner[order]
+    first = np.r_[True, grams[1:] != grams[:-1]] if len(grams) else np.zeros(0, bool)
+    alone = first & np.r_[first[1:], True] if len(grams) else first
+    owner = np.where(alone, owner, -1)[first]
+    grams = grams[first]
+    out: dict[str, list] = {"range": [], "hashes": [], "owners": [], "classes": []}
+    names = np.array(classes, dtype=np.int64)
+    bounds = [0, *np.searchsorted(grams, edges), len(grams)]
+    for r, (start, end) in enumerate(zip(bounds, bounds[1:])):
+        if end > start:
+            used, local = np.unique(owner[start:end], return_inverse=True)
+            shift = int(used[0] == -1)  # -1 sorts first and stays -1
+            out["range"].append(r)
+            out["hashes"].append(grams[start:end].view(np.int64))
+            out["owners"].append((local - shift).astype(np.int16))
+            out["classes"].append(names[used[shift:]])
+    return rows(**out)
+
+
+def _lone(counted: DataFrame) -> DataFrame:
+    """(cls, lone): the counted n-grams that no other class has, range by range."""
+    def find(table: pa.Table) -> pa.Table:
+        hashes, owners, classes = (table.column(c).combine_chunks() for c in ("hashes", "owners", "classes"))
+        gram, own = hashes.flatten().to_numpy(), owners.flatten().to_numpy().astype(np.int64)
+        held = [np.diff(x.offsets.to_numpy()) for x in (hashes, classes)]
+        names = np.append(classes.flatten().to_numpy(), 0)
+        several = own < 0
+        owner = names[np.where(several, -1, own + np.repeat(np.cumsum(held[1]) - held[1], held[0]))]
+        # met in several classes of a slice: entered under two names, so that it counts as shared
+        gram, owner = np.append(gram, gram[several]), np.append(owner, np.ones(several.sum(), np.int64))
+        order = np.lexsort((owner, gram))
+        gram, owner = gram[order], owner[order]
+        same = gram[1:] == gram[:-1]
+        group = np.cumsum(np.r_[True, ~same]) - 1
+        shared = np.zeros(group[-1] + 1, bool)
+        shared[group[1:][same & (owner[1:] != owner[:-1])]] = True
+        lone = np.flatnonzero(np.r_[True, ~same])[~shared]
+        lone = lone[np.argsort(owner[lone], kind="stable")]
+        cls, start = np.unique(owner[lone], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(lone)), pa.int32()), pa.array(gram[lone], pa.int64()))
+        return pa.table({"cls": pa.array(cls, pa.int64()), "lone": lists})
+
+    return (counted.select("range", "hashes", "owners", "classes")
+            .groupBy("range").applyInArrow(find, "cls long, lone array<long>"))
+
+
+def _ranges(classes: int) -> int:
+    """How many ranges of hashes: a quarter of the n-grams of 8000 ordinary texts is about a million."""
+    return min(max(64, classes // 8000), 1 << 16)
+
+
+def _recount(sets: DataFrame, classes: int) -> DataFrame:
+    """All n-grams of the written sets as counted rows."""
+    ranges = _ranges(4 * classes)
+    edges = np.array([(1 << 64) * i // ranges for i in range(1, ranges)], dtype=np.uint64)
+    kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.list_(pa.int64())]
+    names = ["range", "hashes", "owners", "classes"]
+
+    def rows(**columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in zip(names, kinds)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        scan, "doc_id long, cls long, size long, gram long, docs long")
+    def scan(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 5000):
+                part = batch.slice(at, 5000)
+                grams = [np.sort(x.values.flatten().to_numpy().view(np.uint64)) for x in part.column(1)]
+                yield _counted(rows, part.column(0).to_pylist(), grams, edges, 1 << 64)
+
+    return sets.select("cls", "fragments").mapInArrow(scan, "range int, hashes array<long>, owners array<short>, classes array<long>")
 
 
 def _order(found: DataFrame, docs: int, o: JoinOptions):
@@ -151,51 +245,52 @@ def _in_order(grams: np.ndarray, order) -> tuple[np.ndarray, int]:
     return np.concatenate([grams[~is_often], last]), int((~is_often).sum())
 
 
-def _prefixes(docs: DataFrame, order, o: JoinOptions) -> DataFrame:
-    """One row per class: its size and its prefix."""
+def _ordered_sets(docs: DataFrame, order, o: JoinOptions) -> DataFrame:
+    """One row per class: its size, and its set in the global order cut into fragments."""
+    cuts = np.array([(1 << 64) * i // o.fragments for i in range(1, o.fragments)], dtype=np.uint64)
+
     def scan(batches):
         hashes = _WordHashes()
-        for ids, texts in _slices(batches, 1000):
-            classes, sizes, prefixes, seen = [], [], [], set()
+        for _, texts in _slices(batches, 500):
+            classes, sizes, cut = [], [], []
             for text in texts:
-                g = ngram_set(text, o.n, hashes)
-                cls = set_class(g)
-                if cls is None or cls in seen:
-                    continue
-                seen.add(cls)
-                # a link needs at least percent/100 of the set shared
-                length = len(g) - -(-o.percent * len(g) // 100) + 1
-                classes.append(cls)
+                g, rare = _in_order(ngram_set(text, o.n, hashes), order.value)
+                classes.append(set_class(np.sort(g)))
                 sizes.append(len(g))
-                prefixes.append(_in_order(g, order.value)[0][:length].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
-                                              pa.array(prefixes, pa.list_(pa.int64()))], names=["cls", "size", "prefix"])
+                # the rare part is cut at fixed hashes, the frequent part is the last fragment
+                cut.append([x.view(np.int64) for x in np.split(g, [*np.searchsorted(g[:rare], cuts), rare])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cut, pa.list_(pa.list_(pa.int64())))],
+                names=["cls", "size", "fragments"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "cls long, size long, prefix array<long>")
-    return rows.groupBy("cls").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "cls long, size long, fragments array<array<long>>")
+    return rows.dropDuplicates(["cls"])
 
 
-def _segments(docs: DataFrame, order, o: JoinOptions) -> DataFrame:
-    """Each class's set in the global order, cut into fragments: (cls, fragment, segment)."""
-    def scan(batches):
-        hashes = _WordHashes()
-        for ids, texts in _slices(batches, 500):
-            classes, fragments, segments = [], [], []
-            for text in texts:
-                g, rare = _in_order(ngram_set(text, o.n, hashes), order.value)
-                cls = set_class(np.sort(g))
-                # the rare part is cut at fixed hashes, the frequent part is the last fragment
-                cuts = np.searchsorted(g[:rare], (np.arange(1, o.fragments, dtype=np.uint64)
-                                                  * np.uint64((1 << 64) // o.fragments)))
-                for f, part in enumerate(np.split(g, [*cuts, rare])):
-                    if len(part):
-                        classes.append(cls)
-                        fragments.append(f)
-                        segments.append(part.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(fragments, pa.int32()),
-                                              pa.array(segments, pa.list_(pa.int64()))], names=["cls", "fragment", "segment"])
+STRIPS = 64
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "cls long, fragment int, segment array<long>")
+def _summaries(sets: DataFrame, o: JoinOptions) -> DataFrame:
+    """The classes that can still link: their number of lone n-grams, the rest of the prefix, and the counts by strip."""
+    def scan(batches):
+        for batch in batches:
+            rows = []
+            for cls, size, fragments, alone in zip(*(batch.column(c) for c in ("cls", "size", "fragments", "alone"))):
+                grams = fragments.values.flatten().to_numpy()
+                rest = grams[~np.isin(grams, alone.values.to_numpy())] if alone.is_valid else grams
+                lone, size = len(grams) - len(rest), size.as_py()
+                spare = size - -(-o.percent * size // 100)
+                if lone <= spare:  # the lone n-grams take the first places of the prefix
+                    strips = np.bincount(rest & (STRIPS - 1), minlength=STRIPS)
+                    strips = strips.astype(np.int8) if strips.max() < 128 else None  # very long texts do without
+                    rows.append((cls.as_py(), size, lone, rest[:spare + 1 - lone], strips, fragments))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int8()), pa.list_(pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 names=["cls", "size", "lone", "prefix", "strips", "fragments"])
+
+    return sets.select("cls", "size", "fragments", "alone").mapInArrow(
+        scan, "cls long, size long, lone int, prefix array<long>, strips array<tinyint>, fragments array<array<long>>")
 
 
 def _linked(pairs: DataFrame, segments: DataFrame, o: JoinOptions) -> DataFrame:
@@ -248,28 +343,34 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def linked_components(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     ship_package(docs.sparkSession)
-    found = written(_sets(docs, o), "sets")
-    sets = found.where("gram is null").select("doc_id", "cls", "size")
-    order = _order(found, sets.count(), o)
-    label = written(class_labels(docs, sets, order, o), "class-labels")
+    n = docs.count()
+    found = written(_scan(docs, _ranges(n), o), "sets")
+    sets = found.where("size IS NOT NULL").select("doc_id", "cls", "size")
+    label = written(class_labels(docs, found, sets, _order(found, n, o), o), "class-labels")
     return (sets.withColumnRenamed("cls", "own").join(label, F.col("own") == F.col("cls"), "left")
             .select("doc_id", F.col("size").alias("n_shingles"),
                     F.when(F.col("own").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def class_labels(docs: DataFrame, sets: DataFrame, order, o: JoinOptions) -> DataFrame:
+def class_labels(docs: DataFrame, found: DataFrame, sets: DataFrame, order, o: JoinOptions) -> DataFrame:
     """(cls, component_id): the smallest document id that each class reaches."""
-    prefixes = written(_prefixes(docs, order, o), "prefixes")
-    grams = prefixes.select(F.explode("prefix").alias("gram"), "cls", "size")
+    lone = (_lone(found.where("range IS NOT NULL")).groupBy("cls").agg(F.sum(F.size("lone")).alias("lone")))
+    firsts = (sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"))
+              .join(lone, "cls", "left"))
+    # a link needs at least percent/100 of the set shared
+    spare = F.col("size") - F.ceil(F.col("size") * o.percent / 100)
+    firsts = written(firsts.withColumn("can_link", F.coalesce("lone", F.lit(0)) <= spare), "classes")
+    wanted = firsts.where("can_link AND least IS NOT NULL").select(F.col("least").alias("doc_id")).distinct()
+    # one document of each class that can link, read again for its whole set
+    chosen = _ordered_sets(keyed_subset(docs.select(F.col("doc_id").cast("long"), "text"), wanted, "doc_id"), order, o)
+    chosen = written(chosen.join(firsts.where("can_link").select("cls"), "cls", "left_semi"), "whole-sets")
+    lone = _lone(_recount(chosen, chosen.count())).groupBy("cls").agg(F.flatten(F.collect_list("lone")).alias("alone"))
+    chosen = written(_summaries(chosen.join(written(lone, "lone"), "cls", "left"), o), "ordered-sets")
+    segments = chosen.select("cls", F.posexplode("fragments").alias("fragment", "segment")).where(F.size("segment") > 0)
+    grams = chosen.select(F.explode("prefix").alias("gram"), "cls", "size", "lone", "strips")
     shared = written(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared-grams")
     buckets = written(grams.join(shared, "gram").withColumn("component", F.col("cls")), "buckets")
     nodes = written(buckets.select(F.col("cls").alias("node")).distinct(), "nodes")
-    firsts = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    firsts = written(firsts, "classes")
-    # one document of each class in question, read again for its whole set
-    wanted = firsts.join(nodes, F.col("cls") == F.col("node"), "left_semi").where("least is not null")
-    chosen = docs.select("doc_id", "text").join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    segments = written(_segments(chosen, order, o).dropDuplicates(["cls", "fragment"]), "segments")
     label = nodes.select("node", F.col("node").alias("component"))
     leaders, least = 1, 2
     while True:
@@ -279,10 +380,10 @@ def class_labels(docs: DataFrame, sets: DataFrame, order, o: JoinOptions) -> Dat
         step = components(label.select(F.col("component").alias("node")).distinct(), _renamed(links, label))
         step = step.select(F.col("node").alias("component"), F.col("component").alias("now"))
         label = written(label.join(step, "component").select("node", F.col("now").alias("component")), "label")
-        buckets = _still_open(buckets, lead, label, least)
+        buckets = _still_open(buckets, lead, label, o, least)
         if buckets.isEmpty():
             break
-        leaders, least = min(leaders * 8, 512), o.small
+        leaders, least = min(leaders * 16, 512), o.small if leaders == 1 else 8 * o.small
     named = firsts.join(label, F.col("cls") == F.col("node"), "left").select(
         "cls", "least", F.coalesce("component", "cls").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -296,41 +397,43 @@ def _renamed(links: DataFrame, label: DataFrame) -> DataFrame:
     return links.select("a", "b")
 
 
-def _lots(leaders: int):
-    return F.pmod(F.xxhash64("cls"), F.lit(leaders))
-
-
 def _leaders(buckets: DataFrame, leaders: int) -> DataFrame:
-    """Up to ``leaders`` classes of each n-gram: the smallest of every lot. Pre-aggregated."""
-    lead = F.min(F.struct("cls", "size", "component"))
+    """Up to ``leaders`` classes of each n-gram, of each lot the one with the fewest lone n-grams. Pre-aggregated."""
+    lead = F.min(F.struct("lone", "cls", "size", "component", "strips"))
     if leaders == 1:
-        return buckets.groupBy("gram").agg(F.count("*").alias("n"), F.array(lead).alias("lead"))
-    lots = buckets.groupBy("gram", _lots(leaders).alias("lot")).agg(F.count("*").alias("n"), lead.alias("lead"))
-    return lots.groupBy("gram").agg(F.sum("n").alias("n"), F.collect_list("lead").alias("lead"))
+        return buckets.groupBy("gram").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.array(lead).alias("lead"))
+    lot = F.pmod(F.xxhash64("cls"), F.lit(leaders)).alias("lot")
+    lots = buckets.groupBy("gram", lot).agg(F.count("*").alias("n"), F.min("size").alias("low"), lead.alias("lead"))
+    return lots.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.collect_list("lead").alias("lead"))
 
 
 def _candidates(buckets: DataFrame, lead: DataFrame, o: JoinOptions, least: int) -> DataFrame:
-    """Distinct pairs (a < b) to compare in this round: in different components, of sizes that can reach the threshold."""
-    star = (buckets.join(lead.where(F.col("n") > least), "gram").withColumn("x", F.explode("lead"))
-            .select("cls", "size", "component", F.col("x.cls").alias("cls2"), F.col("x.size").alias("size2"),
-                    F.col("x.component").alias("component2")))
-    few = buckets.join(lead.where(F.col("n") <= least).select("gram"), "gram", "left_semi")
-    other = few.select("gram", F.col("cls").alias("cls2"), F.col("size").alias("size2"), F.col("component").alias("component2"))
-    each = few.join(other, "gram").where("cls < cls2").drop("gram")
-    pairs = star.unionByName(each).where("component <> component2").where(
-        F.expr(f"100 * least(size, size2) >= {o.percent} * greatest(size, size2)"))
+    """Distinct pairs (a < b) to compare in this round: in different components, and able to reach the threshold."""
+    reach = lambda shared: f"{100 + o.percent} * {shared} >= {o.percent} * (size + size2)"
+    by_strip = "aggregate(zip_with(strips, strips2, (x, y) -> least(x, y)), 0, (a, x) -> a + x)"
+    able = F.expr(f"component <> component2 AND {reach('least(size - lone, size2 - lone2)')} "
+                  f"AND coalesce({reach(by_strip)}, true)")
+    second = [F.col(f"x.{c}").alias(f"{c}2") for c in ("cls", "size", "lone", "component", "strips")]
+    star = lead.where(F.col("n") > least).select(F.col("gram").alias("gram2"), F.explode("lead").alias("x")).select("gram2", *second)
+    few = lead.where(F.col("n") <= least).select(F.col("gram").alias("gram2"))
+    each = buckets.join(few, F.col("gram") == F.col("gram2"), "left_semi")
+    other = each.select(F.col("gram").alias("gram2"), F.struct("cls", "size", "lone", "component", "strips").alias("x")).select("gram2", *second)
+    same = F.col("gram") == F.col("gram2")
+    pairs = (buckets.join(star, same & able).unionByName(each.join(other, same & able & F.expr("cls < cls2"))))
     ordered = F.col("cls") < F.col("cls2")
     swap = lambda x, y: F.when(ordered, F.col(x)).otherwise(F.col(y))
     return pairs.select(swap("cls", "cls2").alias("a"), swap("cls2", "cls").alias("b"),
                         swap("size", "size2").alias("size_a"), swap("size2", "size").alias("size_b")).distinct()
 
 
-def _still_open(buckets: DataFrame, lead: DataFrame, label: DataFrame, least: int) -> DataFrame:
-    """What is left to compare: n-grams whose classes are in different components, without what was just compared."""
+def _still_open(buckets: DataFrame, lead: DataFrame, label: DataFrame, o: JoinOptions, least: int) -> DataFrame:
+    """What is left to compare: n-grams whose classes are in different components, without what was just compared,
+    and without classes that could not reach the threshold with a set of any size in question."""
     open_ = lead.where(F.col("n") > least)
     used = open_.select("gram", F.explode("lead").alias("x")).select("gram", F.col("x.cls").alias("cls"))
-    left = buckets.drop("component").join(open_.select("gram"), "gram", "left_semi").join(used, ["gram", "cls"], "left_anti")
-    left = left.join(label, F.col("cls") == F.col("node")).select("gram", "cls", "size", "component")
+    able = F.expr(f"{100 + o.percent} * (size - lone) >= {o.percent} * (size + greatest(low, size - lone))")
+    left = buckets.drop("component").join(open_.select("gram", "low"), "gram").where(able).join(used, ["gram", "cls"], "left_anti")
+    left = left.join(label, F.col("cls") == F.col("node")).select("gram", "cls", "size", "lone", "strips", "component")
     left = written(left, "left")
     mixed = left.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     return written(left.join(written(mixed.select("gram"), "mixed"), "gram", "left_semi"), "buckets")
