@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from attrition.llm import (chat_tree, exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, quality,
                            secret_scan, sharding)
 from attrition.llm.common import table, written
+from attrition.llm.oracle import ORACLE  # noqa: F401  the queries' DuckDB twins
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +62,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op5_quality_rules, op6_chat_prefix_tree, op7_exact_dedup, op8_secret_scan,
                             op9_license_scan, op10_source_mixing)
 }
-ORACLE: dict[str, str] = {}
