@@ -3,7 +3,9 @@
 The units compared are the lines, the paragraphs (blocks between blank lines) and the whole of a text, so that a
 notice inside prose is found as well as a licence file. Two sets of ``a`` and ``b`` distinct bigrams can reach a Dice
 coefficient ``t`` only if ``2 * min(a, b) >= t * (a + b)``: templates outside that bound are pruned before any bigram
-is compared, which loses nothing.
+is compared, which loses nothing. The same bound says that a match shares at least ``t * b / (2 - t)`` of a template's
+bigrams, so each template has a few words of which every match must contain one; a text without any of these words
+is not cut into units at all.
 
 DataFrame functions only, no shuffle: the templates are literals (a fixed list, a few kilobytes), every text is read
 whole, where it is stored.
@@ -15,6 +17,7 @@ has the licence that it matches best (several on a tie), and a text with the sam
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -98,15 +101,41 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 
+FOUND = "array<struct<licence:string,dice:double>>"
+
+
 def template_bigrams(text: str) -> list[str]:
     ws = re.sub(r"[^A-Za-z0-9]+", " ", text).lower().split()
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(ws, ws[1:])))
 
 
-def units(text: Column) -> Column:
-    """The distinct normalised lines, paragraphs and the whole of a text."""
-    kept = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^A-Za-z0-9\n]+", " ")
+#: Words found in many texts, which make poor anchors.
+COMMON = frozenset("a all and any as at be by for from have if in is it may must not of on or that the this to under use "
+                   "was which with without you".split())
+
+
+def anchors(templates: Mapping[str, list[str]], least: float) -> list[str]:
+    """Words of which every text that matches some template contains at least one."""
+    chosen: set[str] = set()
+    for text in (t for ts in templates.values() for t in ts):
+        grams = [g.split() for g in template_bigrams(text)]
+        needed = len(grams) * least / (2 - least) - 1e-9
+        left = [g for g in grams if not chosen.intersection(g)]
+        while len(left) >= needed:
+            touches = Counter(w for g in left for w in set(g))
+            word = max(touches, key=lambda w: (w not in COMMON, touches[w], w))
+            chosen.add(word)
+            left = [g for g in left if word not in g]
+    return sorted(chosen)
+
 
+def normalised(text: Column) -> Column:
+    """Runs of anything but ASCII letters, digits and line ends become one space."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^A-Za-z0-9\n]+", " ")
+
+
+def units(kept: Column) -> Column:
+    """The distinct lines, paragraphs and the whole of a normalised text."""
     def parts(t: Column) -> Column:
         flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[ \n]+", " ")))
         return F.array_distinct(F.transform(F.concat(F.split(t, "\n"), F.split(t, r"\n[ \n]*\n"), F.array(t)), flat))
@@ -141,14 +170,20 @@ def best_matches(unit: Column, templates: Mapping[str, list[str]] = TEMPLATES, l
 
     sizes = [len(template_bigrams(t)) for ts in templates.values() for t in ts]
     low, high = int(min(sizes) * least / (2 - least)), int(max(sizes) * (2 - least) / least) + 1
-    nothing = F.array().cast("array<struct<licence:string,dice:double>>")
+    nothing = F.array().cast(FOUND)
     return let(bigrams(unit), lambda u: F.when(F.size(u).between(low, high), compared(u)).otherwise(nothing))
 
 
 def license_report(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """Per document: units with a licence, the licences found (sorted) and the best coefficient (0 without one)."""
-    hits = F.filter(F.transform(units(F.col("text")), lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
-    flat = docs.select("doc_id", hits.alias("hits")).withColumn("found", F.flatten("hits"))
+    wanted = F.split(F.lit(" ".join(anchors(templates, least))), " ")
+
+    def searched(kept: Column) -> Column:
+        hits = F.filter(F.transform(units(kept), lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
+        words = F.split(F.lower(F.translate(kept, "\n", " ")), " ")
+        return F.when(F.arrays_overlap(words, wanted), hits).otherwise(F.array().cast(f"array<{FOUND}>"))
+
+    flat = docs.select("doc_id", let(normalised(F.col("text")), searched).alias("hits")).withColumn("found", F.flatten("hits"))
     return flat.select(
         "doc_id", F.size("hits").cast("long").alias("n_units"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["licence"]))), ",").alias("licences"),
