@@ -18,42 +18,52 @@ def month_period(month: str) -> tuple[str, str]:
 @dataclass(frozen=True)
 class Params:
     # source filters
-    brand: str = "BRAND_A"
+    brand: str
+    # install period (inclusive dates; a calendar month upstream)
+    period_start: str
+    period_end: str
+    # sample range on the install day (inclusive)
+    sample_start: str
+    sample_end: str
+    # partitions of the hit table that hold the period
+    hit_years: tuple[str, ...]
+    hit_months: tuple[str, ...]
     device: str = "Android"          # attribution event device
     os: str = "Android"              # hit device.operatingSystem
     hit_origin: str = "APP"
     customer_origin: str = "SITE"
-    hit_years: tuple[str, ...] = ("2024",)
-    hit_months: tuple[str, ...] = ("01",)
     media_sources: tuple[str, ...] = V.MEDIA_SOURCES
-    # install period (inclusive dates; a calendar month upstream)
-    period_start: str = "2024-01-04"
-    period_end: str = "2024-01-04"
-    # sample range on the install day (inclusive)
-    sample_start: str = "2024-01-04"
-    sample_end: str = "2024-01-04"
     uninstall_window_days: int = 8
     hit_days_after_install: int = 1
-    as_of: str = "2024-01-31"        # 'today' for the age band
+    as_of: str | None = None         # 'today' for the age band; None: the day of the run
     # behaviour switches: defaults reproduce the upstream results
     timestamp_mode: str = "compat"
     fix_tail: bool = False
     fix_region: bool = False
     dedupe_uninstalls: bool = False
     drop_null_keys: bool = True
-    outliers: str = "off"            # off | exact | approx
-    materialise: bool = True         # checkpoint intermediates that have several consumers
+    outliers: str = "approx"         # approx (upstream's error bounds) | exact | off
+    materialise: bool = True         # write intermediates that have several consumers
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
     @staticmethod
-    def for_month(month: str, sample_start: str, sample_end: str, **kw) -> "Params":
+    def for_month(month: str, sample_start: str, sample_end: str, brand: str, **kw) -> "Params":
         start, end = month_period(month)
         y, m = month.split("-")
-        return Params(period_start=start, period_end=end, sample_start=sample_start,
+        return Params(brand=brand, period_start=start, period_end=end, sample_start=sample_start,
                       sample_end=sample_end, hit_years=(y,), hit_months=(m,), **kw)
 
+    @staticmethod
+    def for_trailing_days(end: str | None = None, days: int = 2, *, brand: str, **kw) -> "Params":
+        """Installs sampled over the last days (FN13); the period is the month, or months, that the days lie in."""
+        first, last = trailing_days(end, days)
+        months = sorted({first[:7], last[:7]})
+        return Params(brand=brand, period_start=month_period(months[0])[0], period_end=month_period(months[-1])[1],
+                      sample_start=first, sample_end=last, hit_years=tuple(sorted({m[:4] for m in months})),
+                      hit_months=tuple(sorted({m[5:] for m in months})), **kw)
+
 
 def trailing_days(end: str | None = None, days: int = 2) -> tuple[str, str]:
     """FN13: the sampling window 'end - days .. end' (end defaults to today)."""
@@ -61,12 +71,6 @@ def trailing_days(end: str | None = None, days: int = 2) -> tuple[str, str]:
     return (e - dt.timedelta(days=days)).isoformat(), e.isoformat()
 
 
-def date_parts(day: str) -> tuple[str, str, str]:
-    """'2023-09-05' -> ('2023', '09', '05') – zero-padded strings, as the partitions are."""
-    d = dt.date.fromisoformat(day)
-    return f"{d.year:04d}", f"{d.month:02d}", f"{d.day:02d}"
-
-
 @dataclass(frozen=True)
 class ModelConfig:
     step_size: float = 0.2

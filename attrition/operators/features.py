@@ -9,7 +9,9 @@ elements in long form instead).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,27 +60,51 @@ def user_sessions(amostra: DataFrame) -> DataFrame:
 
 def outlier_bounds(df: DataFrame, columns=OUTLIER_COLUMNS, mode: str = "exact",
                    median_rel_err: float = 0.05, upper_rel_err: float = 0.001) -> DataFrame:
-    """One-row frame: median and 95th percentile of each column, in one aggregate pass.
+    """One-row frame: median and 95th percentile of each column.
 
     ``exact`` uses the discrete percentile (a value of the column, as an exact
-    quantile summary returns); ``approx`` uses the quantile sketch with the
-    upstream relative errors.
+    quantile summary returns), from value counts; ``approx`` uses the quantile
+    sketch with the upstream relative errors, in one aggregate pass.
     """
+    if mode == "exact":
+        return _exact_bounds(df, columns)
+    if mode != "approx":
+        raise ValueError(f"unknown outlier mode {mode!r}")
     aggs = []
     for c in columns:
         q = qcol(c).cast("double")
-        if mode == "exact":
-            med = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-            top = F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-        elif mode == "approx":
-            med = F.percentile_approx(q, 0.5, int(round(1 / median_rel_err)))
-            top = F.percentile_approx(q, 0.95, int(round(1 / upper_rel_err)))
-        else:
-            raise ValueError(f"unknown outlier mode {mode!r}")
-        aggs += [med.alias(f"{c}__median"), top.alias(f"{c}__p95")]
+        aggs += [F.percentile_approx(q, 0.5, int(round(1 / median_rel_err))).alias(f"{c}__median"),
+                 F.percentile_approx(q, 0.95, int(round(1 / upper_rel_err))).alias(f"{c}__p95")]
     return df.agg(*aggs)
 
 
+def _exact_bounds(df: DataFrame, columns) -> DataFrame:
+    """Discrete percentiles without a buffer of all distinct values in one task.
+
+    Values are counted (combined map-side) and range-partitioned; each range
+    adds up its own counts on top of the total of the ranges before it, and the
+    smallest value that reaches the wanted rank is the percentile.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), qcol(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    counts = (df.select(F.explode(pairs).alias("x")).select("x.c", "x.v").where("v IS NOT NULL")
+              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranged = materialise(counts.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()), name="value-counts")
+    totals = ranged.groupBy("c", "part").agg(F.sum("n").alias("held"))
+    before = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (totals.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
+              .withColumn("total", F.sum("held").over(Window.partitionBy("c"))))
+    upto = Window.partitionBy("c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (ranged.withColumn("r", F.sum("n").over(upto)).join(totals, ["c", "part"])
+             .withColumn("r", F.col("r") + F.col("before")))
+
+    def percentile(i: int, q: float) -> F.Column:
+        rank = F.greatest(F.lit(1), F.col("total") - F.floor(F.col("total") - F.lit(q) * F.col("total")))
+        return F.min(F.when((F.col("c") == i) & (F.col("r") >= rank), F.col("v")))
+
+    return ranks.agg(*[percentile(i, q).alias(f"{c}__{k}") for i, c in enumerate(columns)
+                       for k, q in (("median", 0.5), ("p95", 0.95))])
+
+
 def replace_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, mode: str = "exact") -> DataFrame:
     """OUT1: values strictly above the 95th percentile become the median; nulls stay.
 
@@ -151,8 +177,13 @@ def fit_vocab(uagg: DataFrame, columns=V.ONEHOT_COLUMNS) -> DataFrame:
             .select("p.column", "p.value").filter(F.col("value").isNotNull()).distinct())
 
 
+# The columns whose values come from fixed lists. The other one, `install_channel`, is free text: its values are kept
+# as an array and become dummies only for a vocabulary that names them.
+CLOSED_COLUMNS = tuple(c for c in V.ONEHOT_COLUMNS if c != "install_channel")
+
+
 def vocab_list(vocab: DataFrame, columns=V.ONEHOT_COLUMNS) -> list[tuple[str, str]]:
-    """The vocabulary on the driver (bounded by the whitelists), in dummy-column order."""
+    """The vocabulary on the driver, in dummy-column order (bounded by the fixed lists for the closed columns)."""
     order = {c: i for i, c in enumerate(columns)}
     rows = [(r["column"], r["value"]) for r in vocab.collect()]
     return sorted(rows, key=lambda cv: (order.get(cv[0], len(order)), cv[1]))
@@ -170,13 +201,13 @@ def sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def onehot(df: DataFrame, vocab: list[tuple[str, str]]) -> DataFrame:
-    """ML1: one boolean per vocabulary entry; a null category sets no dummy.
+def onehot(df: DataFrame, vocab: list[tuple[str, str]], keep=()) -> DataFrame:
+    """ML1: one boolean per vocabulary entry; a null category sets no dummy. ``keep``: encoded columns kept as well.
 
     Built as one projection of SQL expressions (the vocabulary can be wide;
     one parsed expression per dummy keeps plan construction cheap).
     """
-    exprs = [sql_name(c) for c in df.columns if c not in V.ONEHOT_COLUMNS]
+    exprs = [sql_name(c) for c in df.columns if c not in V.ONEHOT_COLUMNS or c in keep]
     for c, v in vocab:
         if isinstance(df.schema[c].dataType, T.ArrayType):
             hit = f"array_contains({sql_name(c)}, {sql_string(v)})"
@@ -186,46 +217,60 @@ def onehot(df: DataFrame, vocab: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(*exprs)
 
 
-def collapse_dummies(df: DataFrame, dummies: list[str], drop_null_keys: bool = True) -> DataFrame:
-    """AGG4: group by every non-dummy column and OR the dummies.
+def collapse_sets(uagg: DataFrame, drop_null_keys: bool = True) -> DataFrame:
+    """AGG4 before the one-hot: group by every column that is not encoded, each encoded column a set of its values.
 
-    The grouping drops rows with a null key (as the upstream dataframe
-    library does), unless ``drop_null_keys`` is False.
+    Grouping the dummies and OR-ing them gives the same, but would shuffle every
+    boolean; the sets are small. The grouping drops rows with a null key (as the
+    upstream dataframe library does), unless ``drop_null_keys`` is False.
     """
-    others = [c for c in df.columns if c not in set(dummies)]
-    src = df.na.drop(subset=others) if drop_null_keys else df
-    if not dummies:  # empty vocabulary (no rows to learn it from): the grouping alone
-        return src.select(*[qcol(c) for c in others]).distinct()
-    return src.groupBy(*[qcol(c) for c in others]).agg(*[F.expr(f"max({sql_name(d)}) AS {sql_name(d)}")
-                                                         for d in dummies])
+    encoded = [c for c in uagg.columns if c in V.ONEHOT_COLUMNS]
+    keys = [c for c in uagg.columns if c not in encoded]
+    src = uagg.na.drop(subset=keys) if drop_null_keys else uagg
+
+    def values(c: str) -> F.Column:
+        if isinstance(uagg.schema[c].dataType, T.ArrayType):
+            return F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+        return F.array_sort(F.collect_set(qcol(c).cast("string")))
+
+    if not encoded:
+        return src.select(*[qcol(c) for c in keys]).distinct()
+    return src.groupBy(*[qcol(c) for c in keys]).agg(*[values(c).alias(c) for c in encoded])
 
 
 def feature_rows(uagg: DataFrame, vocab: list[tuple[str, str]], drop_null_keys: bool = True) -> DataFrame:
-    encoded = onehot(uagg, vocab)
-    return collapse_dummies(encoded, [dummy_name(c, v) for c, v in vocab], drop_null_keys)
+    """The collapsed rows with one boolean per vocabulary entry; a column without any entry stays as a set."""
+    rows = collapse_sets(uagg, drop_null_keys)
+    named = {c for c, _ in vocab}
+    kept = [c for c in rows.columns if c in V.ONEHOT_COLUMNS and c not in named and c not in CLOSED_COLUMNS]
+    encoded = onehot(rows, vocab, keep=kept)
+    return encoded
 
 
 def user_aggregates(joined: DataFrame, p: Params) -> DataFrame:
     """Everything up to the one-hot: one row per (visitor, age band, sex, label)."""
     # two consumers (sessions and action sets): compute the joined rows once
-    amostra = recode_sample(materialise(joined, p.materialise))
+    amostra = recode_sample(materialise(joined, p.materialise, "joined-rows"))
     sessions = user_sessions(amostra)
     if p.outliers != "off":
-        sessions = replace_outliers(sessions, OUTLIER_COLUMNS, p.outliers)
+        # read for the thresholds and again for the replacement
+        sessions = replace_outliers(materialise(sessions, p.materialise, "sessions"), OUTLIER_COLUMNS, p.outliers)
     return user_sessions_agg(sessions, visitor_action_sets(amostra))
 
 
 def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] | None = None,
-                   checkpoint: bool = True) -> DataFrame:
+                   save_vocab: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """PIP4: the feature table, one row per user (see AGG3/AGG4 for when a user has more).
 
-    With no frozen ``vocab`` the vocabulary is fitted on this data. The user
-    aggregate is then checkpointed to the shared checkpoint folder first, so
-    fitting and encoding read it once instead of recomputing the joins.
+    With no frozen ``vocab`` the vocabulary of the closed columns is fitted on
+    this data, and handed to ``save_vocab``. The user aggregate is then written
+    first, so fitting and encoding read it once instead of recomputing the joins.
     """
     uagg = user_aggregates(joined, p)
     if vocab is None:
-        uagg = materialise(uagg, checkpoint and p.materialise)
-        vocab = vocab_list(fit_vocab(uagg))
+        uagg = materialise(uagg, p.materialise, "user-aggregates")
+        fitted = fit_vocab(uagg, CLOSED_COLUMNS)
+        if save_vocab is not None:
+            save_vocab(fitted)
+        vocab = vocab_list(fitted)
     return feature_rows(uagg, vocab, p.drop_null_keys)
-

@@ -52,7 +52,8 @@ def session_times(ga: DataFrame) -> DataFrame:
     in one task.
     """
     hit_time = F.try_to_timestamp("timestamp_hit")
-    return (ga.groupBy(session_id().alias("session_id"))
+    key = F.col("session_id") if "session_id" in ga.columns else session_id().alias("session_id")
+    return (ga.groupBy(key)
             .agg(F.min(hit_time).alias("visitStartTime"), F.max(hit_time).alias("visitEndTime"))
             .withColumn("SessionVisitTime_minutes", TM.minutes_between("visitStartTime", "visitEndTime")))
 

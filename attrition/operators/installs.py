@@ -14,6 +14,9 @@ Plan shape (all shuffles keyed, none on a single hot group):
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,38 +65,46 @@ def single_installs(events: DataFrame, p: Params) -> DataFrame:
     return rows.join(once, "advertising_appsflyer", "left_semi").select(*INSTALL_COLUMNS)
 
 
-def _before(p: Params | None):
-    """Earlier installs can only match before the end of the period (pushed to the scan)."""
-    if p is None:
-        return F.lit(True)
-    end = F.date_add(F.lit(p.period_end).cast("date"), 1).cast("timestamp")
-    return TM.as_timestamp("event_time") < end
+@dataclass(frozen=True)
+class Reach:
+    """First and last instant of the single installs; what their history and uninstalls can lie between."""
+
+    first: dt.datetime | None
+    last: dt.datetime | None
+
+    def earlier(self) -> F.Column:
+        return F.lit(False) if self.last is None else TM.as_timestamp("event_time") < F.lit(self.last)
+
+    def uninstalled(self, window_days: int) -> F.Column:
+        """After the first install, at most ``window_days`` after the last (the window ends at midnight)."""
+        if self.first is None:
+            return F.lit(False)
+        t = TM.as_timestamp("event_time")
+        return (t > F.lit(self.first)) & (t <= F.date_add(F.lit(self.last), window_days).cast("timestamp"))
 
 
-def _uninstall_reach(p: Params | None):
-    """Uninstalls that can fall in some install's window: after the period start, at most
-    `window_days` after the period end (the window ends at midnight)."""
-    if p is None:
-        return F.lit(True)
-    t = TM.as_timestamp("event_time")
-    lo = F.lit(p.period_start).cast("date").cast("timestamp")
-    hi = F.date_add(F.lit(p.period_end).cast("date"), p.uninstall_window_days).cast("timestamp")
-    return (t > lo) & (t <= hi)
+def reach(single: DataFrame) -> Reach:
+    """From the (materialised) single installs themselves: the period is a test on another column, the install day,
+    which need not be the day of the install instant."""
+    row = single.agg(F.min("install_date").alias("first"), F.max("install_date").alias("last")).first()
+    return Reach(row["first"], row["last"])
 
 
-def earlier_installs(events: DataFrame, p: Params | None = None) -> DataFrame:
+def earlier_installs(events: DataFrame, bound: Reach | None = None) -> DataFrame:
     """All install/reinstall instants per advertising id (any earlier period), distinct."""
+    within = F.lit(True) if bound is None else bound.earlier()
     return (events
-            .filter(F.col("event_name").isin(*V.INSTALL_EVENTS) & _before(p) & R.valid_id("advertising_id"))
+            .filter(F.col("event_name").isin(*V.INSTALL_EVENTS) & within & R.valid_id("advertising_id"))
             .select(F.col("advertising_id").alias("advertising_antigo"),
                     TM.as_timestamp("event_time").alias("install_date_antigo"))
             .dropDuplicates())
 
 
-def uninstalls(events: DataFrame, p: Params | None = None) -> DataFrame:
-    """Uninstall instants per appsflyer id, distinct (only those an install of `p` can reach)."""
+def uninstalls(events: DataFrame, bound: Reach | None = None, window_days: int = 8) -> DataFrame:
+    """Uninstall instants per appsflyer id, distinct (given a bound, only those that some install can reach)."""
+    within = F.lit(True) if bound is None else bound.uninstalled(window_days)
     return (events
-            .filter(F.col("event_name").isin(*V.UNINSTALL_EVENTS) & _uninstall_reach(p) & R.valid_id("advertising_id"))
+            .filter(F.col("event_name").isin(*V.UNINSTALL_EVENTS) & within & R.valid_id("advertising_id"))
             .select(F.col("appsflyer_id").alias("appsflyer_id_un"),
                     TM.as_timestamp("event_time").alias("uninstall_date"))
             .dropDuplicates())
@@ -134,7 +145,7 @@ def uninstall_stats(installs: DataFrame, un: DataFrame, window_days: int) -> Dat
 def install_history(events: DataFrame, p: Params) -> DataFrame:
     """AGG1 without the uninstall fan-out: earlier installs and recency per single install."""
     single = single_installs(events, p)
-    hist = history_stats(single, earlier_installs(events, p))
+    hist = history_stats(single, earlier_installs(events))
     return (single.join(hist, "advertising_appsflyer", "left")
             .select("advertising_appsflyer", "install_date_sm",
                     F.coalesce(F.col("n_old"), F.lit(0)).alias("total_installs_antigos"),
@@ -151,10 +162,11 @@ def build_installs(attribution: DataFrame, p: Params) -> DataFrame:
     the upstream o × u fan-out; ``p.dedupe_uninstalls`` gives o.
     """
     events = tables.attribution_events(attribution, p, dedupe=False)
-    # three consumers below: compute the single installs once
-    single = materialise(single_installs(events, p), p.materialise)
-    hist = history_stats(single, earlier_installs(events, p))
-    unc = uninstall_stats(single, uninstalls(events, p), p.uninstall_window_days)
+    # four consumers below: compute the single installs once
+    single = materialise(single_installs(events, p), p.materialise, "single-installs")
+    bound = reach(single) if p.materialise else None
+    hist = history_stats(single, earlier_installs(events, bound))
+    unc = uninstall_stats(single, uninstalls(events, bound, p.uninstall_window_days), p.uninstall_window_days)
     n_old = F.coalesce(F.col("n_old"), F.lit(0))
     n_un = F.coalesce(F.col("n_uninstall"), F.lit(0))
     total = n_old if p.dedupe_uninstalls else n_old * F.greatest(n_un, F.lit(1))

@@ -10,6 +10,7 @@ exactly the upstream rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,14 @@ from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import values as V
 from attrition.operators import hits as H
-from attrition.session import broadcast_if_small, materialise
+from attrition.session import materialise
 
 INSTALL_ATTRS = ["install_manha", "install_tarde", "install_noite", "install_madrugada", "install_grouping",
                  "install_channel", "total_installs_antigos", "recencia_last_install"]
-BRUTO_COLUMNS = ["id_ga", "visitId", "visitNumber", "channelGrouping", "geoNetwork", "trafficSource", "totals",
-                 "hits", "timestamp_hit", "idcliente", *INSTALL_ATTRS, "uninstall"]
+# what the facts need of a hit; everything else stays out of the wide join's shuffle
+LEAN_COLUMNS = ["id_ga", "date", "session_id", "visitNumber", "channelGrouping", "isTrueDirect", "regioes", "hits",
+                "screenviews", "UniqueScreenviews", "sessionQualityDim", "action_event_v1", "action_event_v2", "dims",
+                "timestamp_hit", "idcliente"]
 FACT_COLUMNS = ["id_ga", "sexo", "faixa_etaria", "session_id", "hits", "screenviews", "UniqueScreenviews",
                 "sessionQualityDim", "visitNumber", "channelGrouping", "SessionVisitTime_minutes", "regioes",
                 *INSTALL_ATTRS, "isTrueDirect", "screen_view", "produto_view", "action_event_v1",
@@ -48,40 +51,49 @@ def hits_after_install(ga: DataFrame, vim: DataFrame, p: Params) -> DataFrame:
 
 
 def _dimension_pairs(p: Params) -> F.Column:
-    """Per custom dimension of a hit: (screen_view, produto_view)."""
-    return F.transform("hits.customDimensions", lambda x: F.struct(
+    """The distinct (screen_view, produto_view) pairs of a hit's custom dimensions."""
+    return F.array_distinct(F.transform("hits.customDimensions", lambda x: F.struct(
         R.whitelist(R.dimension_value(x, V.SCREEN_DIMENSION), V.SCREEN_TEMPLATES).alias("screen_view"),
-        R.product_class(R.dimension_value(x, V.DEPARTMENT_DIMENSION), p.fix_tail).alias("produto_view")))
+        R.product_class(R.dimension_value(x, V.DEPARTMENT_DIMENSION), p.fix_tail).alias("produto_view"))))
 
 
-def session_facts(ga_bruto: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
+def lean_hits(ga: DataFrame, p: Params) -> DataFrame:
+    """The scanned hits as flat, recoded columns (see ``LEAN_COLUMNS``): the nested arrays and structs end here."""
+    actions = H.action_columns(p)
+    return ga.select(
+        "id_ga", "date", H.session_id().alias("session_id"), "visitNumber", "channelGrouping",
+        F.col("trafficSource.isTrueDirect").alias("isTrueDirect"),
+        R.region_bucket("geoNetwork.region", p.fix_region).alias("regioes"),
+        F.col("totals.hits").alias("hits"), F.col("totals.screenviews").alias("screenviews"),
+        F.col("totals.UniqueScreenviews").alias("UniqueScreenviews"),
+        F.col("totals.sessionQualityDim").alias("sessionQualityDim"),
+        actions["action_event_v1"].alias("action_event_v1"), actions["action_event_v2"].alias("action_event_v2"),
+        _dimension_pairs(p).alias("dims"), "timestamp_hit",
+        R.first_dimension("customDimensions", V.CUSTOMER_DIMENSION).alias("idcliente"))
+
+
+def _customer_key(idcliente: F.Column, session: F.Column) -> F.Column:
+    """The join key of a customer id; hits without one are spread by session and meet no customer."""
+    none = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(session), F.lit(1024)).cast("string"))
+    return F.coalesce(idcliente, none)
+
+
+def session_facts(bruto: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
     """PIP2: distinct session-and-action rows with customer attributes.
 
-    ``ga_bruto`` are the joined hits with `idcliente`; ``customers`` has
-    `idcliente, sexo, faixa_etaria`.
+    ``bruto`` are the joined ``lean_hits``; ``customers`` has `idcliente, sexo, faixa_etaria`.
     """
-    actions = H.action_columns(p)
-    rows = (ga_bruto
-            .select("id_ga", H.session_id().alias("session_id"), "idcliente",
-                    F.col("totals.hits").alias("hits"), F.col("totals.screenviews").alias("screenviews"),
-                    F.col("totals.UniqueScreenviews").alias("UniqueScreenviews"),
-                    F.col("totals.sessionQualityDim").alias("sessionQualityDim"),
-                    "visitNumber", "channelGrouping",
-                    R.region_bucket("geoNetwork.region", p.fix_region).alias("regioes"),
-                    *INSTALL_ATTRS,
-                    F.col("trafficSource.isTrueDirect").alias("isTrueDirect"),
-                    actions["action_event_v1"].alias("action_event_v1"),
-                    actions["action_event_v2"].alias("action_event_v2"),
-                    "uninstall",
-                    F.explode(_dimension_pairs(p)).alias("dim"))
+    carried = [c for c in LEAN_COLUMNS if c not in ("date", "dims", "timestamp_hit")]
+    rows = (bruto.select(*carried, *INSTALL_ATTRS, "uninstall", F.explode("dims").alias("dim"))
             .select("*", "dim.screen_view", "dim.produto_view").drop("dim")
             .dropDuplicates())
-    times = H.session_times(ga_bruto).select(F.col("session_id").alias("sid"), "SessionVisitTime_minutes")
+    times = H.session_times(bruto).select(F.col("session_id").alias("sid"), "SessionVisitTime_minutes")
     with_times = rows.join(times, rows["session_id"].eqNullSafe(times["sid"]), "inner").drop("sid")
-    # customers: broadcast only under the size limit, else a shuffle join (AQE may
-    # still convert it, and splits a hot or null customer id on the hit side)
-    cust = broadcast_if_small(customers.select("idcliente", "sexo", "faixa_etaria"))
-    return (with_times.join(cust, "idcliente", "left")
+    # no hint: Spark broadcasts the customers only if they are measured to be small,
+    # else a shuffle join, in which a hot customer id on the hit side is split
+    keyed = with_times.withColumn("customer", _customer_key(F.col("idcliente"), F.col("session_id")))
+    cust = customers.where(F.col("idcliente").isNotNull()).select(F.col("idcliente").alias("customer"), "sexo", "faixa_etaria")
+    return (keyed.join(cust, "customer", "left")
             .select(*FACT_COLUMNS)
             .dropDuplicates())
 
@@ -92,14 +104,14 @@ def first_visits(rows: DataFrame) -> DataFrame:
                                      F.max(F.col("visitNumber").isNull()).alias("_has_null_visit"))
 
 
-def first_visits_from_hits(ga_bruto: DataFrame) -> DataFrame:
-    """The same figures taken from the joined hits.
+def first_visits_from_hits(bruto: DataFrame) -> DataFrame:
+    """The same figures taken from the joined lean hits.
 
     A hit yields fact rows exactly when its dimension array is non-empty (the
     explode drops the rest, the later joins keep every row), so this equals
     `first_visits(facts)` without reading the facts a second time.
     """
-    return first_visits(ga_bruto.filter(F.size("hits.customDimensions") > 0))
+    return first_visits(bruto.filter(F.size("dims") > 0))
 
 
 def first_visit_flag(facts: DataFrame, first: DataFrame | None = None) -> DataFrame:
@@ -126,13 +138,13 @@ def with_channel_latency0(facts: DataFrame, first: DataFrame | None = None) -> D
             .drop("isTrueDirect", "channelGrouping", "install_grouping", "visitNumber", "is_first_visit"))
 
 
-def sampled_hits(installs: DataFrame, hits: DataFrame, p: Params) -> DataFrame:
-    """JN3 + JN4 + ARR3: hits of the sampled installers in their interval, with login flag and customer id.
+def _after_install(installs: DataFrame, hits: DataFrame, p: Params, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """JN3 + JN4: projected hits of the sampled installers, in their interval.
 
     The visitor map needs the whole period's hits; the joined side only needs
     hit days from the first sampled install day to `hit_days_after_install`
     after the last (nothing else can pass the interval), so that scan is
-    restricted to those days.
+    restricted to those days, and projected before the join's shuffle.
     """
     from attrition.sources import tables
 
@@ -140,14 +152,18 @@ def sampled_hits(installs: DataFrame, hits: DataFrame, p: Params) -> DataFrame:
     vim = visitor_install_map(tables.visitor_device_map(ga), _sample(installs, p))
     last = (dt.date.fromisoformat(p.sample_end) + dt.timedelta(days=p.hit_days_after_install)).isoformat()
     ga_days = tables.normalised_hits(hits, p, days=(p.sample_start, last))
-    return H.with_session_dimensions(hits_after_install(ga_days, vim, p))
+    return hits_after_install(project(ga_days), vim, p)
+
+
+def sampled_hits(installs: DataFrame, hits: DataFrame, p: Params) -> DataFrame:
+    """JN3 + JN4 + ARR3: whole hits of the sampled installers, with login flag and customer id."""
+    return H.with_session_dimensions(_after_install(installs, hits, p, lambda ga: ga))
 
 
-def bruto_columns(ga_bruto: DataFrame) -> DataFrame:
-    """Only what the facts need (the hit struct keeps its dimensions and event info)."""
-    hit = F.struct(F.col("hits.customDimensions").alias("customDimensions"),
-                   F.col("hits.eventInfo").alias("eventInfo"))
-    return ga_bruto.select(*[hit.alias("hits") if c == "hits" else F.col(c) for c in BRUTO_COLUMNS])
+def sampled_lean_hits(installs: DataFrame, hits: DataFrame, p: Params) -> DataFrame:
+    """The same hits as the facts need them."""
+    rows = _after_install(installs, hits, p, lambda ga: lean_hits(ga, p))
+    return rows.select(*LEAN_COLUMNS, *INSTALL_ATTRS, "uninstall")
 
 
 def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
@@ -160,9 +176,9 @@ def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p:
 
     # the sampled hits feed three aggregates (facts, session times, first
     # visits): written once instead of re-scanning and re-joining the hit table
-    ga_bruto = materialise(bruto_columns(sampled_hits(installs, hits, p)), p.materialise)
+    bruto = materialise(sampled_lean_hits(installs, hits, p), p.materialise, "sampled-hits")
     cust = tables.customers_with_age_band(customers, p)
-    return with_channel_latency0(session_facts(ga_bruto, cust, p), first_visits_from_hits(ga_bruto))
+    return with_channel_latency0(session_facts(bruto, cust, p), first_visits_from_hits(bruto))
 
 
 def _sample(installs: DataFrame, p: Params) -> DataFrame:

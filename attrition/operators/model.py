@@ -77,7 +77,7 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     column) is null. Output: `col_i, col_j, i, j, r` for i < j.
     """
     columns = columns or correlation_columns(df)
-    num = df.select(*[_q(c).cast("double").alias(f"c{n}") for n, c in enumerate(columns)])
+    num = df.select(*[_as_number(df, c).alias(f"c{n}") for n, c in enumerate(columns)])
     means = list(num.agg(*[F.avg(c) for c in num.columns]).first())
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     parts = num.mapInPandas(_moments(columns, means), schema)
@@ -148,7 +148,14 @@ def with_weight(df: DataFrame, scale_pos_weight: float | None) -> DataFrame:
 
 def numeric_features(df: DataFrame, features: list[str]) -> DataFrame:
     """Booleans and ints as doubles for the assembler."""
-    return df.withColumns({c: _q(c).cast("double") for c in features})
+    return df.withColumns({c: _as_number(df, c) for c in features})
+
+
+def _as_number(df: DataFrame, c: str) -> F.Column:
+    """A dummy that a date partition was written without is null there: the category did not occur, so 0.0."""
+    if isinstance(df.schema[c].dataType, T.BooleanType):
+        return F.coalesce(_q(c), F.lit(False)).cast("double")
+    return _q(c).cast("double")
 
 
 def metrics(predictions: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -204,9 +211,9 @@ def model_features(model: PipelineModel) -> list[str]:
 
 
 def align_features(df: DataFrame, features: list[str]) -> DataFrame:
-    """The model's feature columns; a dummy the scoring data lacks is all-false (0.0)."""
+    """The model's feature columns; a dummy the scoring data lacks, or has as null, is false (0.0)."""
     have = set(df.columns)
-    cols = [_q(c).cast("double").alias(c) if c in have else F.lit(0.0).alias(c) for c in features]
+    cols = [_as_number(df, c).alias(c) if c in have else F.lit(0.0).alias(c) for c in features]
     return df.select(_q(ID), *cols)
 
 

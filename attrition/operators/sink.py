@@ -1,19 +1,19 @@
 """Date-partitioned tables: stamp, replace one partition, memoise, read (SNK1-4, SRC4, SRC7).
 
 Upstream deletes the rows of the date and then appends (two steps on a Delta
-table). Here one write with dynamic partition overwrite replaces exactly the
-partitions present in the new data and leaves every other date untouched, so
-a re-run is idempotent and no reader sees the partition empty.
+table). Here one overwrite of one date partition does both, also when the new
+data has no rows, and leaves every other date untouched, so a re-run is
+idempotent. Data that spans dates replaces exactly the dates it contains.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from attrition.sources.schemas import PARTITION_COLUMNS
 
@@ -21,29 +21,33 @@ from attrition.sources.schemas import PARTITION_COLUMNS
 def stamp(df: DataFrame, day: str, now: dt.datetime | None = None) -> DataFrame:
     """SNK4: DtRef and the year/month/day partition strings from 'yyyy-mm-dd', plus TsAtualizacao.
 
-    The parts are the pieces of the given string (as upstream splits it);
-    TsAtualizacao is the query time unless a fixed ``now`` is given.
+    The parts are the pieces of the given string (as upstream splits it), which
+    must be zero-padded, as the partitions are read by; TsAtualizacao is the
+    query time unless a fixed ``now`` is given.
     """
-    year, month, dom = day.split("-")
+    year, month, dom = day_parts(day)
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     return df.withColumns({"DtRef": F.lit(day), "AaParticao": F.lit(year), "MmParticao": F.lit(month),
                            "DdParticao": F.lit(dom), "TsAtualizacao": ts})
 
 
+def day_parts(day: str) -> tuple[str, str, str]:
+    """('2023', '09', '05') of '2023-09-05'; any other spelling of a date is an error."""
+    if dt.date.fromisoformat(day).isoformat() != day:
+        raise ValueError(f"not a yyyy-mm-dd date: {day!r}")
+    year, month, dom = day.split("-")
+    return year, month, dom
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """SRC7: false also when the database does not exist."""
-    try:
-        return spark.catalog.tableExists(name)
-    except Exception:
-        return False
+    """SRC7: false also when the database does not exist; an unreachable catalog is an error, not a missing table."""
+    return spark.catalog.tableExists(name)
 
 
 def partition_filter(day: str, columns=PARTITION_COLUMNS) -> F.Column:
     """Equality on the zero-padded partition strings (prunable), from 'yyyy-mm-dd'."""
-    d = dt.date.fromisoformat(day)
-    parts = (f"{d.year:04d}", f"{d.month:02d}", f"{d.day:02d}")
     cond = None
-    for c, v in zip(columns, parts):
+    for c, v in zip(columns, day_parts(day)):
         term = F.col(c) == F.lit(v)
         cond = term if cond is None else cond & term
     return cond
@@ -62,6 +66,39 @@ def _add_missing_columns(spark: SparkSession, table: str, df: DataFrame) -> None
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
 
 
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """`df` with the table's columns, in its order; new columns are added to the table first."""
+    spark = df.sparkSession
+    _add_missing_columns(spark, table, df)
+    have = {c.lower(): c for c in df.columns}
+    return df.select(*[
+        F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) if f.name.lower() in have
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema.fields])
+
+
+def replace_day(df: DataFrame, table: str, day: str, path: str | None = None, fmt: str = "parquet") -> None:
+    """SNK1 + SNK2 for one date: afterwards the partition of `day` holds exactly the rows of `df`, which may be none.
+
+    An overwrite with the whole partition named clears the date even if no row
+    replaces it, in any overwrite mode of the session.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        replace_partitions(df, table, path=path, fmt=fmt)
+        return
+    aligned = _aligned(df, table)
+    view = f"new_rows_{uuid.uuid4().hex}"
+    aligned.createOrReplaceTempView(view)
+    spec = ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, day_parts(day)))
+    kept = ", ".join(f"`{c}`" for c in aligned.columns if c not in PARTITION_COLUMNS)
+    where = spec.replace(", ", " AND ")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {kept} FROM {view} WHERE {where}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_COLUMNS,
                        path: str | None = None, fmt: str = "parquet") -> None:
     """SNK1 + SNK2: write `df`, replacing only the partitions it contains.
@@ -78,13 +115,7 @@ def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_CO
             w = w.option("path", path)
         w.saveAsTable(table)
         return
-    _add_missing_columns(spark, table, df)
-    target = spark.table(table).schema
-    have = {c.lower(): c for c in df.columns}
-    aligned = df.select(*[
-        F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) if f.name.lower() in have
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in target.fields])
+    aligned = _aligned(df, table)
     # the writer option alone is not honoured by insertInto on a catalog table: set the
     # session mode for this one write and put the previous value back
     key = "spark.sql.sources.partitionOverwriteMode"
@@ -110,9 +141,5 @@ def memo_partition(spark: SparkSession, table: str, day: str, compute: Callable[
         stored = read_partition(spark, table, day)
         if not stored.isEmpty():
             return stored
-    replace_partitions(stamp(compute(), day, now), table, path=path)
+    replace_day(stamp(compute(), day, now), table, day, path=path)
     return read_partition(spark, table, day)
-
-
-def schema_of(spark: SparkSession, table: str) -> T.StructType:
-    return spark.table(table).schema

@@ -18,7 +18,7 @@ from attrition.operators import installs as I
 from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
-from attrition.session import materialise
+from attrition.session import materialise, scratch_scope
 
 
 def load_sources(spark: SparkSession, attribution_table: str, hits_table: str, customers_table: str) -> dict:
@@ -36,30 +36,46 @@ def load_sources(spark: SparkSession, attribution_table: str, hits_table: str, c
             "customers": check_contract(spark.table(customers_table), schemas.CUSTOMERS, customers_table)}
 
 
-def build_feature_table(sources: dict, p: Params, vocab=None) -> DataFrame:
+def build_feature_table(sources: dict, p: Params, vocab=None, save_vocab=None) -> DataFrame:
     """PIP1 -> PIP3 -> PIP4."""
     installs = I.build_installs(sources["attribution_events"], p)
     joined = J.build_joined(installs, sources["hits"], sources["customers"], p)
-    return FT.build_features(joined, p, vocab)
+    return FT.build_features(joined, p, vocab, save_vocab)
+
+
+def frozen_vocab(spark: SparkSession, table: str | None):
+    """The stored vocabulary (None before the first build)."""
+    if table is None or not S.table_exists(spark, table):
+        return None
+    return FT.vocab_list(spark.table(table)) or None
 
 
 def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str | None = None,
                      day: str | None = None, path: str | None = None,
-                     now: dt.datetime | None = None) -> DataFrame:
+                     now: dt.datetime | None = None, vocab_table: str | None = None) -> DataFrame:
     """E1 / PIP5: the feature rows of `day` (default: end of the sample range).
 
     With a table name the partition is memoised: stored rows are returned
-    as they are, otherwise the build runs and replaces the date partition.
+    as they are, otherwise the build runs and replaces the date partition. The
+    first build stores the one-hot vocabulary in `vocab_table`; later ones read
+    it, so that every date has the same columns.
     """
+    def save(vocab: DataFrame) -> None:
+        if vocab_table is not None and not vocab.isEmpty():
+            vocab.coalesce(1).write.mode("overwrite").saveAsTable(vocab_table)
+
+    def build() -> DataFrame:
+        return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save)
+
     if table is None:
-        return build_feature_table(sources, p)
-    return S.memo_partition(spark, table, day or p.sample_end, lambda: build_feature_table(sources, p),
-                            path=path, now=now)
+        return build()
+    with scratch_scope(spark):
+        return S.memo_partition(spark, table, day or p.sample_end, build, path=path, now=now)
 
 
 def train_job(features: DataFrame, cfg: ModelConfig = ModelConfig(), model_path: str | None = None):
-    """E2 / ML8: returns (model, metrics row). The feature table is read once into the checkpoint."""
-    feats = materialise(features)
+    """E2 / ML8: returns (model, metrics row)."""
+    feats = materialise(features, name="training-rows")
     model, metrics, _ = M.train(feats, cfg)
     if model_path:
         M.save_model(model, model_path)
@@ -74,5 +90,5 @@ def score_job(features: DataFrame, model: PipelineModel | str, day: str, table:
     stamped = S.stamp(M.score(features, model), day, now)
     if table is None:
         return stamped
-    S.replace_partitions(stamped, table, path=path)
+    S.replace_day(stamped, table, day, path=path)
     return S.read_partition(features.sparkSession, table, day)

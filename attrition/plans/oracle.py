@@ -9,10 +9,10 @@ same rules as `attrition.sources.testmap`.
 
 from __future__ import annotations
 
-from attrition.config import Params
 from attrition.functions import values as V
+from attrition.sources import testmap
 
-P = Params()
+P = testmap.PARAMS
 
 
 def _q(s: str) -> str:
@@ -53,20 +53,20 @@ def cte(name: str, deps: list[str], sql: str) -> None:
 
 # ---------------------------------------------------------------- adapter
 cte("ev", [], """
-SELECT event_id, ts, user_id, event_type,
-       CAST(regexp_replace(props, '[^0-9]', '', 'g') AS INTEGER) AS k,
-       CAST(ts AS DATE) AS d, CAST(EXTRACT(day FROM ts) AS INTEGER) AS dom
-FROM events""")
+SELECT event_id, ts, user_id, event_type, k, CAST(ts AS DATE) AS d, CAST(EXTRACT(day FROM ts) AS INTEGER) AS dom,
+       user_id * 16 + k % 16 AS dev
+FROM (SELECT event_id, ts - INTERVAL 10 DAY AS ts, user_id, event_type,
+             CAST(regexp_replace(props, '[^0-9]', '', 'g') AS INTEGER) AS k FROM events)""")
 
 cte("af_raw", ["ev"], """
 SELECT CASE WHEN event_id % 97 = 0 THEN '0000-0000'
             WHEN event_id % 101 = 0 THEN '00000000-0000-0000-0000-000000000000'
-            WHEN event_id % 103 = 0 THEN NULL ELSE 'a' || CAST(user_id AS VARCHAR) END AS advertising_id,
-       'd' || CAST(user_id AS VARCHAR) AS appsflyer_id,
+            WHEN event_id % 103 = 0 THEN NULL ELSE 'a' || CAST(dev AS VARCHAR) END AS advertising_id,
+       'd' || CAST(dev AS VARCHAR) AS appsflyer_id,
        CASE WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'reinstall' WHEN event_type = 'signup' THEN 'install'
-            WHEN event_type = 'error' AND event_id % 6 = 0 THEN 'uninstall' WHEN event_type = 'error' THEN 'af_error'
+            WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'uninstall' WHEN event_type = 'error' THEN 'af_error'
             WHEN event_type = 'view' THEN 'af_login' ELSE event_type END AS event_name,
-       ts AS event_time, d AS event_time_sm,
+       ts AS event_time, CASE WHEN event_id % 53 = 0 THEN d - 1 ELSE d END AS event_time_sm,
        CASE k % 4 WHEN 0 THEN 'Organico' WHEN 1 THEN 'Install Aquisicao' WHEN 2 THEN 'Remarketing' END AS atribuicao_canais,
        CASE k % 5 WHEN 0 THEN 'facebook ads' WHEN 1 THEN 'googleadwords_int' WHEN 2 THEN 'restricted'
                   WHEN 3 THEN 'other_net' END AS media_source,
@@ -76,10 +76,10 @@ SELECT CASE WHEN event_id % 97 = 0 THEN '0000-0000'
 FROM ev""")
 
 cte("hits_raw", ["ev"], f"""
-SELECT 'g' || CAST(user_id AS VARCHAR) AS FullVisitorId,
-       CAST(20240100 + dom AS BIGINT) AS visitId,
-       CAST(dom AS INTEGER) AS visitNumber,
-       CAST(20240100 + dom AS INTEGER) AS date,
+SELECT 'g' || CAST(dev AS VARCHAR) AS FullVisitorId,
+       CAST(strftime(d, '%Y%m%d') AS BIGINT) AS visitId,
+       CASE WHEN dev % 29 <> 0 THEN CAST(d - DATE '2023-12-01' AS INTEGER) END AS visitNumber,
+       CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date,
        CASE (user_id + dom) % 4 WHEN 0 THEN 'SEM - Shopping' WHEN 1 THEN 'CRM - Marketing Direto'
             WHEN 2 THEN 'Organic Search' ELSE 'Remarketing' END AS channelGrouping,
        struct_pack(operatingSystem := CASE WHEN user_id % 7 = 6 THEN 'iOS' ELSE 'Android' END) AS device,
@@ -87,36 +87,38 @@ SELECT 'g' || CAST(user_id AS VARCHAR) AS FullVisitorId,
             WHEN 2 THEN 'State of Para' WHEN 3 THEN 'Federal District' WHEN 4 THEN 'State of Bahia'
             WHEN 5 THEN 'Lisbon' END) AS geoNetwork,
        struct_pack(isTrueDirect := (user_id + dom) % 5 = 0) AS trafficSource,
-       struct_pack(hits := CAST((user_id * 31 + dom) % 40 AS INTEGER),
-                   screenviews := CAST((user_id * 31 + dom) % 20 AS INTEGER),
-                   UniqueScreenviews := CAST((user_id * 31 + dom) % 11 AS INTEGER),
-                   sessionQualityDim := CASE WHEN user_id % 50 <> 0 THEN CAST((user_id * 7 + dom) % 100 AS INTEGER) END
+       struct_pack(hits := CAST((dev * 31 + dom) % 40 AS INTEGER),
+                   screenviews := CAST((dev * 31 + dom) % 20 AS INTEGER),
+                   UniqueScreenviews := CAST((dev * 31 + dom) % 11 AS INTEGER),
+                   sessionQualityDim := CASE WHEN user_id % 50 <> 0 THEN CAST((dev * 7 + dom) % 100 AS INTEGER) END
        ) AS totals,
        list_filter([
            struct_pack("index" := 4, "value" := CASE WHEN user_id % 3 = 0 THEN 'deslogado' ELSE 'logado' END),
            CASE WHEN user_id % 3 <> 0 THEN struct_pack("index" := 68, "value" := CAST(user_id AS VARCHAR)) END,
-           struct_pack("index" := 69, "value" := CASE WHEN user_id % 13 = 0 THEN '0000-0000'
-                                                       ELSE 'a' || CAST(user_id AS VARCHAR) END)
+           struct_pack("index" := 69, "value" := CASE WHEN dev % 13 = 0 THEN '0000-0000'
+                                                       ELSE 'a' || CAST(dev AS VARCHAR) END)
        ], lambda x: x IS NOT NULL) AS customDimensions,
        struct_pack(
-           HitNumber := CAST(row_number() OVER (PARTITION BY user_id, d ORDER BY ts, event_id) AS INTEGER),
+           HitNumber := CAST(row_number() OVER (PARTITION BY dev, d ORDER BY ts, event_id) AS INTEGER),
            time := CAST((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) * 1000 AS BIGINT),
-           hour := CAST(hour(ts) AS VARCHAR),
-           minute := CAST(minute(ts) AS VARCHAR),
-           customDimensions := CASE WHEN k % 10 = 9 THEN CAST([] AS {DIM_T}[]) ELSE [
+           hour := CASE WHEN event_id % 89 = 0 THEN 'xx' ELSE CAST(hour(ts) AS VARCHAR) END,
+           minute := CASE WHEN event_id % 83 <> 0 THEN CAST(minute(ts) AS VARCHAR) END,
+           customDimensions := CASE WHEN event_id % 10 = 9 THEN CAST([] AS {DIM_T}[]) ELSE [
                struct_pack("index" := 5, "value" := CASE k % 6 WHEN 0 THEN 'busca' WHEN 1 THEN 'produto'
                    WHEN 2 THEN 'home' WHEN 3 THEN '' WHEN 4 THEN 'outra' END),
-               struct_pack("index" := 6, "value" := CASE k % 5 WHEN 0 THEN 'moveis' WHEN 1 THEN 'games'
+               struct_pack("index" := 6, "value" := CASE event_id % 5 WHEN 0 THEN 'moveis' WHEN 1 THEN 'games'
                    WHEN 2 THEN 'outro depto' WHEN 3 THEN '' END)] END,
            eventInfo := struct_pack(
                eventCategory := CASE event_type WHEN 'view' THEN 'produto' WHEN 'click' THEN 'acesso'
                                  WHEN 'purchase' THEN 'carrinho' ELSE 'erro' END,
-               eventAction := CASE event_type WHEN 'view' THEN 'navegou' WHEN 'click' THEN 'clicou'
-                                 WHEN 'purchase' THEN 'calculou' END,
+               eventAction := CASE WHEN event_type = 'view' THEN 'navegou' WHEN event_type = 'click' THEN 'clicou'
+                                   WHEN event_type = 'purchase' THEN 'calculou' WHEN k % 7 = 0 THEN 'exibiu' END,
                eventLabel := CASE WHEN event_type = 'click' AND k % 2 = 0 THEN 'senha'
-                                  WHEN event_type = 'click' THEN 'ativou biometria' END)
+                                  WHEN event_type = 'click' THEN 'ativou biometria'
+                                  WHEN event_type IN ('error', 'signup') AND k % 7 = 0 THEN {_q(testmap.DELIVERY_ERROR)} END)
        ) AS hits,
-       'APP' AS OrigemParticao, '2024' AS AaParticao, '01' AS MmParticao,
+       CASE WHEN user_id % 12 = 11 THEN 'WEB' ELSE 'APP' END AS OrigemParticao,
+       strftime(d, '%Y') AS AaParticao, strftime(d, '%m') AS MmParticao,
        CASE WHEN user_id % 10 = 9 THEN 'OTHER' ELSE 'BRAND_A' END AS BandeiraParticao
 FROM ev""")
 
@@ -124,10 +126,11 @@ cte("customers_raw", [], """
 SELECT CASE WHEN c_custkey % 11 = 0 THEN 'LOJA' ELSE 'SITE' END AS origem,
        CASE WHEN c_custkey % 17 = 0 THEN 'OTHER' ELSE 'BRAND_A' END AS bandeira,
        CAST(c_custkey AS VARCHAR) AS idcliente,
-       CASE c_custkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'm' WHEN 2 THEN 'F' WHEN 3 THEN 'f' END AS sexo,
+       CASE (c_custkey + copy) % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'm' WHEN 2 THEN 'F' WHEN 3 THEN 'f' END AS sexo,
        CASE WHEN c_custkey % 23 <> 0
             THEN DATE '2024-01-31' - CAST(6000 + (c_custkey * 17) % 22000 AS INTEGER) END AS datanascimento
-FROM customer""")
+FROM (SELECT c_custkey, unnest(CASE WHEN c_custkey % 19 = 0 THEN [0, 0] WHEN c_custkey % 31 = 0 THEN [0, 1] ELSE [0] END)
+             AS copy FROM customer)""")
 
 # ---------------------------------------------------------------- sources (SRC1-3)
 _AGE = "floor(date_diff('day', datanascimento, DATE {asof}) / 365.25)".format(asof=_q(P.as_of))
@@ -322,7 +325,18 @@ SELECT * REPLACE (
        ELSE 'outros_canais' END AS channelGrouping_latencia0)
 FROM (SELECT DISTINCT * EXCLUDE (screen_view, produto_view, action_event_v1, action_event_v2) FROM amostra)""")
 
-cte("user_agg", ["user_sessoes", "user_hitinfo"], f"""
+OUTLIER_COLS = ["hits", "screenviews", "UniqueScreenviews", "sessionQualityDim", "SessionVisitTime_minutes"]
+
+
+def _quantile(c: str, q: float) -> str:
+    return f"(SELECT quantile_disc(CAST({c} AS DOUBLE), {q}) FROM user_sessoes)"
+
+
+cte("user_sessoes_outliers", ["user_sessoes"], "SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN {c} > {_quantile(c, 0.95)} THEN {_quantile(c, 0.5)} ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for c in OUTLIER_COLS) + ") FROM user_sessoes")
+
+cte("user_agg", ["user_sessoes_outliers", "user_hitinfo"], f"""
 SELECT a.*, h.screen_view, h.produto_view, h.action_event_v1, h.action_event_v2 FROM (
   SELECT id_ga, faixa_etaria, sexo, uninstall,
          count(DISTINCT session_id) AS sessions,
@@ -338,7 +352,7 @@ SELECT a.*, h.screen_view, h.produto_view, h.action_event_v1, h.action_event_v2
          max(recencia_last_install) AS recencia_last_install,
          max(regioes) AS regioes,
          {set_agg('install_channel')}, {set_agg('channelGrouping_latencia0', 'canais')}
-  FROM user_sessoes GROUP BY id_ga, faixa_etaria, sexo, uninstall) a
+  FROM user_sessoes_outliers GROUP BY id_ga, faixa_etaria, sexo, uninstall) a
 JOIN user_hitinfo h ON a.id_ga = h.id_ga""")
 
 
@@ -360,44 +374,41 @@ cte("dummy_long", ["user_agg", "set_elements"], " UNION ALL ".join(
      for c in _SCALAR_DUMMIES]
     + [f'SELECT {AGG_KEYS}, "column" || \'_\' || value AS name FROM set_elements WHERE value IS NOT NULL']))
 
-# DuckDB expands a dynamic PIVOT only in the outermost statement, so these two
-# are final SELECTs rather than CTEs.
+# The vocabulary is a fixed list, so the twin is one plain statement: whether each name occurs among a row's values.
+DUMMIES = [f"{c}_{v}" for c, v in testmap.VOCABULARY]
+
+
+def _ident(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
 ONEHOT_ROWS = f"""
 SELECT a.id_ga, a.uninstall, {', '.join('a.' + c.strip() for c in NUMERIC.split(','))},
-       w.* EXCLUDE (id_ga, faixa_etaria, sexo, uninstall)
+       {', '.join(f"coalesce(w.{_ident(n)}, false) AS {_ident(n)}" for n in DUMMIES)}
 FROM user_agg a
-JOIN (SELECT {AGG_KEYS}, coalesce(COLUMNS(* EXCLUDE ({AGG_KEYS})), false) FROM (
-        PIVOT (SELECT {AGG_KEYS}, name, true AS flag FROM dummy_long) ON name USING bool_or(flag)
-        GROUP BY {AGG_KEYS})) w
+LEFT JOIN (SELECT {AGG_KEYS}, {', '.join(f"bool_or(name = {_q(n)}) AS {_ident(n)}" for n in DUMMIES)}
+           FROM dummy_long GROUP BY {AGG_KEYS}) w
   ON a.id_ga = w.id_ga AND a.faixa_etaria = w.faixa_etaria AND a.sexo = w.sexo AND a.uninstall = w.uninstall"""
 
 # groupby over the non-dummy columns as the dataframe library does it: rows with
 # a null key drop out, dummies are OR-ed
 _KEYS = [c.strip() for c in ("id_ga, uninstall, " + NUMERIC).split(",")]
 BASE_MODELAGEM = f"""
-SELECT {', '.join(_KEYS)}, max(COLUMNS(* EXCLUDE ({', '.join(_KEYS)}))) FROM ({ONEHOT_ROWS})
+SELECT {', '.join(_KEYS)}, {', '.join(f"max({_ident(n)}) AS {_ident(n)}" for n in DUMMIES)} FROM ({ONEHOT_ROWS})
 WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _KEYS)}
-GROUP BY ALL"""
-
-
-_DUMMY_PREFIXES = [c + "_" for c in V.ONEHOT_COLUMNS]
+GROUP BY {', '.join(_KEYS)}"""
 
 
-def _column_order(col: str) -> str:
-    """Sort key of a feature column: label, numeric features, then dummies by (column, value)."""
-    base = " ".join(f"WHEN {_q(c)} THEN {i}" for i, c in enumerate(["uninstall"] + _KEYS[2:]))
-    prefix = " ".join(f"WHEN starts_with({col}, {_q(pf)}) THEN {100 + i}" for i, pf in enumerate(_DUMMY_PREFIXES))
-    suffix = " ".join(f"WHEN starts_with({col}, {_q(pf)}) THEN substr({col}, {len(pf) + 1})"
-                      for pf in _DUMMY_PREFIXES)
-    return (f"struct_pack(a := COALESCE(CASE {col} {base} END, CASE {prefix} END), "
-            f"b := COALESCE(CASE {suffix} END, ''))")
+# the model's candidate columns in frame order: label, numeric features, then the dummies in vocabulary order
+MODEL_COLS = ["uninstall", *_KEYS[2:], *[n for n in DUMMIES if "install_channel" not in n]]
 
 
 def _long(features: str) -> str:
-    cols = "lambda c: c <> 'id_ga' AND c NOT LIKE '%install_channel%'"
-    return (f"(SELECT rk, col, val, {_column_order('col')} AS ok FROM (UNPIVOT ("
-            f"SELECT row_number() OVER (ORDER BY {', '.join(_KEYS)}) AS rk, CAST(COLUMNS({cols}) AS DOUBLE) "
-            f"FROM {features} f) ON COLUMNS(* EXCLUDE (rk)) INTO NAME col VALUE val))")
+    """(rk, ok, col, val): the model's columns in long form; ok is the column's place."""
+    items = ", ".join(f"struct_pack(ok := {i}, col := {_q(c)}, val := CAST({_ident(c)} AS DOUBLE))"
+                      for i, c in enumerate(MODEL_COLS))
+    return (f"(SELECT rk, x.ok AS ok, x.col AS col, x.val AS val FROM (SELECT row_number() OVER (ORDER BY {', '.join(_KEYS)}) "
+            f"AS rk, unnest([{items}]) AS x FROM {features} f) WHERE x.val IS NOT NULL)")
 
 
 def corr_pairs(features: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +21,18 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the sampled visitors' ids prune the hit side of the wide join before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 
+def apply_recommended(spark: SparkSession) -> None:
+    """Set the recommended settings on a running session (all of them are runtime settings)."""
+    for k, v in RECOMMENDED_CONF.items():
+        spark.conf.set(k, v)
+
+
 def cluster_conf(expected_shuffle_bytes: int, advisory_bytes: int = 128 << 20,
                  max_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings for a cluster run, sized from the largest expected shuffle.
@@ -61,8 +71,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is only read here. Where it
-    is unset (local tests) a fresh folder is created and registered.
+    On a cluster this is set by the deployment and is only read here; without
+    it, executors would write to their own disks, so that is an error. Under a
+    local master, which has one disk, a fresh folder is created and registered.
     """
     try:
         sc = spark.sparkContext
@@ -73,17 +84,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if sc is None or not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="attrition-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf)
-        except Exception:  # a core setting some sessions refuse at runtime; the context still gets it below
-            pass
     if sc is None:
         return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def is_local(master: str) -> bool:
+    """True for ``local``, ``local[4]`` ...; ``local-cluster[...]`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def app_key(spark: SparkSession) -> str:
     """Identifies the running application (for per-session memo tables)."""
     try:
@@ -92,52 +106,44 @@ def app_key(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-def materialise(df: DataFrame, enabled: bool = True) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+def materialise(df: DataFrame, enabled: bool = True, name: str = "rows") -> DataFrame:
     """Compute an intermediate once for several consumers.
 
-    Reliable checkpoint to the shared checkpoint folder (one job computes and
-    writes it): the result survives executor loss and cuts the lineage, so
-    later stages do not re-run the scans and joins below it. (Measured: a
-    Parquet round trip instead was slower.) ``enabled=False`` returns the lazy
-    plan unchanged.
+    Written as Parquet under the shared checkpoint folder and read back: the
+    result survives executor loss, cuts the lineage, and later stages read only
+    the columns they need. Inside a ``scratch_scope`` it is deleted at the end.
+    ``enabled=False`` returns the lazy plan unchanged.
     """
     if not enabled:
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """A job whose result is stored when the block ends: its intermediates are deleted then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (the figure Spark's own broadcast rule uses)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # e.g. Spark Connect: no plan statistics available
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the estimated size is under the limit.
-
-    Above the limit (or when no estimate exists) the plan is left to a shuffle
-    join, which adaptive execution may still turn into a broadcast from the
-    measured shuffle size.
-    """
-    from pyspark.sql import functions as F
-
-    if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        try:
-            max_bytes = int(str(conf).rstrip("bB")) if str(conf).rstrip("bB").lstrip("-").isdigit() else 10 << 20
-        except ValueError:
-            max_bytes = 10 << 20
-    if max_bytes <= 0:
-        return df
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df

@@ -34,7 +34,8 @@ def customers_with_age_band(customers: DataFrame, p: Params) -> DataFrame:
             .filter(F.col("origem") == p.customer_origin)
             .filter(F.col("bandeira") == p.brand)
             .select("idcliente", "sexo",
-                    R.age_band("datanascimento", F.lit(p.as_of).cast("date")).alias("faixa_etaria"))
+                    R.age_band("datanascimento", F.current_date() if p.as_of is None else F.lit(p.as_of).cast("date"))
+                    .alias("faixa_etaria"))
             .dropDuplicates())
 
 

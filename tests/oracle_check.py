@@ -58,7 +58,8 @@ def compare(spark, con, sf_dir, key, fn, sql):
     stypes = {f.name: spark_type(f.dataType) for f in sdf.schema.fields}
     if sql is None:
         return f"RUN {key:28s} rows={len(srows):6d} spark={t1 - t0:5.1f}s (rows-only: no SQL twin)"
-    rel = con.sql(sql)
+    con.execute(f"CREATE OR REPLACE VIEW twin AS {sql}")  # as the driver does: one plain statement
+    rel = con.sql("SELECT * FROM twin")
     dcols = rel.columns
     dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     drows = rel.fetchall()

@@ -20,9 +20,10 @@ def test_jobs_through_catalog_tables(spark, tmp_path):
         names[name] = f"src_{name}_{tag}"
         df.write.option("path", str(tmp_path / name)).saveAsTable(names[name])
     src = jobs.load_sources(spark, names["attribution_events"], names["hits"], names["customers"])
-    p = Params()
+    p = testmap.PARAMS
     now = dt.datetime(2024, 1, 31)
-    feats = jobs.data_preparation(spark, src, p, table=f"features_{tag}", path=str(tmp_path / "features"), now=now)
+    feats = jobs.data_preparation(spark, src, p, table=f"features_{tag}", path=str(tmp_path / "features"), now=now,
+                                  vocab_table=f"vocab_{tag}")
     assert {"id_ga", "uninstall", "DtRef", "AaParticao", "MmParticao", "DdParticao"} <= set(feats.columns)
     n = feats.count()
     assert n > 0
@@ -35,7 +36,8 @@ def test_jobs_through_catalog_tables(spark, tmp_path):
                            path=str(tmp_path / "predictions"), now=now)
     rows = preds.collect()
     assert len(rows) == n and all(0.0 <= r["prob_uninstall"] <= 1.0 for r in rows)
-    assert {r["MmParticao"] for r in rows} == {"01"}
+    assert {r["MmParticao"] for r in rows} == {"01"} and feats.schema["install_channel"].dataType.simpleString() == "array<string>"
+    assert not [c for c in feats.columns if c.startswith("install_channel_")]
     from attrition.sources import schemas
 
     assert {f.name: f.dataType for f in preds.schema.fields} == {f.name: f.dataType for f in schemas.PREDICTION.fields}
@@ -58,14 +60,14 @@ def test_command_line(spark, tmp_path, capsys):
     for name, df in testmap.load(spark, SF).items():
         df.write.option("path", str(tmp_path / name)).saveAsTable(f"{name}_{tag}")
     main(["prepare", "--attribution", f"attribution_events_{tag}", "--hits", f"hits_{tag}",
-          "--customers", f"customers_{tag}", "--month", "2024-01", "--period-start", "2024-01-04",
-          "--period-end", "2024-01-04", "--start", "2024-01-04", "--end", "2024-01-04",
+          "--customers", f"customers_{tag}", "--trailing-days", "9", "--end", "2024-01-10", "--as-of", "2024-01-31",
           "--brand", "BRAND_A", "--table", f"features_{tag}", "--path", str(tmp_path / "features")], spark)
     main(["train", "--features", f"features_{tag}", "--model", str(tmp_path / "model"), "--trees", "2"], spark)
     main(["score", "--features", f"features_{tag}", "--model", str(tmp_path / "model"), "--day", "2024-01-04",
           "--table", f"predictions_{tag}", "--path", str(tmp_path / "predictions")], spark)
     out = capsys.readouterr().out
-    assert "feature rows for 2024-01-04" in out and "scores for 2024-01-04" in out
+    assert "feature rows for 2024-01-10" in out and "scores for 2024-01-04" in out
+    assert spark.table(f"features_{tag}_vocab").count() > 5
     assert spark.table(f"predictions_{tag}").count() == spark.table(f"features_{tag}").count()
 
 
@@ -80,6 +82,86 @@ def test_empty_vocabulary_gives_empty_feature_rows(spark):
 @pytest.mark.parametrize("mode", ["exact", "approx"])
 def test_pipeline_with_outlier_replacement(spark, mode):
     src = testmap.load(spark, SF)
-    base = jobs.build_feature_table(src, Params())
-    out = jobs.build_feature_table(src, Params(outliers=mode))
+    base = jobs.build_feature_table(src, testmap.PARAMS.with_(outliers="off"))
+    out = jobs.build_feature_table(src, testmap.PARAMS.with_(outliers=mode))
     assert sorted(r["id_ga"] for r in out.collect()) == sorted(r["id_ga"] for r in base.collect())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_two_days_share_the_first_days_vocabulary(spark, tmp_path):
+    """A channel that is missing on the second day: the columns stay, the dummy is false, and the model can score."""
+    from pyspark.sql import functions as F
+
+    from attrition.operators import model as M
+
+    tag = "days_" + tmp_path.name.replace("-", "_")
+    src, p = testmap.load(spark, SF), testmap.PARAMS
+    kw = {"table": f"features_{tag}", "path": str(tmp_path / "features"), "vocab_table": f"vocab_{tag}"}
+    first = jobs.data_preparation(spark, src, p, day="2024-01-15", **kw)
+    columns = first.columns
+    other = {**src, "hits": src["hits"].withColumn("channelGrouping", F.lit("SEM - Shopping"))
+             .withColumn("trafficSource", F.struct(F.lit(False).alias("isTrueDirect")))}
+    second = jobs.data_preparation(spark, other, p, day="2024-01-16", **kw)
+    assert second.columns == columns and second.count() == first.count() > 0
+    assert second.where("`canais_Direto`").count() == 0 and first.where("`canais_Direto`").count() > 0
+    model, _ = jobs.train_job(first, ModelConfig(max_iter=2))
+    # a partition written without a dummy has it as null: scored as false
+    without = M.model_features(model)[-1]
+    a = M.score(second.withColumn(without, F.lit(None).cast(second.schema[without].dataType)), model)
+    b = M.score(second.drop(without), model)
+    if second.schema[without].dataType.simpleString() == "boolean":
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_age_band_follows_the_run_date(spark):
+    from attrition.config import trailing_days
+    from attrition.sources.tables import customers_with_age_band
+
+    born = dt.date.today() - dt.timedelta(days=int(20.5 * 365.25))
+    c = spark.createDataFrame([("SITE", "B", "1", "M", born)], "origem string, bandeira string, idcliente string, sexo string, "
+                                                              "datanascimento date")
+    first, last = trailing_days()
+    band = lambda as_of: customers_with_age_band(c, Params.for_month("2026-11", first, last, "B", as_of=as_of)).first()["faixa_etaria"]
+    assert band(None) == "ATE_20" and band((born + dt.timedelta(days=9000)).isoformat()) == "21_A_30"
+
+
+def test_trailing_days_across_months():
+    p = Params.for_trailing_days("2024-01-01", 2, brand="B")
+    assert (p.sample_start, p.sample_end, p.period_start, p.period_end) == ("2023-12-30", "2024-01-01", "2023-12-01", "2024-01-31")
+    assert (p.hit_years, p.hit_months) == (("2023", "2024"), ("01", "12"))
+
+
+def test_shared_folder_is_required_away_from_a_local_master():
+    from attrition.session import is_local
+
+    assert is_local("local[4]") and is_local("local") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    from attrition.session import ensure_checkpoint_dir
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_intermediates_of_a_job_are_deleted(spark):
+    from attrition.session import materialise, scratch_scope
+
+    with scratch_scope(spark):
+        df = materialise(spark.range(5))
+        assert df.count() == 5
+    kept = materialise(spark.range(6))
+    with pytest.raises(Exception):
+        df.count()
+    assert kept.count() == 6

@@ -13,8 +13,7 @@ from attrition.operators import sink as S
 from attrition.sources import schemas
 
 T0 = dt.datetime(2023, 9, 5, 10, 0, 0)
-P = Params(brand="B", period_start="2023-09-01", period_end="2023-09-30", sample_start="2023-09-01",
-           sample_end="2023-09-30", materialise=False)
+P = Params.for_month("2023-09", sample_start="2023-09-01", sample_end="2023-09-30", brand="B", materialise=False)
 
 
 def ev(adv, af, name, ts, grouping="Organico", source="facebook ads", channel="c1"):
@@ -180,29 +179,90 @@ def test_small_model_scores_every_row(spark):
     assert metrics.first()["n_evaluated"] == df.filter(~M.split_flag()).count()
 
 
-def test_broadcast_only_under_the_size_limit(spark):
-    from attrition.session import broadcast_if_small
-
-    df = spark.range(0, 1000).withColumnRenamed("id", "k")
-    hinted = broadcast_if_small(df, max_bytes=1 << 30)
-    plain = broadcast_if_small(df, max_bytes=10)
-    assert "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(plain._jdf.queryExecution().logical()).lower()
-
-
-def test_streaming_partition_sink_is_replay_safe(spark, tmp_path):
-    from attrition.streaming import partition_sink
-
-    src = tmp_path / "in"
-    spark.createDataFrame([("u1", 0.5)], "id_ga string, prob_uninstall double").write.parquet(str(src))
-    table = "t_stream_" + tmp_path.name.replace("-", "_")
-    sink = partition_sink(table, path=str(tmp_path / "t"), transform=lambda b: S.stamp(b, "2023-09-15"))
-    for _ in range(2):  # the same micro-batch twice: still one row
-        stream = spark.readStream.schema("id_ga string, prob_uninstall double").parquet(str(src))
-        q = (stream.writeStream.foreachBatch(sink).trigger(availableNow=True)
-             .option("checkpointLocation", str(tmp_path / f"ck{_}")).start())
-        q.awaitTermination(120)
-    assert spark.table(table).count() == 1
+def test_replacing_a_day_with_nothing_clears_it(spark, tmp_path):
+    df = spark.createDataFrame([("u1", 0.1), ("u2", 0.2)], "id_ga string, prob_uninstall double")
+    for path in (None, str(tmp_path / "t")):
+        table = f"t_clear_{path is None}_" + tmp_path.name.replace("-", "_")
+        S.replace_day(S.stamp(df, "2023-09-15"), table, "2023-09-15", path=path)
+        S.replace_day(S.stamp(df, "2023-09-16"), table, "2023-09-16")
+        S.replace_day(S.stamp(df.limit(0), "2023-09-15"), table, "2023-09-15")
+        assert S.read_partition(spark, table, "2023-09-15").count() == 0
+        assert S.read_partition(spark, table, "2023-09-16").count() == 2
+        S.replace_day(S.stamp(df.limit(1).withColumn("more", F.lit(1)), "2023-09-16"), table, "2023-09-16")
+        assert [tuple(r) for r in S.read_partition(spark, table, "2023-09-16").select("id_ga", "more").collect()] == [("u1", 1)]
+
+
+def test_stamp_needs_a_padded_date(spark):
+    df = spark.createDataFrame([("u1",)], "id_ga string")
+    for day in ("2023-9-5", "20230905", "x"):
+        with pytest.raises(ValueError):
+            S.stamp(df, day)
+
+
+def test_recorded_day_and_instant_may_differ(spark):
+    """An install of the period by its recorded day, made after the period ends: its history still counts."""
+    late = dt.datetime(2023, 10, 1, 2, 30)
+    rows = [("a1", "d1", "install", late, dt.date(2023, 9, 30), "Organico", None, "c", "B", "Android"),
+            ev("a1", "d1", "reinstall", dt.datetime(2023, 10, 1, 1, 0))[:4] + (dt.date(2023, 10, 1), None, None, "c", "B", "Android"),
+            ("z", "d1", "uninstall", dt.datetime(2023, 10, 8, 12), dt.date(2023, 10, 8), None, None, None, "B", "Android")]
+    for materialise in (False, True):
+        out = I.build_installs(events(spark, rows), P.with_(materialise=materialise)).collect()
+        assert [(r["total_installs_antigos"], r["uninstall"]) for r in out] == [(1, 1)]
+
+
+def test_no_installs_at_all(spark):
+    assert I.build_installs(events(spark, []), P.with_(materialise=True)).count() == 0
+
+
+def test_table_exists_passes_on_catalog_errors():
+    class Broken:
+        class catalog:
+            @staticmethod
+            def tableExists(name):
+                raise ConnectionError("catalog is down")
+
+    with pytest.raises(ConnectionError):
+        S.table_exists(Broken(), "db.t")
+
+
+def test_hits_without_customer_id_stay_and_spread(spark):
+    """Half of the hits have no customer id: same facts as a plain left join, and no partition holds them all."""
+    from attrition.operators import joins as J
+
+    customers = spark.createDataFrame([("1", "M", "ATE_20"), (None, "F", "+_50")], "idcliente string, sexo string, faixa_etaria string")
+    base = {c: None for c in (*J.LEAN_COLUMNS, *J.INSTALL_ATTRS, "uninstall")}
+    rows = [{**base, "id_ga": f"g{i}", "session_id": f"g{i}1", "idcliente": "1" if i % 2 else None, "uninstall": 0,
+             "timestamp_hit": "2023-09-01 03:42", "dims": [("busca", None), ("busca", None)]} for i in range(200)]
+    kinds = {"date": "date", "visitNumber": "int", "isTrueDirect": "boolean", "hits": "int", "screenviews": "int", "UniqueScreenviews": "int",
+             "sessionQualityDim": "int", "dims": "array<struct<screen_view:string,produto_view:string>>", "uninstall": "int",
+             "total_installs_antigos": "bigint", "recencia_last_install": "int",
+             **{f"install_{x}": "int" for x in ("manha", "tarde", "noite", "madrugada")}}
+    bruto = spark.createDataFrame([tuple(r[c] for c in base) for r in rows], ", ".join(f"{c} {kinds.get(c, 'string')}" for c in base))
+    out = J.session_facts(bruto, customers, P).collect()
+    assert len(out) == 200 and {r["sexo"] for r in out} == {"M", None}
+    assert sum(r["sexo"] is None for r in out) == 100
+    keys = bruto.where("idcliente IS NULL").select(J._customer_key(F.col("idcliente"), F.col("session_id")).alias("k"))
+    assert keys.distinct().count() > 50
+
+
+def test_nested_columns_stay_out_of_the_hit_join(spark):
+    import os
+
+    from attrition.operators import joins as J
+    from attrition.sources import testmap
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("driver tables not present")
+    t, p = testmap.load(spark, "/root/testdata/sf0.001"), testmap.PARAMS
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lean = J.sampled_lean_hits(I.build_installs(t["attribution_events"], p), t["hits"], p)
+        plan = spark._jvm.PythonSQLUtils.explainString(lean._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanged = [block for block in plan.split("\n\n") if ") Exchange" in block]
+    assert exchanged and not any("customDimensions" in b or "geoNetwork" in b or "totals" in b for b in exchanged)
 
 
 def test_table_exists_false_for_missing_database(spark):
@@ -283,7 +343,7 @@ def test_month_period_range_equals_month_format_test(spark):
     days = [dt.date(2024, 1, 31) + dt.timedelta(days=i) for i in range(0, 62)]
     df = spark.createDataFrame([(d,) for d in days], "event_time_sm date")
     for month in ("2024-02", "2024-03"):
-        p = Params.for_month(month, sample_start=month + "-01", sample_end=month + "-01")
+        p = Params.for_month(month, sample_start=month + "-01", sample_end=month + "-01", brand="B")
         ours = {r[0] for r in df.filter(_in_period(p)).collect()}
         upstream = {r[0] for r in df.filter(F.date_format("event_time_sm", "yyyy-MM") == month).collect()}
         assert ours == upstream and p.hit_months == (month[5:],)

@@ -11,8 +11,7 @@ from attrition.operators import features as FT
 from attrition.operators import installs as I
 from attrition.sources import schemas
 
-P = Params(brand="B", period_start="2023-09-01", period_end="2023-09-30", sample_start="2023-09-01",
-           sample_end="2023-09-30", materialise=False)
+P = Params.for_month("2023-09", sample_start="2023-09-01", sample_end="2023-09-30", brand="B", materialise=False)
 SCREENS = ["busca", "produto", "home"]
 CHANNELS = ["Direto", "outros_canais", "install : Organico"]
 
@@ -63,7 +62,7 @@ def test_feature_table_invariant_under_input_partitioning(spark):
     if not os.path.isdir(sf):
         return
     src = testmap.load(spark, sf)
-    p = Params()
+    p = testmap.PARAMS
 
     def rows(frames):
         out = jobs.build_feature_table(frames, p)

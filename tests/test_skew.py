@@ -8,10 +8,9 @@ from attrition.config import Params
 from attrition.operators import installs as I
 from attrition.sources import schemas
 
-# default materialise=True: the checkpointed single installs make both sides of the
+# default materialise=True: the written single installs make both sides of the
 # range joins shuffle stages, which is what the adaptive skew-join split needs
-P = Params(brand="B", period_start="2023-09-01", period_end="2023-09-30", sample_start="2023-09-01",
-           sample_end="2023-09-30")
+P = Params.for_month("2023-09", sample_start="2023-09-01", sample_end="2023-09-30", brand="B")
 T0 = dt.datetime(2023, 9, 10, 12)
 
 
@@ -84,16 +83,18 @@ def test_hot_visitor_feature_table_matches_oracle(spark, skew_conf, tmp_path):
         pytest.skip("driver tables not present")
     events = spark.read.parquet(f"{src}/events.parquet")
     base = E.queries()["feature_table"](spark, src)
-    hot_uid = int(sorted(r["id_ga"] for r in base.collect())[0][1:])
+    hot = int(sorted(r["id_ga"] for r in base.collect())[0][1:])  # a device: user * 16 + k % 16
+    hot_uid, hot_k = hot // 16, hot % 16
     n = events.count() // 2
     top = events.agg(F.max("event_id")).first()[0]
     extra = (spark.range(n)
              .select((F.col("id") + top + 1).alias("event_id"),
-                     (F.lit("2024-01-04 00:00:00").cast("timestamp_ntz")
-                      + F.make_interval(secs=(F.col("id") % 172800).cast("int"))).alias("ts"),
+                     (F.lit("2024-01-11 00:00:00").cast("timestamp_ntz")
+                      + F.make_interval(secs=(F.col("id") * 997 % 1500000).cast("int"))).alias("ts"),
                      F.lit(hot_uid).cast("long").alias("user_id"), F.lit("view").alias("event_type"),
                      F.lit(1.0).alias("value"),
-                     F.concat(F.lit('{"k": '), (F.col("id") % 100).cast("string"), F.lit("}")).alias("props")))
+                     F.concat(F.lit('{"k": '), (F.lit(hot_k) + 16 * (F.col("id") % 5)).cast("string"), F.lit("}"))
+                     .alias("props")))
     data = tmp_path / "hot"
     events.unionByName(extra.select(*events.columns)).write.parquet(str(data / "events.parquet"))
     spark.read.parquet(f"{src}/customer.parquet").write.parquet(str(data / "customer.parquet"))

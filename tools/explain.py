@@ -25,7 +25,7 @@ def main(sf_dir: str) -> None:
     t = RG.inputs(spark, sf_dir)
     lazy = p.with_(materialise=False)
     installs = I.build_installs(t["attribution_events"], lazy)
-    ga_bruto = J.bruto_columns(J.sampled_hits(installs, t["hits"], lazy))
+    ga_bruto = J.sampled_lean_hits(installs, t["hits"], lazy)
     plans = {
         "device map (SRC2)": tables.visitor_device_map(tables.normalised_hits(t["hits"], p)),
         "install definition table (PIP1)": installs,
