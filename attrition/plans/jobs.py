@@ -62,7 +62,10 @@ def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str |
     """
     def save(vocab: DataFrame) -> None:
         if vocab_table is not None and not vocab.isEmpty():
-            vocab.coalesce(1).write.mode("overwrite").saveAsTable(vocab_table)
+            w = vocab.coalesce(1).write.mode("overwrite")
+            if path:  # beside the feature table
+                w = w.option("path", f"{path.rstrip('/')}_vocab")
+            w.saveAsTable(vocab_table)
 
     def build() -> DataFrame:
         return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save)
