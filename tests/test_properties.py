@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from attrition.config import Params
 from attrition.operators import features as FT
