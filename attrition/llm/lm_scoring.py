@@ -1,18 +1,21 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Symbols are the frequent words (a share of at least ``symbol_share`` of all training tokens), the end of a document,
-and one class for all other words, split by their unigram probabilities. The root is the smoothed unigram
-distribution. A longer context (up to ``depth`` symbols) is a candidate if it is frequent enough and its suffix is in
-the tree; it is retained if its next-symbol distribution diverges from its suffix's: the log-likelihood that it gains
-over its own occurrences must exceed half its number of entries times the log of its occurrences. Next-symbol
-distributions are smoothed towards the suffix's, which also gets the mass of the entries too rare to keep, so every
-distribution sums to 1. A text is scored symbol by symbol from the longest retained suffix of what stands before; the
-end of the document before it stands before its first word.
-
-All counts run over all training documents: counted per task, summed by key. The words are counted by 64-bit hash.
-The tree has at most depth / entry_share entries (``entry_share`` being the share of all tokens that an entry needs)
-and depth / context_share contexts, the symbols are at most 1 / symbol_share, so what the workers hold is bounded
-whatever the corpus. Counts of the other words stay a table and meet the texts in a shuffle join.
+Symbols are the words seen at least ``least_symbol`` times and the end of a document; all other words keep their
+unigram probabilities. The root is the smoothed unigram distribution. A longer context (up to ``depth`` symbols) is a
+candidate if it occurs at least ``least_context`` times and its suffix is in the tree; it is retained if its
+next-symbol distribution diverges from its suffix's: the log-likelihood that it gains over its own occurrences must
+exceed half its number of entries times the log of its occurrences. Entries are next symbols seen at least
+``least_entry`` times. Next-symbol distributions are smoothed towards the suffix's, which also gets the mass of the
+entries too rare to keep, so every distribution sums to 1. A text is scored symbol by symbol from the longest
+retained suffix of what stands before; the end of the document before it stands before its first word.
+
+The tests are numbers of occurrences, so the tree grows with the corpus, and it is never in one place: sequences of
+symbols are 64-bit hashes, their counts, the contexts and the entries are tables joined and summed by hash, level by
+level. Seen that way a text's score is a sum: each sequence in it adds the log probability that its entry gains over
+the suffix's, and the log of the backoff of its context. Workers hold two things of bounded size, which spare rows and change no result: a
+Bloom filter of at most ``FILTER_WORDS`` words, and the weights of the most frequent sequences, at most ``NEAR_ROWS``.
+
+The shares in ``TreeOptions`` raise the thresholds with the corpus. They are 0 unless given.
 
 Defined results: a null or empty text is the end alone; only A-Z are lower-cased; a null id is split like the empty
 text; rows that repeat an id are documents of their own; without training documents N is 0 and every token unknown.
@@ -20,6 +23,7 @@ text; rows that repeat an id are documents of their own; without training docume
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,19 +35,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import ship_package, written
-from attrition.llm.ngram_join import _WordHashes
+from attrition.llm.ngram_join import _mixed, _WordHashes
 
 END = xxhash.xxh3_64_intdigest(b" ")  # no word contains a space
+END_LONG = int(np.array([END], np.uint64).view(np.int64)[0])
 RARE, FIRST = 0, 1  # the class of other words; the end of a document
+FILTER_WORDS = 1 << 21
+NEAR_ROWS = 3 << 19
 
 
 @dataclass(frozen=True)
 class TreeOptions:
     depth: int = 3
-    symbol_share: float = 2e-6
-    context_share: float = 1e-4
-    next_share: float = 1e-5
-    entry_share: float = 1e-6
+    symbol_share: float = 0.0
+    context_share: float = 0.0
+    next_share: float = 0.0
+    entry_share: float = 0.0
+    least_symbol: int = 2
     least_context: int = 16
     least_entry: int = 2
     backoff: float = 2.0
@@ -148,217 +156,296 @@ class Tree:
         return p
 
 
-def _encoded(docs: DataFrame, tree) -> DataFrame:
-    """Per document its symbols, and the hashes of its rare words with their counts."""
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, t = _WordHashes(), tree.value
-        names = ["row", "doc_id", "held_out", "symbols", "rare", "rare_n"]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(at, 500), [[] for _ in names]
-                for row, doc_id, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    h = _tokens(text, hashes)
-                    found = _find(t.hashes, h)
-                    x = np.where(found >= 0, t.symbols[found], RARE).astype("<i4")
-                    rare, n = np.unique(h[found < 0], return_counts=True)
-                    for column, value in zip(rows, (row, doc_id, held_out(doc_id), x.tobytes(), _signed(rare), n.astype(np.int32))):
-                        column.append(value)
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+def _sequence(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The hash of a sequence from those of all but its last and all but its first symbol, which tell it."""
+    return _mixed(context * np.uint64(0x9E3779B97F4A7C15) + _mixed(suffix))
 
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    return keyed.mapInArrow(encode, "row long, doc_id long, held_out boolean, symbols binary, rare array<long>, rare_n array<int>")
 
+def _sequences(texts: list, hashes: dict, longest: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Of each position of the texts, an end before and after each: the text, and by length the hash of the sequence
+    that starts there and whether it ends inside the text."""
+    parts = [_tokens(t, hashes) for t in texts]
+    ends = np.array([END], np.uint64)
+    symbols = np.concatenate([x for p in parts for x in (ends, p)])
+    doc = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
+    grams, inside = [symbols], [np.ones(len(symbols), bool)]
+    for k in range(1, longest):
+        whole = np.zeros(len(symbols), np.uint64)
+        upto = max(len(symbols) - k, 0)
+        whole[:upto] = _sequence(grams[-1][:upto], grams[-1][1:upto + 1])
+        fits = np.zeros(len(symbols), bool)
+        fits[:upto] = doc[:upto] == doc[k:]
+        grams.append(whole)
+        inside.append(fits)
+    return doc, grams, inside
 
-def _next_counts(encoded: DataFrame, tree, level: int, keys: np.ndarray, above: int, nexts: np.ndarray) -> DataFrame:
-    """(context, next, n) of the candidate contexts ``keys`` of length ``level``; next -1 counts all."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast((keys, nexts))
+
+@dataclass
+class Bloom:
+    """Three bits of one word for each key; a full filter lets more through, never less."""
+
+    bits: np.ndarray
+
+    @staticmethod
+    def of(keys: DataFrame) -> Bloom:
+        """From the column h. At most FILTER_WORDS rows of two longs are collected."""
+        size = 1 << min(max(keys.count() // 6, 1).bit_length(), FILTER_WORDS.bit_length() - 1)
+        one = F.lit(1).cast("long")
+        bit = [F.call_function("shiftleft", one, F.shiftrightunsigned("h", at).bitwiseAND(63).cast("int")) for at in (40, 46, 52)]
+        words = keys.groupBy(F.col("h").bitwiseAND(F.lit(size - 1)).alias("word")).agg(
+            F.bit_or(bit[0].bitwiseOR(bit[1]).bitwiseOR(bit[2])).alias("bits")).toArrow()
+        bits = np.zeros(size, np.uint64)
+        bits[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+        return Bloom(bits)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        one, low = np.uint64(1), np.uint64(63)
+        mask = np.zeros(len(h), np.uint64)
+        for at in (40, 46, 52):
+            mask |= one << ((h >> np.uint64(at)) & low)
+        return self.bits[(h & np.uint64(len(self.bits) - 1)).astype(np.int64)] & mask == mask
+
+
+def _longer_counts(docs: DataFrame, length: int, often: DataFrame, ends: DataFrame, least: float) -> DataFrame:
+    """(h, context, suffix, n) of the sequences of ``length`` + 1 symbols that go on from those in ``often`` (h).
+
+    Sequences whose suffix is not in ``ends`` (h) may be left out.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((Bloom.of(often), Bloom.of(ends)))
+    names = ["context", "suffix", "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, (wanted, counted) = tree.value, shared.value
-        size = len(t.log_root) + 1
-        candidates = Tree(t.hashes, t.symbols, t.log_root, [*t.levels, Level(wanted, above, *[np.empty(0)] * 4)])
-        waiting, held = [], 0
+        hashes, waiting, size = _WordHashes(), [], 0
+        goes_on, may_end = shared.value
 
         def summed():
-            found, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found // size), pa.array(found % size - 1), pa.array(n.astype(np.int64))],
-                                              names=["context", "next", "n"])
+            context, suffix = (np.concatenate(c) for c in zip(*waiting))
+            _, first, n = np.unique(_sequence(context, suffix), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(_signed(c[first])) for c in (context, suffix)]
+                                              + [pa.array(n.astype(np.int64))], names=names)
 
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                x = np.frombuffer(raw, "<i4").astype(np.int64)
-                state = candidates.states(x, level)[-1]
-                where = np.flatnonzero(state)
-                s, following = state[where], x[where]
-                waiting += [s * size, (s * size + following + 1)[counted[following]]]
-                held += len(waiting[-1]) + len(s)
-                if held > 8_000_000:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts = [t for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if not held_out(d)]
+                if not texts:
+                    continue
+                _, grams, inside = _sequences(texts, hashes, length + 1)
+                where = np.flatnonzero(inside[length])
+                where = where[goes_on.has(grams[length - 1][where])]
+                where = where[may_end.has(grams[length - 1][where + 1])]
+                waiting.append((grams[length - 1][where], grams[length - 1][where + 1]))
+                size += len(where)
+                if size > 6_000_000:  # 96 MB
                     yield summed()
-                    waiting, held = [], 0
-        if waiting:
+                    waiting, size = [], 0
+        if size:
             yield summed()
 
-    rows = encoded.where("not held_out").select("symbols").mapInArrow(count, "context long, next long, n long")
-    return rows.groupBy("context", "next").agg(F.sum("n").alias("n"))
-
-
-def _grow(encoded: DataFrame, tree: Tree, n_tokens: int, keys: np.ndarray, above: int, nexts: np.ndarray,
-          o: TreeOptions) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray]:
-    """The retained contexts among the candidates, and their kept entries (state, next, count)."""
-    sc = encoded.sparkSession.sparkContext
-    counts = written(_next_counts(encoded, sc.broadcast(tree), len(tree.levels) + 1, keys, above, nexts), "next-counts")
-    # at most 1 / entry_share entries and as many totals as candidates
-    kept = counts.where((F.col("next") < 0) | (F.col("n") >= max(o.least_entry, o.entry_share * n_tokens))).toPandas()
-    totals = kept[kept["next"] < 0]
-    occurrences = np.zeros(len(keys) + 1)
-    occurrences[totals["context"].to_numpy(np.int64)] = totals["n"]
-    entries = kept[kept["next"] >= 0].sort_values(["context", "next"])
-    context, symbol, n = (entries[c].to_numpy(np.int64) for c in ("context", "next", "n"))
-    held = np.bincount(context, weights=n, minlength=len(keys) + 1)
-    backoff = o.backoff + occurrences - held
-    total = held + backoff
-    # what the suffix's distribution gives for the same next symbols
-    suffix = keys[context - 1] % above
-    p = 10.0 ** tree.log_root[symbol]
-    size = len(tree.log_root)
-    chain, state = [], suffix
-    for level in reversed(tree.levels):
-        chain.append(state)
-        state = np.where(state > 0, level.keys[np.maximum(state, 1) - 1] % level.above, 0)
-    for level, state in zip(tree.levels, reversed(chain)):
-        at = _find(level.entries, state * size + symbol)
-        had = np.where(at >= 0, level.counts[at] if len(level.counts) else 0, 0)
-        p = np.where(state > 0, (had + level.backoff[state] * p) / np.maximum(level.total[state], 1e-300), p)
-    own = (n + backoff[context] * p) / total[context]
-    share = np.bincount(context, weights=own, minlength=len(keys) + 1)
-    suffix_share = np.bincount(context, weights=p, minlength=len(keys) + 1)
-    rest = occurrences - held
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.bincount(context, weights=n * np.log(own / p), minlength=len(keys) + 1)
-        gain += np.where(rest > 0, rest * np.log(np.maximum(1 - share, 1e-12) / np.maximum(1 - suffix_share, 1e-12)), 0)
-        price = 0.5 * np.bincount(context, minlength=len(keys) + 1) * np.log(np.maximum(occurrences, 2))
-    retained = np.flatnonzero((gain > price) & (occurrences > 0))
-    number = np.zeros(len(keys) + 1, np.int64)
-    number[retained] = np.arange(1, len(retained) + 1)
-    use = number[context] > 0
-    state, symbol, n = number[context[use]], symbol[use], n[use]
-    pad = lambda v: np.concatenate([[0.0], v[retained]])
-    level = Level(keys[retained - 1], above, state * size + symbol, n.astype(np.float64), pad(backoff), pad(total))
-    return level, state, symbol, n
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(_sequence(context, suffix))), *batch.columns], names=["h", *names])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "context long, suffix long, n long")
+    summed = rows.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return summed.mapInArrow(named, "h long, context long, suffix long, n long")
+
+
+def _discard(spark, *done: DataFrame) -> None:
+    """Delete written tables that nothing reads any more; shuffle files go with the plans that are collected."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for files in (df.inputFiles() for df in done):
+        if files:
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+    jvm.System.gc()
 
 
 @dataclass
 class Model:
-    tree: Tree
+    options: TreeOptions
     words: DataFrame   # (h, n) of all training tokens
+    levels: list[tuple[DataFrame, DataFrame, DataFrame]]  # counts; contexts (h, backoff, total); entries (h, context, n, gain)
     n_tokens: int
     distinct: int
 
     def log_unigram(self, n):
         return F.log10((n + F.lit(0.5)) / F.lit(self.n_tokens + 0.5 * (self.distinct + 1)))
 
+    @property
+    def unknown(self) -> float:
+        return math.log10(0.5 / (self.n_tokens + 0.5 * (self.distinct + 1)))
+
+    def weights(self) -> DataFrame:
+        """(h, n, known, base, own): what each sequence adds to a text's scores, above that of unknown words.
+
+        A sequence may have two rows with the same n, as an entry and as a context; both add.
+        """
+        none, zero = F.lit(0.0), F.lit(0).cast("long")
+        out = self.words.select("h", "n", F.lit(1).cast("long").alias("known"),
+                                (self.log_unigram(F.col("n")) - self.unknown).alias("base"), none.alias("own"))
+        for _, contexts, entries in self.levels:
+            out = out.union(contexts.select("h", "n", zero, none, F.log10(F.col("backoff") / F.col("total"))))
+            out = out.union(entries.select("h", "n", zero, none, "gain"))
+        return out
+
+    @property
+    def tree(self) -> Tree:
+        """The whole tree in the driver, to look at small ones; nothing else collects it."""
+        o = self.options
+        words = _symbols(self.words, self.n_tokens, o).toPandas().sort_values(["n", "h"], ascending=False)
+        words = words[words["h"] != END_LONG]
+        ends = self.words.where(F.col("h") == END_LONG).first()
+        h = np.concatenate([[END_LONG], words["h"].to_numpy(np.int64)]).astype(np.int64).view(np.uint64)
+        n = np.concatenate([[ends["n"] if ends else 0], words["n"].to_numpy(np.int64)])
+        root = (n + 0.5) / (self.n_tokens + 0.5 * (self.distinct + 1))
+        log_root = np.log10(np.concatenate([[max(1.0 - root.sum(), 1e-300)], root]))
+        by_hash = np.argsort(h)
+        tree = Tree(h[by_hash], (by_hash + FIRST).astype(np.int64), log_root, [])
+        spelled = {x: (i + FIRST,) for i, x in enumerate(_signed(h).tolist())}
+        state_of, above = {(): 0}, 1
+        for counts, contexts, entries in self.levels:
+            held = {r.h: (r.backoff, r.total) for r in contexts.collect()}
+            keyed = sorted((spelled[c][0] * above + state_of[spelled[c][1:]], c) for c in held)
+            state_of = {spelled[c]: i for i, (_, c) in enumerate(keyed, 1)}
+            for r in counts.collect():
+                if r.context in spelled and r.suffix in spelled:
+                    spelled[r.h] = (*spelled[r.context], spelled[r.suffix][-1])
+            kept = sorted((state_of[spelled[r.context]] * len(log_root) + spelled[r.h][-1], r.n) for r in entries.collect())
+            backoff, total = (np.array([0.0] + [held[c][i] for _, c in keyed]) for i in (0, 1))
+            keys = np.array([k for k, _ in keyed], np.int64)
+            tree.levels.append(Level(keys, above, np.array([k for k, _ in kept], np.int64),
+                                     np.array([c for _, c in kept], np.float64), backoff, total))
+            above = len(keyed) + 1
+        return tree
+
+
+def _symbols(words: DataFrame, n_tokens: int, o: TreeOptions) -> DataFrame:
+    return words.where((F.col("n") >= max(o.least_symbol, o.symbol_share * n_tokens)) | (F.col("h") == END_LONG))
+
+
+def _grown(counts: DataFrame, candidates: DataFrame, below: DataFrame, o: TreeOptions) -> tuple[DataFrame, DataFrame]:
+    """The retained contexts among the candidates (h, n), and their entries; ``below`` has the suffixes' (h, p)."""
+    entries = written(counts.join(candidates.select(F.col("h").alias("context")), "context")
+                      .join(below.select(F.col("h").alias("suffix"), F.col("p").alias("lower")), "suffix")
+                      .select("h", "context", "n", "lower"), "candidate-entries")
+    sums = written(entries.groupBy("context").agg(F.sum("n").alias("held"), F.count("*").alias("size"), F.sum("lower").alias("lower_share"))
+                   .join(candidates.select(F.col("h").alias("context"), F.col("n").alias("of")), "context").select(
+        "context", "of", "size", "lower_share", "held", (F.col("of") - F.col("held")).alias("rest"),
+        (F.col("of") - F.col("held") + o.backoff).alias("backoff"), (F.col("of") + o.backoff).alias("total")), "context-sums")
+    own = (F.col("n") + F.col("backoff") * F.col("lower")) / F.col("total")
+    gains = (entries.join(sums.select("context", "backoff", "total"), "context")
+             .groupBy("context").agg(F.sum(F.col("n") * F.log(own / F.col("lower"))).alias("gain")))
+    share = (F.col("held") + F.col("backoff") * F.col("lower_share")) / F.col("total")
+    left = lambda x: F.greatest(1 - x, F.lit(1e-12))
+    rest = F.when(F.col("rest") > 0, F.col("rest") * F.log(left(share) / left(F.col("lower_share")))).otherwise(0.0)
+    price = 0.5 * F.col("size") * F.log(F.greatest(F.col("of"), F.lit(2)))
+    contexts = written(sums.join(gains, "context").where(F.col("gain") + rest > price)
+                       .select(F.col("context").alias("h"), F.col("of").alias("n"), "backoff", "total"), "contexts")
+    gain = F.log10("p") - F.log10("lower") - F.log10(F.col("backoff") / F.col("total"))
+    kept = written(entries.join(contexts.select(F.col("h").alias("context"), "backoff", "total"), "context")
+                   .withColumn("p", own).select("h", "context", "n", "p", gain.alias("gain")), "kept-entries")
+    _discard(counts.sparkSession, entries, sums)
+    return contexts, kept
+
 
 def train(docs: DataFrame, o: TreeOptions = TreeOptions()) -> tuple[Model, DataFrame]:
-    """The model of the training documents, and all documents as symbols."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    counts = written(word_counts(docs), "words")
-    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_tokens, distinct = int(size["n"]), int(size["v"])
-    end = int(np.array([END], np.uint64).view(np.int64)[0])
-    # at most 1 / symbol_share words, and the end
-    often = counts.where((F.col("n") >= max(2, o.symbol_share * n_tokens)) | (F.col("h") == end)).toPandas()
-    often = often.sort_values(["n", "h"], ascending=False)
-    often = often[often["h"] != end]
-    h = np.concatenate([[end], often["h"].to_numpy(np.int64)]).astype(np.int64).view(np.uint64)
-    ends = counts.where(F.col("h") == end).first()
-    n = np.concatenate([[ends["n"] if ends else 0], often["n"].to_numpy(np.int64)]).astype(np.float64)
-    root = (n + 0.5) / (n_tokens + 0.5 * (distinct + 1))
-    log_root = np.log10(np.concatenate([[max(1.0 - root.sum(), 1e-300)], root]))
-    by_hash = np.argsort(h)
-    tree = Tree(h[by_hash], (by_hash + FIRST).astype(np.int64), log_root, [])
-    encoded = written(_encoded(docs, spark.sparkContext.broadcast(tree)), "encoded")
-
-    n = np.concatenate([[0.0], n])  # by symbol
-    nexts = n >= max(o.least_entry, o.next_share * n_tokens)
-    enough = max(o.least_context, o.context_share * n_tokens)
-    keys, above = np.sort(np.flatnonzero(n >= enough)).astype(np.int64), 1
-    for _ in range(o.depth):
-        if not len(keys):
+    """The model of the training documents, and the documents."""
+    ship_package(docs.sparkSession)
+    words = written(word_counts(docs), "words")
+    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    model = Model(o, words, [], int(size["n"]), int(size["v"]))
+    symbols = _symbols(words, model.n_tokens, o)
+    below = symbols.where(F.col("n") >= max(o.least_entry, o.next_share * model.n_tokens)).select(
+        "h", F.pow(F.lit(10.0), model.log_unigram(F.col("n"))).alias("p"))
+    enough = max(o.least_context, o.context_share * model.n_tokens)
+    often = symbols.where(F.col("n") >= enough).select("h", "n")
+    candidates, ends = often, below.select("h")
+    least = max(o.least_entry, o.entry_share * model.n_tokens)
+    for length in range(1, o.depth + 1):
+        if candidates.isEmpty():
             break
-        level, state, symbol, count = _grow(encoded, tree, n_tokens, keys, above, nexts, o)
-        if not len(level.keys):
+        counts = written(_longer_counts(docs, length, often.select("h"), ends, least), "next-counts")
+        contexts, entries = _grown(counts, candidates, below, o)
+        if contexts.isEmpty():
             break
-        tree = Tree(tree.hashes, tree.symbols, tree.log_root, [*tree.levels, level])
-        # A longer context a + c needs its suffix c in the tree. What c is made of: its last symbol, and the state of
-        # its suffix; a + c occurs as often as c's first symbol follows a. Contexts seen with a next symbol give those.
-        keys, above = _longer(tree, state, symbol, count, enough), len(level.keys) + 1
-    return Model(tree, counts, n_tokens, distinct), encoded
-
+        model.levels.append((counts, contexts, entries))
+        below = entries
+        # every frequent sequence one symbol longer was counted; the tree needs its suffix
+        often = counts.where(F.col("n") >= enough)
+        ends = entries.select("h").union(often.select("h"))
+        candidates = often.join(contexts.select(F.col("h").alias("suffix")), "suffix").select("h", "n")
+    return model, docs
+
+
+def _near_from(weights: DataFrame) -> float:
+    """The least n such that at most NEAR_ROWS rows have it."""
+    step = F.floor(F.log2("n") * 8)
+    rows, found = 0, math.inf
+    for r in weights.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).sort(F.desc("step")).collect():
+        rows += r["rows"]
+        if rows > NEAR_ROWS:
+            break
+        found = r["n"]
+    return found
 
-def _longer(tree: Tree, state: np.ndarray, symbol: np.ndarray, count: np.ndarray, enough: float) -> np.ndarray:
-    """Candidates one symbol longer: (oldest symbol, state of the rest), from frequent (context, next) pairs.
 
-    A frequent pair (context w, next s) is a sequence w s; its candidate context is w s itself, whose suffix, w
-    without its oldest symbol and then s, must be a state of the level that w is in.
-    """
-    level, often = tree.levels[-1], count >= enough
-    s, nxt = state[often], symbol[often]
-    spelled, at = [], s
-    for lv in reversed(tree.levels):  # the symbols of w, oldest first
-        key = lv.keys[at - 1]
-        spelled.append(key // lv.above)
-        at = key % lv.above
-    sequence = [*spelled, nxt]
-    suffix = np.zeros(len(s), np.int64)
-    ok = np.ones(len(s), bool)
-    for lv, sym in zip(tree.levels, reversed(sequence[1:])):
-        found = _find(lv.keys, sym * lv.above + suffix)
-        ok &= found >= 0
-        suffix = np.where(found >= 0, found + 1, 0)
-    return np.unique(sequence[0][ok] * (len(level.keys) + 1) + suffix[ok])
-
-
-def score(model: Model, encoded: DataFrame) -> DataFrame:
-    """The unigram and the suffix-tree score (log10) of every encoded document."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model.tree)
+def score(model: Model, docs: DataFrame) -> DataFrame:
+    """The unigram and the suffix-tree score (log10) of every document."""
+    weights = model.weights()
+    near_from = _near_from(weights)
+    near = weights.where(F.col("n") >= near_from).drop("n").toArrow()
+    far = weights.where(F.col("n") < near_from).drop("n")
+    held, at = np.unique(near["h"].to_numpy(), return_inverse=True)
+    near = [held, *(np.bincount(at, weights=near[c].to_numpy(), minlength=len(held)) for c in ("known", "base", "own"))]
+    shared = docs.sparkSession.sparkContext.broadcast((*near, Bloom.of(far)))
+    longest, unknown = len(model.levels) + 1, model.unknown
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
+        hashes = _WordHashes()
+        held, known, base, own, maybe = shared.value
         for batch in batches:
-            base, tree, tokens, rare = [], [], [], []
-            for raw in batch.column("symbols").to_pylist():
-                x = np.frombuffer(raw, "<i4").astype(np.int64)
-                other = int((x == RARE).sum())
-                base.append(float(t.log_root[x[x != RARE]].sum()))
-                # a rare word has its share of the class: its own probability over the class's is joined in later
-                tree.append(float(np.log10(t.probabilities(x)).sum()) - other * float(t.log_root[RARE]))
-                tokens.append(len(x))
-                rare.append(other)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(tokens, pa.int64()),
-                 pa.array(rare, pa.int64()), pa.array(base, pa.float64()), pa.array(tree, pa.float64())],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_rare", "often_base", "often_score"])
-
-    often = encoded.select("row", "doc_id", "held_out", "symbols").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, n_rare long, often_base double, often_score double")
-    words = (encoded.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
-             .select("row", F.col("x.rare").alias("h"), F.col("x.rare_n").alias("times")))
-    count = F.coalesce(F.col("n"), F.lit(0))
-    rare = (words.join(model.words, "h", "left").groupBy("row").agg(
-        F.sum(F.col("times") * model.log_unigram(count)).alias("rare_score"),
-        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known")))
-    # the end of a document is a symbol; without any training document it is unknown all the same
-    known = F.col("n_tokens") - F.col("n_rare") if model.n_tokens else F.lit(0)
-    return often.join(rare, "row", "left").na.fill(0, ["rare_score", "rare_known"]).select(
-        "doc_id", "held_out", "n_tokens", (known + F.col("rare_known")).cast("long").alias("n_known"),
-        F.lit(model.n_tokens).cast("long").alias("train_tokens"), (F.col("often_base") + F.col("rare_score")).alias("base_score"),
-        (F.col("often_score") + F.col("rare_score")).alias("score"))
+            for at in range(0, batch.num_rows, 500):
+                row, doc_id, text = (batch.slice(at, 500).column(i).to_pylist() for i in range(3))
+                doc, grams, inside = _sequences(text, hashes, longest)
+                first = np.append(True, doc[1:] != doc[:-1])
+                inside[0] = ~first  # the end before a text is not its own, and the one after it stands for both
+                sums, asked = np.zeros((3, len(row))), []
+                for gram, fits in zip(grams, inside):
+                    where = np.flatnonzero(fits)
+                    h, d = gram[where], doc[where]
+                    found = _find(held, _signed(h))
+                    hit = found >= 0
+                    for i, column in enumerate((known, base, own)):
+                        sums[i] += np.bincount(d[hit], weights=column[found[hit]], minlength=len(row))
+                    miss = np.flatnonzero(~hit)
+                    miss = miss[maybe.has(h[miss])]
+                    asked.append((d[miss], h[miss]))
+                d, h = (np.concatenate(c) for c in zip(*asked))
+                order = np.argsort(d, kind="stable")
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(np.bincount(d, minlength=len(row)))).astype(np.int32)), pa.array(_signed(h[order])))
+                tokens = np.bincount(doc, minlength=len(row)) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row, pa.int64()), pa.array(doc_id, pa.int64()), pa.array([held_out(x) for x in doc_id], pa.bool_()),
+                     pa.array(tokens.astype(np.int64)), pa.array(sums[0].astype(np.int64)),
+                     pa.array(sums[1] + tokens * unknown), pa.array(sums[2]), lists],
+                    names=["row", "doc_id", "held_out", "n_tokens", "near_known", "near_base", "near_own", "asked"])
+
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    scored = written(keyed.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, near_known long, "
+                                           "near_base double, near_own double, asked array<long>"), "scored")
+    asked = scored.select("row", F.explode("asked").alias("h"))
+    more = asked.join(far, "h").groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "own")])
+    base = F.col("near_base") + F.col("base")
+    return scored.drop("asked").join(more, "row", "left").na.fill(0, ["known", "base", "own"]).select(
+        "doc_id", "held_out", "n_tokens", (F.col("near_known") + F.col("known")).cast("long").alias("n_known"),
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + F.col("near_own") + F.col("own")).alias("score"))
 
 
 def lm_report(docs: DataFrame, o: TreeOptions = TreeOptions()) -> DataFrame:
     """Scores of all documents by the tree of those that are not held out."""
-    model, encoded = train(docs, o)
-    return score(model, encoded)
+    model, docs = train(docs, o)
+    return score(model, docs)

@@ -77,3 +77,49 @@ def test_depth_zero_is_the_unigram_model(spark):
     docs = spark.createDataFrame(prose(3), "doc_id long, text string")
     for r in lm.lm_report(docs, dataclasses.replace(OPTIONS, depth=0)).collect():
         assert r.score == pytest.approx(r.base_score)
+
+
+def context_hashes(model, length):
+    return {r.h for r in model.levels[length - 1][1].collect()}
+
+
+def hash_of(text):
+    words = len(text.split())
+    return int(lm._sequences([text], lm._WordHashes(), words)[1][words - 1].view("int64")[1])
+
+
+def test_contexts_are_kept_by_their_own_count_whatever_the_corpus_size(spark):
+    filler = [(i, " ".join(f"f{j % 997}" for j in range(i, i + 20_000))) for i in range(30)]
+    some = [(1000 + i, "zip zap zop") for i in range(400)]
+    some = [r for r in some if not lm.held_out(r[0])][:20]  # 20 times among more than 400,000 tokens
+    held = next(i for i in range(2000, 2100) if lm.held_out(i))
+    docs = spark.createDataFrame(filler + some + [(held, "zip zap zop")], "doc_id long, text string").repartition(4)
+    model, _ = lm.train(docs)
+    assert model.n_tokens > 400_000
+    assert hash_of("zip") in context_hashes(model, 1)
+    r = lm.score(model, docs).where(f"doc_id = {held}").first()
+    assert r.score > r.base_score + 5
+
+
+def test_scores_do_not_depend_on_what_the_workers_hold(spark, scored, monkeypatch):
+    rows, got = scored
+    monkeypatch.setattr(lm, "NEAR_ROWS", 0)  # all weights meet the texts in the join
+    monkeypatch.setattr(lm, "FILTER_WORDS", 1)  # a full filter
+    for r in lm.lm_report(spark.createDataFrame(rows, "doc_id long, text string"), OPTIONS).collect():
+        assert r.n_known == got[r.doc_id].n_known
+        assert (r.base_score, r.score) == pytest.approx((got[r.doc_id].base_score, got[r.doc_id].score), rel=1e-9)
+
+
+def test_a_context_needs_its_suffix_only(spark):
+    rng, rows = random.Random(3), []
+    for i in range(6):
+        ws = []
+        while len(ws) < 150:
+            ws.append(rng.choice("abcdefgw"))
+            if rng.random() < 0.25:
+                ws += ["s", "t" if ws[-1] == "w" else "u"]
+        rows.append((i, " ".join(ws)))
+    model, _ = lm.train(spark.createDataFrame(rows, "doc_id long, text string"), lm.TreeOptions(least_context=4))
+    one, two = context_hashes(model, 1), context_hashes(model, 2)
+    assert hash_of("s") in one and hash_of("w") not in one  # what follows w is as after any word, but for w s
+    assert hash_of("w s") in two
