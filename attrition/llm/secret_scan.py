@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns plus sliding-window Shannon entropy over candidate strings.
 
 The fixed kinds (`assign`, `access`, `hex`) are leftmost non-overlapping matches of their patterns. The method adds
-high-entropy strings that no fixed span covers: runs of a character class are candidates; a window slides over each
+high-entropy strings that no fixed span covers: runs of a character class are candidates (a string may be one of
+several classes, and is reported by each that finds it); a window slides over each
 one and its Shannon entropy is kept up to date from the counts of the characters inside, one character entering and
 one leaving. A candidate with a window at or above its class's threshold is a secret, unless the allow-list
 suppresses it. The allow-list never suppresses a fixed span.
@@ -47,15 +48,29 @@ class EntropyClass:
 
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ALONE, _ENDS = r"(?<![A-Za-z0-9+])", r"(?![A-Za-z0-9+])"  # between separators
+_RUN, _RUN_ENDS = r"(?<![A-Za-z0-9+/_=-])", r"(?![A-Za-z0-9+/_=-])"
+_LOWER, _UPPER = r"(?=[a-z]*[0-9])(?=[0-9]*[a-z])", r"(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])"
+_ALL = r"(?=[^a-z\s]*[a-z])(?=[^A-Z\s]*[A-Z])(?=[^0-9\s]*[0-9])"
+# The thresholds of all but hex are just below the entropy that 99 % of random windows of the alphabet and length have
+# (6,000 simulated for each; upper case: those of base32, whose alphabet is smaller).
 CLASSES = (
     EntropyClass("entropy_hex", r"[0-9A-Fa-f]{20,}", "0123456789ABCDEFabcdef", 3.0),
-    EntropyClass("entropy_base64", r"[A-Za-z0-9+/_=-]{20,}", DIGITS + LOWER + UPPER + "+/_=-", 3.9),
+    EntropyClass("entropy_base64", r"[A-Za-z0-9+/_=-]{20,}", DIGITS + LOWER + UPPER + "+/_=-", 3.6),
+    EntropyClass("entropy_base64_short", _RUN + r"(?=[A-Za-z0-9+/_=-]{16,19}" + _RUN_ENDS + ")" + _ALL + r"[A-Za-z0-9+/_=-]{16,19}",
+                 DIGITS + LOWER + UPPER + "+/_=-", 3.3, 16),
+    EntropyClass("entropy_lower", _ALONE + _LOWER + r"[a-z0-9]{20,}" + _ENDS, DIGITS + LOWER, 3.35),
+    EntropyClass("entropy_lower_short", _ALONE + _LOWER + r"[a-z0-9]{16,19}" + _ENDS, DIGITS + LOWER, 3.1, 16),
+    EntropyClass("entropy_upper", _ALONE + _UPPER + r"[A-Z0-9]{20,}" + _ENDS, DIGITS + UPPER, 3.3),
+    EntropyClass("entropy_upper_short", _ALONE + _UPPER + r"[A-Z0-9]{16,19}" + _ENDS, DIGITS + UPPER, 3.05, 16),
 )
-#: Candidates that match one of these are suppressed: UUIDs, written-out alphabets, placeholders, words only.
+#: Candidates that match one of these as a whole are suppressed: UUIDs, written-out alphabets, placeholders, words only.
+#: What follows a placeholder behind a separator is looked at on its own.
 ALLOW = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"(?i)abcdefghijklm|0123456789abcdef|qwertyuiop",
-    r"(?i)example|placeholder|changeme|your[_-]",
+    r"(?i)^[a-z/_=-]*(?:(?:abcdefghijklm(?:nopqrstuvwxyz)?|0123456789(?:abcdef)?|qwertyuiop)[a-z0-9+/_=-]{0,15}?)+$",
+    r"(?i)^[a-z/_=-]*[a-z0-9+]{0,15}(?:example|placeholder|changeme)[a-z+]{0,15}$",
+    r"(?i)^[a-z/_=-]*your[_-][a-z/_=-]*[0-9]{0,4}$",
     r"^[A-Za-z/_-]+$",
 )
 

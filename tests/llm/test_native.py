@@ -1,6 +1,7 @@
 """Sharding, quality rules, exact duplicates, secret and licence scans against plain Python."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -169,6 +170,21 @@ def test_secrets(spark, rows):
     assert all(r.n_entropy == 0 for r in bare)
 
 
+def test_secrets_of_small_alphabets_short_ones_and_beside_placeholders(spark):
+    rng = random.Random(4)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"]
+    drawn = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (16, 20, 24, 32) for _ in range(50)]
+    placed = [f"{p}{s}" for p in ("EXAMPLE_X=", "your_token_", "placeholder/") for s in ("qZ8vT1mK4xR7bN2pL5wJ9cD3", "q8v1m4x7b2p5w9c3k6t0")]
+    fine = ["your_token_here", "this/is/an_example-of-words", "550e8400-e29b-41d4-a716-446655440000",
+            "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    docs = spark.createDataFrame(list(enumerate(drawn + placed + fine)), "doc_id long, text string")
+    found = {r.doc_id: r.n_entropy + r.n_hex + r.n_access > 0 for r in secret_scan.secret_report(docs).collect()}
+    assert sum(not found[i] for i in range(len(drawn))) <= 0.05 * len(drawn)  # some hold no digit
+    assert all(found[len(drawn) + i] for i in range(len(placed)))
+    assert not any(found[len(drawn) + len(placed) + i] for i in range(len(fine)))
+
+
 def test_secrets_odd_rows(odd_docs, no_docs):
     assert secret_scan.secret_report(odd_docs).count() == odd_docs.count()
     assert secret_scan.secret_report(no_docs).collect() == []
