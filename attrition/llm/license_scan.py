@@ -1,7 +1,9 @@
 """Licence scan: normalised text compared to licence templates by the Dice coefficient over word bigrams.
 
 The units compared are the lines, the paragraphs (blocks between blank lines) and the whole of a text, so that a
-notice inside prose is found as well as a licence file. Two sets of ``a`` and ``b`` distinct bigrams can reach a Dice
+notice inside prose is found as well as a licence file. Long notices are templates as a whole and, where a paragraph
+tells the licence, by paragraph; paragraphs that several licences share (the BSD disclaimer, the GPL warranty notice)
+are none of their own. Two sets of ``a`` and ``b`` distinct bigrams can reach a Dice
 coefficient ``t`` only if ``2 * min(a, b) >= t * (a + b)``: templates outside that bound are pruned before any bigram
 is compared, which loses nothing. The same bound says that a match shares at least ``t * b / (2 - t)`` of a template's
 bigrams, so each template has a few words of which every match must contain one; a text without any of these words
@@ -41,6 +43,18 @@ TEMPLATES: dict[str, list[str]] = {
         "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
         "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
         "OTHER DEALINGS IN THE SOFTWARE.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+        "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -49,6 +63,15 @@ TEMPLATES: dict[str, list[str]] = {
         "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
+        "implied. See the License for the specific language governing permissions and limitations under the "
+        "License.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -59,12 +82,29 @@ TEMPLATES: dict[str, list[str]] = {
         "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
         "License for more details. You should have received a copy of the GNU General Public License along with this "
         "program. If not, see <https://www.gnu.org/licenses/>.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
         "later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version. This program is distributed in the hope that it will "
+        "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+        "FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
+        "received a copy of the GNU General Public License along with this program; if not, write to the Free "
+        "Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version. This program is distributed in the hope that it will "
+        "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+        "FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
+        "received a copy of the GNU General Public License along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
@@ -88,10 +128,63 @@ TEMPLATES: dict[str, list[str]] = {
         "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
         "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
         "with the distribution.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE "
+        "IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+        "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+        "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
+    "BSD-3-Clause": [
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. THIS SOFTWARE IS "
+        "PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+        "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+        "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+        "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+        "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+        "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+        "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+        "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE.",
     ],
     "Unlicense": [
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "

@@ -207,6 +207,20 @@ def test_licences(spark, rows):
     assert [found[i] for i in range(6)] == ["MIT", "MIT", "MIT", "Apache-2.0", "CC-BY-4.0,CC-BY-NC-4.0", "GPL-3.0"]
 
 
+def test_licences_of_several_paragraphs(spark):
+    t = license_scan.TEMPLATES
+    gpl3, mit = t["GPL-3.0"][2], t["MIT"][3]
+    gpl3 = gpl3.replace(" This program is distributed", "\n\nThis program is distributed").replace(" You should", "\n\nYou should")
+    mit = mit.replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    code = "def f(x):\n    return x + 1\n\n" * 40
+    files = [t["BSD-2-Clause"][1], t["BSD-3-Clause"][2], t["ISC"][2]]
+    texts = [gpl3 + "\n\n" + code, gpl3.replace("version 3", "version 2") + "\n\n" + code, code + mit + "\n\n" + code,
+             *[f"Copyright (c) 2020 A. Author. All rights reserved.\n\n{x}" for x in files]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in license_scan.license_report(docs).collect()}
+    assert [found[i] for i in range(6)] == ["GPL-3.0", "GPL-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"]
+
+
 def test_licences_odd_rows(odd_docs, no_docs):
     assert license_scan.license_report(odd_docs).count() == odd_docs.count()
     assert license_scan.license_report(no_docs).collect() == []
