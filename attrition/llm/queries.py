@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attrition.llm import (chat_tree, exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, quality,
-                           secret_scan, sharding, simhash)
+from attrition.llm import (chat_tree, exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, periodic_runs,
+                           quality, secret_scan, sharding, simhash)
 from attrition.llm.common import table, written
 from attrition.llm.oracle import ORACLE  # noqa: F401  the queries' DuckDB twins
 
@@ -57,6 +57,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SimHashOptions(n=4, radius=4))
 
@@ -64,5 +68,5 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_vector_packing, op2_ngram_jaccard_join, op3_suffix_tree_lm, op4_rendezvous_sharding,
                             op5_quality_rules, op6_chat_prefix_tree, op7_exact_dedup, op8_secret_scan,
-                            op9_license_scan, op10_source_mixing, op13_simhash_near_dedup)
+                            op9_license_scan, op10_source_mixing, op11_periodic_runs, op13_simhash_near_dedup)
 }
