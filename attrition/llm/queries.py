@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from attrition.llm import (chat_tree, exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, periodic_runs,
-                           quality, secret_scan, sharding, simhash)
+                           quality, secret_scan, sharding, simhash, whitening)
 from attrition.llm.common import table, written
 from attrition.llm.oracle import ORACLE  # noqa: F401  the queries' DuckDB twins
 
@@ -61,6 +61,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"), whitening.WhiteningOptions(components=16))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SimHashOptions(n=4, radius=4))
 
@@ -68,5 +72,6 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_vector_packing, op2_ngram_jaccard_join, op3_suffix_tree_lm, op4_rendezvous_sharding,
                             op5_quality_rules, op6_chat_prefix_tree, op7_exact_dedup, op8_secret_scan,
-                            op9_license_scan, op10_source_mixing, op11_periodic_runs, op13_simhash_near_dedup)
+                            op9_license_scan, op10_source_mixing, op11_periodic_runs, op12_embedding_whitening,
+                            op13_simhash_near_dedup)
 }
