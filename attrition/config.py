@@ -15,6 +15,16 @@ def month_period(month: str) -> tuple[str, str]:
     return f"{y:04d}-{m:02d}-01", f"{y:04d}-{m:02d}-{calendar.monthrange(y, m)[1]:02d}"
 
 
+def months_of(first: str, last: str) -> tuple[tuple[str, str], ...]:
+    """(year, month) of every month from the first day's to the last day's."""
+    (y, m), end = (int(x) for x in first.split("-")[:2]), last[:7]
+    out = []
+    while f"{y:04d}-{m:02d}" <= end:
+        out.append((f"{y:04d}", f"{m:02d}"))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return tuple(out)
+
+
 @dataclass(frozen=True)
 class Params:
     # source filters
@@ -25,9 +35,6 @@ class Params:
     # sample range on the install day (inclusive)
     sample_start: str
     sample_end: str
-    # partitions of the hit table that hold the period
-    hit_years: tuple[str, ...]
-    hit_months: tuple[str, ...]
     device: str = "Android"          # attribution event device
     os: str = "Android"              # hit device.operatingSystem
     hit_origin: str = "APP"
@@ -48,12 +55,22 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
+    @property
+    def last_hit_day(self) -> str:
+        """The last day whose hits are wanted: of the period, or after the last sampled install."""
+        after = dt.date.fromisoformat(self.sample_end) + dt.timedelta(days=self.hit_days_after_install)
+        return max(self.period_end, after.isoformat())
+
+    @property
+    def hit_months(self) -> tuple[tuple[str, str], ...]:
+        """(year, month) of the hit partitions from the period's start to the last hit day."""
+        return months_of(min(self.period_start, self.sample_start), self.last_hit_day)
+
     @staticmethod
     def for_month(month: str, sample_start: str, sample_end: str, brand: str, **kw) -> "Params":
         start, end = month_period(month)
-        y, m = month.split("-")
         return Params(brand=brand, period_start=start, period_end=end, sample_start=sample_start,
-                      sample_end=sample_end, hit_years=(y,), hit_months=(m,), **kw)
+                      sample_end=sample_end, **kw)
 
     @staticmethod
     def for_trailing_days(end: str | None = None, days: int = 2, *, brand: str, **kw) -> "Params":
@@ -61,8 +78,7 @@ class Params:
         first, last = trailing_days(end, days)
         months = sorted({first[:7], last[:7]})
         return Params(brand=brand, period_start=month_period(months[0])[0], period_end=month_period(months[-1])[1],
-                      sample_start=first, sample_end=last, hit_years=tuple(sorted({m[:4] for m in months})),
-                      hit_months=tuple(sorted({m[5:] for m in months})), **kw)
+                      sample_start=first, sample_end=last, **kw)
 
 
 def trailing_days(end: str | None = None, days: int = 2) -> tuple[str, str]:

@@ -14,7 +14,6 @@ Plan shape (all shuffles keyed, none on a single hot group):
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -67,26 +66,35 @@ def single_installs(events: DataFrame, p: Params) -> DataFrame:
 
 @dataclass(frozen=True)
 class Reach:
-    """First and last instant of the single installs; what their history and uninstalls can lie between."""
+    """First and last instant of the single installs, in microseconds; what their history and uninstalls can lie between.
 
-    first: dt.datetime | None
-    last: dt.datetime | None
+    They reach the driver as numbers: as local times they would be ambiguous in the hour that is repeated when summer time ends.
+    """
+
+    first: int | None
+    last: int | None
 
     def earlier(self) -> F.Column:
-        return F.lit(False) if self.last is None else TM.as_timestamp("event_time") < F.lit(self.last)
+        return F.lit(False) if self.last is None else TM.as_timestamp("event_time") < _instant(self.last)
 
     def uninstalled(self, window_days: int) -> F.Column:
         """After the first install, at most ``window_days`` after the last (the window ends at midnight)."""
         if self.first is None:
             return F.lit(False)
         t = TM.as_timestamp("event_time")
-        return (t > F.lit(self.first)) & (t <= F.date_add(F.lit(self.last), window_days).cast("timestamp"))
+        return (t > _instant(self.first)) & (t <= F.date_add(_instant(self.last), window_days).cast("timestamp"))
+
+
+def _instant(micros: int) -> F.Column:
+    """A constant timestamp (folded before planning, so it is pushed down like a literal)."""
+    return F.timestamp_micros(F.lit(micros).cast("long"))
 
 
 def reach(single: DataFrame) -> Reach:
     """From the (materialised) single installs themselves: the period is a test on another column, the install day,
     which need not be the day of the install instant."""
-    row = single.agg(F.min("install_date").alias("first"), F.max("install_date").alias("last")).first()
+    at = F.unix_micros("install_date")
+    row = single.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
     return Reach(row["first"], row["last"])
 
 

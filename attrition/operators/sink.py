@@ -1,14 +1,27 @@
 """Date-partitioned tables: stamp, replace one partition, memoise, read (SNK1-4, SRC4, SRC7).
 
 Upstream deletes the rows of the date and then appends (two steps on a Delta
-table). Here one overwrite of one date partition does both, also when the new
-data has no rows, and leaves every other date untouched, so a re-run is
-idempotent. Data that spans dates replaces exactly the dates it contains.
+table). Here the new rows of a date go into a folder of their own first, under
+``_versions`` in the table's folder, and then the catalog's location of that
+partition is changed to it, in one step:
+
+* a write that fails changes nothing, and its folder is deleted;
+* a reader sees the old rows or the new ones, never a part of either; the
+  folder that was replaced stays until the date has been replaced
+  ``KEPT_VERSIONS`` more times, so a reader that has listed its files ends;
+* new data without rows clears the date; other dates stay untouched; a re-run
+  is idempotent.
+
+Data that spans dates is written once, and then published date by date. The
+partitions of such a table are where the catalog says, so it is read through the
+catalog (as everything here does), not by its path.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import time
 import uuid
 from collections.abc import Callable
 
@@ -77,26 +90,115 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
         for f in spark.table(table).schema.fields])
 
 
+VERSIONS = "_versions"
+#: Replaced folders of a date that are kept for readers that are still at them.
+KEPT_VERSIONS = 1
+#: The catalog's name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _described(spark: SparkSession, table: str, part: str = "") -> dict[str, str]:
+    """The catalog's details of a table, or of one of its partitions; the first entry of a name counts."""
+    out: dict[str, str] = {}
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}").collect():
+        out.setdefault(r["col_name"], r["data_type"])
+    return out
+
+
+def _spec(values: dict[str, str]) -> str:
+    return ", ".join(f"`{c}` = {_text(v)}" for c, v in values.items())
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _create(df: DataFrame, table: str, partition_columns, path: str | None, fmt: str) -> None:
+    """An empty table with the columns of `df`."""
+    w = df.limit(0).write.format(fmt).partitionBy(*partition_columns).mode("ignore")
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
+class _Versions:
+    """The folders of a partitioned table, through the file system that holds it."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        details = _described(spark, table)
+        self.spark, self.table = spark, table
+        self.base, self.fmt = details["Location"].rstrip("/"), details["Provider"]
+        self.name = f"v{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:12]}"
+
+    def _fs(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def delete(self, folder: str) -> None:
+        path, fs = self._fs(folder)
+        fs.delete(path, True)
+
+    def names(self, folder: str) -> list[str]:
+        path, fs = self._fs(folder)
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+    def folder(self, values: dict[str, str]) -> str:
+        """Where the versions of one partition lie; its values are hashed, so that any text is a folder name."""
+        key = hashlib.sha256("\0".join(f"{c}={v}" for c, v in values.items()).encode()).hexdigest()[:24]
+        return f"{self.base}/{VERSIONS}/{key}"
+
+    def publish(self, rows: DataFrame, values: dict[str, str]) -> None:
+        """Write the rows (without the partition columns) as the new version of one partition, then point the catalog to it."""
+        folder = f"{self.folder(values)}/{self.name}"
+        try:
+            rows.write.format(self.fmt).mode("errorifexists").save(folder)
+        except BaseException:
+            self.delete(folder)
+            raise
+        self.point(values, folder)
+
+    def take(self, file: str, values: dict[str, str]) -> None:
+        """Publish the folder that holds a written file (of one partition) as the new version of that partition."""
+        jvm = self.spark._jvm
+        written = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+        folder, fs = self._fs(f"{self.folder(values)}/{self.name}")
+        fs.mkdirs(folder.getParent())
+        if not fs.rename(written, folder):
+            raise OSError(f"cannot move {written} to {folder}")
+        self.point(values, f"{self.folder(values)}/{self.name}")
+
+    def point(self, values: dict[str, str], folder: str) -> None:
+        spec = _spec(values)
+        self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_text(folder)}")
+        self.spark.sql(f"ALTER TABLE {self.table} PARTITION ({spec}) SET LOCATION {_text(folder)}")
+        self.clean(values)
+
+    def clean(self, values: dict[str, str]) -> None:
+        """Delete the versions that no reader is at any more: all but the current one and the last before it."""
+        held = self.folder(values)
+        current = _described(self.spark, self.table, f"PARTITION ({_spec(values)})")["Location"].rstrip("/").rsplit("/", 1)[-1]
+        old = [n for n in self.names(held) if n < current]
+        for n in old[:max(0, len(old) - KEPT_VERSIONS)]:
+            self.delete(f"{held}/{n}")
+
+
 def replace_day(df: DataFrame, table: str, day: str, path: str | None = None, fmt: str = "parquet") -> None:
     """SNK1 + SNK2 for one date: afterwards the partition of `day` holds exactly the rows of `df`, which may be none.
 
-    An overwrite with the whole partition named clears the date even if no row
-    replaces it, in any overwrite mode of the session.
+    Rows of `df` with another date are an error, found before anything is published.
     """
     spark = df.sparkSession
+    values = dict(zip(PARTITION_COLUMNS, day_parts(day)))
     if not table_exists(spark, table):
-        replace_partitions(df, table, path=path, fmt=fmt)
-        return
+        _create(df, table, PARTITION_COLUMNS, path, fmt)
     aligned = _aligned(df, table)
-    view = f"new_rows_{uuid.uuid4().hex}"
-    aligned.createOrReplaceTempView(view)
-    spec = ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, day_parts(day)))
-    kept = ", ".join(f"`{c}`" for c in aligned.columns if c not in PARTITION_COLUMNS)
-    where = spec.replace(", ", " AND ")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {kept} FROM {view} WHERE {where}")
-    finally:
-        spark.catalog.dropTempView(view)
+    other = F.concat_ws("-", *values) != F.lit("-".join(values.values()))
+    wrong = F.raise_error(F.concat(F.lit(f"not of {day}: "), F.concat_ws("-", *values)))
+    kept = [c for c in aligned.columns if c not in values]
+    checked = aligned.where(F.when(F.coalesce(other, F.lit(True)), wrong.cast("boolean")).otherwise(True))
+    _Versions(spark, table).publish(checked.select(*[_quoted(c) for c in kept]), values)
+
+
+def _quoted(name: str) -> F.Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_COLUMNS,
@@ -105,29 +207,24 @@ def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_CO
 
     Creates the table (partitioned, optionally at ``path``) on first use. New
     columns are added to the table first (the upstream `mergeSchema`); columns
-    the data lacks are written as nulls. Rows are aligned by name, since
-    `insertInto` is positional.
+    the data lacks are written as nulls. Everything is written before the first
+    partition is published; each partition changes in one step, one after another.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
-        w = df.write.format(fmt).partitionBy(*partition_columns).mode("errorifexists")
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-        return
+        _create(df, table, partition_columns, path, fmt)
     aligned = _aligned(df, table)
-    # the writer option alone is not honoured by insertInto on a catalog table: set the
-    # session mode for this one write and put the previous value back
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
+    versions = _Versions(spark, table)
+    staged = f"{versions.base}/{VERSIONS}/_staged-{versions.name}"
     try:
-        aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        aligned.write.format(versions.fmt).partitionBy(*partition_columns).save(staged)
+        rows = spark.read.format(versions.fmt).schema(aligned.schema).load(staged)
+        # one row a partition: its values, and one of its files
+        found = rows.groupBy(*partition_columns).agg(F.min("_metadata.file_path").alias("_file")).collect()
+        for r in sorted(found, key=lambda r: r["_file"]):
+            versions.take(r["_file"], {c: NULL_PARTITION if r[c] is None else str(r[c]) for c in partition_columns})
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        versions.delete(staged)
 
 
 def memo_partition(spark: SparkSession, table: str, day: str, compute: Callable[[], DataFrame],

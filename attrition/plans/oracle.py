@@ -210,7 +210,7 @@ cte("ga", ["hits_raw"], f"""
 SELECT * REPLACE (CAST({_HIT_DATE} AS DATE) AS date),
        {_COMPAT_TS} AS timestamp_hit, FullVisitorId AS id_ga
 FROM hits_raw
-WHERE OrigemParticao = {_q(P.hit_origin)} AND AaParticao IN {_in(P.hit_years)} AND MmParticao IN {_in(P.hit_months)}
+WHERE OrigemParticao = {_q(P.hit_origin)} AND (AaParticao, MmParticao) IN ({', '.join(map(_in, P.hit_months))})
   AND BandeiraParticao = {_q(P.brand)} AND device.operatingSystem = {_q(P.os)}""")
 
 cte("ga_amostra", ["ga"], """

@@ -41,10 +41,24 @@ def customers_with_age_band(customers: DataFrame, p: Params) -> DataFrame:
 
 def raw_date_between(hits: DataFrame, first: str, last: str):
     """Predicate on the raw `yyyyMMdd` hit date (int or text), so it reaches the Parquet scan."""
-    lo, hi = first.replace("-", ""), last.replace("-", "")
-    if isinstance(hits.schema["date"].dataType, T.StringType):
-        return F.col("date").between(F.lit(lo), F.lit(hi))
-    return F.col("date").between(F.lit(int(lo)), F.lit(int(hi)))
+    return F.col("date").between(_raw_date(hits, first), _raw_date(hits, last))
+
+
+def _raw_date(hits: DataFrame, day: str):
+    raw = day.replace("-", "")
+    return F.lit(raw if isinstance(hits.schema["date"].dataType, T.StringType) else int(raw))
+
+
+def in_hit_months(hits: DataFrame, p: Params):
+    """Predicate for the hit partitions of the period, each month with its own year; of a month that the period does not
+    reach, only the days up to the last one wanted. The partition equalities stay prunable."""
+    within = None
+    for year, month in p.hit_months:
+        part = (F.col("AaParticao") == year) & (F.col("MmParticao") == month)
+        if f"{year}-{month}" > p.period_end[:7]:
+            part = part & (F.col("date") <= _raw_date(hits, p.last_hit_day))
+        within = part if within is None else within | part
+    return within
 
 
 def normalised_hits(hits: DataFrame, p: Params, days: tuple[str, str] | None = None) -> DataFrame:
@@ -54,8 +68,7 @@ def normalised_hits(hits: DataFrame, p: Params, days: tuple[str, str] | None = N
     ``days`` (first, last), when given, also keeps only those hit days.
     """
     cond = ((F.col("OrigemParticao") == p.hit_origin)
-            & F.col("AaParticao").isin(*p.hit_years)
-            & F.col("MmParticao").isin(*p.hit_months)
+            & in_hit_months(hits, p)
             & (F.col("BandeiraParticao") == p.brand)
             & (F.col("device.operatingSystem") == p.os))
     if days is not None:

@@ -128,7 +128,12 @@ def test_age_band_follows_the_run_date(spark):
 def test_trailing_days_across_months():
     p = Params.for_trailing_days("2024-01-01", 2, brand="B")
     assert (p.sample_start, p.sample_end, p.period_start, p.period_end) == ("2023-12-30", "2024-01-01", "2023-12-01", "2024-01-31")
-    assert (p.hit_years, p.hit_months) == (("2023", "2024"), ("01", "12"))
+    assert p.hit_months == (("2023", "12"), ("2024", "01"))
+    p = Params.for_trailing_days("2024-01-31", 2, brand="B")
+    assert p.hit_months == (("2024", "01"), ("2024", "02")) and p.last_hit_day == "2024-02-01"
+    assert Params.for_trailing_days("2024-01-20", 40, brand="B").hit_months == (("2023", "12"), ("2024", "01"))
+    assert Params.for_month("2023-12", "2023-12-01", "2023-12-31", "B").hit_months == (("2023", "12"), ("2024", "01"))
+    assert Params.for_month("2023-12", "2023-12-01", "2023-12-31", "B", hit_days_after_install=0).hit_months == (("2023", "12"),)
 
 
 def test_shared_folder_is_required_away_from_a_local_master():

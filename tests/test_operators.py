@@ -347,7 +347,7 @@ def test_month_period_range_equals_month_format_test(spark):
         p = Params.for_month(month, sample_start=month + "-01", sample_end=month + "-01", brand="B")
         ours = {r[0] for r in df.filter(_in_period(p)).collect()}
         upstream = {r[0] for r in df.filter(F.date_format("event_time_sm", "yyyy-MM") == month).collect()}
-        assert ours == upstream and p.hit_months == (month[5:],)
+        assert ours == upstream and p.hit_months == (tuple(month.split("-")),)
 
 
 def test_training_on_no_rows_says_so(spark):
@@ -365,3 +365,60 @@ def test_read_partition_prunes_on_string_equality(spark, tmp_path):
     plan = spark._jvm.PythonSQLUtils.explainString(df_read._jdf.queryExecution(), "formatted")
     scan = [line for line in plan.splitlines() if line.startswith("PartitionFilters")][0]
     assert "(MmParticao" in scan and "= 09)" in scan and "cast(" not in scan.lower()
+
+
+def _hit(day, visitor="v1", device="a1", visit=1):
+    """A hit of one day, in that day's partition."""
+    y, m, _ = day.split("-")
+    return (visitor, visit, 1, int(day.replace("-", "")), "ch", ("Android",), ("SP",), (False,), (1, 1, 1, 1),
+            [(69, device)], (1, 0, "10", "05", [(5, "home")], ("c", "a", "l")), "APP", y, m, "B")
+
+
+@pytest.mark.parametrize("end,other", [("2024-01-31", "2024-02-20"), ("2023-12-31", "2024-01-20")])
+def test_hits_of_the_day_after_the_months_last_install(spark, end, other, tmp_path):
+    """An install on the last day of a month or year meets its hits of the day after; the rest of that month is not read."""
+    from attrition.operators import joins as J
+
+    after = (dt.date.fromisoformat(end) + dt.timedelta(days=1)).isoformat()
+    p = Params.for_month(end[:7], sample_start=end[:7] + "-01", sample_end=end, brand="B", materialise=False)
+    wrong = [f"{int(after[:4]) - (after[:4] != end[:4])}-{after[5:]}", f"{after[:4]}-{end[5:]}"] if after[:4] != end[:4] else []
+    hits = spark.createDataFrame([_hit(end), _hit(after, visit=2), _hit(other, "v2", "a2")] + [_hit(w, "v3", "a3") for w in wrong],
+                                 schemas.HITS)
+    path = str(tmp_path / "hits")
+    hits.write.partitionBy("OrigemParticao", "AaParticao", "MmParticao", "BandeiraParticao").parquet(path)
+    stored = spark.read.schema(hits.schema).parquet(path)
+    rows = [ev(f"a{i}", f"d{i}", "install", dt.datetime.fromisoformat(end + "T10:00:00")) for i in (1, 2, 3)]
+    installs = I.build_installs(events(spark, rows), p)
+    got = J.sampled_hits(installs, stored, p)
+    assert sorted((r.id_ga, str(r.date)) for r in got.collect()) == [("v1", end), ("v1", after)]
+    from attrition.sources import tables
+
+    ga = tables.normalised_hits(stored, p)
+    assert {(r.id_ga, str(r.date)) for r in ga.collect()} == {("v1", end), ("v1", after)}
+    plan = spark._jvm.PythonSQLUtils.explainString(ga._jdf.queryExecution(), "formatted")
+    scan = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert f"= {after[:4]})" in scan and f"= {after[5:7]})" in scan and f"= {end[5:7]})" in scan
+
+
+def test_history_bound_in_a_driver_zone_with_summer_time(spark, monkeypatch):
+    """Instants in the hour that New York repeats are not moved by an hour on their way through the driver."""
+    import time as clock
+
+    first = dt.datetime(2023, 11, 5, 6, 30, tzinfo=dt.timezone.utc)
+    stamps = [("a1", "d1", "install", first), ("a1", "d1", "reinstall", first - dt.timedelta(minutes=20)),
+              ("a1", "d1", "reinstall", first - dt.timedelta(minutes=70)), ("x", "d1", "uninstall", first + dt.timedelta(minutes=10))]
+    micros = [(a, d, n, int(t.timestamp()) * 1_000_000) for a, d, n, t in stamps]
+    df = (spark.createDataFrame(micros, "advertising_id string, appsflyer_id string, event_name string, m long")
+          .select("advertising_id", "appsflyer_id", "event_name", F.timestamp_micros("m").alias("event_time"),
+                  F.when(F.col("event_name") == "install", F.lit("2023-11-05")).otherwise("2023-10-01").cast("date").alias("event_time_sm"),
+                  F.lit("Organico").alias("atribuicao_canais"), F.lit("s").alias("media_source"), F.lit("c").alias("channel"),
+                  F.lit("B").alias("bandeira_partition"), F.lit("Android").alias("device")))
+    p = Params.for_month("2023-11", sample_start="2023-11-01", sample_end="2023-11-30", brand="B", dedupe_uninstalls=True)
+    monkeypatch.setenv("TZ", "America/New_York")
+    clock.tzset()
+    try:
+        out = I.build_installs(df, p).first()
+    finally:
+        monkeypatch.undo()
+        clock.tzset()
+    assert (out["total_installs_antigos"], out["uninstall"]) == (2, 1)
