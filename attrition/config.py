@@ -95,6 +95,7 @@ class ModelConfig:
     subsampling_rate: float = 0.8
     seed: int = 42
     train_tenths: int = V.TRAIN_FRACTION_TENTHS
-    split: str = "hash"              # hash (stable, SQL-reproducible) | random (randomSplit with `seed`)
+    split: str = "exact"             # exact (exact share, by hash order) | hash (each id on its own) | random (randomSplit)
+    engine: str = "histogram"        # histogram (boosting.py) | spark (pyspark.ml's GBTClassifier)
     corr_threshold: float = V.CORR_THRESHOLD
     include_label_in_corr: bool = True

@@ -78,12 +78,12 @@ def outlier_bounds(df: DataFrame, columns=OUTLIER_COLUMNS, mode: str = "exact",
     return df.agg(*aggs)
 
 
-def _exact_bounds(df: DataFrame, columns) -> DataFrame:
-    """Discrete percentiles without a buffer of all distinct values in one task.
+def value_ranks(df: DataFrame, columns) -> DataFrame:
+    """c (place of the column), v, n (rows with it), r (rows up to it) and total of every distinct value that is not null.
 
-    Values are counted (combined map-side) and range-partitioned; each range
-    adds up its own counts on top of the total of the ranges before it, and the
-    smallest value that reaches the wanted rank is the percentile.
+    No task has a buffer of all distinct values: values are counted (combined
+    map-side) and range-partitioned; each range adds up its own counts on top of
+    the total of the ranges before it.
     """
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), qcol(c).cast("double").alias("v")) for i, c in enumerate(columns)])
     counts = (df.select(F.explode(pairs).alias("x")).select("x.c", "x.v").where("v IS NOT NULL")
@@ -94,8 +94,13 @@ def _exact_bounds(df: DataFrame, columns) -> DataFrame:
     totals = (totals.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
               .withColumn("total", F.sum("held").over(Window.partitionBy("c"))))
     upto = Window.partitionBy("c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (ranged.withColumn("r", F.sum("n").over(upto)).join(totals, ["c", "part"])
-             .withColumn("r", F.col("r") + F.col("before")))
+    return (ranged.withColumn("r", F.sum("n").over(upto)).join(totals, ["c", "part"])
+            .withColumn("r", F.col("r") + F.col("before")).select("c", "v", "n", "r", "total"))
+
+
+def _exact_bounds(df: DataFrame, columns) -> DataFrame:
+    """Discrete percentiles: the smallest value that reaches the wanted rank."""
+    ranks = value_ranks(df, columns)
 
     def percentile(i: int, q: float) -> F.Column:
         rank = F.greatest(F.lit(1), F.col("total") - F.floor(F.col("total") - F.lit(q) * F.col("total")))

@@ -1,10 +1,11 @@
 """Correlation filter, split, class weight, boosted trees, metrics, scoring (ML2-ML9).
 
 Everything stays distributed: the correlation matrix is a sum of per-partition
-moment matrices, the split is a hash of the id, metrics come from one grouped
-confusion count, and training/scoring are `pyspark.ml` stages. Only small,
+moment matrices, the split follows a hash of the id, metrics come from one grouped
+confusion count, and training/scoring are passes over the rows: the histogram
+booster of `boosting.py`, or `pyspark.ml`'s trees (``ModelConfig.engine``). Only small,
 bounded things reach the driver: column means, the k x k moments, the kept
-column list and the metrics.
+column list, the trees and the metrics.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.config import ModelConfig
 from attrition.functions import values as V
+from attrition.operators import boosting
+from attrition.operators.boosting import BoostedTrees, BoostOptions
 
 ID = "id_ga"
 LABEL = "uninstall"
@@ -124,6 +127,37 @@ def split_flag(id_col: str = ID, tenths: int = V.TRAIN_FRACTION_TENTHS) -> F.Col
     return bucket < tenths
 
 
+def exact_split_flag(df: DataFrame, id_col: str = ID, tenths: int = V.TRAIN_FRACTION_TENTHS, bucket: int = 100_000) -> F.Column:
+    """ML3 with an exact share: True for the n - ceil((1 - share) * n) first rows in the order of (md5(id), id).
+
+    A distributed selection: rows are counted by the first three digits of the hash, then, inside the bucket that the
+    boundary falls into, by three digits more, until that bucket has at most ``bucket`` rows; those alone
+    are sorted for the last training row, which is all that is kept. Rows that share an id stay together, so
+    a repeated id at the boundary can add a few rows to the training side.
+    """
+    keyed = df.select(F.md5(F.col(id_col).cast("string")).alias("h"), F.col(id_col).cast("string").alias("i")).where("i IS NOT NULL")
+    prefix, left = "", None
+    while True:
+        at = len(prefix) + 3
+        counts = keyed.where(F.col("h").startswith(prefix)).groupBy(F.substring("h", 1, at).alias("p")).count().orderBy("p").collect()
+        if left is None:
+            n = sum(r["count"] for r in counts)
+            left = n - -(-n * (10 - tenths) // 10)
+        if left <= 0:
+            return F.lit(False)
+        for r in counts:  # the bucket that holds the boundary
+            if left <= r["count"]:
+                break
+            left -= r["count"]
+        prefix = r["p"]
+        if r["count"] <= bucket or at >= 30:
+            break
+    last = keyed.where(F.col("h").startswith(prefix)).orderBy("h", "i").limit(left).agg(F.max(F.struct("h", "i")).alias("x")).first()["x"]
+    own = F.struct(F.md5(F.col(id_col).cast("string")).alias("h"), F.col(id_col).cast("string").alias("i"))
+    upto = own <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["i"]).alias("i"))
+    return F.when(F.col(id_col).isNull(), F.lit(False)).otherwise(upto)
+
+
 def class_weight(train: DataFrame, label: str = LABEL) -> DataFrame:
     """AGG6: one row, negatives / positives (null when there are no positives)."""
     y = F.col(label).cast("int")
@@ -183,31 +217,54 @@ def metrics(predictions: DataFrame, label: str = LABEL, prediction: str = "predi
         F.col("n").alias("n_evaluated"))
 
 
-def train(features_df: DataFrame, cfg: ModelConfig = ModelConfig()) -> tuple[PipelineModel, DataFrame, list[str]]:
-    """ML8: corr filter -> hash split -> class weight -> fit -> metrics on the test side.
+def boost_options(cfg: ModelConfig) -> BoostOptions:
+    return BoostOptions(trees=cfg.max_iter, depth=cfg.max_depth, step=cfg.step_size, subsample=cfg.subsampling_rate, seed=cfg.seed)
+
+
+def split(data: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, DataFrame]:
+    """ML3: the training and the test side."""
+    if cfg.split == "random":
+        share = cfg.train_tenths / 10
+        return tuple(data.randomSplit([share, 1 - share], seed=cfg.seed))
+    if cfg.split not in ("exact", "hash"):
+        raise ValueError(f"unknown split {cfg.split!r}")
+    is_train = exact_split_flag(data, ID, cfg.train_tenths) if cfg.split == "exact" else split_flag(ID, cfg.train_tenths)
+    return data.filter(is_train), data.filter(~is_train)
+
+
+def train(features_df: DataFrame, cfg: ModelConfig = ModelConfig()) -> tuple[BoostedTrees | PipelineModel, DataFrame, list[str]]:
+    """ML8: corr filter -> split -> class weight -> fit -> metrics on the test side.
 
     Returns the fitted model, a one-row metrics frame and the feature list.
     """
     data, feats = corr_filter(features_df, cfg)
     data = numeric_features(data, feats)
-    if cfg.split == "random":
-        frac = cfg.train_tenths / 10
-        train_df, test_df = data.randomSplit([frac, 1 - frac], seed=cfg.seed)
-    else:
-        is_train = split_flag(ID, cfg.train_tenths)
-        train_df, test_df = data.filter(is_train), data.filter(~is_train)
+    train_df, test_df = split(data, cfg)
     if train_df.isEmpty():
         raise ValueError("no training rows: the feature table (or its training side) is empty")
     spw = class_weight(train_df).first()["scale_pos_weight"]
-    model = build_pipeline(feats, cfg).fit(with_weight(train_df, spw))
-    scored = model.transform(with_weight(test_df, spw))
+    if cfg.engine == "histogram":
+        model = boosting.fit(train_df, feats, LABEL, ID, spw, boost_options(cfg))
+        scored = model.score(test_df, [LABEL])
+    elif cfg.engine == "spark":
+        model = build_pipeline(feats, cfg).fit(with_weight(train_df, spw))
+        scored = model.transform(with_weight(test_df, spw))
+    else:
+        raise ValueError(f"unknown engine {cfg.engine!r}")
     m = metrics(scored).withColumn("scale_pos_weight", F.lit(spw).cast("double")) \
                        .withColumn("n_features", F.lit(len(feats)))
     return model, m, feats
 
 
-def model_features(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
+def model_features(model: BoostedTrees | PipelineModel) -> list[str]:
+    return list(model.features) if isinstance(model, BoostedTrees) else list(model.stages[0].getInputCols())
+
+
+def model_size(model: BoostedTrees | PipelineModel) -> tuple[int, int]:
+    """Number of trees and greatest depth asked for."""
+    if isinstance(model, BoostedTrees):
+        return len(model.trees), model.options.depth
+    return model.stages[-1].getNumTrees, model.stages[-1].getOrDefault("maxDepth")
 
 
 def align_features(df: DataFrame, features: list[str]) -> DataFrame:
@@ -217,7 +274,7 @@ def align_features(df: DataFrame, features: list[str]) -> DataFrame:
     return df.select(_q(ID), *cols)
 
 
-def score(features_df: DataFrame, model: PipelineModel, refit_columns: bool = False,
+def score(features_df: DataFrame, model: BoostedTrees | PipelineModel, refit_columns: bool = False,
           cfg: ModelConfig = ModelConfig()) -> DataFrame:
     """ML6 + ML9 + SNK5: `id_ga, prob_uninstall` (probability of class 1) for every row.
 
@@ -231,15 +288,21 @@ def score(features_df: DataFrame, model: PipelineModel, refit_columns: bool = Fa
         refit = corr_filter(features_df, cfg)[1]
         if refit != feats:
             raise ValueError(f"correlation filter on the scoring data keeps {refit}, the model expects {feats}")
-    out = model.transform(align_features(features_df, feats))
-    return out.select(ID, vector_to_array("probability")[1].alias("prob_uninstall"))
+    rows = align_features(features_df, feats)
+    if isinstance(model, BoostedTrees):
+        return model.score(rows, [ID]).select(ID, F.col("probability").alias("prob_uninstall"))
+    return model.transform(rows).select(ID, vector_to_array("probability")[1].alias("prob_uninstall"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: BoostedTrees | PipelineModel, path: str) -> None:
     """SNK7."""
-    model.write().overwrite().save(path)
+    if isinstance(model, BoostedTrees):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> BoostedTrees | PipelineModel:
     """SRC8."""
-    return PipelineModel.load(path)
+    spark = SparkSession.getActiveSession()
+    return BoostedTrees.load(spark, path) if boosting.is_saved(spark, path) else PipelineModel.load(path)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from attrition.config import ModelConfig, Params
@@ -85,7 +84,7 @@ def train_job(features: DataFrame, cfg: ModelConfig = ModelConfig(), model_path:
     return model, metrics
 
 
-def score_job(features: DataFrame, model: PipelineModel | str, day: str, table: str | None = None,
+def score_job(features: DataFrame, model: M.BoostedTrees | M.PipelineModel | str, day: str, table: str | None = None,
               path: str | None = None, now: dt.datetime | None = None) -> DataFrame:
     """E3 / ML9: score, stamp, replace the date partition of the prediction table, read it back."""
     if isinstance(model, str):

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from attrition.config import ModelConfig
 from attrition.functions import recodes as R
 from attrition.functions import values as V
+from attrition.operators import boosting as BO
 from attrition.operators import features as FT
 from attrition.operators import hits as H
 from attrition.operators import installs as I
@@ -541,6 +542,17 @@ def q_train_test_split(spark, sf_dir):
     return rows.select("id_ga", M.split_flag().alias("is_train"))
 
 
+# the training side of an exact share: by rank of the hash, all but the ceil(0.3 n) last
+_EXACT_SQL = (f"(SELECT b.*, rank() OVER (ORDER BY md5(id_ga), id_ga) <= count(*) OVER () - ceil(count(*) OVER () * 3 / 10) "
+              f"AS is_train FROM {_FEATS} b)")
+
+
+@register("train_test_split_exact", with_ctes(f"SELECT id_ga, is_train FROM {_EXACT_SQL} s", "user_agg", "dummy_long"))
+def q_train_test_split_exact(spark, sf_dir):
+    rows = feature_rows(spark, sf_dir)
+    return rows.select("id_ga", M.exact_split_flag(rows).alias("is_train"))
+
+
 _WEIGHT = ("CASE WHEN count(*) FILTER (WHERE uninstall = 1) = 0 THEN NULL ELSE "
            "CAST(count(*) FILTER (WHERE uninstall = 0) AS DOUBLE) / count(*) FILTER (WHERE uninstall = 1) END")
 
@@ -585,15 +597,95 @@ def q_classification_metrics(spark, sf_dir):
 @register("train_model", with_ctes(
     f"SELECT CAST({len(MODEL_COLS) - 1} - (SELECT count(*) FROM {_DROPPED} dropped) AS INTEGER) AS n_features, "
     f"{CFG.max_iter} AS n_trees, {CFG.max_depth} AS max_depth, {_WEIGHT} AS scale_pos_weight "
-    f"FROM {_FEATS} b WHERE {_SPLIT_SQL}", "user_agg", "dummy_long"))
+    f"FROM {_EXACT_SQL} s WHERE is_train", "user_agg", "dummy_long"))
 def q_train_model(spark, sf_dir):
     _, model, metrics, names = _trained(spark, sf_dir)
-    gbt = model.stages[-1]
-    return metrics.select(F.lit(len(names)).alias("n_features"), F.lit(gbt.getNumTrees).alias("n_trees"),
-                          F.lit(gbt.getOrDefault("maxDepth")).alias("max_depth"), "scale_pos_weight")
-
-
-# the scores themselves have no SQL form: who is scored, that each has a probability, and the stamps do
+    trees, depth = M.model_size(model)
+    return metrics.select(F.lit(len(names)).alias("n_features"), F.lit(trees).alias("n_trees"),
+                          F.lit(depth).alias("max_depth"), "scale_pos_weight")
+
+
+def _first_split_sql() -> str:
+    """The root split of the first tree over all rows, from the definition: every cut of every feature, missing rows on either side."""
+    k = {"p": "(1 / (1 + exp(0.0)))", "bins": BO.BINS, "l2": 1.0}
+    items = ", ".join(f"struct_pack(f := {i}, name := {_q(c)}, v := CAST(\"{c}\" AS DOUBLE))" for i, c in enumerate(MODEL_COLS[1:]))
+    side = "({g}) * ({g}) / (({h}) + 1.0)"
+    both = []
+    for flag in ("false", "true"):
+        gl, hl, cl = (f"(l{x} + m{x})" if flag == "true" else f"l{x}" for x in "ghc")
+        gr, hr, cr = f"(t{'g'} - {gl})", f"(th - {hl})", f"(tc - {cl})"
+        gain = f"{side.format(g=gl, h=hl)} + {side.format(g=gr, h=hr)} - {side.format(g='tg', h='th')}"
+        both.append(f"SELECT f, name, v, {flag} AS missing_left, {gain} AS gain, {cl} AS n_left, {cr} AS n_right, "
+                    f"-0.2 * {gl} / ({hl} + 1.0) AS w_left, -0.2 * {gr} / ({hr} + 1.0) AS w_right FROM sums "
+                    f"WHERE {cl} > 0 AND {cr} > 0 AND {hl} >= 1 AND {hr} >= 1")
+    return with_ctes(f"""
+SELECT name AS feature, v AS threshold, missing_left, round(gain, 6) AS gain, CAST(n_left AS BIGINT) AS n_left,
+       CAST(n_right AS BIGINT) AS n_right, round(w_left, 9) AS w_left, round(w_right, 9) AS w_right FROM (
+  WITH base AS MATERIALIZED (SELECT * FROM {_FEATS} b),
+  weight AS (SELECT {_WEIGHT} AS w FROM base),
+  rows AS (SELECT ({k['p']} - uninstall) * s AS g, {k['p']} * (1 - {k['p']}) * s AS h, unnest([{items}]) AS x
+           FROM (SELECT *, CASE WHEN uninstall = 1 THEN coalesce((SELECT w FROM weight), 1.0) ELSE 1.0 END AS s FROM base)),
+  total AS (SELECT x.f AS f, sum(g) AS tg, sum(h) AS th, count(*) AS tc, coalesce(sum(g) FILTER (WHERE x.v IS NULL), 0) AS mg,
+                   coalesce(sum(h) FILTER (WHERE x.v IS NULL), 0) AS mh, count(*) FILTER (WHERE x.v IS NULL) AS mc,
+                   count(x.v) AS n FROM rows GROUP BY x.f),
+  vals AS (SELECT x.f AS f, x.name AS name, x.v AS v, count(*) AS c, sum(g) AS g, sum(h) AS h FROM rows WHERE x.v IS NOT NULL GROUP BY ALL),
+  run AS (SELECT f, name, v, c, sum(c) OVER u AS lc, sum(g) OVER u AS lg, sum(h) OVER u AS lh FROM vals
+          WINDOW u AS (PARTITION BY f ORDER BY v)),
+  sums AS (SELECT * FROM run JOIN total USING (f) WHERE {k['bins']} * lc // n > {k['bins']} * (lc - c) // n)
+  {' UNION ALL '.join(both)})
+ORDER BY gain DESC, f, v, missing_left LIMIT 1""", "user_agg", "dummy_long")
+
+
+@register("boost_first_split", _first_split_sql())
+def q_boost_first_split(spark, sf_dir):
+    """ML4 + ML5: the first split of the first tree, with its gain and the values of its two sides (all rows take part)."""
+    feats = feature_rows(spark, sf_dir)
+    names = M.correlation_columns(feats, include_label=False)
+    weight = M.class_weight(feats).first()["scale_pos_weight"]
+    one = BO.fit(M.numeric_features(feats, names), names, M.LABEL, M.ID, weight, BO.BoostOptions(trees=1, depth=1, subsample=1.0))
+    nodes = one.table(spark)
+    left, right = nodes.where("node = 1"), nodes.where("node = 2")
+    return (nodes.where("node = 0 AND feature >= 0")
+            .join(left.select("tree", F.col("rows").alias("n_left"), F.round("value", 9).alias("w_left")), "tree")
+            .join(right.select("tree", F.col("rows").alias("n_right"), F.round("value", 9).alias("w_right")), "tree")
+            .select(F.col("name").alias("feature"), "threshold", "missing_left", F.round("gain", 6).alias("gain"),
+                    "n_left", "n_right", "w_left", "w_right"))
+
+
+# a small fixed model: (tree, node, feature, threshold, missing_left, left, right, value)
+_FIXED = [(0, 0, "sessions", 2.0, True, 1, 2, 0.0), (0, 1, "media_timesession", 30.0, False, 3, 4, 0.0), (0, 2, None, None, False, -1, -1, -0.4),
+          (0, 3, None, None, False, -1, -1, 0.7), (0, 4, None, None, False, -1, -1, -0.1),
+          (1, 0, "sexo_F", 0.0, False, 1, 2, 0.0), (1, 1, None, None, False, -1, -1, 0.25), (1, 2, "recencia_last_install", 10.0, True, 3, 4, 0.0),
+          (1, 3, None, None, False, -1, -1, -0.6), (1, 4, None, None, False, -1, -1, 0.05)]
+
+
+def fixed_model() -> BO.BoostedTrees:
+    names = sorted({r[2] for r in _FIXED if r[2]})
+    rows = [dict(tree=t, node=n, feature=names.index(f) if f else -1, bin=-1, threshold=float("nan") if v is None else v, missing_left=m,
+                 left=lo, right=hi, value=x, gain=0.0, cover=0.0, rows=0) for t, n, f, v, m, lo, hi, x in _FIXED]
+    return BO.BoostedTrees.of_rows(rows, names)
+
+
+def _tree_sql(tree: int, node: int = 0) -> str:
+    _, _, name, threshold, missing_left, left, right, value = next(r for r in _FIXED if r[:2] == (tree, node))
+    if name is None:
+        return str(value)
+    v = f'CAST("{name}" AS DOUBLE)'
+    test = f"{v} IS NULL OR {v} <= {threshold}" if missing_left else f"{v} <= {threshold}"
+    return f"CASE WHEN {test} THEN {_tree_sql(tree, left)} ELSE {_tree_sql(tree, right)} END"
+
+
+@register("score_fixed_trees", with_ctes(
+    f"SELECT id_ga, round(1 / (1 + exp(-CAST({_tree_sql(0)} AS DOUBLE) - CAST({_tree_sql(1)} AS DOUBLE))), 9) AS prob_uninstall "
+    f"FROM {_FEATS} b", "user_agg", "dummy_long"))
+def q_score_fixed_trees(spark, sf_dir):
+    """ML6 + SNK5 with the scores themselves: a stored table of trees, loaded and applied to every user."""
+    path = scratch_path(spark, "fixed-model")
+    M.save_model(fixed_model(), path)
+    return M.score(feature_rows(spark, sf_dir), M.load_model(path)).select("id_ga", F.round("prob_uninstall", 9).alias("prob_uninstall"))
+
+
+# the scores of the fitted model have no SQL form: who is scored, that each has a probability, and the stamps do
 def _is_probability():
     return F.col("prob_uninstall").between(0, 1).alias("is_probability")
 
