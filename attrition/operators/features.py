@@ -161,7 +161,7 @@ def set_elements(uagg: DataFrame, columns=SET_COLUMNS) -> DataFrame:
             .select(*GROUP_KEYS, "p.column", "p.value"))
 
 
-def _tagger(column: str):
+def tagged_with(column: str):
     return lambda v: F.struct(F.lit(column).alias("column"), v.cast("string").alias("value"))
 
 
@@ -170,7 +170,7 @@ def _pairs(df: DataFrame, columns) -> F.Column:
     parts = []
     for c in columns:
         if isinstance(df.schema[c].dataType, T.ArrayType):
-            parts.append(F.transform(c, _tagger(c)))
+            parts.append(F.transform(c, tagged_with(c)))
         else:
             parts.append(F.array(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))))
     return F.concat(*parts)
@@ -183,8 +183,10 @@ def fit_vocab(uagg: DataFrame, columns=V.ONEHOT_COLUMNS) -> DataFrame:
 
 
 # The columns whose values come from fixed lists. The other one, `install_channel`, is free text: its values are kept
-# as an array and become dummies only for a vocabulary that names them.
+# as an array, and become sparse dummies, or columns for a vocabulary that names them.
 CLOSED_COLUMNS = tuple(c for c in V.ONEHOT_COLUMNS if c != "install_channel")
+#: The open column's dummies, as sorted indexes (see `sparse.py`).
+OPEN_DUMMIES = "install_channel_idx"
 
 
 def vocab_list(vocab: DataFrame, columns=V.ONEHOT_COLUMNS) -> list[tuple[str, str]]:
@@ -264,12 +266,15 @@ def user_aggregates(joined: DataFrame, p: Params) -> DataFrame:
 
 
 def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] | None = None,
-                   save_vocab: Callable[[DataFrame], None] | None = None) -> DataFrame:
+                   save_vocab: Callable[[DataFrame], None] | None = None,
+                   open_index: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """PIP4: the feature table, one row per user (see AGG3/AGG4 for when a user has more).
 
     With no frozen ``vocab`` the vocabulary of the closed columns is fitted on
     this data, and handed to ``save_vocab``. The user aggregate is then written
     first, so fitting and encoding read it once instead of recomputing the joins.
+    ``open_index`` gets the open column's (column, value) pairs and returns their
+    index table; the rows then have `install_channel_idx`, its sparse dummies.
     """
     uagg = user_aggregates(joined, p)
     if vocab is None:
@@ -278,4 +283,11 @@ def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] |
         if save_vocab is not None:
             save_vocab(fitted)
         vocab = vocab_list(fitted)
-    return feature_rows(uagg, vocab, p.drop_null_keys)
+    rows = feature_rows(uagg, vocab, p.drop_null_keys)
+    left = [c for c in rows.columns if c in V.ONEHOT_COLUMNS]
+    if open_index is None or not left:
+        return rows
+    from attrition.operators import sparse
+
+    rows = materialise(rows, p.materialise, "feature-rows")
+    return sparse.encode(rows, open_index(sparse.value_pairs(rows, left)), left, OPEN_DUMMIES)

@@ -17,6 +17,7 @@ from attrition.operators import installs as I
 from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
+from attrition.operators import sparse as SP
 from attrition.session import materialise, scratch_scope
 
 
@@ -35,11 +36,11 @@ def load_sources(spark: SparkSession, attribution_table: str, hits_table: str, c
             "customers": check_contract(spark.table(customers_table), schemas.CUSTOMERS, customers_table)}
 
 
-def build_feature_table(sources: dict, p: Params, vocab=None, save_vocab=None) -> DataFrame:
+def build_feature_table(sources: dict, p: Params, vocab=None, save_vocab=None, open_index=None) -> DataFrame:
     """PIP1 -> PIP3 -> PIP4."""
     installs = I.build_installs(sources["attribution_events"], p)
     joined = J.build_joined(installs, sources["hits"], sources["customers"], p)
-    return FT.build_features(joined, p, vocab, save_vocab)
+    return FT.build_features(joined, p, vocab, save_vocab, open_index)
 
 
 def frozen_vocab(spark: SparkSession, table: str | None):
@@ -57,7 +58,9 @@ def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str |
     With a table name the partition is memoised: stored rows are returned
     as they are, otherwise the build runs and replaces the date partition. The
     first build stores the one-hot vocabulary in `vocab_table`; later ones read
-    it, so that every date has the same columns.
+    it, so that every date has the same columns. Beside it, `<vocab_table>_open`
+    maps the values of the open column to the indexes of their sparse dummies;
+    later dates add the values they see first.
     """
     def save(vocab: DataFrame) -> None:
         if vocab_table is not None and not vocab.isEmpty():
@@ -66,8 +69,11 @@ def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str |
                 w = w.option("path", f"{path.rstrip('/')}_vocab")
             w.saveAsTable(vocab_table)
 
+    def open_index(pairs: DataFrame) -> DataFrame:
+        return SP.stored_index(spark, f"{vocab_table}_open", pairs, f"{path.rstrip('/')}_open" if path else None)
+
     def build() -> DataFrame:
-        return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save)
+        return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save, open_index if vocab_table else None)
 
     if table is None:
         return build()

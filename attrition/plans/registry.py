@@ -26,8 +26,9 @@ from attrition.operators import installs as I
 from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
+from attrition.operators import sparse as SP
 from attrition.plans import jobs as JB
-from attrition.plans.oracle import (BASE_MODELAGEM, D, EV1, EV2, GROUPING, MODEL_COLS, ONEHOT_ROWS, SOURCE, TS,
+from attrition.plans.oracle import (BASE_MODELAGEM, D, EV1, EV2, GROUPING, MODEL_COLS, NUMERIC, ONEHOT_ROWS, SOURCE, TS,
                                     UN_COND, _dayparts, _in, _q, corr_pairs, first_dim, product_sql, region_sql,
                                     valid, with_ctes)
 from attrition.session import app_key, materialise, scratch_path
@@ -441,6 +442,23 @@ def q_feature_table(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P, VOCABULARY)
 
 
+@register("open_dummies", with_ctes(
+    "SELECT DISTINCT d.id_ga, d.name FROM dummy_long d JOIN user_agg a ON a.id_ga = d.id_ga AND a.faixa_etaria = d.faixa_etaria "
+    f"AND a.sexo = d.sexo AND a.uninstall = d.uninstall WHERE d.name LIKE 'install\\_channel\\_%' ESCAPE '\\' "
+    f"AND {' AND '.join(f'a.{c.strip()} IS NOT NULL' for c in NUMERIC.split(','))}", "user_agg", "dummy_long"))
+def q_open_dummies(spark, sf_dir):
+    """ML1 + AGG4 for the open column: sparse vectors over an index table, read back as names."""
+    closed = [cv for cv in VOCABULARY if cv[0] != "install_channel"]
+    kept = {}
+
+    def index(pairs):
+        kept["index"] = materialise(SP.numbered(pairs), name="open-index")
+        return kept["index"]
+
+    rows = FT.build_features(joined_facts(spark, sf_dir), P, closed, open_index=index)
+    return SP.decode(rows, kept["index"], name=FT.OPEN_DUMMIES).distinct()
+
+
 # ============================================================ step 6: partitioned sinks
 DAY_A, DAY_B, DAY_C = "2024-01-04", "2024-01-05", "2024-01-06"
 FIXED_NOW = dt.datetime(2024, 1, 31, 0, 0, 0)

@@ -37,7 +37,9 @@ def test_jobs_through_catalog_tables(spark, tmp_path):
     rows = preds.collect()
     assert len(rows) == n and all(0.0 <= r["prob_uninstall"] <= 1.0 for r in rows)
     assert {r["MmParticao"] for r in rows} == {"01"} and feats.schema["install_channel"].dataType.simpleString() == "array<string>"
-    assert not [c for c in feats.columns if c.startswith("install_channel_")]
+    assert [c for c in feats.columns if c.startswith("install_channel_")] == ["install_channel_idx"]
+    index = {r["idx"]: r["value"] for r in spark.table(f"vocab_{tag}_open").collect()}
+    assert all([index[i] for i in r["install_channel_idx"]] == sorted(r["install_channel"]) for r in feats.collect())
     from attrition.sources import schemas
 
     assert {f.name: f.dataType for f in preds.schema.fields} == {f.name: f.dataType for f in schemas.PREDICTION.fields}
