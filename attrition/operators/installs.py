@@ -5,11 +5,16 @@ Plan shape (all shuffles keyed, none on a single hot group):
 * single installs: distinct install rows, a pre-aggregated `count` per
   advertising id (map-side combine, so a hot id is one row per map task) and a
   left-semi join back; no window, so no task ever buffers a whole id;
-* history (JN1) and uninstalls (JN2): range joins of the single installs
-  against the earlier installs / the uninstalls, each reduced with a grouped
-  count right after the join. Upstream multiplies the two fan-outs and then
-  aggregates; here each side is aggregated on its own and the product is taken
-  arithmetically, which gives the same numbers without materialising o × u rows.
+* history (JN1): a range join of the single installs against the earlier
+  installs, reduced with a grouped count right after the join; an id has one
+  single install, so the join has at most the rows of the history;
+* uninstalls (JN2): an app id can have many of both, so nothing is paired;
+  the uninstalls in an install's window are a difference of running counts
+  (`intervals.py`).
+
+Upstream multiplies the two fan-outs and then aggregates; here each side is
+counted on its own and the product is taken arithmetically, which gives the
+same numbers without materialising o × u rows.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from attrition.config import Params
 from attrition.functions import recodes as R
 from attrition.functions import time as TM
 from attrition.functions import values as V
+from attrition.operators.intervals import counts_within
 from attrition.session import materialise
 from attrition.sources import tables
 
@@ -144,10 +150,12 @@ def history_stats(installs: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def uninstall_stats(installs: DataFrame, un: DataFrame, window_days: int) -> DataFrame:
-    """JN2 reduced per install: number `u` of distinct uninstalls inside the window."""
-    ins = installs.select("advertising_appsflyer", "appsflyer_id", "install_date")
-    return (ins.join(un, _uninstall_condition(ins, un, window_days), "inner")
-            .groupBy("advertising_appsflyer").agg(F.count(F.lit(1)).alias("n_uninstall")))
+    """JN2 reduced per install: number `u` of distinct uninstalls inside the window (installs without any are left out)."""
+    windows = installs.select(F.col("appsflyer_id").alias("key"), F.col("install_date").alias("after"),
+                              F.date_add("install_date", window_days).cast("timestamp").alias("upto"), "advertising_appsflyer")
+    found = counts_within(un.select(F.col("appsflyer_id_un").alias("key"), F.col("uninstall_date").alias("at")), windows,
+                          "advertising_appsflyer")
+    return found.withColumnRenamed("n", "n_uninstall")
 
 
 def install_history(events: DataFrame, p: Params) -> DataFrame:
