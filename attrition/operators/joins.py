@@ -149,9 +149,8 @@ def _after_install(installs: DataFrame, hits: DataFrame, p: Params, project: Cal
     from attrition.sources import tables
 
     ga = tables.normalised_hits(hits, p)
-    vim = visitor_install_map(tables.visitor_device_map(ga), _sample(installs, p))
-    last = (dt.date.fromisoformat(p.sample_end) + dt.timedelta(days=p.hit_days_after_install)).isoformat()
-    ga_days = tables.normalised_hits(hits, p, days=(p.sample_start, last))
+    vim = visitor_install_map(tables.visitor_device_map(ga), sampled_installs(installs, p))
+    ga_days = tables.normalised_hits(hits, p, days=(p.sample_start, last_hit_day(p)))
     return hits_after_install(project(ga_days), vim, p)
 
 
@@ -172,16 +171,26 @@ def build_joined(installs: DataFrame, hits: DataFrame, customers: DataFrame, p:
     ``installs`` is the install definition table (PIP1 output), ``hits`` the raw
     hit table and ``customers`` the raw customer table.
     """
+    return join_customers(sampled_lean_hits(installs, hits, p), customers, p)
+
+
+def join_customers(sampled: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
+    """PIP3 from the sampled lean hits on."""
     from attrition.sources import tables
 
     # the sampled hits feed three aggregates (facts, session times, first
     # visits): written once instead of re-scanning and re-joining the hit table
-    bruto = materialise(sampled_lean_hits(installs, hits, p), p.materialise, "sampled-hits")
+    bruto = materialise(sampled, p.materialise, "sampled-hits")
     cust = tables.customers_with_age_band(customers, p)
     return with_channel_latency0(session_facts(bruto, cust, p), first_visits_from_hits(bruto))
 
 
-def _sample(installs: DataFrame, p: Params) -> DataFrame:
+def last_hit_day(p: Params) -> str:
+    """The last day on which a hit can be in the interval of a sampled install."""
+    return (dt.date.fromisoformat(p.sample_end) + dt.timedelta(days=p.hit_days_after_install)).isoformat()
+
+
+def sampled_installs(installs: DataFrame, p: Params) -> DataFrame:
     from attrition.operators.installs import sample_range
 
     return sample_range(installs, p)

@@ -24,6 +24,7 @@ import hashlib
 import time
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,9 +114,19 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _create(df: DataFrame, table: str, partition_columns, path: str | None, fmt: str) -> None:
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of every partition in ``n`` files by the hash of ``column``, sorted by it: joins on it need no shuffle of the table."""
+
+    n: int
+    column: str
+
+
+def _create(df: DataFrame, table: str, partition_columns, path: str | None, fmt: str, buckets: Buckets | None = None) -> None:
     """An empty table with the columns of `df`."""
     w = df.limit(0).write.format(fmt).partitionBy(*partition_columns).mode("ignore")
+    if buckets:
+        w = w.bucketBy(buckets.n, buckets.column).sortBy(buckets.column)
     (w.option("path", path) if path else w).saveAsTable(table)
 
 
@@ -126,6 +137,8 @@ class _Versions:
         details = _described(spark, table)
         self.spark, self.table = spark, table
         self.base, self.fmt = details["Location"].rstrip("/"), details["Provider"]
+        n = int(details.get("Num Buckets", 0))
+        self.buckets = Buckets(n, details["Bucket Columns"].strip("[]`")) if n > 0 else None
         self.name = f"v{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:12]}"
 
     def _fs(self, folder: str):
@@ -145,11 +158,26 @@ class _Versions:
         key = hashlib.sha256("\0".join(f"{c}={v}" for c, v in values.items()).encode()).hexdigest()[:24]
         return f"{self.base}/{VERSIONS}/{key}"
 
+    def write(self, rows: DataFrame, folder: str, partition_columns=()) -> None:
+        """Files of the table's format, in its buckets, in a folder that nothing refers to yet."""
+        if self.buckets is None:
+            w = rows.write.format(self.fmt).mode("errorifexists")
+            (w.partitionBy(*partition_columns) if partition_columns else w).save(folder)
+            return
+        # one task a bucket, so one file a bucket and partition; a table over the folder is needed only for the write
+        n, column = self.buckets.n, self.buckets.column
+        name = f"bucketed_{uuid.uuid4().hex}"
+        w = rows.repartition(n, _quoted(column)).write.format(self.fmt).bucketBy(n, column).sortBy(column).option("path", folder)
+        try:
+            (w.partitionBy(*partition_columns) if partition_columns else w).saveAsTable(name)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
+
     def publish(self, rows: DataFrame, values: dict[str, str]) -> None:
         """Write the rows (without the partition columns) as the new version of one partition, then point the catalog to it."""
         folder = f"{self.folder(values)}/{self.name}"
         try:
-            rows.write.format(self.fmt).mode("errorifexists").save(folder)
+            self.write(rows, folder)
         except BaseException:
             self.delete(folder)
             raise
@@ -201,8 +229,8 @@ def _quoted(name: str) -> F.Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_COLUMNS,
-                       path: str | None = None, fmt: str = "parquet") -> None:
+def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_COLUMNS, path: str | None = None,
+                       fmt: str = "parquet", buckets: Buckets | None = None) -> None:
     """SNK1 + SNK2: write `df`, replacing only the partitions it contains.
 
     Creates the table (partitioned, optionally at ``path``) on first use. New
@@ -212,12 +240,12 @@ def replace_partitions(df: DataFrame, table: str, partition_columns=PARTITION_CO
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
-        _create(df, table, partition_columns, path, fmt)
+        _create(df, table, partition_columns, path, fmt, buckets)
     aligned = _aligned(df, table)
     versions = _Versions(spark, table)
     staged = f"{versions.base}/{VERSIONS}/_staged-{versions.name}"
     try:
-        aligned.write.format(versions.fmt).partitionBy(*partition_columns).save(staged)
+        versions.write(aligned, staged, partition_columns)
         rows = spark.read.format(versions.fmt).schema(aligned.schema).load(staged)
         # one row a partition: its values, and one of its files
         found = rows.groupBy(*partition_columns).agg(F.min("_metadata.file_path").alias("_file")).collect()

@@ -21,6 +21,7 @@ from attrition.functions import recodes as R
 from attrition.functions import values as V
 from attrition.operators import boosting as BO
 from attrition.operators import features as FT
+from attrition.operators import hit_store as HS
 from attrition.operators import hits as H
 from attrition.operators import installs as I
 from attrition.operators import joins as J
@@ -350,6 +351,17 @@ def q_joined_facts(spark, sf_dir):
     return joined_facts(spark, sf_dir)
 
 
+@register("joined_facts_stored", with_ctes("SELECT * FROM final_tratado", "final_tratado"))
+def q_joined_facts_stored(spark, sf_dir):
+    """PIP3 from hits stored by day and in buckets by visitor; the days after the 10th are stored a second time."""
+    t = inputs(spark, sf_dir)
+    table, path = _table(spark, "hits")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    HS.store_hits(t["hits"], P, table, buckets=min(buckets, 64), path=path)
+    HS.store_hits(t["hits"], P, table, days=("2024-01-11", "2024-01-14"), path=path)
+    return HS.build_joined(spark, I.build_installs(t["attribution_events"], P), table, t["customers"], P)
+
+
 # ============================================================ step 5: user features
 @register("action_recode", with_ctes(
     f"SELECT action_event_v2 AS action_event_v2_raw, "

@@ -80,15 +80,15 @@ def normalised_hits(hits: DataFrame, p: Params, days: tuple[str, str] | None = N
         "id_ga": F.col("FullVisitorId")})
 
 
-def visitor_device_map(ga: DataFrame) -> DataFrame:
-    """SRC2 (second frame): distinct (id_ga, advertising_id) from custom dimension 69.
+def visitor_device_map(ga: DataFrame, *keep: str) -> DataFrame:
+    """SRC2 (second frame): distinct (id_ga, advertising_id) from custom dimension 69, for each value of ``keep`` if given.
 
     Upstream emits one row per hit and deduplicates only after the join with the
     installs; deduplicating here gives the same join result from far fewer rows.
     """
     dims = F.filter(F.col("customDimensions"), lambda x: x["index"] == V.DEVICE_DIMENSION)
-    return (ga.select("id_ga", F.explode(dims).alias("custom"))
-            .select("id_ga", F.col("custom.value").alias("advertising_id"))
+    return (ga.select("id_ga", *keep, F.explode(dims).alias("custom"))
+            .select("id_ga", F.col("custom.value").alias("advertising_id"), *keep)
             .filter(R.valid_id("advertising_id"))
             .dropDuplicates())
 
