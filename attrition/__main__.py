@@ -36,6 +36,9 @@ def parser() -> argparse.ArgumentParser:
     prep.add_argument("--as-of", default=None, help="day that ages are reckoned at (default: the day of the run)")
     prep.add_argument("--outliers", choices=("approx", "exact", "off"), default="approx")
     prep.add_argument("--vocab-table", default=None, help="table of the one-hot vocabulary (default: <table>_vocab)")
+    prep.add_argument("--sketch-table", default=None, help="table of the sessions' quantile sketches by date; with it, outliers are "
+                                                           "judged by the last --sketch-days dates")
+    prep.add_argument("--sketch-days", type=int, default=30)
     prep.add_argument("--period-start", default=None, help="install period start (default: first day of --month)")
     prep.add_argument("--period-end", default=None, help="install period end (default: last day of --month)")
     prep.add_argument("--brand", required=True)
@@ -75,7 +78,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             p = p.with_(period_start=args.period_start or p.period_start, period_end=args.period_end or p.period_end)
         src = jobs.load_sources(spark, args.attribution, args.hits, args.customers)
         out = jobs.data_preparation(spark, src, p, table=args.table, path=args.path,
-                                    vocab_table=args.vocab_table or f"{args.table}_vocab")
+                                    vocab_table=args.vocab_table or f"{args.table}_vocab",
+                                    sketch_table=args.sketch_table, sketch_days=args.sketch_days)
         print(f"{args.table}: {out.count()} feature rows for {p.sample_end}")
     elif args.cmd == "train":
         cfg = ModelConfig() if args.trees is None else ModelConfig(max_iter=args.trees)

@@ -110,14 +110,15 @@ def _exact_bounds(df: DataFrame, columns) -> DataFrame:
                        for k, q in (("median", 0.5), ("p95", 0.95))])
 
 
-def replace_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, mode: str = "exact") -> DataFrame:
+def replace_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, mode: str = "exact", bounds: DataFrame | None = None) -> DataFrame:
     """OUT1: values strictly above the 95th percentile become the median; nulls stay.
 
     The two thresholds per column are small scalars fetched with one aggregate
-    job; the replacement itself is a projection. A column with no values keeps
-    its values (upstream would fail).
+    job (or given as ``bounds``, for example of a window of dates, see
+    `sketches.py`); the replacement itself is a projection. A column with no
+    values keeps its values (upstream would fail).
     """
-    row = outlier_bounds(df, columns, mode).first()
+    row = (outlier_bounds(df, columns, mode) if bounds is None else bounds).first()
     out = df
     for c in columns:
         med, top = row[f"{c}__median"], row[f"{c}__p95"]
@@ -254,20 +255,25 @@ def feature_rows(uagg: DataFrame, vocab: list[tuple[str, str]], drop_null_keys:
     return encoded
 
 
-def user_aggregates(joined: DataFrame, p: Params) -> DataFrame:
-    """Everything up to the one-hot: one row per (visitor, age band, sex, label)."""
+def user_aggregates(joined: DataFrame, p: Params, window_bounds: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Everything up to the one-hot: one row per (visitor, age band, sex, label).
+
+    ``window_bounds``, if given, gets the sessions and returns the outlier thresholds to use.
+    """
     # two consumers (sessions and action sets): compute the joined rows once
     amostra = recode_sample(materialise(joined, p.materialise, "joined-rows"))
     sessions = user_sessions(amostra)
     if p.outliers != "off":
         # read for the thresholds and again for the replacement
-        sessions = replace_outliers(materialise(sessions, p.materialise, "sessions"), OUTLIER_COLUMNS, p.outliers)
+        sessions = materialise(sessions, p.materialise, "sessions")
+        sessions = replace_outliers(sessions, OUTLIER_COLUMNS, p.outliers, window_bounds(sessions) if window_bounds else None)
     return user_sessions_agg(sessions, visitor_action_sets(amostra))
 
 
 def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] | None = None,
                    save_vocab: Callable[[DataFrame], None] | None = None,
-                   open_index: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                   open_index: Callable[[DataFrame], DataFrame] | None = None,
+                   window_bounds: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """PIP4: the feature table, one row per user (see AGG3/AGG4 for when a user has more).
 
     With no frozen ``vocab`` the vocabulary of the closed columns is fitted on
@@ -276,7 +282,7 @@ def build_features(joined: DataFrame, p: Params, vocab: list[tuple[str, str]] |
     ``open_index`` gets the open column's (column, value) pairs and returns their
     index table; the rows then have `install_channel_idx`, its sparse dummies.
     """
-    uagg = user_aggregates(joined, p)
+    uagg = user_aggregates(joined, p, window_bounds)
     if vocab is None:
         uagg = materialise(uagg, p.materialise, "user-aggregates")
         fitted = fit_vocab(uagg, CLOSED_COLUMNS)

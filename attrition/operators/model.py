@@ -77,22 +77,82 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     Two passes: column means (one aggregate), then per-partition moment
     matrices of the centred values in `mapInPandas` (numpy), summed by pair
     with a grouped aggregate. Undefined r (fewer than two rows, a constant
-    column) is null. Output: `col_i, col_j, i, j, r` for i < j.
+    column) is null. Output: `col_i, col_j, i, j, r` for i < j. More than
+    ``CORR_BLOCK`` columns are done in tiles, see `corr_tiles`.
     """
     columns = columns or correlation_columns(df)
+    if len(columns) > CORR_BLOCK:
+        return corr_tiles(df, columns)
     num = df.select(*[_as_number(df, c).alias(f"c{n}") for n, c in enumerate(columns)])
     means = list(num.agg(*[F.avg(c) for c in num.columns]).first())
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = num.mapInPandas(_moments(columns, means), schema)
+    names = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(c)) for k, c in enumerate(columns)))
+    return _pearson(num.mapInPandas(_moments(columns, means), MOMENTS)).select(
+        names[F.col("i")].alias("col_i"), names[F.col("j")].alias("col_j"), "i", "j", "r")
+
+
+MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pearson(parts: DataFrame) -> DataFrame:
+    """(i, j, r) from the partial moments of every pair."""
     sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
     cov = n * sxy - sx * sy
     var = (n * sxx - sx * sx) * (n * syy - sy * sy)
     # clamp rounding noise; greatest/least skip nulls, so clamp inside the when
     r = F.when((n >= 2) & (var > 0), F.least(F.greatest(cov / F.sqrt(var), F.lit(-1.0)), F.lit(1.0)))
-    names = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(c)) for k, c in enumerate(columns)))
-    return sums.select(names[F.col("i")].alias("col_i"), names[F.col("j")].alias("col_j"), "i", "j",
-                       r.alias("r"))
+    return sums.select("i", "j", r.alias("r"))
+
+
+#: Columns whose moment matrices (four of this width squared) one task holds at a time.
+CORR_BLOCK = 512
+
+
+def corr_tiles(df: DataFrame, columns: list[str], block: int = CORR_BLOCK // 2) -> DataFrame:
+    """AGG7 at large width: the same r, a tile of two column blocks at a time.
+
+    Every pair of blocks is a scan of its own that reads just the columns of
+    the two (of a columnar table), and holds four block x block matrices, so
+    memory does not grow with the number of columns; a column is read once
+    per block. The tiles run side by side in one job.
+    """
+    blocks = [list(range(at, min(at + block, len(columns)))) for at in range(0, len(columns), block)]
+    means: list = []
+    for b in blocks:
+        means += list(df.agg(*[F.avg(_as_number(df, columns[n])).alias(f"c{n}") for n in b]).first())
+    parts = None
+    for x, rows in enumerate(blocks):
+        for y in range(x, len(blocks)):
+            both = rows + blocks[y] if y > x else rows
+            num = df.select(*[_as_number(df, columns[n]).alias(f"c{n}") for n in both])
+            tile = num.mapInPandas(_tile_moments([means[n] for n in both], rows, blocks[y]), MOMENTS)
+            parts = tile if parts is None else parts.unionAll(tile)
+    names = F.array(*[F.lit(c) for c in columns])
+    return _pearson(parts).select(F.get(names, "i").alias("col_i"), F.get(names, "j").alias("col_j"), "i", "j", "r")
+
+
+def _tile_moments(means: list, rows: list[int], cols: list[int]):
+    """Moments of the pairs i < j between two column blocks (equal ones: inside the block)."""
+    mu, a = np.array([0.0 if m is None else m for m in means]), len(rows)
+    same = rows == cols
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64", na_value=np.nan) - mu
+            m = (~np.isnan(x)).astype("float64")
+            x = np.nan_to_num(x, nan=0.0)
+            xi, mi = x[:, :a], m[:, :a]
+            xj, mj = (xi, mi) if same else (x[:, a:], m[:, a:])
+            part = np.stack([mi.T @ mj, xi.T @ mj, mi.T @ xj, (xi * xi).T @ mj, mi.T @ (xj * xj), xi.T @ xj])
+            held = part if held is None else held + part
+        if held is None:
+            return
+        i, j = np.triu_indices(a, 1) if same else map(np.ravel, np.indices((a, len(cols))))
+        at = np.array(rows, "int32"), np.array(cols, "int32")
+        yield pd.DataFrame({"i": at[0][i], "j": at[1][j], **dict(zip(("n", "sx", "sy", "sxx", "syy", "sxy"), held[:, i, j]))})
+
+    return run
 
 
 def correlated_drops(matrix: DataFrame, threshold: float = V.CORR_THRESHOLD) -> DataFrame:

@@ -17,6 +17,7 @@ from attrition.operators import installs as I
 from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
+from attrition.operators import sketches as SK
 from attrition.operators import sparse as SP
 from attrition.session import materialise, scratch_scope
 
@@ -36,11 +37,11 @@ def load_sources(spark: SparkSession, attribution_table: str, hits_table: str, c
             "customers": check_contract(spark.table(customers_table), schemas.CUSTOMERS, customers_table)}
 
 
-def build_feature_table(sources: dict, p: Params, vocab=None, save_vocab=None, open_index=None) -> DataFrame:
+def build_feature_table(sources: dict, p: Params, vocab=None, save_vocab=None, open_index=None, window_bounds=None) -> DataFrame:
     """PIP1 -> PIP3 -> PIP4."""
     installs = I.build_installs(sources["attribution_events"], p)
     joined = J.build_joined(installs, sources["hits"], sources["customers"], p)
-    return FT.build_features(joined, p, vocab, save_vocab, open_index)
+    return FT.build_features(joined, p, vocab, save_vocab, open_index, window_bounds)
 
 
 def frozen_vocab(spark: SparkSession, table: str | None):
@@ -52,7 +53,8 @@ def frozen_vocab(spark: SparkSession, table: str | None):
 
 def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str | None = None,
                      day: str | None = None, path: str | None = None,
-                     now: dt.datetime | None = None, vocab_table: str | None = None) -> DataFrame:
+                     now: dt.datetime | None = None, vocab_table: str | None = None,
+                     sketch_table: str | None = None, sketch_days: int = 30) -> DataFrame:
     """E1 / PIP5: the feature rows of `day` (default: end of the sample range).
 
     With a table name the partition is memoised: stored rows are returned
@@ -60,8 +62,12 @@ def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str |
     first build stores the one-hot vocabulary in `vocab_table`; later ones read
     it, so that every date has the same columns. Beside it, `<vocab_table>_open`
     maps the values of the open column to the indexes of their sparse dummies;
-    later dates add the values they see first.
+    later dates add the values they see first. With a `sketch_table`, each build
+    stores quantile sketches of its sessions there, and outliers are judged by
+    the sessions of the last `sketch_days` dates, this one included.
     """
+    stored_day = day or p.sample_end
+
     def save(vocab: DataFrame) -> None:
         if vocab_table is not None and not vocab.isEmpty():
             w = vocab.coalesce(1).write.mode("overwrite")
@@ -72,13 +78,19 @@ def data_preparation(spark: SparkSession, sources: dict, p: Params, table: str |
     def open_index(pairs: DataFrame) -> DataFrame:
         return SP.stored_index(spark, f"{vocab_table}_open", pairs, f"{path.rstrip('/')}_open" if path else None)
 
+    def window_bounds(sessions: DataFrame) -> DataFrame:
+        SK.store(sessions, sketch_table, stored_day, path=f"{path.rstrip('/')}_sketches" if path else None, now=now)
+        first = (dt.date.fromisoformat(stored_day) - dt.timedelta(days=sketch_days - 1)).isoformat()
+        return SK.bounds(SK.window(spark, sketch_table, first, stored_day))
+
     def build() -> DataFrame:
-        return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save, open_index if vocab_table else None)
+        return build_feature_table(sources, p, frozen_vocab(spark, vocab_table), save, open_index if vocab_table else None,
+                                   window_bounds if sketch_table else None)
 
     if table is None:
         return build()
     with scratch_scope(spark):
-        return S.memo_partition(spark, table, day or p.sample_end, build, path=path, now=now)
+        return S.memo_partition(spark, table, stored_day, build, path=path, now=now)
 
 
 def train_job(features: DataFrame, cfg: ModelConfig = ModelConfig(), model_path: str | None = None):

@@ -27,6 +27,7 @@ from attrition.operators import installs as I
 from attrition.operators import joins as J
 from attrition.operators import model as M
 from attrition.operators import sink as S
+from attrition.operators import sketches as SK
 from attrition.operators import sparse as SP
 from attrition.plans import jobs as JB
 from attrition.plans.oracle import (BASE_MODELAGEM, D, EV1, EV2, GROUPING, MODEL_COLS, NUMERIC, ONEHOT_ROWS, SOURCE, TS,
@@ -425,6 +426,29 @@ def q_outlier_replace(spark, sf_dir):
                       *FT.OUTLIER_COLUMNS)
 
 
+def _merged_bounds_sql() -> str:
+    def q(c, p):
+        return f"(SELECT quantile_disc(CAST({c} AS DOUBLE), {p}) FROM user_sessoes)"
+
+    return with_ctes("SELECT " + ", ".join(f"{q(c, p)} AS {c}__{k}" for c in _OUT_COLS for k, p in (("median", 0.5), ("p95", 0.95))),
+                     "user_sessoes")
+
+
+@register("outlier_bounds_merged", _merged_bounds_sql())
+def q_outlier_bounds_merged(spark, sf_dir):
+    """OUT1 over a window: the sessions fall into three dates, each stores its sketches, and the window merges them.
+
+    As long as the sessions are no more than a sketch's size the thresholds are exact, as in the twin; beyond it they
+    are within the sketch's rank error.
+    """
+    us = materialise(FT.user_sessions(FT.recode_sample(joined_facts(spark, sf_dir))), name="sessions")
+    table, path = _table(spark, "sketches")
+    part = F.pmod(F.xxhash64("session_id"), F.lit(3))
+    for i, day in enumerate((DAY_A, DAY_B, DAY_C)):
+        SK.store(us.where(part == i), table, day, path=path, now=FIXED_NOW)
+    return SK.bounds(SK.window(spark, table, DAY_A, DAY_C))
+
+
 @register("user_sessions_agg", with_ctes("SELECT * FROM user_agg", "user_agg"))
 def q_user_sessions_agg(spark, sf_dir):
     return user_aggregates(spark, sf_dir)

@@ -172,3 +172,25 @@ def test_intermediates_of_a_job_are_deleted(spark):
     with pytest.raises(Exception):
         df.count()
     assert kept.count() == 6
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_outliers_by_the_sketches_of_a_window_of_dates(spark, tmp_path):
+    """A date that is judged by its own sketches gives the exact thresholds; an earlier date's sketches take part when in the window."""
+    from pyspark.sql import functions as F
+
+    from attrition.operators import features as FT
+    from attrition.operators import sketches as SK
+
+    tag = "sk_" + tmp_path.name.replace("-", "_")
+    src, p = testmap.load(spark, SF), testmap.PARAMS
+    exact = jobs.build_feature_table(src, p)
+    kw = {"path": str(tmp_path / "f"), "sketch_table": f"sketches_{tag}", "day": "2024-01-15"}
+    alone = jobs.data_preparation(spark, src, p, table=f"a_{tag}", sketch_days=1, **kw)
+    number = [c for c in FT.NUMERIC_FEATURES if c in exact.columns]
+    rows = lambda df: sorted(map(str, df.select("id_ga", *number).collect()))
+    assert rows(alone) == rows(exact)
+    low = spark.range(20_000).select(*[F.lit(0.0).alias(c) for c in FT.OUTLIER_COLUMNS])
+    SK.store(low, f"sketches_{tag}", "2024-01-10")
+    joint = jobs.data_preparation(spark, src, p, table=f"b_{tag}", sketch_days=30, **{**kw, "path": str(tmp_path / "g")})
+    assert joint.agg(F.max("media_hits")).first()[0] == 0.0  # the earlier date's zeros are the median and the 95th percentile
