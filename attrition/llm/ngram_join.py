@@ -26,11 +26,17 @@ A pair is left uncompared only if it is in one component already. Components are
 label, round by round, in tables.
 
 Skew: equal sets are one class, whatever their number; an n-gram that several classes of a task share leaves that task
-once; leaders are found by pre-aggregation; the tables joined on hot keys are written first, so Spark can split them.
+once; leaders are found by pre-aggregation; the classes of an n-gram that many have are dealt over salts, each of which gets the
+leaders; the other tables joined on hot keys are written first, so Spark can split them. Slices and ranges are cut by the
+number of n-grams they hold, not by documents.
+
+Rows are told apart by a hash of id and text, so an id is only a label: rows that share one are documents of their own, and
+rows without one take part like any other.
 
 Defined results: a text with fewer than n words is one n-gram (all its words); without words it links with nothing
-and is a component of its own; rows that share a doc_id are documents of their own, labelled by the smallest id they
-reach; rows without an id share the component of an equal set that has one, and have none otherwise.
+and is a component of its own; a component is named by the smallest id in it, or has no name if no row of it has an id.
+``keep_one`` keeps one row of a component, that with the smallest id (rows without an id come last) and, of several, the
+smallest hash, and one of equal rows; rows without words all stay. Extra columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -42,7 +48,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import keyed_subset, ship_package, written
@@ -102,24 +108,46 @@ def set_class(grams: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[list, list]]:
+#: A slice of documents: at most so many, and no further text once they have so many characters (about 2 million words).
+SLICE_ROWS, SLICE_CHARS = 5000, 12_000_000
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_CHARS) -> Iterator[list[list]]:
+    """The columns of a slice as lists; the last column is the text."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+        held, chars, first = [], 0, 0
+        for at, text in enumerate(batch.column(batch.num_columns - 1)):
+            held.append(text.as_py())
+            chars += len(held[-1] or "")
+            if len(held) >= rows or chars >= size or at == batch.num_rows - 1:
+                part = batch.slice(first, len(held))
+                yield [*(part.column(i).to_pylist() for i in range(batch.num_columns - 1)), held]
+                held, chars, first = [], 0, at + 1
+
+
+ROW = "_ngram_row"
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): the row's hash tells rows apart, on every reading alike."""
+    return docs.select(_row_hash().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), F.col("text").cast("string"), F.col("text").isNull())
 
 
 #: The n-grams counted to find the classes that can link: hashes below this, a quarter of all.
 COUNTED = 1 << 62
-SCAN = ("doc_id long, cls long, size long, gram long, docs long, range int, hashes array<long>, owners array<short>, "
+SCAN = ("row long, doc_id long, cls long, size long, gram long, docs long, range int, hashes array<long>, owners array<short>, "
         "classes array<long>")
 
 
 def _scan(docs: DataFrame, ranges: int, o: JoinOptions) -> DataFrame:
-    """One pass over all texts. Three kinds of rows: per document (doc_id, cls, size); per slice its locally frequent
+    """One pass over all texts. Three kinds of rows: per document (row, doc_id, cls, size); per slice its locally frequent
     n-grams (gram, docs); per slice and range of hashes the counted n-grams (hashes, owners, classes)."""
-    kinds = [pa.int64()] * 5 + [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.list_(pa.int64())]
-    names = ["doc_id", "cls", "size", "gram", "docs", "range", "hashes", "owners", "classes"]
+    kinds = [pa.int64()] * 6 + [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.list_(pa.int64())]
+    names = ["row", "doc_id", "cls", "size", "gram", "docs", "range", "hashes", "owners", "classes"]
     edges = np.array([COUNTED * i // ranges for i in range(1, ranges)], dtype=np.uint64)
 
     def rows(**columns) -> pa.RecordBatch:
@@ -129,10 +157,10 @@ def _scan(docs: DataFrame, ranges: int, o: JoinOptions) -> DataFrame:
 
     def scan(batches):
         hashes = _WordHashes()
-        for ids, texts in _slices(batches, 5000):
+        for keys, ids, texts in _slices(batches):
             sets = [ngram_set(text, o.n, hashes) for text in texts]
             classes = [set_class(g) for g in sets]
-            yield rows(doc_id=ids, cls=classes, size=[len(g) for g in sets])
+            yield rows(row=keys, doc_id=ids, cls=classes, size=[len(g) for g in sets])
             found, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts >= max(2, o.frequent * len(ids))
             yield rows(gram=found[often].view(np.int64), docs=counts[often])
@@ -140,7 +168,7 @@ def _scan(docs: DataFrame, ranges: int, o: JoinOptions) -> DataFrame:
             if first:
                 yield _counted(rows, list(first), [sets[i] for i in first.values()], edges)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, SCAN)
+    return _rows(docs).mapInArrow(scan, SCAN)
 
 
 def _counted(rows, classes: list[int], sets: list[np.ndarray], edges: np.ndarray, below: int = COUNTED) -> pa.RecordBatch:
@@ -195,14 +223,14 @@ def _lone(counted: DataFrame) -> DataFrame:
             .groupBy("range").applyInArrow(find, "cls long, lone array<long>"))
 
 
-def _ranges(classes: int) -> int:
-    """How many ranges of hashes: a quarter of the n-grams of 8000 ordinary texts is about a million."""
-    return min(max(64, classes // 8000), 1 << 16)
+def _ranges(grams: int) -> int:
+    """How many ranges of hashes, so that each has about a million of the n-grams counted."""
+    return min(max(64, grams // 1_000_000), 1 << 16)
 
 
-def _recount(sets: DataFrame, classes: int) -> DataFrame:
-    """All n-grams of the written sets as counted rows."""
-    ranges = _ranges(4 * classes)
+def _recount(sets: DataFrame, grams: int) -> DataFrame:
+    """All n-grams of the written sets (``grams`` of them) as counted rows."""
+    ranges = _ranges(grams)
     edges = np.array([(1 << 64) * i // ranges for i in range(1, ranges)], dtype=np.uint64)
     kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.list_(pa.int64())]
     names = ["range", "hashes", "owners", "classes"]
@@ -212,10 +240,14 @@ def _recount(sets: DataFrame, classes: int) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 5000):
-                part = batch.slice(at, 5000)
-                grams = [np.sort(x.values.flatten().to_numpy().view(np.uint64)) for x in part.column(1)]
-                yield _counted(rows, part.column(0).to_pylist(), grams, edges, 1 << 64)
+            classes, held, size = [], [], 0
+            for at, (cls, x) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                classes.append(cls)
+                held.append(np.sort(x.values.flatten().to_numpy().view(np.uint64)))
+                size += len(held[-1])
+                if len(held) >= SLICE_ROWS or size >= SLICE_CHARS // 6 or at == batch.num_rows - 1:
+                    yield _counted(rows, classes, held, edges, 1 << 64)
+                    classes, held, size = [], [], 0
 
     return sets.select("cls", "fragments").mapInArrow(scan, "range int, hashes array<long>, owners array<short>, classes array<long>")
 
@@ -245,15 +277,15 @@ def _in_order(grams: np.ndarray, order) -> tuple[np.ndarray, int]:
     return np.concatenate([grams[~is_often], last]), int((~is_often).sum())
 
 
-def _ordered_sets(docs: DataFrame, order, o: JoinOptions) -> DataFrame:
-    """One row per class: its size, and its set in the global order cut into fragments."""
+def _ordered_sets(texts: DataFrame, order, o: JoinOptions) -> DataFrame:
+    """One row per class of the texts: its size, and its set in the global order cut into fragments."""
     cuts = np.array([(1 << 64) * i // o.fragments for i in range(1, o.fragments)], dtype=np.uint64)
 
     def scan(batches):
         hashes = _WordHashes()
-        for _, texts in _slices(batches, 500):
+        for (some,) in _slices(batches, 500, SLICE_CHARS // 4):
             classes, sizes, cut = [], [], []
-            for text in texts:
+            for text in some:
                 g, rare = _in_order(ngram_set(text, o.n, hashes), order.value)
                 classes.append(set_class(np.sort(g)))
                 sizes.append(len(g))
@@ -263,8 +295,7 @@ def _ordered_sets(docs: DataFrame, order, o: JoinOptions) -> DataFrame:
                 [pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cut, pa.list_(pa.list_(pa.int64())))],
                 names=["cls", "size", "fragments"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "cls long, size long, fragments array<array<long>>")
-    return rows.dropDuplicates(["cls"])
+    return texts.select("text").mapInArrow(scan, "cls long, size long, fragments array<array<long>>").dropDuplicates(["cls"])
 
 
 STRIPS = 64
@@ -340,35 +371,43 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             edges = edges.join(moved, end, "left").withColumn(end, F.coalesce("new", end)).drop("new")
 
 
+def _scanned(docs: DataFrame, o: JoinOptions) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, cls, size) of every document, and (cls, component, component_id) of every class."""
+    ship_package(docs.sparkSession)
+    total = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()
+    # a word and its space are about six bytes; a quarter of the n-grams is counted
+    found = written(_scan(docs, _ranges((total["bytes"] or 0) // 24), o), "sets")
+    sets = found.where("size IS NOT NULL").select("row", "doc_id", "cls", "size")
+    return sets, written(class_labels(docs, found, sets, _order(found, total["n"], o), o), "class-labels")
+
+
 def linked_components(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    ship_package(docs.sparkSession)
-    n = docs.count()
-    found = written(_scan(docs, _ranges(n), o), "sets")
-    sets = found.where("size IS NOT NULL").select("doc_id", "cls", "size")
-    label = written(class_labels(docs, found, sets, _order(found, n, o), o), "class-labels")
+    sets, label = _scanned(docs, o)
     return (sets.withColumnRenamed("cls", "own").join(label, F.col("own") == F.col("cls"), "left")
             .select("doc_id", F.col("size").alias("n_shingles"),
                     F.when(F.col("own").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def class_labels(docs: DataFrame, found: DataFrame, sets: DataFrame, order, o: JoinOptions) -> DataFrame:
-    """(cls, component_id): the smallest document id that each class reaches."""
+    """(cls, component, component_id): the component of each class, and the smallest document id in it."""
     lone = (_lone(found.where("range IS NOT NULL")).groupBy("cls").agg(F.sum(F.size("lone")).alias("lone")))
-    firsts = (sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"))
+    firsts = (sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"))
               .join(lone, "cls", "left"))
     # a link needs at least percent/100 of the set shared
     spare = F.col("size") - F.ceil(F.col("size") * o.percent / 100)
     firsts = written(firsts.withColumn("can_link", F.coalesce("lone", F.lit(0)) <= spare), "classes")
-    wanted = firsts.where("can_link AND least IS NOT NULL").select(F.col("least").alias("doc_id")).distinct()
-    # one document of each class that can link, read again for its whole set
-    chosen = _ordered_sets(keyed_subset(docs.select(F.col("doc_id").cast("long"), "text"), wanted, "doc_id"), order, o)
+    wanted = firsts.where("can_link").select("row").distinct()
+    # one row of each class that can link, read again for its whole set
+    chosen = _ordered_sets(keyed_subset(_rows(docs), wanted, "row"), order, o)
     chosen = written(chosen.join(firsts.where("can_link").select("cls"), "cls", "left_semi"), "whole-sets")
-    lone = _lone(_recount(chosen, chosen.count())).groupBy("cls").agg(F.flatten(F.collect_list("lone")).alias("alone"))
+    held = chosen.agg(F.sum("size").alias("n")).first()["n"] or 0
+    lone = _lone(_recount(chosen, held)).groupBy("cls").agg(F.flatten(F.collect_list("lone")).alias("alone"))
     chosen = written(_summaries(chosen.join(written(lone, "lone"), "cls", "left"), o), "ordered-sets")
     segments = chosen.select("cls", F.posexplode("fragments").alias("fragment", "segment")).where(F.size("segment") > 0)
     grams = chosen.select(F.explode("prefix").alias("gram"), "cls", "size", "lone", "strips")
-    shared = written(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared-grams")
+    shared = written(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+                     .select("gram", F.ceil(F.col("n") / SALTED).cast("int").alias("salts")), "shared-grams")
     buckets = written(grams.join(shared, "gram").withColumn("component", F.col("cls")), "buckets")
     nodes = written(buckets.select(F.col("cls").alias("node")).distinct(), "nodes")
     label = nodes.select("node", F.col("node").alias("component"))
@@ -387,7 +426,7 @@ def class_labels(docs: DataFrame, found: DataFrame, sets: DataFrame, order, o: J
     named = firsts.join(label, F.col("cls") == F.col("node"), "left").select(
         "cls", "least", F.coalesce("component", "cls").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return named.join(smallest, "component").select("cls", "component_id")
+    return named.join(smallest, "component").select("cls", "component", "component_id")
 
 
 def _renamed(links: DataFrame, label: DataFrame) -> DataFrame:
@@ -397,14 +436,21 @@ def _renamed(links: DataFrame, label: DataFrame) -> DataFrame:
     return links.select("a", "b")
 
 
+#: Classes with the same n-gram that one salt gets, on average.
+SALTED = 256
+
+
 def _leaders(buckets: DataFrame, leaders: int) -> DataFrame:
     """Up to ``leaders`` classes of each n-gram, of each lot the one with the fewest lone n-grams. Pre-aggregated."""
     lead = F.min(F.struct("lone", "cls", "size", "component", "strips"))
     if leaders == 1:
-        return buckets.groupBy("gram").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.array(lead).alias("lead"))
+        return buckets.groupBy("gram").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("salts").alias("salts"),
+                                           F.array(lead).alias("lead"))
     lot = F.pmod(F.xxhash64("cls"), F.lit(leaders)).alias("lot")
-    lots = buckets.groupBy("gram", lot).agg(F.count("*").alias("n"), F.min("size").alias("low"), lead.alias("lead"))
-    return lots.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.collect_list("lead").alias("lead"))
+    lots = buckets.groupBy("gram", lot).agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("salts").alias("salts"),
+                                            lead.alias("lead"))
+    return lots.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("salts").alias("salts"),
+                                    F.collect_list("lead").alias("lead"))
 
 
 def _candidates(buckets: DataFrame, lead: DataFrame, o: JoinOptions, least: int) -> DataFrame:
@@ -414,12 +460,17 @@ def _candidates(buckets: DataFrame, lead: DataFrame, o: JoinOptions, least: int)
     able = F.expr(f"component <> component2 AND {reach('least(size - lone, size2 - lone2)')} "
                   f"AND coalesce({reach(by_strip)}, true)")
     second = [F.col(f"x.{c}").alias(f"{c}2") for c in ("cls", "size", "lone", "component", "strips")]
-    star = lead.where(F.col("n") > least).select(F.col("gram").alias("gram2"), F.explode("lead").alias("x")).select("gram2", *second)
+    # the classes of an n-gram are dealt over its salts, its leaders go to each of them
+    star = (lead.where(F.col("n") > least).withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            .select(F.col("gram").alias("gram2"), "salt2", F.explode("lead").alias("x")).select("gram2", "salt2", *second))
+    dealt = buckets.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int"))
     few = lead.where(F.col("n") <= least).select(F.col("gram").alias("gram2"))
     each = buckets.join(few, F.col("gram") == F.col("gram2"), "left_semi")
     other = each.select(F.col("gram").alias("gram2"), F.struct("cls", "size", "lone", "component", "strips").alias("x")).select("gram2", *second)
     same = F.col("gram") == F.col("gram2")
-    pairs = (buckets.join(star, same & able).unionByName(each.join(other, same & able & F.expr("cls < cls2"))))
+    both = [c for k in ("cls", "size") for c in (k, f"{k}2")]
+    pairs = (dealt.join(star, same & (F.col("salt") == F.col("salt2")) & able).select(*both)
+             .unionByName(each.join(other, same & able & F.expr("cls < cls2")).select(*both)))
     ordered = F.col("cls") < F.col("cls2")
     swap = lambda x, y: F.when(ordered, F.col(x)).otherwise(F.col(y))
     return pairs.select(swap("cls", "cls2").alias("a"), swap("cls2", "cls").alias("b"),
@@ -433,14 +484,24 @@ def _still_open(buckets: DataFrame, lead: DataFrame, label: DataFrame, o: JoinOp
     used = open_.select("gram", F.explode("lead").alias("x")).select("gram", F.col("x.cls").alias("cls"))
     able = F.expr(f"{100 + o.percent} * (size - lone) >= {o.percent} * (size + greatest(low, size - lone))")
     left = buckets.drop("component").join(open_.select("gram", "low"), "gram").where(able).join(used, ["gram", "cls"], "left_anti")
-    left = left.join(label, F.col("cls") == F.col("node")).select("gram", "cls", "size", "lone", "strips", "component")
+    left = left.join(label, F.col("cls") == F.col("node")).select("gram", "cls", "size", "lone", "strips", "salts", "component")
     left = written(left, "left")
     mixed = left.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     return written(left.join(written(mixed.select("gram"), "mixed"), "gram", "left_semi"), "buckets")
 
 
 def keep_one(docs: DataFrame, o: JoinOptions = JoinOptions()) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id."""
-    labels = linked_components(docs, o).where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id"))
-    dropped = written(labels.distinct(), "near-duplicates")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    """``docs`` with one row of each component: that with the smallest (id, hash)."""
+    sets, label = _scanned(docs, o)
+    rows = (sets.where("cls IS NOT NULL").groupBy("row", "doc_id", "cls").agg(F.count(F.lit(1)).alias("times"))
+            .join(label.select("cls", "component"), "cls"))
+    rows = written(rows.withColumn("rank", F.struct(F.col("doc_id").isNull(), "doc_id", "row")), "labelled-rows")
+    stays = rows.groupBy("component").agg(F.min("rank").alias("first"))
+    rows = rows.join(stays, "component").withColumn("stays", F.col("row") == F.col("first.row"))
+    dropped = written(rows.where("NOT stays").select(F.col("row").alias("dropped_row")).distinct(), "near-duplicates")
+    repeated = written(rows.where("stays AND times > 1").select(F.col("row").alias("repeated_row")).distinct(), "repeated-rows")
+    left = docs.withColumn(ROW, _row_hash()).join(dropped, F.col(ROW) == F.col("dropped_row"), "left_anti")
+    if not repeated.isEmpty():  # equal rows: one of them
+        again = F.col(ROW) == F.col("repeated_row")
+        left = left.join(repeated, again, "left_anti").unionByName(left.join(repeated, again, "left_semi").dropDuplicates([ROW]))
+    return left.drop(ROW)

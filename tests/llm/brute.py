@@ -106,11 +106,11 @@ def components(docs, n, percent):
             b = sets[j]
             if a and b and 100 * len(a & b) >= percent * len(a | b):
                 root[find(i)] = find(j)
-    least = {}
+    least = {}  # rows without an id give no name
     for i, (d, _) in enumerate(docs):
-        r = find(i)
-        least[r] = min(least.get(r, d), d)
-    return [(len(s), least[find(i)]) for i, s in enumerate(sets)]
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [(len(s), least.get(find(i))) for i, s in enumerate(sets)]
 
 
 # ---------------------------------------------------------------- secrets
