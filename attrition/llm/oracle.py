@@ -36,9 +36,16 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id FROM set
 def quality(risk: float = 0.04, delta: float = 0.05) -> str:
     rules = list(RULES)
     grid = ", ".join(f"('{r}', {i}, {c})" for r in rules for i, c in enumerate(RULES[r][1]))
-    share = risk / len(rules)
     scores = " UNION ALL ".join(f"SELECT doc_id, stratum, base_failed, '{r}' AS rule, {RULES[r][0]} AS score FROM measured"
                                 for r in rules)
+
+    def credited(name: str, rows: str) -> str:
+        """(pool, name, rule): the rules with credit for a bad document, each credited to the rule that rejects most."""
+        order = "CASE rule " + " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate(rules)) + " END"
+        return f"""{name} AS (SELECT DISTINCT pool, name, rule FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY caught DESC, {order}) AS place FROM (
+    SELECT *, count(*) OVER (PARTITION BY pool, name, rule) AS caught FROM ({rows}) WHERE hit AND NOT good)) WHERE place = 1)"""
+
     return f"""
 WITH grid(rule, place, cutoff) AS (VALUES {grid}),
 docs AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS t FROM documents),
@@ -56,17 +63,31 @@ counted AS (SELECT l.doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
             FROM listed l LEFT JOIN covered c ON c.doc_id = l.doc_id),
 measured AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
 scores AS ({scores}),
-good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-held AS (SELECT * FROM scores WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
-tries AS (SELECT h.stratum, h.rule, g.place, g.cutoff, count(*) AS n, count(*) FILTER (WHERE h.score >= g.cutoff) AS k
-          FROM held h JOIN grid g ON g.rule = h.rule GROUP BY h.stratum, h.rule, g.place, g.cutoff),
-tested AS (SELECT *, CASE WHEN k > n * {share} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(
-                   lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share}) + (n - j) * ln(1 - {share})))) END AS tail,
-                   {delta} / ((SELECT count(*) FROM (SELECT DISTINCT stratum FROM held)) * {len(rules)}) AS level FROM tries),
-failed AS (SELECT stratum, rule, min(place) AS place FROM tested WHERE tail > level GROUP BY stratum, rule),
-chosen AS (SELECT t.stratum, t.rule, min(t.cutoff) AS cutoff FROM tested t
-           LEFT JOIN failed f ON f.stratum IS NOT DISTINCT FROM t.stratum AND f.rule = t.rule
-           WHERE f.place IS NULL OR t.place < f.place GROUP BY t.stratum, t.rule),
+label AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT s.*, l.good, s.score >= (SELECT min(cutoff) FROM grid g WHERE g.rule = s.rule) AS hit
+         FROM scores s JOIN label l ON l.doc_id = s.doc_id WHERE NOT base_failed),
+{credited('own', 'SELECT *, false AS pool, stratum AS name FROM held')},
+strata AS (SELECT h.stratum, count(DISTINCT h.doc_id) AS n, greatest(1, count(DISTINCT o.rule)) AS m
+           FROM held h LEFT JOIN own o ON o.name IS NOT DISTINCT FROM h.stratum WHERE h.good GROUP BY h.stratum),
+members AS (SELECT stratum, (1 - {risk} / m) ** n > {delta} / (m * (SELECT count(*) FROM strata)) AS pool FROM strata),
+grouped AS (SELECT h.*, m.pool, CASE WHEN m.pool THEN NULL ELSE h.stratum END AS name
+            FROM held h JOIN members m ON m.stratum IS NOT DISTINCT FROM h.stratum),
+{credited('credit', 'SELECT * FROM grouped')},
+used AS (SELECT c.pool, c.name, c.rule, count(*) AS n FROM credit c
+         JOIN grouped g ON g.good AND g.pool = c.pool AND g.name IS NOT DISTINCT FROM c.name AND g.rule = c.rule
+         GROUP BY c.pool, c.name, c.rule),
+shared AS (SELECT *, {risk} / count(*) OVER (PARTITION BY pool, name) AS share, {delta} / count(*) OVER () AS level FROM used),
+tries AS (SELECT u.pool, u.name, u.rule, u.n, u.share, u.level, g.place, g.cutoff, count(*) FILTER (WHERE h.good AND h.score >= g.cutoff) AS k
+          FROM shared u JOIN grid g ON g.rule = u.rule
+          JOIN grouped h ON h.pool = u.pool AND h.name IS NOT DISTINCT FROM u.name AND h.rule = u.rule GROUP BY ALL),
+tested AS (SELECT *, CASE WHEN k > n * share THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(
+                   lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(share) + (n - j) * ln(1 - share)))) END AS tail FROM tries),
+failed AS (SELECT pool, name, rule, min(place) AS place FROM tested WHERE tail > level GROUP BY pool, name, rule),
+passed AS (SELECT t.pool, t.name, t.rule, min(t.cutoff) AS cutoff FROM tested t
+           LEFT JOIN failed f ON f.pool = t.pool AND f.name IS NOT DISTINCT FROM t.name AND f.rule = t.rule
+           WHERE f.place IS NULL OR t.place < f.place GROUP BY t.pool, t.name, t.rule),
+chosen AS (SELECT m.stratum, p.rule, p.cutoff FROM passed p
+           JOIN members m ON m.pool = p.pool AND (m.pool OR m.stratum IS NOT DISTINCT FROM p.name)),
 broken AS (SELECT DISTINCT s.doc_id FROM scores s JOIN chosen c
            ON c.stratum IS NOT DISTINCT FROM s.stratum AND c.rule = s.rule AND s.score >= c.cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,

@@ -55,21 +55,35 @@ def quality(docs, labels, grids, risk=0.04, delta=0.05):
     for doc_id, q in labels:
         if q is not None:
             by_doc[doc_id].append(q)
-    good = {d for d, qs in by_doc.items() if min(qs) == 1}
+    good = {d: min(qs) == 1 for d, qs in by_doc.items()}
     cs = [(d, s, counts(t)) for d, t, s in docs]
-    held = defaultdict(list)
-    for d, s, c in cs:
-        if d in good and not base_failed(c):
-            held[s].append(c)
-    level = delta / max(1, len(held) * len(RULES))
+    reaches = lambda r, c, cutoff: RULES[r](c) is not None and RULES[r](c) >= cutoff
+
+    def in_use(members):
+        """The rules that are the best one for a labelled bad document of the strata, and their labelled good documents."""
+        mine = [(good[d], c) for d, s, c in cs if s in members and d in good and not base_failed(c)]
+        broken = [[r for r in RULES if reaches(r, c, min(grids[r]))] for g, c in mine if not g]
+        caught = {r: sum(r in b for b in broken) for r in RULES}
+        return [r for r in RULES if any(b and max(b, key=caught.get) == r for b in broken)], [c for g, c in mine if g]
+
+    strata = {s: in_use([s]) for s in {s for _, s, _ in cs}}
+    strata = {s: x for s, x in strata.items() if x[1]}
+    pool = []
+    for s, (used, holdout) in strata.items():
+        m = max(1, len(used))
+        if (1 - risk / m) ** len(holdout) > delta / (m * len(strata)):
+            pool.append(s)
+    groups = [([s], *x) for s, x in strata.items() if s not in pool] + ([(pool, *in_use(pool))] if pool else [])
+    tests = sum(len(used) for _, used, _ in groups)
     cut = {}
-    for s, group in held.items():
-        for r, score in RULES.items():
-            for c in grids[r]:
-                k = sum(1 for x in group if score(x) is not None and score(x) >= c)
-                if k > len(group) * risk / len(RULES) or binomial_tail(len(group), k, risk / len(RULES)) > level:
+    for members, used, holdout in groups:
+        for r in used:
+            share = risk / len(used)
+            for cutoff in grids[r]:
+                k = sum(reaches(r, c, cutoff) for c in holdout)
+                if k > len(holdout) * share or binomial_tail(len(holdout), k, share) > delta / tests:
                     break
-                cut[s, r] = c
+                cut |= {(s, r): cutoff for s in members}
     out = {}
     for d, s, c in cs:
         broken = [r for r, score in RULES.items() if (s, r) in cut and score(c) is not None and score(c) >= cut[s, r]]

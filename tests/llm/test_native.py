@@ -110,7 +110,7 @@ def test_counts(docs, rows):
 @pytest.mark.parametrize("n,k,p", [(1, 0, 0.01), (30, 2, 0.2), (500, 1, 0.01), (5000, 30, 0.01), (12000, 100, 0.01)])
 def test_binomial_tail(spark, n, k, p):
     from pyspark.sql import functions as F
-    got = spark.range(1).select(quality.binomial_tail(F.lit(n).cast("long"), F.lit(k).cast("long"), p).alias("t")).first().t
+    got = spark.range(1).select(quality.binomial_tail(F.lit(n).cast("long"), F.lit(k).cast("long"), F.lit(p)).alias("t")).first().t
     assert got == pytest.approx(brute.binomial_tail(n, k, p), rel=1e-9)
 
 
@@ -136,7 +136,66 @@ def test_verdicts(spark):
     assert not got[0] and got[901] and not got[900]
 
 
+GRIDS = {r: g for r, (_, g) in quality.RULES.items()}
+
+
+def labelled(spark, sizes, bad=5, noisy=0):
+    """Documents of some strata, good ones and bad ones with symbols; ``noisy`` good ones have repeated lines."""
+    rows, labels = [], []
+    for s, n in sizes.items():
+        for i in range(n + bad):
+            d = len(rows)
+            words = [f"w{d}x{j}" + ("###" if i >= n and j % 2 else "") for j in range(60)]
+            rows.append((d, " ".join(words) + ("\nline\nline\nline" if i < noisy else ""), s))
+            labels.append((d, int(i < n)))
+        rows.append((len(rows), " ".join(f"u{s}{j}" + ("###" if j % 2 else "") for j in range(60)), s))  # not labelled
+    return rows, labels, spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(
+        labels, "doc_id long, quality int")
+
+
+def verdicts(docs, labels, **o):
+    return {r.doc_id: r.kept for r in quality.quality_report(docs, labels, **o).collect()}
+
+
+def test_risk_is_not_spent_on_rules_that_catch_nothing(spark):
+    """120 good documents a stratum: enough for the one rule that catches something, not for a quarter of the risk (574)."""
+    rows, labels, docs, lab = labelled(spark, {s: 120 for s in ("a", "b", "c", None)}, noisy=3)
+    got = verdicts(docs, lab)
+    assert got == brute.quality(rows, labels, GRIDS)
+    assert {d for d, k in got.items() if not k} == {d for d, t, _ in rows if "###" in t}
+    assert 120 < 574 and brute.binomial_tail(120, 0, 0.04) <= 0.05 / 4 and brute.binomial_tail(120, 0, 0.01) > 0.05 / 16
+
+
+def test_small_strata_are_judged_together(spark):
+    rows, labels, docs, lab = labelled(spark, {"big": 300, "x": 40, "y": 45, "z": 30})
+    got = verdicts(docs, lab)
+    assert got == brute.quality(rows, labels, GRIDS) and not any(got[d] for d, t, _ in rows if "###" in t)
+    rows, labels, docs, lab = labelled(spark, {"big": 300, "x": 20, "y": 25, "z": 10})  # 55 are too few even together
+    got = verdicts(docs, lab)
+    assert got == brute.quality(rows, labels, GRIDS)
+    assert {s for d, t, s in rows if "###" in t and got[d]} == {"x", "y", "z"}
+
+
+def test_a_rule_that_would_reject_good_documents_is_not_certified(spark):
+    rows, labels, docs, lab = labelled(spark, {"a": 400, "b": 200})
+    labels = [(d, 1 - q if d % 20 == 0 and q == 0 else q) for d, q in labels]
+    lines = [(10_000 + i, " ".join(f"v{i}y{j}" + ("###" if j % 2 else "") for j in range(60)), "a") for i in range(30)]
+    rows, labels = rows + lines, labels + [(d, 1) for d, _, _ in lines]  # good documents that look like the bad ones
+    got = verdicts(spark.createDataFrame(rows, docs.schema), spark.createDataFrame(labels, lab.schema))
+    assert got == brute.quality(rows, labels, GRIDS) and all(got[d] for d, *_ in lines)
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text, r.lang) for r in odd_docs.collect()]
+    ids = sorted({d for d, *_ in rows if d is not None})
+    some = [(d, d % 2) for d in ids] + [(None, 1), (7, None), (5, 1)]
+    for options in ({}, {"risk": 0.6, "delta": 0.9}):
+        got = [(r.doc_id, r.kept) for r in quality.quality_report(odd_docs, spark.createDataFrame(some, "doc_id long, quality int"),
+                                                                  **options).collect()]
+        held = [(i, t, s) for i, (_, t, s) in enumerate(rows)]  # a row is a document: label every row of an id
+        by_row = [(i, q) for i, (d, _, _) in enumerate(rows) for e, q in some if d is not None and d == e]
+        want = brute.quality(held, by_row, GRIDS, **options)
+        assert sorted(got, key=str) == sorted(((d, want[i]) for i, (d, _, _) in enumerate(rows)), key=str)
     labels = spark.createDataFrame([(1, 1), (None, 1)], "doc_id long, quality int")
     assert quality.quality_report(odd_docs, labels).count() == odd_docs.count()
     assert quality.keep_rows(odd_docs, labels).columns == odd_docs.columns
