@@ -5,10 +5,15 @@ sequence at a time is open; of the items that still fit in all dimensions, the o
 product with the remaining capacities is placed next, until none fits. A dimension weighs as much as the group's
 total demand for it, in units of its limit.
 
-Documents are cut into pieces of exactly the token limit and a remainder. Full pieces are sequences of their own;
-remainders are dealt evenly, by row number, into groups of at most ``rows_per_group``, and every group is packed in
-one task. So no task grows with the data, and at most the last few sequences of a group stay open. Items with the
-same vector are counted, not listed, in the search.
+Loss mask: the first line of a text with several lines is its prompt and bears no loss, nor does the first token of a piece, which
+nothing predicts. The other tokens do, the end included. All three limits can bind: the loss limit is below the token
+limit, so pieces of a text's body fill a sequence's loss before its tokens, and short texts fill its segments
+(``usage`` counts how often).
+
+Documents are cut into the longest pieces that keep the token and the loss limit, and a remainder. Pieces that reach one of
+the two are sequences of their own; remainders are dealt evenly, by row number, into groups of at most
+``rows_per_group``, and every group is packed in one task. So no task grows with the data, and at most the last
+few sequences of a group stay open. Items with the same vector are counted, not listed, in the search.
 
 Defined results: null and empty texts are one token (the end); an item beyond a limit gets a sequence of its own;
 repeated rows are packed each; an empty table gives no rows. ``pack`` passes extra columns through.
@@ -36,8 +41,8 @@ END = 0
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 1024
-    segments: int = 64
-    loss: int = 1024
+    segments: int = 8
+    loss: int = 1016
 
     def vector(self) -> np.ndarray:
         return np.array([self.tokens, self.segments, self.loss], dtype=np.int64)
@@ -115,12 +120,31 @@ def pack(items: DataFrame, limits: Limits = Limits(), rows_per_group: int = 20_0
 
 PIECE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
-    T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType())])
+    T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("loss", T.LongType())])
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-def pieces(docs: DataFrame, size: int, path: str, keep_ids: bool = False) -> DataFrame:
-    """The documents' tokens, each text ended by id 0, cut into pieces of at most ``size``."""
+def prompt_tokens(text: str, ids: np.ndarray, widths: np.ndarray) -> int:
+    """How many ids end inside the first line (its line feed included) of a text with more than one."""
+    at = text.find("\n")
+    if at < 0:
+        return 0
+    upto = len(text[:at + 1].encode("utf-8"))
+    return int(np.searchsorted(np.cumsum(widths[ids[:upto]]), upto, side="right"))
+
+
+def cut_lengths(n: int, prompt: int, limits: Limits) -> Iterator[tuple[int, int, int]]:
+    """(start, length, loss) of the pieces of a text of n tokens, each as long as the token and the loss limit allow."""
+    start = 0
+    while start < n:
+        free = max(prompt - start, 1)  # without loss: the rest of the prompt, or the first token
+        length = min(n - start, limits.tokens, free + limits.loss)
+        yield start, length, max(0, length - free)
+        start += length
+
+
+def pieces(docs: DataFrame, limits: Limits, path: str, keep_ids: bool = False) -> DataFrame:
+    """The documents' tokens, each text ended by id 0, cut into pieces within the token and the loss limit."""
     ship_package(docs.sparkSession)
     fields = T.StructType([*PIECE.fields, IDS]) if keep_ids else PIECE
 
@@ -131,16 +155,16 @@ def pieces(docs: DataFrame, size: int, path: str, keep_ids: bool = False) -> Dat
                 rows: list[list] = [[] for _ in fields.fields]
                 part = batch.slice(at, 500)
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.append(enc.ids(text or ""), np.uint32(END)).astype("<u4")
+                    text = text or ""
+                    ids = np.append(enc.ids(text), np.uint32(END)).astype("<u4")
                     raw = memoryview(ids.tobytes())
-                    for start in range(0, len(ids), size):
-                        length = min(size, len(ids) - start)
-                        values = (doc_id, start, length, zlib.crc32(raw[4 * start:4 * (start + length)]), len(ids))
+                    for start, length, loss in cut_lengths(len(ids), prompt_tokens(text, ids[:-1], enc.widths), limits):
+                        values = (doc_id, start, length, zlib.crc32(raw[4 * start:4 * (start + length)]), len(ids), loss)
                         for column, value in zip(rows, values):
                             column.append(value)
                         if keep_ids:
                             rows[-1].append(ids[start:start + length])
-                kinds = [pa.int64()] * 5 + ([pa.list_(pa.int32())] if keep_ids else [])
+                kinds = [pa.int64()] * 6 + ([pa.list_(pa.int32())] if keep_ids else [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=fields.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, fields)
@@ -148,26 +172,34 @@ def pieces(docs: DataFrame, size: int, path: str, keep_ids: bool = False) -> Dat
 
 def pack_pieces(cut: DataFrame, limits: Limits = Limits(), rows_per_group: int = 20_000) -> DataFrame:
     """``pieces`` (a written table with ``piece_id``) with ``sequence_id`` and ``offset``."""
-    loss = F.col("length") - 1  # nothing predicts the first token of a piece
-    whole = F.col("length") == limits.tokens
+    whole = (F.col("length") >= limits.tokens) | (F.col("loss") >= limits.loss)
     alone = (cut.where(whole).withColumn("sequence_id", F.col("piece_id") * 2 + 1)
              .withColumn("offset", F.lit(0).cast("long")))
-    rest = written(cut.where(~whole).withColumn("tokens", F.col("length")).withColumn("loss", loss), "remainders")
-    return alone.unionByName(pack(rest, limits, rows_per_group).drop("tokens", "loss"))
+    rest = written(cut.where(~whole).withColumn("tokens", F.col("length")), "remainders")
+    return alone.unionByName(pack(rest, limits, rows_per_group).drop("tokens"))
 
 
 def pack_documents(docs: DataFrame, limits: Limits = Limits(), path: str | None = None,
                    rows_per_group: int = 20_000) -> DataFrame:
-    """Where every piece of every document goes: doc_id, start, length, crc, sequence_id, offset."""
-    cut = written(pieces(docs, limits.tokens, path or tokens.default_path())
+    """Where every piece of every document goes: doc_id, start, length, crc, tokens, loss, sequence_id, offset."""
+    cut = written(pieces(docs, limits, path or tokens.default_path())
                   .withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
     return pack_pieces(cut, limits, rows_per_group).drop("piece_id")
 
 
+def usage(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row: the number of sequences, how many are at each limit, and the padding to the token limit (none at a power of two)."""
+    load = packed.groupBy("sequence_id").agg(F.sum("length").alias("t"), F.count(F.lit(1)).alias("s"), F.sum("loss").alias("l"))
+    padded = F.when(F.bit_count("t") > 1, F.lit(limits.tokens) - F.col("t")).otherwise(0)
+    return load.agg(F.count(F.lit(1)).alias("sequences"), F.count_if(F.col("t") >= limits.tokens).alias("at_tokens"),
+                    F.count_if(F.col("s") >= limits.segments).alias("at_segments"), F.count_if(F.col("l") >= limits.loss).alias("at_loss"),
+                    F.coalesce(F.sum(padded), F.lit(0)).alias("padding"))
+
+
 def sequences(docs: DataFrame, limits: Limits = Limits(), path: str | None = None,
               rows_per_group: int = 20_000) -> DataFrame:
     """The packed sequences themselves: sequence_id, input_ids and the segments (doc_id, offset, length)."""
-    cut = written(pieces(docs, limits.tokens, path or tokens.default_path(), keep_ids=True)
+    cut = written(pieces(docs, limits, path or tokens.default_path(), keep_ids=True)
                   .withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
     placed = pack_pieces(cut.drop("ids"), limits, rows_per_group).select("piece_id", "sequence_id", "offset")
     held = placed.join(cut.select("piece_id", "doc_id", "length", "ids"), "piece_id")

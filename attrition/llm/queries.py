@@ -13,7 +13,7 @@ from attrition.llm.oracle import ORACLE  # noqa: F401  the queries' DuckDB twins
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Limits(tokens=1024, segments=64, loss=1024))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Limits(tokens=1024, segments=8, loss=1016))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,9 @@ class Encoder:
         self.fast = tiktoken.Encoding("corpus", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
         self.exact = Tokenizer.from_file(path)
         self.pieces |= {i: t.encode() for t, i in special.items()}
+        #: bytes of text per id
+        self.widths = np.zeros(max(self.pieces) + 1, np.int64)
+        self.widths[list(self.pieces)] = list(map(len, self.pieces.values()))
 
     def ids(self, text: str) -> np.ndarray:
         if LONG_RUN.search(text) or LONG_SPACE.search(text):

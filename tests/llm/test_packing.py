@@ -54,7 +54,7 @@ def check_pieces(out, texts, enc, size=1024):
         for r in rs:
             assert r.offset == at
             at += r.length
-        assert at <= size and len(rs) <= 64
+        assert at <= size and len(rs) <= 8 and sum(r.loss for r in rs) <= 1016
         padding += size - at if at & (at - 1) else 0
     return padding, len(by_sequence)
 
@@ -66,10 +66,58 @@ def test_pack_documents(docs, rows, enc):
     assert padding < 0.1 * total
 
 
+def loads(out):
+    per = defaultdict(lambda: np.zeros(3, int))
+    for r in out:
+        per[r.sequence_id] += (r.length, 1, r.loss)
+    return np.array(list(per.values()))
+
+
+def test_every_limit_binds_and_packing_by_tokens_alone_breaks_the_others(docs, spark):
+    """Many short texts, long bodies and prompts: what one dimension allows, the other two forbid."""
+    short = spark.createDataFrame([(20_000 + i, f"say {i}") for i in range(150)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(short)
+    limits = packing.Limits()
+    vector = limits.vector()
+    out = packing.pack_documents(both, limits).collect()
+    own, plain = loads(out), loads(packing.pack_documents(both, packing.Limits(segments=10 ** 6, loss=10 ** 6)).collect())
+    assert (own <= vector).all() and ((own == vector).any(axis=0)).all()
+    assert (plain[:, 0] <= 1024).all() and (plain[:, 1] > 8).any() and (plain[:, 2] > 1016).any()
+    row = packing.usage(packing.pack_documents(both, limits), limits).first()
+    assert (row.sequences, row.at_tokens, row.at_segments, row.at_loss) == (len(own), *(own >= vector).sum(axis=0))
+    power = own[:, 0] & (own[:, 0] - 1) == 0
+    assert row.padding == (1024 - own[:, 0])[~power].sum()
+
+
+@given(st.integers(1, 5000), st.integers(0, 5000), st.integers(2, 300), st.integers(1, 300))
+def test_cuts_are_whole_and_within_the_limits(n, prompt, size, loss):
+    limits = packing.Limits(tokens=size, loss=loss)
+    cuts, at = list(packing.cut_lengths(n, min(prompt, n), limits)), 0
+    for start, length, lost in cuts:
+        bears = [i >= min(prompt, n) and i > start for i in range(start, start + length)]
+        assert start == at and 0 < length <= size and lost == sum(bears) <= loss
+        at += length
+    assert at == n
+    assert all(length == size or lost == loss for _, length, lost in cuts[:-1])
+
+
+def test_prompt_is_the_first_line(enc):
+    for text in ("Title line\nbody text here", "no line end", "\n\nx", "", "é ü\nß\n", "a\n"):
+        ids = enc.ids(text)
+        p = packing.prompt_tokens(text, ids, enc.widths)
+        assert enc.widths[ids].sum() == len(text.encode())
+        first = text[:text.find("\n") + 1]
+        assert first.startswith(enc.text(ids[:p].tolist())) if p else True
+        # the next token, if any, ends after the first line
+        if first and p < len(ids):
+            assert enc.widths[ids[:p + 1]].sum() > len(first.encode())
+        assert p == 0 or first
+
+
 def test_sequences_round_trip(docs, rows, enc):
     texts, got = {r[0]: r[1] for r in rows}, defaultdict(list)
     for r in packing.sequences(docs).collect():
-        assert len(r.input_ids) <= 1024 and len(r.segments) <= 64
+        assert len(r.input_ids) <= 1024 and len(r.segments) <= 8
         for s in r.segments:
             got[s.doc_id] += r.input_ids[s.offset:s.offset + s.length]
     assert {d: len(v) for d, v in got.items()} == {d: len(reference_ids(enc, t)) + 1 for d, t in texts.items()}
