@@ -5,7 +5,10 @@ high-entropy strings that no fixed span covers: runs of a character class are ca
 several classes, and is reported by each that finds it); a window slides over each
 one and its Shannon entropy is kept up to date from the counts of the characters inside, one character entering and
 one leaving. A candidate with a window at or above its class's threshold is a secret, unless the allow-list
-suppresses it. The allow-list never suppresses a fixed span.
+suppresses it. The allow-list never suppresses a fixed span. It has whole patterns (UUIDs, placeholders, alphabets), and the
+plain parts of a candidate between `/ _ = -`: words, also joined in camel case and with a few digits behind, that have
+a vowel and no five consonants in a row, numbers, and parts of up to three characters. A candidate without ``ODD``
+characters in a row outside of plain parts is a path, slug, date or name, however high the entropy of its letters.
 
 DataFrame functions only, no shuffle: every text is scanned whole, where it is read. Positions are code points, ends
 exclusive. The positions come from the lengths of the matches and of the text between them (`split` and
@@ -74,6 +77,13 @@ ALLOW = (
     r"^[A-Za-z/_-]+$",
 )
 
+_CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ"
+#: A part that is no secret: up to three characters, a number, or words as described above.
+PLAIN = (_ALONE + r"(?:[A-Za-z0-9]{1,3}|[0-9]{1,8}|(?![A-Za-z]*[" + _CONSONANTS + r"]{5})(?=[^aeiouyAEIOUY/_=+-]*[aeiouyAEIOUY])"
+         r"[0-9]{0,4}+(?:[A-Z]?+[a-z]{2,}+|[A-Z]{2,}+)++[0-9]{0,4}+)" + _ENDS)
+UUID = r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"
+ODD = 14
+
 Spans = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -127,6 +137,12 @@ def highest_entropy(value: Column, cls: EntropyClass) -> Column:
     return let(F.transform(F.split(value, ""), lambda c: F.instr(F.lit(cls.alphabet), c)), slide)
 
 
+def longest_odd(value: Column) -> Column:
+    """How many letters, digits and plus signs of a candidate follow one another outside of plain parts and UUIDs."""
+    left = F.regexp_replace(F.regexp_replace(value, UUID, " "), PLAIN, " ")
+    return F.array_max(F.transform(F.split(left, " "), lambda x: F.length(F.translate(x, "/_=-", ""))))
+
+
 def entropy_spans(text: Column, covered: Column, cls: EntropyClass, allow: Sequence[str] = ALLOW) -> Column:
     """High-entropy candidates of a class that no span in ``covered`` contains."""
     def secret(s: Column) -> Column:
@@ -135,7 +151,7 @@ def entropy_spans(text: Column, covered: Column, cls: EntropyClass, allow: Seque
         for pattern in allow:
             allowed = allowed | s["value"].rlike(pattern)
         # CASE stops at the first that holds, so the entropy is computed for what is left only
-        return F.when(inside, False).when(allowed, False).otherwise(highest_entropy(s["value"], cls) >= cls.threshold)
+        return F.when(inside, False).when(allowed, False).when(longest_odd(s["value"]) < ODD, False).otherwise(highest_entropy(s["value"], cls) >= cls.threshold)
 
     return F.filter(matches(text, cls.pattern), secret)
 

@@ -139,7 +139,51 @@ def entropy(window):
     return -sum(c / n * math.log2(c / n) for c in Counter(window).values())
 
 
-def secrets(text, classes, allow):
+def plain_part(part):
+    """Words with vowels, numbers, or very short."""
+    if len(part) <= 3 or part.isdigit() and len(part) <= 8:
+        return part.isalnum()
+    letters = part.strip("0123456789")
+    front, back = len(part) - len(part.lstrip("0123456789")), len(part) - len(part.rstrip("0123456789"))
+    if not letters.isalpha() or not letters.isascii() or front > 4 or back > 4 or not set(letters) & set("aeiouyAEIOUY"):
+        return False
+    head = part if part[0].isalpha() else ""  # a run of consonants counts from the start of the letters
+    run = 0
+    for c in head if head else "":
+        if not c.isalpha():
+            break
+        run = 0 if c in "aeiouyAEIOUY" else run + 1
+        if run >= 5:
+            return False
+    i = 0
+    while i < len(letters):  # camel case: [A-Z]?[a-z]{2,} or [A-Z]{2,}
+        j = i + letters[i].isupper()
+        k = j
+        while k < len(letters) and letters[k].islower():
+            k += 1
+        if k - j < 2:
+            k = i
+            while k < len(letters) and letters[k].isupper():
+                k += 1
+            if k - i < 2:
+                return False
+        i = k
+    return True
+
+
+def longest_odd(value):
+    value = re.sub(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])", " ", value)
+    best = now = 0
+    for part in re.split(r"([^A-Za-z0-9+])", value):
+        if part == " " or part and part[0] not in "/_=-" and plain_part(part):
+            now = 0
+        elif part and part[0] not in "/_=-":
+            now += len(part)
+            best = max(best, now)
+    return best
+
+
+def secrets(text, classes, allow, odd=14):
     text = text or ""
     base, per_kind = [], []
     for rank, (kind, pattern, keep) in enumerate(BASE):
@@ -152,6 +196,8 @@ def secrets(text, classes, allow):
             s, e = m.span()
             if any(b[0] <= s and e <= b[3] for b in base) or any(re.search(a, m[0]) for a in allow):
                 continue
+            if longest_odd(m[0]) < odd:
+                continue
             if max((entropy(m[0][i:i + cls.window]) for i in range(len(m[0]) - cls.window + 1)), default=0) >= cls.threshold - 1e-9:
                 added.append((s, rank, f"{cls.kind}:{s}:{e}", e))
     joined = lambda xs: ",".join(x[2] for x in sorted(xs))
