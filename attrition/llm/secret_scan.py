@@ -80,9 +80,9 @@ ALLOW = (
 _CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ"
 #: A part that is no secret: up to three characters, a number, or words as described above.
 PLAIN = (_ALONE + r"(?:[A-Za-z0-9]{1,3}|[0-9]{1,8}|(?![A-Za-z]*[" + _CONSONANTS + r"]{5})(?=[^aeiouyAEIOUY/_=+-]*[aeiouyAEIOUY])"
-         r"[0-9]{0,4}+(?:[A-Z]?+[a-z]{2,}+|[A-Z]{2,}+)++[0-9]{0,4}+)" + _ENDS)
+         r"[0-9]{0,4}+(?:[A-Z][a-z]++|[a-z]{2,}+|[A-Z]{2,}+)++[0-9]{0,4}+)" + _ENDS)
 UUID = r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"
-ODD = 14
+ODD = 12
 
 Spans = "array<struct<start:bigint,end:bigint,value:string>>"
 

@@ -156,12 +156,11 @@ def plain_part(part):
         if run >= 5:
             return False
     i = 0
-    while i < len(letters):  # camel case: [A-Z]?[a-z]{2,} or [A-Z]{2,}
-        j = i + letters[i].isupper()
-        k = j
+    while i < len(letters):  # camel case: [A-Z][a-z]+, [a-z]{2,} or [A-Z]{2,}
+        k = i + letters[i].isupper()
         while k < len(letters) and letters[k].islower():
             k += 1
-        if k - j < 2:
+        if k - i < 2:
             k = i
             while k < len(letters) and letters[k].isupper():
                 k += 1
@@ -183,7 +182,7 @@ def longest_odd(value):
     return best
 
 
-def secrets(text, classes, allow, odd=14):
+def secrets(text, classes, allow, odd=12):
     text = text or ""
     base, per_kind = [], []
     for rank, (kind, pattern, keep) in enumerate(BASE):

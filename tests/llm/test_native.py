@@ -251,7 +251,7 @@ PROSE = ["//example.org/2024/05/12/how-to-build-a-small-web-server-in-python3",
          "2024-05-12_10-30-00_backup-of-database-7", "/items/550e8400-e29b-41d4-a716-446655440000/edit-page2",
          "user-profile-550e8400-e29b-41d4-a716-446655440000", "org/apache/spark/sql/catalyst/expressions/Literal3",
          "com_github_some-project_release-1_2_3-alpha4", "ISO-8859-15_and_UTF-8_and_cp1252", "chapter12/section4/Figure3_overview-of-method",
-         "getElementsByClassNameAndTagName2", "internationalization18nTest", "MAX_RETRY_COUNT_10_AND_TIMEOUT_30"]
+         "getElementsByClassNameAndTagName2", "findInTheListOfItemsToDo3", "internationalization18nTest", "MAX_RETRY_COUNT_10_AND_TIMEOUT_30"]
 
 
 def test_paths_slugs_dates_and_names_are_clean(spark):
