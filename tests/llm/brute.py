@@ -259,7 +259,7 @@ class SuffixTree:
         least_entry = max(o.least_entry, o.entry_share * self.n)
         candidates = {(w,) for w in often if self.count[w] >= enough}
         for depth in range(1, o.depth + 1):
-            occurs, nexts = Counter(), defaultdict(Counter)
+            occurs, nexts, whole = Counter(), defaultdict(Counter), Counter()
             for doc in coded:
                 for i, x in enumerate(doc):
                     c = self._before(doc, i, depth)
@@ -267,7 +267,10 @@ class SuffixTree:
                         occurs[c] += 1
                         if x != "rare" and self.count[x] >= least_next:
                             nexts[c][x] += 1
-            new, longer = {}, set()
+                    # sequences of symbols only, which may begin with the end of the document before
+                    if x != "rare" and "rare" not in c and "nothing" not in c:
+                        whole[(x, *c)] += 1
+            new = {}
             for c in candidates:
                 kept = {x: n for x, n in nexts[c].items() if n >= least_entry}
                 held = sum(kept.values())
@@ -282,11 +285,8 @@ class SuffixTree:
                 if occurs[c] and gain > 0.5 * len(kept) * math.log(max(occurs[c], 2)):
                     new[c] = (kept, backoff, held + backoff)
             self.states.update(new)
-            for c, (kept, _, _) in new.items():
-                for x, n in kept.items():
-                    if n >= enough and (x, *c[:-1]) in self.states and len((x, *c[:-1])) == depth:
-                        longer.add((x, *c))
-            candidates = longer
+            # every frequent sequence one symbol longer whose suffix (without its first symbol, the last here) was retained
+            candidates = {c for c, n in whole.items() if n >= enough and c[:-1] in new}
 
     @staticmethod
     def _before(doc, i, depth):

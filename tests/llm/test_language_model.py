@@ -45,6 +45,37 @@ def test_scores_equal_the_plain_tree(scored):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-7)
 
 
+def compare(spark, rows, options):
+    got = sorted((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in
+                 lm.lm_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), options).collect())
+    tree = brute.SuffixTree(rows, options)
+    for (doc_id, text), r in zip(sorted(rows, key=lambda r: r[0]), got):
+        n, known, base, score = tree.score(text, options.depth)
+        assert r[:3] == (doc_id, n, known)
+        assert r[3] == pytest.approx(base, rel=1e-9) and r[4] == pytest.approx(score, rel=1e-7)
+    return tree
+
+
+def test_registered_defaults_equal_the_plain_tree(spark):
+    """Also a very long text."""
+    rng, rows = random.Random(8), prose(5, 220)
+    for i in range(8):
+        ws = []
+        while len(ws) < 400:
+            ws.append(rng.choice("abcdefgw"))
+            if rng.random() < 0.25:
+                ws += ["s", "t" if ws[-1] == "w" else "u"]
+        rows.append((1000 + i, " ".join(ws)))
+    rows.append((2000, " ".join(rng.choice([f"a{rng.randrange(300)}", "zip zap zop", "w s t"]) for _ in range(30_000))))
+    tree = compare(spark, rows, lm.TreeOptions())
+    assert {len(c) for c in tree.states} >= {0, 1, 2}
+
+
+@pytest.mark.parametrize("options", [dict(least_context=4), dict(least_context=3, least_entry=3, least_symbol=4, backoff=0.5), dict(depth=1)])
+def test_other_counts_equal_the_plain_tree(spark, options):
+    compare(spark, prose(11, 120), lm.TreeOptions(**options))
+
+
 def test_better_than_unigrams_on_held_out(scored):
     _, got = scored
     held = [r for r in got.values() if r.held_out]
