@@ -43,3 +43,18 @@ def test_filters_and_joins_have_something_to_do(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert "id_ga" in df.columns and df.count() >= 0
+
+
+def test_entry_stands_without_an_optional_library(tmp_path):
+    """With the hash library of the corpus operators not installed, the core queries are there, and the cause is named."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['xxhash'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), len([q for q in e.queries() if q.startswith('op')]))")
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    total, corpus = map(int, run.stdout.split())
+    assert total >= 48 and corpus == 0
+    if os.path.isdir(os.path.join(root, "attrition", "llm")):
+        assert "xxhash" in run.stderr
