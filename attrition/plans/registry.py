@@ -478,11 +478,11 @@ def q_feature_table(spark, sf_dir):
     return FT.build_features(joined_facts(spark, sf_dir), P, VOCABULARY)
 
 
-@register("open_dummies", with_ctes(
+@register("sparse_dummies", with_ctes(
     "SELECT DISTINCT d.id_ga, d.name FROM dummy_long d JOIN user_agg a ON a.id_ga = d.id_ga AND a.faixa_etaria = d.faixa_etaria "
     f"AND a.sexo = d.sexo AND a.uninstall = d.uninstall WHERE d.name LIKE 'install\\_channel\\_%' ESCAPE '\\' "
     f"AND {' AND '.join(f'a.{c.strip()} IS NOT NULL' for c in NUMERIC.split(','))}", "user_agg", "dummy_long"))
-def q_open_dummies(spark, sf_dir):
+def q_sparse_dummies(spark, sf_dir):
     """ML1 + AGG4 for the open column: sparse vectors over an index table, read back as names."""
     closed = [cv for cv in VOCABULARY if cv[0] != "install_channel"]
     kept = {}
