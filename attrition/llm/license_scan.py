@@ -1,7 +1,8 @@
 """Licence scan: normalised text compared to licence templates by the Dice coefficient over word bigrams.
 
-The units compared are the lines, the paragraphs (blocks between blank lines) and the whole of a text, so that a
-notice inside prose is found as well as a licence file. Long notices are templates as a whole and, where a paragraph
+The units compared are the lines, the sentences, the paragraphs (blocks between blank lines) and the whole of a text, so
+that a notice inside prose is found as well as a licence file. A notice of several sentences that runs into other text without
+a blank line is found by those of its sentences that tell the licence. Long notices are templates as a whole and, where a paragraph
 tells the licence, by paragraph; paragraphs that several licences share (the BSD disclaimer, the GPL warranty notice)
 are none of their own. Two sets of ``a`` and ``b`` distinct bigrams can reach a Dice
 coefficient ``t`` only if ``2 * min(a, b) >= t * (a + b)``: templates outside that bound are pruned before any bigram
@@ -227,13 +228,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^A-Za-z0-9\n]+", " ")
 
 
-def units(kept: Column) -> Column:
-    """The distinct lines, paragraphs and the whole of a normalised text."""
-    def parts(t: Column) -> Column:
-        flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[ \n]+", " ")))
-        return F.array_distinct(F.transform(F.concat(F.split(t, "\n"), F.split(t, r"\n[ \n]*\n"), F.array(t)), flat))
-
-    return let(kept, parts)
+def units(kept: Column, text: Column) -> Column:
+    """The distinct lines, paragraphs and the whole of a normalised text, and the sentences of the text itself."""
+    flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[^A-Za-z0-9]+", " ")))
+    sentences = F.split(text, r"[.!?;:]+[\x20\x09-\x0D]+")
+    return let(kept, lambda t: F.array_distinct(F.transform(
+        F.concat(F.split(t, "\n"), sentences, F.split(t, r"\n[ \n]*\n"), F.array(t)), flat)))
 
 
 def bigrams(unit: Column) -> Column:
@@ -272,7 +272,7 @@ def license_report(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLAT
     wanted = F.split(F.lit(" ".join(anchors(templates, least))), " ")
 
     def searched(kept: Column) -> Column:
-        hits = F.filter(F.transform(units(kept), lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
+        hits = F.filter(F.transform(units(kept, F.coalesce(F.col("text"), F.lit(""))), lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
         words = F.split(F.lower(F.translate(kept, "\n", " ")), " ")
         return F.when(F.arrays_overlap(words, wanted), hits).otherwise(F.array().cast(f"array<{FOUND}>"))
 

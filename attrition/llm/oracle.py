@@ -116,9 +116,10 @@ def licences(least: float = 0.8) -> str:
     rows = ", ".join(f"({_quoted(name)}, [{', '.join(map(_quoted, template_bigrams(t)))}])" for name, ts in TEMPLATES.items() for t in ts)
     return f"""
 WITH templates(name, grams) AS (VALUES {rows}),
-kept AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g') AS k FROM documents),
-parts AS (SELECT doc_id, unnest(list_concat(string_split(k, chr(10)), regexp_split_to_array(k, '\\n[ \\n]*\\n'), [k])) AS u FROM kept),
-units AS (SELECT DISTINCT doc_id, lower(trim(regexp_replace(u, '[ \\n]+', ' ', 'g'))) AS u FROM parts),
+kept AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g') AS k FROM documents),
+parts AS (SELECT doc_id, unnest(list_concat(string_split(k, chr(10)), regexp_split_to_array(k, '\\n[ \\n]*\\n'), [k],
+                                            regexp_split_to_array(t, '[.!?;:]+[\\x20\\x09-\\x0D]+'))) AS u FROM kept),
+units AS (SELECT DISTINCT doc_id, lower(trim(regexp_replace(u, '[^A-Za-z0-9]+', ' ', 'g'))) AS u FROM parts),
 split AS (SELECT doc_id, u, string_split(u, ' ') AS w FROM units),
 grams AS (SELECT doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM split),
 scored AS (SELECT doc_id, u, name, max(2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams))) AS dice

@@ -211,7 +211,7 @@ def licences(text, templates, least):
 
     text = text or ""
     units = {" ".join(re.sub(r"[^A-Za-z0-9]+", " ", u).lower().split())
-             for u in [*text.split("\n"), *re.split(r"\n[^A-Za-z0-9]*\n", text), text]}
+             for u in [*text.split("\n"), *re.split(r"\n[^A-Za-z0-9]*\n", text), text, *re.split(r"[.!?;:]+[ \t-\r]+", text)]}
     n, names, top = 0, set(), 0.0
     for u in units:
         g = grams(u)

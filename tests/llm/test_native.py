@@ -327,6 +327,20 @@ def test_licences_of_several_paragraphs(spark):
     assert [found[i] for i in range(6)] == ["GPL-3.0", "GPL-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"]
 
 
+def test_licences_in_sentences_and_long_texts(spark, rows):
+    filler = "Some words of prose that say nothing of interest here"
+    mit = "This project is licensed under the terms of the MIT license."
+    texts = [f"{filler}. {mit} {filler}, and more.", f"{filler}; {mit}", f"{filler}\n{filler}. This project is licensed\nunder the terms "
+             f"of the MIT license. {filler}", f"{filler} {mit} {filler}", " ".join([filler + "."] * 4000) + " " + mit + " " + filler,
+             max((r[1] for r in rows if r[1]), key=len)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in license_scan.license_report(docs).collect()}
+    assert [found[i].licences for i in (0, 1, 2, 4)] == ["MIT"] * 4 and found[5].licences == ""
+    for i, r in found.items():
+        n, names, top = brute.licences(texts[i], license_scan.TEMPLATES, 0.8)
+        assert (r.n_units, r.licences) == (n, names) and r.best_dice == pytest.approx(top)
+
+
 def test_licences_odd_rows(odd_docs, no_docs):
     assert license_scan.license_report(odd_docs).count() == odd_docs.count()
     assert license_scan.license_report(no_docs).collect() == []
