@@ -93,3 +93,39 @@ def test_intermediates_are_deleted_but_for_what_is_read(spark, tmp_path):
     assert b.count() == 6
     with pytest.raises(Exception):
         a.count()
+
+
+def stages_over(spark, docs, path):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, path), f"edge-{name}")
+        out.append((docs.columns, docs.collect()))  # the next stage deletes what is read here
+    return out
+
+
+def test_pipeline_without_documents(spark, small, no_docs):
+    path, _, _ = small
+    assert [rows for _, rows in stages_over(spark, no_docs, path)] == [[]] * 5
+
+
+def test_pipeline_with_odd_rows_and_extra_columns(spark, small, rows):
+    """Null and repeated ids, repeated rows, and columns named like those that the stages add."""
+    from pyspark.sql import functions as F
+
+    path, _, _ = small
+    body = lambda tag: " ".join(f"{tag}{j}" for j in range(80))
+    some = [(1, body("a")), (1, body("a")), (2, body("b")), (2, body("c")), (None, body("d")), (None, body("d")), (None, body("e")),
+            (3, body("a") + " more"), (None, None), (4, "short"), (5, body("d") + " x y")]
+    docs = spark.createDataFrame(some, "doc_id long, text string").select(
+        "*", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"),
+        *[F.lit("q").alias(c) for c in ("row", "kept", "size", "rank", "component_id", "sequence_id", "_at")])
+    quality_, exact, near, mixed, packed = stages_over(spark, docs, path)
+    key = lambda out: sorted(((r.doc_id, r.text) for r in out[1]), key=str)
+    assert all(columns == docs.columns for columns, _ in (quality_, exact, near, mixed))
+    long = [(d, t) for d, t in some if t and len(t.split()) >= 50]
+    assert key(quality_) == sorted(long, key=str)  # the base checks alone
+    assert key(exact) == sorted({(d, t): (d, t) for d, t in long}.values(), key=str)
+    # a 1 stands for its near copy 3; of d (no id) and 5 the one with an id; 2 has two unrelated texts
+    assert key(near) == sorted([(1, body("a")), (2, body("b")), (2, body("c")), (None, body("e")), (5, body("d") + " x y")], key=str)
+    assert mixed[1] and {r.doc_id for r in packed[1]} == {r.doc_id for r in mixed[1]}
+    assert sum(r.start == 0 for r in packed[1]) == len(mixed[1])
