@@ -86,7 +86,7 @@ def fill(vectors: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return bins, places
 
 
-def pack(items: DataFrame, limits: Limits = Limits(), rows_per_group: int = 20_000) -> DataFrame:
+def pack(items: DataFrame, limits: Limits = Limits(), rows_per_group: int = 10_000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to items with columns ``tokens`` and ``loss`` (both long).
 
     ``items`` should be a written table: the groups go by row number, which a recomputed input could change.
@@ -170,7 +170,7 @@ def pieces(docs: DataFrame, limits: Limits, path: str, keep_ids: bool = False) -
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, fields)
 
 
-def pack_pieces(cut: DataFrame, limits: Limits = Limits(), rows_per_group: int = 20_000) -> DataFrame:
+def pack_pieces(cut: DataFrame, limits: Limits = Limits(), rows_per_group: int = 10_000) -> DataFrame:
     """``pieces`` (a written table with ``piece_id``) with ``sequence_id`` and ``offset``."""
     whole = (F.col("length") >= limits.tokens) | (F.col("loss") >= limits.loss)
     alone = (cut.where(whole).withColumn("sequence_id", F.col("piece_id") * 2 + 1)
@@ -180,7 +180,7 @@ def pack_pieces(cut: DataFrame, limits: Limits = Limits(), rows_per_group: int =
 
 
 def pack_documents(docs: DataFrame, limits: Limits = Limits(), path: str | None = None,
-                   rows_per_group: int = 20_000) -> DataFrame:
+                   rows_per_group: int = 10_000) -> DataFrame:
     """Where every piece of every document goes: doc_id, start, length, crc, tokens, loss, sequence_id, offset."""
     cut = written(pieces(docs, limits, path or tokens.default_path())
                   .withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
@@ -197,7 +197,7 @@ def usage(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def sequences(docs: DataFrame, limits: Limits = Limits(), path: str | None = None,
-              rows_per_group: int = 20_000) -> DataFrame:
+              rows_per_group: int = 10_000) -> DataFrame:
     """The packed sequences themselves: sequence_id, input_ids and the segments (doc_id, offset, length)."""
     cut = written(pieces(docs, limits, path or tokens.default_path(), keep_ids=True)
                   .withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
