@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators.features import qcol, value_ranks
-from attrition.session import delete_path, scratch_path
+from attrition.session import delete_path, scratch_path, ship_package
 
 BINS = 255
 MISSING = 255
@@ -300,6 +300,7 @@ class BoostedTrees:
 
     def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
         """The columns ``keep``, ``margin``, ``probability`` and ``prediction`` (1 from a half on); ``df`` has the features as doubles."""
+        ship_package(df.sparkSession)
         trees, k = [t.arrays() for t in self.trees], len(self.features)
         kept = df.select(*[qcol(c) for c in keep], *[qcol(c).alias(f"_f{i}") for i, c in enumerate(self.features)])
         names = [*keep, "margin", "probability", "prediction"]
@@ -372,6 +373,7 @@ def fit(df: DataFrame, features: list[str], label: str, identity: str, weight: f
         o: BoostOptions = BoostOptions()) -> BoostedTrees:
     """Boosted trees for a 0/1 label; ``weight`` is that of the positive rows. Features are doubles, null or NaN where missing."""
     spark = df.sparkSession
+    ship_package(spark)
     positive = 1.0 if weight is None else float(weight)
     y = qcol(label).cast("double")
     rows = df.where(y.isNotNull()).select(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,6 +108,23 @@ def app_key(spark: SparkSession) -> str:
         return str(id(spark))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver has imported it from (once per application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="attrition-py-"), "attrition.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 _SCOPES: list[list[str]] = []
 
 
