@@ -453,6 +453,16 @@ def _leaders(buckets: DataFrame, leaders: int) -> DataFrame:
                                     F.collect_list("lead").alias("lead"))
 
 
+def _dealt(buckets: DataFrame) -> DataFrame:
+    """The classes of each n-gram dealt over its salts."""
+    return buckets.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int"))
+
+
+def _salted(grams: DataFrame, salts: str) -> DataFrame:
+    """A row per n-gram for each of its salts."""
+    return grams.withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col(salts) - 1)))
+
+
 def _candidates(buckets: DataFrame, lead: DataFrame, o: JoinOptions, least: int) -> DataFrame:
     """Distinct pairs (a < b) to compare in this round: in different components, and able to reach the threshold."""
     reach = lambda shared: f"{100 + o.percent} * {shared} >= {o.percent} * (size + size2)"
@@ -461,16 +471,22 @@ def _candidates(buckets: DataFrame, lead: DataFrame, o: JoinOptions, least: int)
                   f"AND coalesce({reach(by_strip)}, true)")
     second = [F.col(f"x.{c}").alias(f"{c}2") for c in ("cls", "size", "lone", "component", "strips")]
     # the classes of an n-gram are dealt over its salts, its leaders go to each of them
-    star = (lead.where(F.col("n") > least).withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    star = (_salted(lead.where(F.col("n") > least), "salts")
             .select(F.col("gram").alias("gram2"), "salt2", F.explode("lead").alias("x")).select("gram2", "salt2", *second))
-    dealt = buckets.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int"))
-    few = lead.where(F.col("n") <= least).select(F.col("gram").alias("gram2"))
-    each = buckets.join(few, F.col("gram") == F.col("gram2"), "left_semi")
-    other = each.select(F.col("gram").alias("gram2"), F.struct("cls", "size", "lone", "component", "strips").alias("x")).select("gram2", *second)
-    same = F.col("gram") == F.col("gram2")
+    dealt = _dealt(buckets)
+    few = lead.where(F.col("n") <= least).select(F.col("gram").alias("gram2"), F.col("salts").alias("salts2"))
+    same, same_salt = F.col("gram") == F.col("gram2"), F.col("salt") == F.col("salt2")
     both = [c for k in ("cls", "size") for c in (k, f"{k}2")]
-    pairs = (dealt.join(star, same & (F.col("salt") == F.col("salt2")) & able).select(*both)
-             .unionByName(each.join(other, same & able & F.expr("cls < cls2")).select(*both)))
+
+    def among(rows: DataFrame) -> DataFrame:
+        """All pairs of the classes of n-grams that few have."""
+        other = rows.select(F.col("gram").alias("gram2"), F.struct("cls", "size", "lone", "component", "strips").alias("x")).select("gram2", *second)
+        return rows.join(other, same & able & F.expr("cls < cls2")).select(*both)
+
+    # an n-gram that many classes had at first is looked up by salt, so that they do not meet in one task to be dropped there
+    usual = buckets.where("salts = 1").join(few, same, "left_semi")
+    many = dealt.where("salts > 1").join(_salted(few.where("salts2 > 1"), "salts2"), same & same_salt, "left_semi")
+    pairs = dealt.join(star, same & same_salt & able).select(*both).unionByName(among(usual)).unionByName(among(many.drop("salt")))
     ordered = F.col("cls") < F.col("cls2")
     swap = lambda x, y: F.when(ordered, F.col(x)).otherwise(F.col(y))
     return pairs.select(swap("cls", "cls2").alias("a"), swap("cls2", "cls").alias("b"),
@@ -483,7 +499,9 @@ def _still_open(buckets: DataFrame, lead: DataFrame, label: DataFrame, o: JoinOp
     open_ = lead.where(F.col("n") > least)
     used = open_.select("gram", F.explode("lead").alias("x")).select("gram", F.col("x.cls").alias("cls"))
     able = F.expr(f"{100 + o.percent} * (size - lone) >= {o.percent} * (size + greatest(low, size - lone))")
-    left = buckets.drop("component").join(open_.select("gram", "low"), "gram").where(able).join(used, ["gram", "cls"], "left_anti")
+    lows = _salted(open_.select(F.col("gram").alias("gram2"), "salts", "low"), "salts").drop("salts")
+    left = (_dealt(buckets.drop("component")).join(lows, (F.col("gram") == F.col("gram2")) & (F.col("salt") == F.col("salt2")))
+            .where(able).join(used, ["gram", "cls"], "left_anti"))
     left = left.join(label, F.col("cls") == F.col("node")).select("gram", "cls", "size", "lone", "strips", "salts", "component")
     left = written(left, "left")
     mixed = left.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
