@@ -223,17 +223,26 @@ def anchors(templates: Mapping[str, list[str]], least: float) -> list[str]:
     return sorted(chosen)
 
 
+#: Stands for the end of a sentence in a normalised text.
+STOP = "\x02"
+
+
 def normalised(text: Column) -> Column:
-    """Runs of anything but ASCII letters, digits and line ends become one space."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^A-Za-z0-9\n]+", " ")
+    """Runs of anything but ASCII letters, digits and line ends become one space; ends of sentences are marked."""
+    stopped = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), STOP, " "), r"[.!?;:]+(?=[\x20\x09-\x0D])", STOP)
+    return F.regexp_replace(stopped, r"[^A-Za-z0-9\n\x02]+", " ")
+
+
+def units(kept: Column) -> Column:
+    """The distinct lines, sentences, paragraphs and the whole of a normalised text."""
+    flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[ \n]+", " ")))
 
+    def parts(t: Column) -> Column:
+        plain = F.translate(t, STOP, " ")
+        return let(plain, lambda p: F.array_distinct(F.transform(
+            F.concat(F.split(p, "\n"), F.split(t, STOP), F.split(p, r"\n[ \n]*\n"), F.array(p)), flat)))
 
-def units(kept: Column, text: Column) -> Column:
-    """The distinct lines, paragraphs and the whole of a normalised text, and the sentences of the text itself."""
-    flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[^A-Za-z0-9]+", " ")))
-    sentences = F.split(text, r"[.!?;:]+[\x20\x09-\x0D]+")
-    return let(kept, lambda t: F.array_distinct(F.transform(
-        F.concat(F.split(t, "\n"), sentences, F.split(t, r"\n[ \n]*\n"), F.array(t)), flat)))
+    return let(kept, parts)
 
 
 def bigrams(unit: Column) -> Column:
@@ -272,8 +281,10 @@ def license_report(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLAT
     wanted = F.split(F.lit(" ".join(anchors(templates, least))), " ")
 
     def searched(kept: Column) -> Column:
-        hits = F.filter(F.transform(units(kept, F.coalesce(F.col("text"), F.lit(""))), lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
-        words = F.split(F.lower(F.translate(kept, "\n", " ")), " ")
+        # a unit, too, can match only with an anchor in it; most have none and are not cut into bigrams
+        some = F.filter(units(kept), lambda u: F.arrays_overlap(F.split(u, " "), wanted))
+        hits = F.filter(F.transform(some, lambda u: best_matches(u, templates, least)), lambda m: F.size(m) > 0)
+        words = F.split(F.lower(F.translate(kept, "\n" + STOP, "  ")), " ")
         return F.when(F.arrays_overlap(words, wanted), hits).otherwise(F.array().cast(f"array<{FOUND}>"))
 
     flat = docs.select("doc_id", let(normalised(F.col("text")), searched).alias("hits")).withColumn("found", F.flatten("hits"))
