@@ -204,8 +204,8 @@ def template_bigrams(text: str) -> list[str]:
 
 
 #: Words found in many texts, which make poor anchors.
-COMMON = frozenset("a all and any as at be by for from have if in is it may must not of on or that the this to under use "
-                   "was which with without you".split())
+COMMON = frozenset("a all and any are as at be by for from have if in including is it may must no not of on or other out provided "
+                   "see should so that the this to under use used was way which will with without work you your".split())
 
 
 def anchors(templates: Mapping[str, list[str]], least: float) -> list[str]:
@@ -235,14 +235,17 @@ def normalised(text: Column) -> Column:
 
 def units(kept: Column) -> Column:
     """The distinct lines, sentences, paragraphs and the whole of a normalised text."""
-    flat = lambda u: F.lower(F.btrim(F.regexp_replace(u, r"[ \n]+", " ")))
+    flat = lambda u: F.btrim(F.regexp_replace(u, r"[ \n]+", " "))
 
     def parts(t: Column) -> Column:
-        plain = F.translate(t, STOP, " ")
-        return let(plain, lambda p: F.array_distinct(F.transform(
-            F.concat(F.split(p, "\n"), F.split(t, STOP), F.split(p, r"\n[ \n]*\n"), F.array(p)), flat)))
-
-    return let(kept, parts)
+        # spaces are made single once for all lines and once for all sentences, not in each of them
+        plain = F.regexp_replace(F.translate(t, STOP, " "), " +", " ")
+        sentences = F.split(F.regexp_replace(t, r"[ \n]+", " "), STOP)
+        return let(plain, lambda p: F.array_distinct(F.concat(
+            F.transform(F.concat(F.split(p, "\n"), sentences), lambda u: F.btrim(u)),
+            F.transform(F.concat(F.split(p, r"\n[ \n]*\n"), F.array(p)), flat))))
+
+    return let(F.lower(kept), parts)
 
 
 def bigrams(unit: Column) -> Column:
