@@ -132,6 +132,29 @@ def test_trees_do_not_depend_on_partitions_or_passes(spark, monkeypatch):
     assert shape(one) == shape(many) == shape(lots)
 
 
+def test_a_small_tree_takes_one_job(spark):
+    """A node of few rows is grown to the end by one task, not by a job for each level."""
+    sc = spark.sparkContext
+    jobs = []
+    for trees in (2, 8):
+        sc.setJobGroup(f"boost-{trees}", "test")
+        B.fit(table(spark), FEATURES, "y", "id", 2.0, BoostOptions(trees=trees, depth=4))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"boost-{trees}")))
+    assert jobs[1] - jobs[0] == 6
+
+
+def test_subtrees_equal_passes_by_level(spark, monkeypatch):
+    """Nodes that are grown in one task, by levels, or by levels at first: the same trees to the last bit, also with many tasks."""
+    got = []
+    for cells, task in ((1 << 21, 1 << 18), (0, 100), (600, 300), (300, 1 << 18)):
+        monkeypatch.setattr(B, "SUBTREE_CELLS", cells)
+        monkeypatch.setattr(B, "TASK_CELLS", task)
+        got.append(B.fit(table(spark, n=400, seed=3), FEATURES, "y", "id", 1.5, BoostOptions(trees=5, depth=5, rewrite_every=2)))
+    assert all(list(map(repr, m.rows())) == list(map(repr, got[0].rows())) for m in got[1:])
+    assert max(len(t.feature) for t in got[0].trees) > 15
+
+
 def test_a_wide_table_is_learned(spark):
     df = table(spark, n=3000, seed=4)
     model = B.fit(df, FEATURES, "y", "id", None, BoostOptions(trees=15, depth=4))
