@@ -15,6 +15,11 @@ level. Seen that way a text's score is a sum: each sequence in it adds the log p
 the suffix's, and the log of the backoff of its context. Workers hold two things of bounded size, which spare rows and change no result: a
 Bloom filter of at most ``FILTER_WORDS`` words, and the weights of the most frequent sequences, at most ``NEAR_ROWS``.
 
+The texts are cut into words once: a slice of documents, of about ``SLICE_TOKENS`` tokens, is written as the hashes of
+its distinct words and the place of every token among them, and all passes read that. What a pass sends on is summed by
+slice first and goes in blocks, one per slice and range of the hash space, not in a row per sequence; a range has
+about ``RANGE_ROWS`` sequences or fewer, so their number grows with the corpus.
+
 The shares in ``TreeOptions`` raise the thresholds with the corpus. They are 0 unless given.
 
 Defined results: a null or empty text is the end alone; only A-Z are lower-cased; a null id is split like the empty
@@ -23,6 +28,7 @@ text; rows that repeat an id are documents of their own; without training docume
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -42,6 +48,8 @@ END_LONG = int(np.array([END], np.uint64).view(np.int64)[0])
 RARE, FIRST = 0, 1  # the class of other words; the end of a document
 FILTER_WORDS = 1 << 21
 NEAR_ROWS = 3 << 19
+SLICE_TOKENS = 2_000_000
+RANGE_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -71,29 +79,143 @@ def _tokens(text: str | None, hashes: dict) -> np.ndarray:
     return np.append(out, np.uint64(END))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, n): how often each token occurs in the training documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, waiting, size = _WordHashes(), [], 0
+class _Places(dict):
+    """Word -> its place among the distinct words met; the end of a document has place 0."""
+
+    def __init__(self):
+        super().__init__({b" ": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+@dataclass
+class Slice:
+    """Some documents, one after the other in ``places``, each with its end."""
+
+    first: int            # row number of the first; the others follow
+    ids: list
+    lengths: np.ndarray   # tokens by document
+    places: np.ndarray    # of each token in ``words``
+    words: np.ndarray     # hashes of the distinct words, the end first
+
+    def training(self) -> Slice:
+        kept = np.array([not held_out(i) for i in self.ids], bool)
+        return Slice(self.first, [i for i, k in zip(self.ids, kept) if k], self.lengths[kept],
+                     self.places[np.repeat(kept, self.lengths)], self.words)
+
+    def between_ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places with an end before each document too, and the number of the document at each."""
+        doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths + 1)
+        own = np.append(False, doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, bool)
+        out = np.zeros(len(doc), self.places.dtype)
+        out[own] = self.places
+        return out, doc
 
-        def summed():
-            found, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+SLICES = "first long, ids array<long>, lengths binary, places binary, words binary"
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """The written slices of all documents."""
+    ship_package(docs.sparkSession)
+    names = ["first", "ids", "lengths", "places", "words"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, ids, tokens, size, places = None, [], [], 0, _Places()
+
+        def slice_():
+            words = np.fromiter(map(xxhash.xxh3_64_intdigest, places), np.uint64, len(places))
+            lengths = np.array([len(t) for t in tokens], np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                 *[pa.array([_packed(x)], pa.binary()) for x in (lengths, np.concatenate(tokens), words)]], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if not held_out(doc_id):
-                        waiting.append(_tokens(text, hashes))
-                        size += len(waiting[-1])
-                if size > 8_000_000:  # 64 MB
-                    yield summed()
-                    waiting, size = [], 0
-        if waiting:
-            yield summed()
+                for row, doc_id, text in zip(*(batch.slice(at, 500).column(i).to_pylist() for i in range(3))):
+                    if size >= SLICE_TOKENS:
+                        yield slice_()
+                        first, ids, tokens, size, places = None, [], [], 0, _Places()
+                    ws = (text or "").encode("utf-8").lower().split()
+                    tokens.append(np.fromiter(map(places.__getitem__, [*ws, b" "]), np.uint32, len(ws) + 1))
+                    first = row if first is None else first
+                    ids.append(doc_id)
+                    size += len(ws) + 1
+        if tokens:
+            yield slice_()
+
+    # the row numbers of a partition follow each other
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    return written(keyed.mapInArrow(cut, SLICES), "slices")
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    for batch in batches:
+        first, ids, *packed = (batch.column(n) for n in ("first", "ids", "lengths", "places", "words"))
+        for i in range(batch.num_rows):
+            lengths, places, words = (_unpacked(c[i].as_buffer(), t) for c, t in zip(packed, (np.int64, np.uint32, np.uint64)))
+            yield Slice(first[i].as_py(), ids[i].as_py(), lengths, places, words)
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+def _range_bits(rows: int) -> int:
+    """So many leading bits of a hash name its range that a range has about RANGE_ROWS of the rows."""
+    return min(max(rows // RANGE_ROWS, 0).bit_length(), 15)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: small numbers compress to little."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _unpacked(b: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def _by_range(h: np.ndarray, bits: int, columns: dict[str, np.ndarray]) -> dict[str, list]:
+    """The columns cut into one block per range of the hashes, each block as bytes."""
+    ranges = (h >> np.uint64(1) >> np.uint64(63 - bits)).astype(np.uint16)
+    order = np.argsort(ranges, kind="stable")
+    ranges = ranges[order]
+    starts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])) if len(h) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(h))
+    out = {"range": ranges[starts].tolist()}
+    for name, column in columns.items():
+        column = column[order]
+        out[name] = [_packed(column[s:e]) for s, e in zip(starts, ends)]
+    return out
+
+
+def _joined(blocks: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.concatenate([_unpacked(b, kind) for b in blocks.to_pylist()] or [np.zeros(0, kind)])
+
+
+def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct hash stands first, and the sum of its n."""
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    return order[starts], np.add.reduceat(n[order].astype(np.int64), starts) if len(h) else np.zeros(0, np.int64)
+
+
+def word_counts(slices: DataFrame) -> DataFrame:
+    """(h, n): how often each token occurs in the training documents."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in map(Slice.training, _slices(batches)):
+            n = np.bincount(s.places, minlength=len(s.words))
+            met = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict(_by_range(s.words[met], bits, {"h": s.words[met], "n": n[met].astype(np.uint32)}), schema)
+
+    def add(blocks: pa.Table) -> pa.Table:
+        h, n = _joined(blocks["h"], np.uint64), _joined(blocks["n"], np.uint32)
+        first, sums = _added(h, n)
+        return pa.table({"h": _signed(h[first]), "n": sums})
+
+    schema = pa.schema([("range", pa.int32()), ("h", pa.binary()), ("n", pa.binary())])
+    bits = _range_bits(int(slices.agg(F.coalesce(F.sum(F.length("words")), F.lit(0))).first()[0]) // 8)
+    return slices.mapInArrow(count, "range int, h binary, n binary").groupBy("range").applyInArrow(add, "h long, n long")
 
 
 @dataclass
@@ -161,13 +283,8 @@ def _sequence(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return _mixed(context * np.uint64(0x9E3779B97F4A7C15) + _mixed(suffix))
 
 
-def _sequences(texts: list, hashes: dict, longest: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Of each position of the texts, an end before and after each: the text, and by length the hash of the sequence
-    that starts there and whether it ends inside the text."""
-    parts = [_tokens(t, hashes) for t in texts]
-    ends = np.array([END], np.uint64)
-    symbols = np.concatenate([x for p in parts for x in (ends, p)])
-    doc = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
+def _grams(symbols: np.ndarray, doc: np.ndarray, longest: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """By length, the hash of the sequence that starts at each position and whether it ends inside the document."""
     grams, inside = [symbols], [np.ones(len(symbols), bool)]
     for k in range(1, longest):
         whole = np.zeros(len(symbols), np.uint64)
@@ -177,7 +294,17 @@ def _sequences(texts: list, hashes: dict, longest: int) -> tuple[np.ndarray, lis
         fits[:upto] = doc[:upto] == doc[k:]
         grams.append(whole)
         inside.append(fits)
-    return doc, grams, inside
+    return grams, inside
+
+
+def _sequences(texts: list, hashes: dict, longest: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Of each position of the texts, an end before and after each: the text, and by length the hash of the sequence
+    that starts there and whether it ends inside the text."""
+    parts = [_tokens(t, hashes) for t in texts]
+    ends = np.array([END], np.uint64)
+    symbols = np.concatenate([x for p in parts for x in (ends, p)])
+    doc = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
+    return doc, *_grams(symbols, doc, longest)
 
 
 @dataclass
@@ -206,50 +333,54 @@ class Bloom:
         return self.bits[(h & np.uint64(len(self.bits) - 1)).astype(np.int64)] & mask == mask
 
 
-def _longer_counts(docs: DataFrame, length: int, often: DataFrame, ends: DataFrame, least: float) -> DataFrame:
-    """(h, context, suffix, n) of the sequences of ``length`` + 1 symbols that go on from those in ``often`` (h).
+def _longer_counts(slices: DataFrame, length: int, often: DataFrame, ends: DataFrame, least: float, n_tokens: int) -> DataFrame:
+    """(h, context, suffix, n), written, of the sequences of ``length`` + 1 symbols that go on from those in ``often`` (h).
 
     Sequences whose suffix is not in ``ends`` (h) may be left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((Bloom.of(often), Bloom.of(ends)))
-    names = ["context", "suffix", "n"]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, waiting, size = _WordHashes(), [], 0
+    shared = slices.sparkSession.sparkContext.broadcast((Bloom.of(often), Bloom.of(ends)))
+    bits = _range_bits(n_tokens)
+    schema = pa.schema([("range", pa.int32()), ("context", pa.binary()), ("suffix", pa.binary()), ("n", pa.binary())])
+
+    def pairs(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each distinct pair of words, and how often it occurs."""
+        goes_on, may_end = (f.has(s.words) for f in shared.value)
+        places, doc = s.between_ends()
+        where = np.flatnonzero((doc[:-1] == doc[1:]) & goes_on[places[:-1]] & may_end[places[1:]])
+        pair = np.sort(places[where].astype(np.int64) * len(s.words) + places[where + 1])
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+        context, suffix = np.divmod(pair[starts], len(s.words))
+        return s.words[context], s.words[suffix], np.diff(np.append(starts, len(pair)))
+
+    def longer(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         goes_on, may_end = shared.value
+        places, doc = s.between_ends()
+        gram = _grams(s.words[places], doc, length)[0][-1]
+        where = np.flatnonzero(doc[:max(len(doc) - length, 0)] == doc[length:])
+        where = where[goes_on.has(gram[where])]
+        where = where[may_end.has(gram[where + 1])]
+        context, suffix = gram[where], gram[where + 1]
+        _, first, n = np.unique(_sequence(context, suffix), return_index=True, return_counts=True)
+        return context[first], suffix[first], n
 
-        def summed():
-            context, suffix = (np.concatenate(c) for c in zip(*waiting))
-            _, first, n = np.unique(_sequence(context, suffix), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(_signed(c[first])) for c in (context, suffix)]
-                                              + [pa.array(n.astype(np.int64))], names=names)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in map(Slice.training, _slices(batches)):
+            if len(s.lengths):
+                context, suffix, n = pairs(s) if length == 1 else longer(s)
+                yield pa.RecordBatch.from_pydict(_by_range(_sequence(context, suffix), bits, {
+                    "context": context, "suffix": suffix, "n": n.astype(np.uint32)}), schema)
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if not held_out(d)]
-                if not texts:
-                    continue
-                _, grams, inside = _sequences(texts, hashes, length + 1)
-                where = np.flatnonzero(inside[length])
-                where = where[goes_on.has(grams[length - 1][where])]
-                where = where[may_end.has(grams[length - 1][where + 1])]
-                waiting.append((grams[length - 1][where], grams[length - 1][where + 1]))
-                size += len(where)
-                if size > 6_000_000:  # 96 MB
-                    yield summed()
-                    waiting, size = [], 0
-        if size:
-            yield summed()
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(_sequence(context, suffix))), *batch.columns], names=["h", *names])
+    def add(blocks: pa.Table) -> pa.Table:
+        context, suffix, n = (_joined(blocks[c], t) for c, t in (("context", np.uint64), ("suffix", np.uint64), ("n", np.uint32)))
+        h = _sequence(context, suffix)
+        first, sums = _added(h, n)
+        first, sums = first[sums >= least], sums[sums >= least]
+        return pa.table({**{name: _signed(c[first]) for name, c in (("h", h), ("context", context), ("suffix", suffix))}, "n": sums})
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "context long, suffix long, n long")
-    summed = rows.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return summed.mapInArrow(named, "h long, context long, suffix long, n long")
+    rows = slices.mapInArrow(count, "range int, context binary, suffix binary, n binary")
+    counts = written(rows.groupBy("range").applyInArrow(add, "h long, context long, suffix long, n long"), "next-counts")
+    shared.destroy()
+    return counts
 
 
 def _discard(spark, *done: DataFrame) -> None:
@@ -266,7 +397,7 @@ def _discard(spark, *done: DataFrame) -> None:
 class Model:
     options: TreeOptions
     words: DataFrame   # (h, n) of all training tokens
-    levels: list[tuple[DataFrame, DataFrame, DataFrame]]  # counts; contexts (h, backoff, total); entries (h, context, n, gain)
+    levels: list[tuple[DataFrame, DataFrame, DataFrame]]  # frequent sequences one longer; contexts (h, backoff, total); entries (h, n, p, gain)
     n_tokens: int
     distinct: int
 
@@ -305,14 +436,18 @@ class Model:
         tree = Tree(h[by_hash], (by_hash + FIRST).astype(np.int64), log_root, [])
         spelled = {x: (i + FIRST,) for i, x in enumerate(_signed(h).tolist())}
         state_of, above = {(): 0}, 1
-        for counts, contexts, entries in self.levels:
+        after = {(): h}  # of each context the hashes of it and one more symbol
+        for often, contexts, entries in self.levels:
             held = {r.h: (r.backoff, r.total) for r in contexts.collect()}
             keyed = sorted((spelled[c][0] * above + state_of[spelled[c][1:]], c) for c in held)
             state_of = {spelled[c]: i for i, (_, c) in enumerate(keyed, 1)}
-            for r in counts.collect():
+            after = {spelled[c]: _sequence(np.array([c]).view(np.uint64), after[spelled[c][1:]]) for _, c in keyed}
+            met = {r.h: r.n for r in entries.collect()}
+            kept = sorted((state_of[c] * len(log_root) + FIRST + i, met[x]) for c, longer in after.items()
+                          for i, x in enumerate(_signed(longer).tolist()) if x in met)
+            for r in often.collect():
                 if r.context in spelled and r.suffix in spelled:
                     spelled[r.h] = (*spelled[r.context], spelled[r.suffix][-1])
-            kept = sorted((state_of[spelled[r.context]] * len(log_root) + spelled[r.h][-1], r.n) for r in entries.collect())
             backoff, total = (np.array([0.0] + [held[c][i] for _, c in keyed]) for i in (0, 1))
             keys = np.array([k for k, _ in keyed], np.int64)
             tree.levels.append(Level(keys, above, np.array([k for k, _ in kept], np.int64),
@@ -326,10 +461,14 @@ def _symbols(words: DataFrame, n_tokens: int, o: TreeOptions) -> DataFrame:
 
 
 def _grown(counts: DataFrame, candidates: DataFrame, below: DataFrame, o: TreeOptions) -> tuple[DataFrame, DataFrame]:
-    """The retained contexts among the candidates (h, n), and their entries; ``below`` has the suffixes' (h, p)."""
+    """The retained contexts among the candidates (h, n), and their entries; ``below`` has the suffixes' (h, p).
+
+    The counts are deleted.
+    """
     entries = written(counts.join(candidates.select(F.col("h").alias("context")), "context")
                       .join(below.select(F.col("h").alias("suffix"), F.col("p").alias("lower")), "suffix")
                       .select("h", "context", "n", "lower"), "candidate-entries")
+    _discard(counts.sparkSession, counts)
     sums = written(entries.groupBy("context").agg(F.sum("n").alias("held"), F.count("*").alias("size"), F.sum("lower").alias("lower_share"))
                    .join(candidates.select(F.col("h").alias("context"), F.col("n").alias("of")), "context").select(
         "context", "of", "size", "lower_share", "held", (F.col("of") - F.col("held")).alias("rest"),
@@ -345,15 +484,14 @@ def _grown(counts: DataFrame, candidates: DataFrame, below: DataFrame, o: TreeOp
                        .select(F.col("context").alias("h"), F.col("of").alias("n"), "backoff", "total"), "contexts")
     gain = F.log10("p") - F.log10("lower") - F.log10(F.col("backoff") / F.col("total"))
     kept = written(entries.join(contexts.select(F.col("h").alias("context"), "backoff", "total"), "context")
-                   .withColumn("p", own).select("h", "context", "n", "p", gain.alias("gain")), "kept-entries")
+                   .withColumn("p", own).select("h", "n", "p", gain.alias("gain")), "kept-entries")
     _discard(counts.sparkSession, entries, sums)
     return contexts, kept
 
 
-def train(docs: DataFrame, o: TreeOptions = TreeOptions()) -> tuple[Model, DataFrame]:
-    """The model of the training documents, and the documents."""
-    ship_package(docs.sparkSession)
-    words = written(word_counts(docs), "words")
+def _fit(slices: DataFrame, o: TreeOptions) -> Model:
+    """The model of the training documents among the slices."""
+    words = written(word_counts(slices), "words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     model = Model(o, words, [], int(size["n"]), int(size["v"]))
     symbols = _symbols(words, model.n_tokens, o)
@@ -366,17 +504,23 @@ def train(docs: DataFrame, o: TreeOptions = TreeOptions()) -> tuple[Model, DataF
     for length in range(1, o.depth + 1):
         if candidates.isEmpty():
             break
-        counts = written(_longer_counts(docs, length, often.select("h"), ends, least), "next-counts")
+        counts = _longer_counts(slices, length, often.select("h"), ends, least, model.n_tokens)
+        _discard(slices.sparkSession)
+        often = written(counts.where(F.col("n") >= enough), "often")
         contexts, entries = _grown(counts, candidates, below, o)
         if contexts.isEmpty():
             break
-        model.levels.append((counts, contexts, entries))
+        model.levels.append((often, contexts, entries))
         below = entries
         # every frequent sequence one symbol longer was counted; the tree needs its suffix
-        often = counts.where(F.col("n") >= enough)
         ends = entries.select("h").union(often.select("h"))
         candidates = often.join(contexts.select(F.col("h").alias("suffix")), "suffix").select("h", "n")
-    return model, docs
+    return model
+
+
+def train(docs: DataFrame, o: TreeOptions = TreeOptions()) -> tuple[Model, DataFrame]:
+    """The model of the training documents, and the documents."""
+    return _fit(encoded(docs), o), docs
 
 
 def _near_from(weights: DataFrame) -> float:
@@ -391,61 +535,123 @@ def _near_from(weights: DataFrame) -> float:
     return found
 
 
-def score(model: Model, docs: DataFrame) -> DataFrame:
-    """The unigram and the suffix-tree score (log10) of every document."""
-    weights = model.weights()
+SUMS = ("known", "base", "own")
+
+
+def _summed(h: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct hashes, and the sums of their weights."""
+    held, at = np.unique(h, return_inverse=True)
+    return held, *(np.bincount(at, weights=c, minlength=len(held)) for c in columns)
+
+
+def _scores(model: Model, slices: DataFrame) -> DataFrame:
+    """The unigram and the suffix-tree score (log10) of every document of the slices."""
+    spark, weights = slices.sparkSession, model.weights()
+    _discard(spark)
     near_from = _near_from(weights)
     near = weights.where(F.col("n") >= near_from).drop("n").toArrow()
-    far = weights.where(F.col("n") < near_from).drop("n")
-    held, at = np.unique(near["h"].to_numpy(), return_inverse=True)
-    near = [held, *(np.bincount(at, weights=near[c].to_numpy(), minlength=len(held)) for c in ("known", "base", "own"))]
-    shared = docs.sparkSession.sparkContext.broadcast((*near, Bloom.of(far)))
-    longest, unknown = len(model.levels) + 1, model.unknown
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        held, known, base, own, maybe = shared.value
+    h, known, base, own = (near[c].to_numpy() for c in ("h", *SUMS))
+    near = _summed(h[known > 0], base[known > 0]), _summed(h[known == 0], own[known == 0])
+    longer = [d.select("h") for i, (_, contexts, entries) in enumerate(model.levels) for d in (contexts, entries)[not i:]]
+    longer = functools.reduce(DataFrame.union, longer, model.words.select("h").limit(0))
+    shared = spark.sparkContext.broadcast((near, Bloom.of(longer)))
+    _discard(spark)
+    longest, unknown, bits = len(model.levels) + 1, model.unknown, _range_bits(model.n_tokens)
+    block = pa.schema([("range", pa.int32()), ("first", pa.int64()), *[(c, pa.binary()) for c in ("h", "doc", *SUMS)]])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One block of the sums that the worker knows, and blocks of the other sequences, each with its document."""
+        ((words, bases), (held, weight)), maybe = shared.value
+        for s in _slices(batches):
+            docs = len(s.lengths)
+            doc = np.repeat(np.arange(docs, dtype=np.int32), s.lengths)
+            at, own = _find(words, _signed(s.words)), _find(held, _signed(s.words))
+            value = [(at >= 0).astype(np.float64), np.zeros(len(at)), np.zeros(len(at))]
+            value[1][at >= 0] = bases[at[at >= 0]]
+            value[2][own >= 0] = weight[own[own >= 0]]
+            sums = [np.bincount(doc, weights=v[s.places], minlength=docs) for v in value]
+            miss = np.flatnonzero((at < 0)[s.places])
+            asked = [(s.words[s.places[miss]], doc[miss])]
+            places, doc = s.between_ends()
+            gram, ends = s.words[places], np.ones(len(doc) + 1, bool)
+            for k in range(1, longest):
+                gram = _sequence(gram[:-1], gram[1:])
+                # a sequence in the tree has its suffix there
+                where = np.flatnonzero((doc[:-k] == doc[k:]) & ends[1:len(gram) + 1])
+                where = where[maybe.has(gram[where])]
+                ends = np.zeros(len(gram) + 1, bool)
+                ends[where] = True
+                h = gram[where]
+                order = np.argsort(h)
+                h, of = h[order], doc[where[order]]
+                at = _find(held, _signed(h))
+                sums[2] += np.bincount(of[at >= 0], weights=weight[at[at >= 0]], minlength=docs)
+                asked.append((h[at < 0], of[at < 0]))
+            h, of = (np.concatenate(c) for c in zip(*asked))
+            order = np.argsort(h, kind="stable")
+            h, of = h[order], of[order]
+            # ranges follow each other in order, so that only the first step of a block is large
+            steps = np.diff(h, prepend=np.uint64(0))
+            leading = h >> np.uint64(1) >> np.uint64(63 - bits)
+            new = np.append(True, leading[1:] != leading[:-1])[:len(h)]
+            steps[new] = h[new]
+            blocks = _by_range(h, bits, {"h": steps, "doc": of.astype(np.uint32)})
+            own = zlib.crc32(str(s.first).encode()) % (1 << bits)
+            rows = len(blocks["range"])
+            yield pa.RecordBatch.from_pydict(
+                {"range": [*blocks["range"], own], "first": [s.first] * (rows + 1), "h": [*blocks["h"], None],
+                 "doc": [*blocks["doc"], None], **{c: [None] * rows + [_packed(x)] for c, x in zip(SUMS, sums)}}, block)
+
+    def answer(blocks: pa.Table, far: pa.Table) -> pa.Table:
+        held, *values = _summed(*(far[c].to_numpy() for c in ("h", *SUMS)))
+        out = []
+        for first, h, doc, *known in zip(*(blocks[c].to_pylist() for c in ("first", "h", "doc", *SUMS))):
+            if h is None:
+                sums = [_unpacked(x, np.float64) for x in known]
+                met = np.arange(len(sums[0]))
+            else:
+                found = _find(held, _signed(np.cumsum(_unpacked(h, np.uint64), dtype=np.uint64)))
+                hit = found >= 0
+                at, found = _unpacked(doc, np.uint32)[hit], found[hit]
+                sums = [np.bincount(at, weights=column[found]) for column in values]
+                met = np.flatnonzero(np.bincount(at))
+            out.append((first + met, *(x[met] for x in sums)))
+        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64), *[np.zeros(0)] * 3]
+        return pa.table({c: x for c, x in zip(("row", *SUMS), columns)})
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                row, doc_id, text = (batch.slice(at, 500).column(i).to_pylist() for i in range(3))
-                doc, grams, inside = _sequences(text, hashes, longest)
-                first = np.append(True, doc[1:] != doc[:-1])
-                inside[0] = ~first  # the end before a text is not its own, and the one after it stands for both
-                sums, asked = np.zeros((3, len(row))), []
-                for gram, fits in zip(grams, inside):
-                    where = np.flatnonzero(fits)
-                    h, d = gram[where], doc[where]
-                    found = _find(held, _signed(h))
-                    hit = found >= 0
-                    for i, column in enumerate((known, base, own)):
-                        sums[i] += np.bincount(d[hit], weights=column[found[hit]], minlength=len(row))
-                    miss = np.flatnonzero(~hit)
-                    miss = miss[maybe.has(h[miss])]
-                    asked.append((d[miss], h[miss]))
-                d, h = (np.concatenate(c) for c in zip(*asked))
-                order = np.argsort(d, kind="stable")
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(np.bincount(d, minlength=len(row)))).astype(np.int32)), pa.array(_signed(h[order])))
-                tokens = np.bincount(doc, minlength=len(row)) - 1
+            for first, ids, lengths in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row, pa.int64()), pa.array(doc_id, pa.int64()), pa.array([held_out(x) for x in doc_id], pa.bool_()),
-                     pa.array(tokens.astype(np.int64)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1] + tokens * unknown), pa.array(sums[2]), lists],
-                    names=["row", "doc_id", "held_out", "n_tokens", "near_known", "near_base", "near_own", "asked"])
-
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    scored = written(keyed.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, near_known long, "
-                                           "near_base double, near_own double, asked array<long>"), "scored")
-    asked = scored.select("row", F.explode("asked").alias("h"))
-    more = asked.join(far, "h").groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "own")])
-    base = F.col("near_base") + F.col("base")
-    return scored.drop("asked").join(more, "row", "left").na.fill(0, ["known", "base", "own"]).select(
-        "doc_id", "held_out", "n_tokens", (F.col("near_known") + F.col("known")).cast("long").alias("n_known"),
+                    [pa.array(first + np.arange(len(ids))), pa.array(ids, pa.int64()), pa.array([held_out(i) for i in ids], pa.bool_()),
+                     pa.array(_unpacked(lengths, np.int64))], names=["row", "doc_id", "held_out", "n_tokens"])
+
+    asked = slices.mapInArrow(ask, "range int, first long, h binary, doc binary, known binary, base binary, own binary")
+    # the leading bits of the hash, as in _by_range
+    leading = F.shiftrightunsigned(F.shiftrightunsigned("h", 1), 63 - bits).cast("int")
+    far = weights.where(F.col("n") < near_from).select(leading.alias("range"), "h", *SUMS)
+    sums = (asked.groupBy("range").cogroup(far.groupBy("range"))
+            .applyInArrow(answer, "row long, known double, base double, own double")
+            .groupBy("row").agg(*[F.sum(c).alias(c) for c in SUMS]))
+    docs = slices.select("first", "ids", "lengths").mapInArrow(listed, "row long, doc_id long, held_out boolean, n_tokens long")
+    base = F.col("base") + F.col("n_tokens") * F.lit(unknown)
+    out = written(docs.join(sums, "row").select(
+        "doc_id", "held_out", "n_tokens", F.round("known").cast("long").alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("near_own") + F.col("own")).alias("score"))
+        (base + F.col("own")).alias("score")), "scored")
+    shared.destroy()
+    return out
+
+
+def score(model: Model, docs: DataFrame) -> DataFrame:
+    """The unigram and the suffix-tree score (log10) of every document."""
+    return _scores(model, encoded(docs))
 
 
 def lm_report(docs: DataFrame, o: TreeOptions = TreeOptions()) -> DataFrame:
     """Scores of all documents by the tree of those that are not held out."""
-    model, docs = train(docs, o)
-    return score(model, docs)
+    slices = encoded(docs)
+    model = _fit(slices, o)
+    out = _scores(model, slices)
+    _discard(docs.sparkSession, slices, model.words, *[d for level in model.levels for d in level])
+    return out

@@ -2,12 +2,14 @@
 
 import dataclasses
 import math
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
 
+from attrition.llm import common
 from attrition.llm import lm_scoring as lm
 from tests.llm import brute
 
@@ -154,3 +156,29 @@ def test_a_context_needs_its_suffix_only(spark):
     one, two = context_hashes(model, 1), context_hashes(model, 2)
     assert hash_of("s") in one and hash_of("w") not in one  # what follows w is as after any word, but for w s
     assert hash_of("w s") in two
+
+
+def test_scores_do_not_depend_on_slices_and_ranges(spark, scored, monkeypatch):
+    rows, got = scored
+    monkeypatch.setattr(lm, "SLICE_TOKENS", 200)
+    monkeypatch.setattr(lm, "RANGE_ROWS", 300)
+    monkeypatch.setattr(lm, "NEAR_ROWS", 50)  # some weights with the workers, some not
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert lm.encoded(docs).count() > 10
+    for r in lm.lm_report(docs, OPTIONS).collect():
+        assert r.n_known == got[r.doc_id].n_known
+        assert (r.base_score, r.score) == pytest.approx((got[r.doc_id].base_score, got[r.doc_id].score), rel=1e-9)
+
+
+def test_a_report_leaves_no_other_table_on_disk(spark, monkeypatch):
+    paths = []
+
+    def written(df, name):
+        out = common.written(df, name)
+        paths.extend({os.path.dirname(f.removeprefix("file:").replace("//", "")) for f in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(lm, "written", written)
+    out = lm.lm_report(spark.createDataFrame(prose(4), "doc_id long, text string"), OPTIONS)
+    assert [os.path.basename(p).split("-")[0] for p in paths if os.path.exists(p)] == ["scored"]
+    assert out.count() == len(prose(4))
