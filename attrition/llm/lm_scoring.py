@@ -509,6 +509,7 @@ def _fit(slices: DataFrame, o: TreeOptions) -> Model:
         often = written(counts.where(F.col("n") >= enough), "often")
         contexts, entries = _grown(counts, candidates, below, o)
         if contexts.isEmpty():
+            _discard(slices.sparkSession, often, contexts, entries)
             break
         model.levels.append((often, contexts, entries))
         below = entries
