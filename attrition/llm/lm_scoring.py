@@ -18,7 +18,9 @@ Bloom filter of at most ``FILTER_WORDS`` words, and the weights of the most freq
 The texts are cut into words once: a slice of documents, of about ``SLICE_TOKENS`` tokens, is written as the hashes of
 its distinct words and the place of every token among them, and all passes read that. What a pass sends on is summed by
 slice first and goes in blocks, one per slice and range of the hash space, not in a row per sequence; a range has
-about ``RANGE_ROWS`` sequences or fewer, so their number grows with the corpus.
+about ``RANGE_ROWS`` sequences or fewer, so their number grows with the corpus. A worker looks sequences up ``PIECE``
+positions at a time and sorts what it sends one part of the hash space after the other, so that beside a slice it holds
+little more than the requests themselves.
 
 The shares in ``TreeOptions`` raise the thresholds with the corpus. They are 0 unless given.
 
@@ -50,6 +52,8 @@ FILTER_WORDS = 1 << 21
 NEAR_ROWS = 3 << 19
 SLICE_TOKENS = 2_000_000
 RANGE_ROWS = 2_000_000
+PIECE = 1 << 17
+PART_BITS = 4
 
 
 @dataclass(frozen=True)
@@ -189,7 +193,14 @@ def _by_range(h: np.ndarray, bits: int, columns: dict[str, np.ndarray]) -> dict[
 
 
 def _joined(blocks: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.concatenate([_unpacked(b, kind) for b in blocks.to_pylist()] or [np.zeros(0, kind)])
+    packed, size, at = [b.as_buffer() for b in blocks], np.dtype(kind).itemsize, 0
+    out = np.empty(sum(b.size for b in packed) // size, kind)
+    each = out.view(np.uint8).reshape(-1, size)
+    for b in packed:
+        own = np.frombuffer(b, np.uint8).reshape(size, -1).T
+        each[at:at + len(own)] = own
+        at += len(own)
+    return out
 
 
 def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,6 +294,18 @@ def _sequence(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return _mixed(context * np.uint64(0x9E3779B97F4A7C15) + _mixed(suffix))
 
 
+def _pieces(n: int) -> Iterator[slice]:
+    return (slice(at, min(at + PIECE, n)) for at in range(0, n, PIECE))
+
+
+def _lengthened(grams: np.ndarray) -> np.ndarray:
+    """The hashes of the sequences one symbol longer, in the place of those given."""
+    out = grams[:-1]
+    for p in _pieces(len(out)):
+        out[p] = _sequence(grams[p], grams[p.start + 1:p.stop + 1])  # the next piece's are not yet overwritten
+    return out
+
+
 def _grams(symbols: np.ndarray, doc: np.ndarray, longest: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """By length, the hash of the sequence that starts at each position and whether it ends inside the document."""
     grams, inside = [symbols], [np.ones(len(symbols), bool)]
@@ -327,10 +350,13 @@ class Bloom:
 
     def has(self, h: np.ndarray) -> np.ndarray:
         one, low = np.uint64(1), np.uint64(63)
-        mask = np.zeros(len(h), np.uint64)
-        for at in (40, 46, 52):
-            mask |= one << ((h >> np.uint64(at)) & low)
-        return self.bits[(h & np.uint64(len(self.bits) - 1)).astype(np.int64)] & mask == mask
+        out = np.empty(len(h), bool)
+        for p in _pieces(len(h)):
+            own, mask = h[p], np.zeros(p.stop - p.start, np.uint64)
+            for at in (40, 46, 52):
+                mask |= one << ((own >> np.uint64(at)) & low)
+            out[p] = self.bits[(own & np.uint64(len(self.bits) - 1)).astype(np.int64)] & mask == mask
+        return out
 
 
 def _longer_counts(slices: DataFrame, length: int, often: DataFrame, ends: DataFrame, least: float, n_tokens: int) -> DataFrame:
@@ -355,11 +381,14 @@ def _longer_counts(slices: DataFrame, length: int, often: DataFrame, ends: DataF
     def longer(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         goes_on, may_end = shared.value
         places, doc = s.between_ends()
-        gram = _grams(s.words[places], doc, length)[0][-1]
+        gram = s.words[places]
+        for _ in range(1, length):
+            gram = _lengthened(gram)
         where = np.flatnonzero(doc[:max(len(doc) - length, 0)] == doc[length:])
         where = where[goes_on.has(gram[where])]
         where = where[may_end.has(gram[where + 1])]
         context, suffix = gram[where], gram[where + 1]
+        del places, doc, gram, where
         _, first, n = np.unique(_sequence(context, suffix), return_index=True, return_counts=True)
         return context[first], suffix[first], n
 
@@ -545,6 +574,56 @@ def _summed(h: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return held, *(np.bincount(at, weights=c, minlength=len(held)) for c in columns)
 
 
+def _looked_up(s: Slice, near: tuple, maybe: Bloom, longest: int) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+    """By document the sums of the weights in ``near``; piece by piece the hashes of the other sequences, sorted, and their documents."""
+    (words, bases), (held, weight) = near
+    docs = len(s.lengths)
+    doc = np.repeat(np.arange(docs, dtype=np.int32), s.lengths)
+    at, own = _find(words, _signed(s.words)), _find(held, _signed(s.words))
+    value = [(at >= 0).astype(np.float64), np.zeros(len(at)), np.zeros(len(at))]
+    value[1][at >= 0] = bases[at[at >= 0]]
+    value[2][own >= 0] = weight[own[own >= 0]]
+    sums, asked = [np.bincount(doc, weights=v[s.places], minlength=docs) for v in value], []
+    for p in _pieces(len(doc)):
+        miss = np.flatnonzero((at < 0)[s.places[p]])
+        h = s.words[s.places[p][miss]]
+        order = np.argsort(h, kind="stable")
+        asked.append((h[order], doc[p][miss[order]]))
+    places, doc = s.between_ends()
+    gram, ends = s.words[places], np.ones(len(doc) + 1, bool)
+    del places
+    for k in range(1, longest):
+        gram, before, ends = _lengthened(gram), ends, np.zeros(len(gram), bool)
+        for p in _pieces(max(len(doc) - k, 0)):
+            # a sequence in the tree has its suffix there
+            where = p.start + np.flatnonzero((doc[p] == doc[p.start + k:p.stop + k]) & before[p.start + 1:p.stop + 1])
+            where = where[maybe.has(gram[where])]
+            ends[where] = True
+            h = gram[where]
+            order = np.argsort(h, kind="stable")
+            h, of = h[order], doc[where[order]]
+            at = _find(held, _signed(h))
+            sums[2] += np.bincount(of[at >= 0], weights=weight[at[at >= 0]], minlength=docs)
+            asked.append((h[at < 0], of[at < 0]))
+    return sums, asked
+
+
+def _asked_blocks(asked: list[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[dict[str, list]]:
+    """Blocks of the hashes and their documents, one part of the hash space after the other."""
+    starts = np.arange(1 << PART_BITS, dtype=np.uint64) << np.uint64(64 - PART_BITS)
+    cuts = [np.append(np.searchsorted(h, starts), len(h)) for h, _ in asked]
+    for part in range(1 << PART_BITS):
+        h, of = (np.concatenate([x[i][c[part]:c[part + 1]] for x, c in zip(asked, cuts)]) for i in (0, 1))
+        order = np.argsort(h, kind="stable")
+        h, of = h[order], of[order]
+        # ranges follow each other in order, so that only the first step of a block is large
+        steps = np.diff(h, prepend=np.uint64(0))
+        leading = h >> np.uint64(1) >> np.uint64(63 - bits)
+        new = np.append(True, leading[1:] != leading[:-1])[:len(h)]
+        steps[new] = h[new]
+        yield _by_range(h, bits, {"h": steps, "doc": of.astype(np.uint32)})
+
+
 def _scores(model: Model, slices: DataFrame) -> DataFrame:
     """The unigram and the suffix-tree score (log10) of every document of the slices."""
     spark, weights = slices.sparkSession, model.weights()
@@ -562,51 +641,21 @@ def _scores(model: Model, slices: DataFrame) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One block of the sums that the worker knows, and blocks of the other sequences, each with its document."""
-        ((words, bases), (held, weight)), maybe = shared.value
+        near, maybe = shared.value
         for s in _slices(batches):
-            docs = len(s.lengths)
-            doc = np.repeat(np.arange(docs, dtype=np.int32), s.lengths)
-            at, own = _find(words, _signed(s.words)), _find(held, _signed(s.words))
-            value = [(at >= 0).astype(np.float64), np.zeros(len(at)), np.zeros(len(at))]
-            value[1][at >= 0] = bases[at[at >= 0]]
-            value[2][own >= 0] = weight[own[own >= 0]]
-            sums = [np.bincount(doc, weights=v[s.places], minlength=docs) for v in value]
-            miss = np.flatnonzero((at < 0)[s.places])
-            asked = [(s.words[s.places[miss]], doc[miss])]
-            places, doc = s.between_ends()
-            gram, ends = s.words[places], np.ones(len(doc) + 1, bool)
-            for k in range(1, longest):
-                gram = _sequence(gram[:-1], gram[1:])
-                # a sequence in the tree has its suffix there
-                where = np.flatnonzero((doc[:-k] == doc[k:]) & ends[1:len(gram) + 1])
-                where = where[maybe.has(gram[where])]
-                ends = np.zeros(len(gram) + 1, bool)
-                ends[where] = True
-                h = gram[where]
-                order = np.argsort(h)
-                h, of = h[order], doc[where[order]]
-                at = _find(held, _signed(h))
-                sums[2] += np.bincount(of[at >= 0], weights=weight[at[at >= 0]], minlength=docs)
-                asked.append((h[at < 0], of[at < 0]))
-            h, of = (np.concatenate(c) for c in zip(*asked))
-            order = np.argsort(h, kind="stable")
-            h, of = h[order], of[order]
-            # ranges follow each other in order, so that only the first step of a block is large
-            steps = np.diff(h, prepend=np.uint64(0))
-            leading = h >> np.uint64(1) >> np.uint64(63 - bits)
-            new = np.append(True, leading[1:] != leading[:-1])[:len(h)]
-            steps[new] = h[new]
-            blocks = _by_range(h, bits, {"h": steps, "doc": of.astype(np.uint32)})
+            sums, asked = _looked_up(s, near, maybe, longest)
+            for blocks in _asked_blocks(asked, bits):
+                rows = len(blocks["range"])
+                yield pa.RecordBatch.from_pydict(blocks | {"first": [s.first] * rows, **{c: [None] * rows for c in SUMS}}, block)
             own = zlib.crc32(str(s.first).encode()) % (1 << bits)
-            rows = len(blocks["range"])
-            yield pa.RecordBatch.from_pydict(
-                {"range": [*blocks["range"], own], "first": [s.first] * (rows + 1), "h": [*blocks["h"], None],
-                 "doc": [*blocks["doc"], None], **{c: [None] * rows + [_packed(x)] for c, x in zip(SUMS, sums)}}, block)
+            yield pa.RecordBatch.from_pydict({"range": [own], "first": [s.first], "h": [None], "doc": [None],
+                                              **{c: [_packed(x)] for c, x in zip(SUMS, sums)}}, block)
 
     def answer(blocks: pa.Table, far: pa.Table) -> pa.Table:
         held, *values = _summed(*(far[c].to_numpy() for c in ("h", *SUMS)))
         out = []
-        for first, h, doc, *known in zip(*(blocks[c].to_pylist() for c in ("first", "h", "doc", *SUMS))):
+        for first, *packed in zip(*(blocks[c] for c in ("first", "h", "doc", *SUMS))):
+            first, (h, doc, *known) = first.as_py(), (x.as_buffer() for x in packed)
             if h is None:
                 sums = [_unpacked(x, np.float64) for x in known]
                 met = np.arange(len(sums[0]))

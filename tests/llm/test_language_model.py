@@ -4,6 +4,7 @@ import dataclasses
 import math
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -182,3 +183,40 @@ def test_a_report_leaves_no_other_table_on_disk(spark, monkeypatch):
     out = lm.lm_report(spark.createDataFrame(prose(4), "doc_id long, text string"), OPTIONS)
     assert [os.path.basename(p).split("-")[0] for p in paths if os.path.exists(p)] == ["scored"]
     assert out.count() == len(prose(4))
+
+
+@pytest.mark.parametrize("bits", [0, 3, 7])
+def test_a_slice_is_asked_in_little_more_memory_than_its_requests(bits):
+    rng, docs, longest = np.random.default_rng(4), 700, 4
+    words = np.append(np.uint64(lm.END), rng.integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    lengths = rng.integers(1, 1500, docs)
+    places = rng.integers(1, len(words), lengths.sum()).astype(np.uint32)
+    places[np.cumsum(lengths) - 1] = 0
+    s = lm.Slice(0, list(range(docs)), lengths, places, words)
+    some = np.sort(words[:100].view(np.int64))
+    near = (some, np.ones(100)), (some[:0], np.zeros(0))
+    maybe = lm.Bloom(np.full(64, ~np.uint64(0)))  # lets all through
+
+    tracemalloc.start()
+    sums, asked = lm._looked_up(s, near, maybe, longest)
+    for _ in lm._asked_blocks(asked, bits):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * len(places)  # a request is 12 bytes; there are nearly 4 for each token
+
+    symbols, doc = s.between_ends()
+    grams, inside = lm._grams(words[symbols], doc, longest)
+    known = np.isin(words[places].view(np.int64), some)
+    want = [(words[places][~known], np.repeat(np.arange(docs), lengths)[~known]), *[(g[i], doc[i]) for g, i in zip(grams[1:], inside[1:])]]
+    h, of = (np.concatenate(c) for c in zip(*want))
+    got = [[], []]
+    for blocks in lm._asked_blocks(asked, bits):
+        for r, steps, at in zip(blocks["range"], blocks["h"], blocks["doc"]):
+            own = np.cumsum(lm._unpacked(steps, np.uint64), dtype=np.uint64)
+            assert set((own >> np.uint64(1) >> np.uint64(63 - bits)).tolist()) == {r}
+            got[0].append(own)
+            got[1].append(lm._unpacked(at, np.uint32))
+    got = [np.concatenate(c) for c in got]
+    assert all((a[np.lexsort((got[1], got[0]))] == b[np.lexsort((of, h))]).all() for a, b in zip(got, (h, of)))
+    assert sums[0].tolist() == np.bincount(np.repeat(np.arange(docs), lengths)[known], minlength=docs).tolist()
