@@ -624,6 +624,42 @@ def _asked_blocks(asked: list[tuple[np.ndarray, np.ndarray]], bits: int) -> Iter
         yield _by_range(h, bits, {"h": steps, "doc": of.astype(np.uint32)})
 
 
+ANSWERS = "first long, doc binary, known binary, base binary, own binary"
+
+
+def _answered(blocks: pa.Table, far: pa.Table) -> pa.Table:
+    """Of one range, for each block with anything known its documents and their sums, as one row."""
+    held, *values = _summed(*(far[c].to_numpy() for c in ("h", *SUMS)))
+    out = {c: [] for c in ("first", "doc", *SUMS)}
+    for first, *packed in zip(*(blocks[c] for c in ("first", "h", "doc", *SUMS))):
+        h, doc, *known = (x.as_buffer() for x in packed)
+        if h is None:
+            sums = [_unpacked(x, np.float64) for x in known]
+            met = np.arange(len(sums[0]), dtype=np.uint32)
+        else:
+            found = _find(held, _signed(np.cumsum(_unpacked(h, np.uint64), dtype=np.uint64)))
+            hit = found >= 0
+            at, found = _unpacked(doc, np.uint32)[hit], found[hit]
+            met = np.flatnonzero(np.bincount(at)).astype(np.uint32)
+            sums = [np.bincount(at, weights=column[found])[met] for column in values]
+        if len(met):
+            for c, x in zip(out, (first.as_py(), _packed(met), *map(_packed, sums))):
+                out[c].append(x)
+    return pa.table(out, pa.schema([("first", pa.int64()), *[(c, pa.binary()) for c in ("doc", *SUMS)]]))
+
+
+def _added_up(answers: pa.Table) -> pa.Table:
+    """The sums of each document of one slice."""
+    sums, size = np.zeros((len(SUMS), 0)), 0
+    for doc, *known in zip(*(answers[c] for c in ("doc", *SUMS))):
+        met = _unpacked(doc.as_buffer(), np.uint32)
+        if met[-1] >= size:
+            sums, size = np.pad(sums, ((0, 0), (0, int(met[-1]) + 1 - size))), int(met[-1]) + 1
+        for own, x in zip(sums, known):
+            own[met] += _unpacked(x.as_buffer(), np.float64)
+    return pa.table({"row": answers["first"][0].as_py() + np.arange(size), **dict(zip(SUMS, sums))})
+
+
 def _scores(model: Model, slices: DataFrame) -> DataFrame:
     """The unigram and the suffix-tree score (log10) of every document of the slices."""
     spark, weights = slices.sparkSession, model.weights()
@@ -651,24 +687,6 @@ def _scores(model: Model, slices: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"range": [own], "first": [s.first], "h": [None], "doc": [None],
                                               **{c: [_packed(x)] for c, x in zip(SUMS, sums)}}, block)
 
-    def answer(blocks: pa.Table, far: pa.Table) -> pa.Table:
-        held, *values = _summed(*(far[c].to_numpy() for c in ("h", *SUMS)))
-        out = []
-        for first, *packed in zip(*(blocks[c] for c in ("first", "h", "doc", *SUMS))):
-            first, (h, doc, *known) = first.as_py(), (x.as_buffer() for x in packed)
-            if h is None:
-                sums = [_unpacked(x, np.float64) for x in known]
-                met = np.arange(len(sums[0]))
-            else:
-                found = _find(held, _signed(np.cumsum(_unpacked(h, np.uint64), dtype=np.uint64)))
-                hit = found >= 0
-                at, found = _unpacked(doc, np.uint32)[hit], found[hit]
-                sums = [np.bincount(at, weights=column[found]) for column in values]
-                met = np.flatnonzero(np.bincount(at))
-            out.append((first + met, *(x[met] for x in sums)))
-        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64), *[np.zeros(0)] * 3]
-        return pa.table({c: x for c, x in zip(("row", *SUMS), columns)})
-
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, ids, lengths in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -681,8 +699,8 @@ def _scores(model: Model, slices: DataFrame) -> DataFrame:
     leading = F.shiftrightunsigned(F.shiftrightunsigned("h", 1), 63 - bits).cast("int")
     far = weights.where(F.col("n") < near_from).select(leading.alias("range"), "h", *SUMS)
     sums = (asked.groupBy("range").cogroup(far.groupBy("range"))
-            .applyInArrow(answer, "row long, known double, base double, own double")
-            .groupBy("row").agg(*[F.sum(c).alias(c) for c in SUMS]))
+            .applyInArrow(_answered, ANSWERS)
+            .groupBy("first").applyInArrow(_added_up, "row long, known double, base double, own double"))
     docs = slices.select("first", "ids", "lengths").mapInArrow(listed, "row long, doc_id long, held_out boolean, n_tokens long")
     base = F.col("base") + F.col("n_tokens") * F.lit(unknown)
     out = written(docs.join(sums, "row").select(

@@ -8,6 +8,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from attrition.llm import common
@@ -220,3 +221,23 @@ def test_a_slice_is_asked_in_little_more_memory_than_its_requests(bits):
     got = [np.concatenate(c) for c in got]
     assert all((a[np.lexsort((got[1], got[0]))] == b[np.lexsort((of, h))]).all() for a, b in zip(got, (h, of)))
     assert sums[0].tolist() == np.bincount(np.repeat(np.arange(docs), lengths)[known], minlength=docs).tolist()
+
+
+def test_a_range_answers_a_row_for_each_block_and_not_for_each_document():
+    far = pa.table({"h": [5, 9, 9, 40], "known": [1.0, 0.0, 0.0, 1.0], "base": [2.0, 0.0, 0.0, 3.0], "own": [0.0, 0.25, 0.5, 0.0]})
+
+    def asked(first, pairs):
+        h, doc = (np.array(x, np.uint64) for x in zip(*sorted(pairs)))
+        return {"first": first, "h": lm._packed(np.diff(h, prepend=np.uint64(0))), "doc": lm._packed(doc.astype(np.uint32)), **dict.fromkeys(lm.SUMS)}
+
+    own = [lm._packed(np.array(x, np.float64)) for x in ([4] * 500, [-1] * 500, [0] * 500)]
+    rows = [asked(1000, [(9, d) for d in range(500)] + [(5, 3), (5, 3), (40, 499), (41, 7)]), asked(7000, [(6, 0), (8, 1)]),
+            {"first": 1000, "h": None, "doc": None, **dict(zip(lm.SUMS, own))}, asked(1000, [(40, 3)])]
+    types = pa.schema([("first", pa.int64()), *[(c, pa.binary()) for c in ("h", "doc", *lm.SUMS)]])
+    got = lm._answered(pa.Table.from_pylist(rows, types), far)
+    assert got["first"].to_pylist() == [1000, 1000, 1000]  # nothing is known of the other slice's
+    sums = lm._added_up(got).to_pylist()
+    assert [r["row"] for r in sums] == list(range(1000, 1500))
+    assert sums[3] == {"row": 1003, "known": 7.0, "base": 6.0, "own": 0.75}
+    assert sums[499] == {"row": 1499, "known": 5.0, "base": 2.0, "own": 0.75}
+    assert sums[0] == {"row": 1000, "known": 4.0, "base": -1.0, "own": 0.75}
