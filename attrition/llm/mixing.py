@@ -8,7 +8,8 @@ source, numbered through all shards, map to its blocks by a pseudorandom permuta
 one for each round through the stream, and slots and blocks are joined by index. A source has at most ``ceiling``
 rounds, so no block, and no document, is taken more often.
 
-Only the totals per source come to the driver: one number for each entry of the mixture's weight table.
+Only the totals per source come to the driver, as arrays: one number for each entry of the mixture's weight table. No
+table that grows with the documents is broadcast.
 
 Defined results: a null text has no words and is never taken; a null source is a source of its own, last in order;
 rows that repeat a document are documents of their own; without any words all targets are 0. Extra columns pass
@@ -21,10 +22,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.common import WORD, ranked, ship_package, words, written
+from attrition.llm.common import WORD, lookup, ranked, ship_package, shuffled, tasks_for, words, written
 
 WEIGHTS = (5, 2, 1)
 CEILING = 3
@@ -34,21 +36,20 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], ceiling: float = CEILING) -> list[float]:
+def targets(sizes: Sequence[int], weights: Sequence[float], ceiling: float = CEILING) -> np.ndarray:
     """Share the total size by weight; what exceeds ``ceiling`` times a size is reshared among the others."""
-    total, open_ = float(sum(sizes)), list(range(len(sizes)))
-    out, capped = [0.0] * len(sizes), 0.0
-    while open_:
-        unit = (total - capped) / sum(weights[i] for i in open_)
-        over = [i for i in open_ if unit * weights[i] > ceiling * sizes[i]]
-        if not over:
-            for i in open_:
-                out[i] = unit * weights[i]
+    sizes, weights = np.asarray(sizes, np.int64), np.asarray(weights)
+    total, open_ = float(sizes.sum()), np.ones(len(sizes), bool)
+    out, capped = np.zeros(len(sizes)), 0.0
+    while open_.any():
+        unit = (total - capped) / sum(weights[open_].tolist())
+        over = open_ & (unit * weights > ceiling * sizes)
+        if not over.any():
+            out[open_] = unit * weights[open_]
             break
-        for i in over:
-            out[i] = float(ceiling * sizes[i])
-            capped += out[i]
-        open_ = [i for i in open_ if i not in set(over)]
+        out[over] = ceiling * sizes[over]
+        capped = float(np.add.accumulate(np.append(capped, out[over]))[-1])
+        open_ &= ~over
     return out
 
 
@@ -100,17 +101,19 @@ class Mix:
         """``docs`` has doc_id, source, size (words) and, where rows can repeat an id, columns to order them by."""
         spark = docs.sparkSession
         ship_package(spark)
-        totals = docs.groupBy("source").agg(F.sum("size").alias("size")).orderBy(F.col("source").asc_nulls_last()).collect()
-        sizes = [int(r["size"]) for r in totals]
-        wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], ceiling)
-        blocks = [-(-s // block) for s in sizes]
-        expected = np.array([t * b / s if s else 0.0 for t, b, s in zip(wanted, blocks, sizes)])
+        totals = (docs.groupBy("source").agg(F.sum("size").alias("source_size"))
+                  .orderBy(F.col("source").asc_nulls_last()).toArrow())
+        sizes = totals["source_size"].to_numpy().astype(np.int64)
+        wanted = targets(sizes, np.resize(weights, len(sizes)), ceiling)
+        blocks = -(-sizes // block)
+        expected = np.divide(wanted * blocks, sizes, out=np.zeros(len(sizes)), where=sizes > 0)
         self.sources = written(spark.createDataFrame(
-            [(i, r["source"], s, t, b) for i, (r, s, t, b) in enumerate(zip(totals, sizes, wanted, blocks))],
+            pa.table({"number": np.arange(len(sizes)), "source": totals["source"], "source_size": sizes,
+                      "target": wanted, "blocks": blocks}),
             "number long, source string, source_size long, target double, blocks long"), "sources")
         order = [c for c in docs.columns if c != "source"]
         self.rows = ranked(docs, ["source"], order, value="size", name="mix").withColumnRenamed("rank", "place")
-        self.rows = written(self.rows.join(self.sources, self.rows["source"].eqNullSafe(self.sources["source"]))
+        self.rows = written(self.rows.join(lookup(self.sources, len(sizes)), self.rows["source"].eqNullSafe(self.sources["source"]))
                             .drop(self.sources["source"]), "mix-rows")
         first, last = F.col("before"), F.col("before") + F.col("size")
         cut = (self.rows.where("size > 0").select(
@@ -120,14 +123,16 @@ class Mix:
         self.blocks = cut.select(
             "number", "place", "index", (F.greatest(F.col("index") * block, "first") - F.col("first")).alias("word"),
             (F.least((F.col("index") + 1) * block, "last") - F.greatest(F.col("index") * block, "first")).alias("words"))
-        self.slots = self._slots(_draws(spark, expected, seed, slots_per_shard), ceiling, seed)
+        self.slots = self._slots(_draws(spark, expected, seed, slots_per_shard), expected, ceiling, seed)
 
-    def _slots(self, draws: DataFrame, ceiling: int, seed: int) -> DataFrame:
+    def _slots(self, draws: DataFrame, expected: np.ndarray, ceiling: int, seed: int) -> DataFrame:
         """(shard, number, slot, index): every slot of the mix and the block that it takes."""
         earlier = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
         runs = (written(draws, "draws").withColumn("from", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-                .join(self.sources.select("number", "blocks"), "number")
+                .join(lookup(self.sources.select("number", "blocks"), len(expected)), "number")
                 .withColumn("to", F.least(F.col("from") + F.col("n"), F.col("blocks") * ceiling)).where("to > from"))
+        # a few rows stand for all slots: dealt out by how many these are, not by the rows' bytes
+        runs = runs.repartition(tasks_for(self.sources.sparkSession, int(round(float(expected.sum()))), 200_000), "shard")
         slots = runs.select("shard", "number", "blocks", F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("slot"))
 
         @F.pandas_udf("long")
@@ -144,7 +149,7 @@ class Mix:
     def taken_parts(self) -> DataFrame:
         """``blocks`` with ``times``, how often the mix takes each; blocks never taken are left out."""
         times = self.slots.groupBy("number", "index").agg(F.count("*").alias("times"))
-        return self.blocks.join(times, ["number", "index"])
+        return shuffled(self.blocks).join(times, ["number", "index"])
 
 
 def _sized(docs: DataFrame, *more: Column) -> DataFrame:
@@ -170,13 +175,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     mix = Mix(sized, **options)
     # a document has one entry per block, as many as its own length needs
     parts = mix.taken_parts().groupBy("number", "place").agg(F.sort_array(F.collect_list(F.struct("word", "words", "times"))).alias("parts"))
-    plan = mix.rows.select("id", "size", "number", "place").join(parts, ["number", "place"]).select("id", "size", "parts")
+    plan = shuffled(mix.rows.select("id", "size", "number", "place")).join(parts, ["number", "place"]).select("id", "size", "parts")
     turns = F.sequence(F.lit(1), F.array_max(F.transform("parts", lambda x: x["times"].cast("int"))))
     plan = plan.withColumn("turn", F.explode(turns))
     plan = plan.withColumn("parts", F.filter("parts", lambda x: x["times"] >= F.col("turn")))
     whole = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + x["words"]) == F.col("size")
     plan = written(plan.select("id", F.when(~whole, F.col("parts")).alias("parts")), "mix-plan")
-    rows = plan.join(stored, "id")
+    rows = shuffled(plan).join(stored, "id")
     text = F.col("row.text")
     some = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(
         F.col("ws"), (x["word"] + 1).cast("int"), x["words"].cast("int")))), " ")

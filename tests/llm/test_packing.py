@@ -1,5 +1,6 @@
 """Token ids, packing and mixing."""
 
+import re
 import zlib
 from collections import defaultdict
 
@@ -164,6 +165,13 @@ def test_targets(pairs):
     assert sum(got) == pytest.approx(sum(sizes))
 
 
+def test_targets_of_many_sources():
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 1000, 2000)
+    got, wanted = mixing.targets(sizes, np.resize((5, 2, 1), 2000)), brute.targets(sizes.tolist(), [(5, 2, 1)[i % 3] for i in range(2000)], 3)
+    assert got == pytest.approx(wanted, rel=1e-6, abs=1e-3)
+
+
 @given(st.integers(1, 5000), st.integers(0, 2 ** 63))
 @settings(max_examples=60, deadline=None)
 def test_permutation(n, key):
@@ -208,6 +216,48 @@ def test_slots_cover_blocks_evenly(docs):
         assert r.b - (r.a if r.n == r.blocks else 0) <= 1 and r.b <= 3
 
 
+def seen_plans(monkeypatch):
+    """The plans of what mixing writes, from now on."""
+    plans, write = [], mixing.written
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "written", written)
+    return plans
+
+
+def broadcast_keys(plans):
+    return [m for p in plans for m in re.findall(r"Broadcast\w*Join \[(.*?)\], \[", p)]
+
+
+@pytest.mark.parametrize("made", [mixing.mixed_documents])
+def test_mixing_broadcasts_only_totals(docs, monkeypatch, made):
+    """An exploded table counts as no larger than the file that it is made from; broadcast, it fills the driver."""
+    plans = seen_plans(monkeypatch)
+    plans.append(made(docs, block=16)._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not [k for k in broadcast_keys(plans) if re.search(r"\b(index|place|id)#", k)]
+
+
+def test_mixing_broadcasts_no_long_list_of_sources(docs, monkeypatch):
+    from attrition.llm import common
+    out = mixture(docs, block=16)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 2)
+    plans = seen_plans(monkeypatch)
+    assert mixture(docs, block=16) == out
+    assert broadcast_keys([*plans, mixing.Mix(mixing._sized(docs), block=16).slots._jdf.queryExecution().executedPlan().toString()]) == []
+
+
+def test_slots_are_dealt_over_tasks(docs):
+    """A row of the shards' counts stands for many slots; by their bytes, all of them are one task's."""
+    from attrition.llm.common import written
+    from pyspark.sql import functions as F
+    mix = mixing.Mix(written(mixing._sized(docs), "sized"), block=16, slots_per_shard=64)
+    assert mix.slots.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
 def test_mixed_documents(docs, rows):
     report = {r[0]: r[4] for r in mixture(docs, block=16)}
     out = mixing.mixed_documents(docs, block=16)
