@@ -160,7 +160,7 @@ def mixing_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target and the words that the mix takes of every document."""
     mix = Mix(written(_sized(docs), "sized"), **options)
     taken = mix.taken_parts().groupBy("number", "place").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return (mix.rows.join(taken, ["number", "place"], "left")
+    return (shuffled(mix.rows).join(taken, ["number", "place"], "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))
 
 

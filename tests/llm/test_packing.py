@@ -232,7 +232,7 @@ def broadcast_keys(plans):
     return [m for p in plans for m in re.findall(r"Broadcast\w*Join \[(.*?)\], \[", p)]
 
 
-@pytest.mark.parametrize("made", [mixing.mixed_documents])
+@pytest.mark.parametrize("made", [mixing.mixing_report, mixing.mixed_documents])
 def test_mixing_broadcasts_only_totals(docs, monkeypatch, made):
     """An exploded table counts as no larger than the file that it is made from; broadcast, it fills the driver."""
     plans = seen_plans(monkeypatch)
